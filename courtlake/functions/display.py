@@ -35,8 +35,12 @@ def one_decimal(value: Column) -> Column:
 
 
 def percent(value: Column) -> Column:
-    """A share as a percentage with one decimal; NULL stays NULL."""
-    return F.concat(one_decimal(value * 100), F.lit("%"))
+    """A share as a percentage with one decimal; NULL stays NULL.
+
+    Shares are means of fractions, whose last bits depend on the order of summation; they
+    are dropped first, so that a tie is a tie in every run.
+    """
+    return F.concat(one_decimal(F.round(value, 12) * 100), F.lit("%"))
 
 
 def or_missing(text: Column) -> Column:

@@ -6,6 +6,7 @@ import datetime as dt
 import posixpath
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -154,8 +155,8 @@ def schema_groups(spark: SparkSession, path: str) -> list[SchemaGroup]:
         reader = spark.read.option("mergeSchema", True).option("basePath", path)
         try:
             return reader.parquet(*paths).schema
-        except PySparkException as error:
-            if "MERGE" not in str(error).upper():
+        except (PySparkException, Py4JJavaError) as error:
+            if "CANNOT_MERGE_SCHEMAS" not in str(error):
                 raise
             return None
 

@@ -113,8 +113,10 @@ def scoreboard_stream(
 def changed_only(live: DataFrame, delay: str = f"{V.LIVE_HOURS} hours") -> DataFrame:
     """A live stream without repeats: a state of a game seen again within ``delay`` is left
     out. State older than the watermark is dropped, so it does not grow without end."""
-    marked = live.withWatermark("processed_time", delay)
-    return marked.dropDuplicatesWithinWatermark(["game_id", *STATE])
+    # Watermarks need a timestamp with zone; the column itself stays as it is.
+    stamped = live.withColumn("_seen", F.col("processed_time").cast("timestamp"))
+    kept = stamped.withWatermark("_seen", delay)
+    return kept.dropDuplicatesWithinWatermark(["game_id", *STATE]).drop("_seen")
 
 
 def latest_state(live: DataFrame) -> DataFrame:
