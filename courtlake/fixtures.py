@@ -194,9 +194,14 @@ def player_v3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lineups_v3(spark: SparkSession, sf_dir: str) -> DataFrame:
+def team_v2(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    """Team totals in the older feed's names."""
+    named = _with_ratios(_named(spark, sf_dir, _totals(lines, "GAME_ID", "TEAM_ID")))
+    return named.select(*[F.col(f.name).cast(f.dataType) for f in RAW["team_stats"]])
+
+
+def lineups_v3(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
     """Two rows per team and game (starters, bench) in the newer team feed's names."""
-    lines = player_lines(spark, sf_dir)
     totals = _totals(lines, "GAME_ID", "TEAM_ID", "LINEUP")
     named = _named(spark, sf_dir, totals)
     return named.select(

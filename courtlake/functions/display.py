@@ -6,32 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MISSING = "—"
-_UNIT = 1 << 53  # a double below 1 is a whole number of 2^-53 steps, or truncates to one
 
 
 def one_decimal(value: Column) -> Column:
     """One decimal, rounded on the exact binary value with ties to even; NULL stays NULL.
 
-    ``format_string`` and ``round`` work on the shortest decimal text of the double and
-    send ties up, so 112.25 would show as 112.3. Here the fraction is a whole number of
-    2^-53 steps and the tie test is integer arithmetic.
+    ``format_number`` with a pattern rounds this way. ``format_string`` and ``round`` work on
+    the shortest decimal text of the double and send ties up: 112.25 would show as 112.3.
     """
-    size = F.abs(value.cast("double"))
-    whole = F.floor(size)
-    tenfold = ((size - whole) * F.lit(float(_UNIT))).cast("bigint") * F.lit(10)
-    tenths = F.shiftright(tenfold, 53)
-    rest = tenfold.bitwiseAND(F.lit(_UNIT - 1))
-    half = F.lit(_UNIT >> 1)
-    up = (rest > half) | ((rest == half) & (tenths % 2 == 1))
-    rounded = whole.cast("bigint") * 10 + tenths + up.cast("bigint")
-    sign = F.when(value < 0, "-").otherwise("")
-    text = F.concat(
-        sign,
-        F.floor(rounded / 10).cast("bigint").cast("string"),
-        F.lit("."),
-        (rounded % 10).cast("string"),
-    )
-    return F.when(value.isNotNull(), text)
+    return F.call_function("format_number", value.cast("double"), F.lit("0.0"))
 
 
 def percent(value: Column) -> Column:

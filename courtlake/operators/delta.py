@@ -1,40 +1,72 @@
-"""Rows of a batch that a table does not hold yet."""
+"""Rows of a batch that a table does not hold yet, each key once."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from courtlake.session import shared_dir
 
-def one_row_per_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Reduce a batch to one row per key: the least of the remaining columns stands.
+# Up to this many repeated keys are broadcast; some ten megabytes at the widest key.
+BROADCAST_KEYS = 100_000
+
+
+def least_per_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """One row per key: the least of the remaining columns stands.
 
     An aggregate, so that copies of a key shrink to one row per task before the shuffle,
     and the choice does not depend on the order in which rows arrive.
     """
     rest = [c for c in df.columns if c not in key]
     if not rest:
-        return df.select(*key).distinct()
+        return df.distinct()
     reduced = df.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_rest"))
-    picked = reduced.select(*key, "_rest.*")
-    return picked.select(df.columns)
+    return reduced.select(*key, "_rest.*").select(df.columns)
+
+
+def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Keys with more than one row; reads the key columns only."""
+    counted = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"))
+    return counted.where("_rows > 1").select(*key)
+
+
+def one_row_per_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Reduce a batch to one row per key, shuffling whole rows only where keys repeat.
+
+    A first job counts keys. A clean batch is returned as it is; with few repeated keys
+    these are broadcast and only their rows are reduced; otherwise all rows are.
+    """
+    shared_dir(df.sparkSession)
+    repeated = repeated_keys(df, key).checkpoint()
+    count = repeated.count()
+    if count == 0:
+        return df
+    if count > BROADCAST_KEYS:
+        return least_per_key(df, key)
+    few = F.broadcast(repeated.toDF(*[f"_{c}" for c in key]))
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key])
+    once = df.join(few, same, "left_anti")
+    return once.unionByName(least_per_key(df.join(few, same, "left_semi"), key))
 
 
 def new_rows(
     df: DataFrame,
     existing: DataFrame,
     match_on: Sequence[str],
-    unique_on: Sequence[str] = (),
+    lead_keys: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows whose ``match_on`` key is absent from ``existing``.
+    """Rows whose ``match_on`` key is absent from ``existing``; NULL keys count as absent.
 
-    Only existing keys between the least and greatest incoming key are read: the bounds
-    reach the Parquet scan, so a daily batch does not shuffle the keys of all seasons.
+    ``lead_keys``, one column that covers the batch's values of the first key column, bounds
+    what is read of ``existing``: its least and greatest value reach the Parquet scan, so a
+    daily batch does not shuffle the keys of all seasons.
     """
-    batch = one_row_per_key(df, unique_on) if unique_on else df
-    lead = match_on[0]
-    low, high = (df.select(f(lead)).scalar() for f in (F.min, F.max))
-    held = existing.where(F.col(lead).between(low, high)).select(*match_on)
-    return batch.join(held, list(match_on), "left_anti").select(df.columns)
+    held = existing.select(*match_on)
+    if lead_keys is not None:
+        lead, values = match_on[0], lead_keys.toDF("value")
+        low, high = (values.select(f("value")).scalar() for f in (F.min, F.max))
+        held = held.where(F.col(lead).between(low, high))
+    return df.join(held, list(match_on), "left_anti").select(df.columns)

@@ -87,18 +87,30 @@ def latest_per_game(live: DataFrame) -> DataFrame:
     )
 
 
-def since(live: DataFrame, asof: dt.datetime | Column | None, hours: int = V.LIVE_HOURS) -> DataFrame:
-    """Snapshots of the last hours before ``asof`` (now, if not given)."""
-    end = now() if asof is None else asof if isinstance(asof, Column) else F.lit(asof)
-    floor = end.cast("timestamp_ntz") - F.expr(f"INTERVAL {int(hours)} HOURS")
-    return live.where(F.col("processed_time") >= floor)
+AsOf = dt.datetime | DataFrame | None
 
 
-def live_latest(live: DataFrame, asof: dt.datetime | Column | None = None) -> DataFrame:
+def since(live: DataFrame, asof: AsOf = None, hours: int = V.LIVE_HOURS) -> DataFrame:
+    """Snapshots of the last hours before ``asof``: a time, one row with a time, or now.
+
+    The bound is one value, constant or scalar subquery, so that it reaches the scan.
+    """
+
+    def floor(end: Column) -> Column:
+        return end.cast("timestamp_ntz") - F.expr(f"INTERVAL {int(hours)} HOURS")
+
+    if isinstance(asof, DataFrame):
+        bound = asof.toDF("asof").select(floor(F.col("asof"))).scalar()
+    else:
+        bound = floor(now() if asof is None else F.lit(asof))
+    return live.where(F.col("processed_time") >= bound)
+
+
+def live_latest(live: DataFrame, asof: AsOf = None) -> DataFrame:
     return latest_per_game(since(live, asof))
 
 
-def live_games(live: DataFrame, asof: dt.datetime | Column | None = None) -> DataFrame:
+def live_games(live: DataFrame, asof: AsOf = None) -> DataFrame:
     """Games in progress, by their last snapshot."""
     return live_latest(live, asof).where(in_progress(F.col("game_status")))
 

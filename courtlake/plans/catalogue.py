@@ -18,7 +18,7 @@ from courtlake.operators import live, normalize, quality
 from courtlake.operators.delta import new_rows
 from courtlake.plans import matchup, report
 from courtlake.plans import season as S
-from courtlake.plans.star import build_table, day_delta, load_star
+from courtlake.plans.star import build_table, day_delta, lead_keys, load_star
 from courtlake.schemas import LIVE_DATA, STAR
 from courtlake.sources import landing
 from courtlake.sources.warehouse import Warehouse
@@ -89,11 +89,13 @@ def _normalize_player(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _normalize_team(spark: SparkSession, sf: str) -> DataFrame:
-    return normalize.normalize_team_v3(fixtures.lineups_v3(spark, sf))
+    return normalize.normalize_team_v3(fixtures.lineups_v3(spark, sf, fixtures.player_lines(spark, sf)))
 
 
 def _lineup_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    return normalize.lineup_rollup(fixtures.lineups_v3(spark, sf))
+    return normalize.lineup_rollup(
+        fixtures.lineups_v3(spark, sf, fixtures.player_lines(spark, sf))
+    )
 
 
 def _shooting_ratios(spark: SparkSession, sf: str) -> DataFrame:
@@ -114,6 +116,13 @@ def _union(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _union_teams(spark: SparkSession, sf: str) -> DataFrame:
+    lines = fixtures.feed_lines(spark, sf)
+    return normalize.ingest_box_scores(
+        fixtures.team_v2(spark, sf, lines), fixtures.lineups_v3(spark, sf, lines), team=True
+    )
+
+
 # ── Star schema ──────────────────────────────────────────────────────────────────
 
 
@@ -137,9 +146,9 @@ def _append_new(spark: SparkSession, sf: str) -> DataFrame:
     """What a full reload adds to a table that holds the games before 1998."""
     space = Workspace.of(spark, sf)
     held = space.star["fact_game"].where(F.col("date") < F.lit(dt.date(1998, 1, 1)))
-    spec = STAR["fact_game"]
-    built = build_table("fact_game", _LazyRaw(space))
-    return new_rows(built, held, spec.match_on, spec.unique_on)
+    raw = _LazyRaw(space)
+    built = build_table("fact_game", raw)
+    return new_rows(built, held, STAR["fact_game"].match_on, lead_keys("fact_game", raw))
 
 
 def _incremental_day(spark: SparkSession, sf: str) -> DataFrame:
@@ -204,14 +213,10 @@ def _samples(spark: SparkSession, sf: str) -> DataFrame:
 # ── Live scores ──────────────────────────────────────────────────────────────────
 
 
-def _asof(rows: DataFrame) -> Column:
-    return rows.select(F.max("processed_time")).scalar()
-
-
 def _live(question: Callable[..., DataFrame]) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
         rows = fixtures.live(spark, sf)
-        return question(rows, _asof(rows))
+        return question(rows, rows.agg(F.max("processed_time")))
 
     return query
 
@@ -319,6 +324,7 @@ QUERIES: dict[str, Query] = {
     "shooting_ratios": _shooting_ratios,
     "route_by_season": _route,
     "union_box_scores": _union,
+    "union_team_box_scores": _union_teams,
     **{table: _build(table) for table in STAR},
     "append_new_rows": _append_new,
     "incremental_day": _incremental_day,
@@ -340,6 +346,7 @@ QUERIES: dict[str, Query] = {
     "roster_game_score": _star(S.roster_game_score, TEAM, SEASON),
     "roster_all": _star(S.roster_all),
     "roster_display": _star(S.roster_display, TEAM, SEASON),
+    "roster_table": _star(S.roster_table, TEAM, SEASON),
     "player_collapse": _star(S.player_collapse),
     "head_to_head": _star(S.head_to_head, *PAIR, SEASON),
     "head_to_head_display": _star(S.head_to_head_display, *PAIR, SEASON),
@@ -349,6 +356,7 @@ QUERIES: dict[str, Query] = {
     "table_counts": _star(report.table_counts),
     "season_type_counts": _star(report.season_type_counts),
     "home_away_counts": _star(report.home_away_counts, TEAM),
+    "team_by_name": _star(S.team_by_name, "Supplier#000000003"),
     "team_by_abbr": _star(report.team_by_abbr, "T03"),
     "table_samples": _samples,
     "pk_violations": _star(quality.pk_violations),

@@ -36,6 +36,11 @@ def teams(star: Star) -> DataFrame:
     return star["dim_team"].select("team_id", "name", "abbreviation").orderBy("name", "team_id")
 
 
+def team_by_name(star: Star, name: str) -> DataFrame:
+    """The team of that name; of several, the one with the least id."""
+    return teams(star).where(F.col("name") == name).limit(1)
+
+
 def regular_dates(star: Star, season: str | None = None) -> DataFrame:
     """Dates of regular-season games, with their season."""
     dates = star["dim_date"].where(F.col("season_type") == V.REGULAR_SEASON)
@@ -250,8 +255,7 @@ def roster_all(star: Star) -> DataFrame:
     return roster.select("team_id", "season", "player_id", *ROSTER_COLUMNS, "game_score")
 
 
-def roster_display(star: Star, team_id: int, season: str) -> DataFrame:
-    """The roster as shown: headings, one decimal, percent, a dash for no attempts."""
+def _shown(ranked: DataFrame) -> DataFrame:
     one, pct = display.one_decimal, display.percent
     shown = {
         "Player": F.col("name"), "Pos": F.col("position"), "GP": F.col("games"),
@@ -260,12 +264,22 @@ def roster_display(star: Star, team_id: int, season: str) -> DataFrame:
         "FG%": display.or_missing(pct(F.col("fg_pct"))),
         "3P%": display.or_missing(pct(F.col("fg3_pct"))),
         "FT%": display.or_missing(pct(F.col("ft_pct"))),
-        "Game Score": one(F.col("game_score")),
     }
-    ranked = roster_game_score(star, team_id, season)
+    if "game_score" in ranked.columns:
+        shown["Game Score"] = one(F.col("game_score"))
     return ranked.select([column.alias(name) for name, column in shown.items()])
 
 
+def roster_table(star: Star, team_id: int, season: str) -> DataFrame:
+    """The roster as shown: headings, one decimal, percent, a dash for no attempts."""
+    return _shown(roster_stats(star, team_id, season))
+
+
+def roster_display(star: Star, team_id: int, season: str) -> DataFrame:
+    """The roster as shown, with game score and in its order."""
+    return _shown(roster_game_score(star, team_id, season))
+
+
 # ── Pairs of teams ───────────────────────────────────────────────────────────────
 
 

@@ -19,6 +19,15 @@ def build_table(table: str, raw: dict[str, DataFrame]) -> DataFrame:
     return build(raw[source])
 
 
+def lead_keys(table: str, raw: dict[str, DataFrame]) -> DataFrame | None:
+    """The game ids a fact table's batch can hold, read from the raw column alone.
+
+    Dimensions are small; all their keys are compared.
+    """
+    source, _ = BUILDERS[table]
+    return raw[source].select("GAME_ID") if STAR[table].match_on[0] == "game_id" else None
+
+
 def scan_raw(spark: SparkSession, root: str, day: dt.date | None = None) -> dict[str, DataFrame]:
     """The landed tables, or only the partition ``date = day`` of each."""
     tables = {name: landing.scan(spark, root, name) for name in RAW}
@@ -30,7 +39,8 @@ def scan_raw(spark: SparkSession, root: str, day: dt.date | None = None) -> dict
 def load_star(raw: dict[str, DataFrame], warehouse: Warehouse) -> dict[str, int]:
     """Append what is new to each table, dimensions first; returns rows added per table."""
     return {
-        table: warehouse.append_new(table, build_table(table, raw)) for table in BUILDERS
+        table: warehouse.append_new(table, build_table(table, raw), lead_keys(table, raw))
+        for table in BUILDERS
     }
 
 
@@ -45,6 +55,6 @@ def day_delta(
     spark: SparkSession, landing_root: str, existing: DataFrame, table: str, day: dt.date
 ) -> DataFrame:
     """Rows the daily job would append to one table."""
-    spec = STAR[table]
-    built = build_table(table, scan_raw(spark, landing_root, day))
-    return new_rows(built, existing, spec.match_on, spec.unique_on)
+    raw = scan_raw(spark, landing_root, day)
+    built = build_table(table, raw)
+    return new_rows(built, existing, STAR[table].match_on, lead_keys(table, raw))

@@ -75,7 +75,7 @@ class Table:
     """A published table: schema, promised key and references, and file layout.
 
     ``match_on`` decides which incoming rows are new; ``unique_on`` additionally reduces
-    the incoming batch to one row per key. ``sort_by`` orders rows inside each file so
+    the incoming batch to one row per key, where the builder does not. ``sort_by`` orders rows inside each file so
     that filters on these columns skip Parquet pages without a shuffle at write time.
     """
 
@@ -122,7 +122,6 @@ STAR: dict[str, Table] = {
         ),
         key=("game_id",),
         match_on=("game_id",),
-        unique_on=("game_id",),
         sort_by=("date", "game_id"),
         max_length={"game_id": 20},
         references={

@@ -33,12 +33,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session may fall back to a temporary folder of its own.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    configured = configured or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(configured)
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     made = tempfile.mkdtemp(prefix="courtlake-")
-    spark.sparkContext.setCheckpointDir(made)
-    return spark.sparkContext.getCheckpointDir()
+    context.setCheckpointDir(made)
+    return context.getCheckpointDir()

@@ -69,13 +69,15 @@ class Warehouse:
         rows.write.mode("append").parquet(self.path(table))
         return seen.get["rows"]
 
-    def append_new(self, table: str, df: DataFrame) -> int:
-        """Append only rows whose key the table does not hold; loading twice adds nothing."""
+    def append_new(self, table: str, df: DataFrame, lead_keys: DataFrame | None = None) -> int:
+        """Append only rows whose key the table does not hold; loading twice adds nothing.
+
+        ``lead_keys`` as in :func:`~courtlake.operators.delta.new_rows`.
+        """
         spec = TABLES[table]
+        rows = one_row_per_key(df, spec.unique_on) if spec.unique_on else df
         if self.exists(table):
-            rows = new_rows(df, self.read(table), spec.match_on, spec.unique_on)
-        else:
-            rows = one_row_per_key(df, spec.unique_on) if spec.unique_on else df
+            rows = new_rows(rows, self.read(table), spec.match_on, lead_keys)
         return self.append(table, rows)
 
     def register_views(self, *tables: str) -> None:

@@ -34,7 +34,7 @@ class Workspace:
         self.sf_dir = sf_dir
         self.root = posixpath.join(shared_dir(spark), f"courtlake-{uuid.uuid4().hex}")
         self._written: dict[str, tuple] = {}
-        self._version = 0
+        self._marks: dict[tuple[str, ...], tuple] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Workspace:
@@ -44,20 +44,25 @@ class Workspace:
                 _WORKSPACES[key] = cls(spark, sf_dir)
             found = _WORKSPACES[key]
             found.spark = spark
+            found._marks.clear()
             return found
 
     def new_path(self, name: str) -> str:
         return posixpath.join(self.root, name, uuid.uuid4().hex)
 
     def _fingerprint(self, *names: str) -> tuple:
-        """Number, size and age of the source files: a listing, no file is opened."""
-        paths = [posixpath.join(self.sf_dir, f"{n}.parquet") for n in names]
-        files = self.spark.read.format("binaryFile").load(paths)
-        return tuple(
-            files.agg(
-                F.count(F.lit(1)), F.sum("length"), F.max("modificationTime").cast("string")
-            ).first()
-        )
+        """Number, size and age of the source files: a listing, no file is opened.
+
+        Taken once for each time the workspace is asked for.
+        """
+        if names not in self._marks:
+            paths = [posixpath.join(self.sf_dir, f"{n}.parquet") for n in names]
+            files = self.spark.read.format("binaryFile").load(paths)
+            newest = F.max("modificationTime").cast("string")
+            self._marks[names] = tuple(
+                files.agg(F.count(F.lit(1)), F.sum("length"), newest).first()
+            )
+        return self._marks[names]
 
     def _root_for(self, *sources: str) -> str:
         """The folder for tables derived from these sources, in their present state."""

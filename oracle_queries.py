@@ -92,6 +92,10 @@ CTES = {
         SELECT GAME_ID, TEAM_ID, 'T' || lpad(CAST(TEAM_ID AS VARCHAR), 2, '0') AS TEAM_ABBREVIATION,
                s_name AS TEAM_NAME, {_SUMS}
         FROM lines JOIN supplier ON s_suppkey = TEAM_ID GROUP BY ALL""",
+    "feed_totals": f"""
+        SELECT GAME_ID, TEAM_ID, 'T' || lpad(CAST(TEAM_ID AS VARCHAR), 2, '0') AS TEAM_ABBREVIATION,
+               s_name AS TEAM_NAME, {_SUMS}, CAST(sum(PLUS_MINUS) AS BIGINT) AS PLUS_MINUS
+        FROM feed JOIN supplier ON s_suppkey = TEAM_ID GROUP BY ALL""",
     # ── star ──
     "dim_team": """
         SELECT DISTINCT TEAM_ID AS team_id, TEAM_ABBREVIATION AS abbreviation, TEAM_NAME AS name,
@@ -350,6 +354,11 @@ def oracle_sql() -> dict[str, str]:
         CASE WHEN CAST(GAME_ID[4:5] AS INTEGER) >= 25 THEN CAST(PLAYER_ID AS VARCHAR) END
             AS "familyName" FROM feed"""
 
+    q["union_team_box_scores"] = f"""SELECT GAME_ID, TEAM_ID, TEAM_ABBREVIATION, TEAM_NAME,
+        {_RAW_DOUBLES}, {_RAW_PCT},
+        CASE WHEN CAST(GAME_ID[4:5] AS INTEGER) < 25 THEN CAST(PLUS_MINUS AS DOUBLE) END AS PLUS_MINUS
+        FROM (SELECT *, {_RATIOS} FROM feed_totals)"""
+
     # ── star schema ──
     q["dim_team"] = "SELECT * FROM dim_team"
     q["dim_player"] = "SELECT * FROM dim_player"
@@ -405,11 +414,13 @@ def oracle_sql() -> dict[str, str]:
     q["roster_stats"] = f"SELECT {_ROSTER} FROM rosters WHERE {_OWN}"
     q["roster_game_score"] = f"SELECT {_ROSTER}, game_score FROM rosters WHERE {_OWN}"
     q["roster_all"] = f"SELECT team_id, season, player_id, {_ROSTER}, game_score FROM rosters"
-    q["roster_display"] = f"""SELECT name AS "Player", position AS "Pos", games AS "GP",
+    shown = f"""SELECT name AS "Player", position AS "Pos", games AS "GP",
         {_one('ppg')} AS "PPG", {_one('rpg')} AS "RPG", {_one('apg')} AS "APG",
         {_one('spg')} AS "SPG", {_one('bpg')} AS "BPG",
         coalesce({_pct('fg_pct')}, '—') AS "FG%", coalesce({_pct('fg3_pct')}, '—') AS "3P%",
-        coalesce({_pct('ft_pct')}, '—') AS "FT%", {_one('game_score')} AS "Game Score"
+        coalesce({_pct('ft_pct')}, '—') AS "FT%""""
+    q["roster_table"] = f"{shown} FROM rosters WHERE {_OWN}"
+    q["roster_display"] = f"""{shown}, {_one('game_score')} AS "Game Score"
         FROM rosters WHERE {_OWN}"""
     q["player_collapse"] = "SELECT * FROM players"
     pair = f"""SELECT game_id, g.date, h.abbreviation AS home_team, a.abbreviation AS away_team,
@@ -437,6 +448,8 @@ def oracle_sql() -> dict[str, str]:
         GROUP BY season_type"""
     q["home_away_counts"] = f"""SELECT CAST(count_if(home_team_id = {TEAM}) AS BIGINT) AS home_games,
         CAST(count_if(away_team_id = {TEAM}) AS BIGINT) AS away_games FROM fact_game"""
+    q["team_by_name"] = """SELECT team_id, name, abbreviation FROM dim_team
+        WHERE name = 'Supplier#000000003' ORDER BY team_id LIMIT 1"""
     q["team_by_abbr"] = "SELECT team_id, name, abbreviation FROM dim_team WHERE abbreviation = 'T03'"
     q["table_samples"] = f"""SELECT {game} FROM (SELECT * FROM fact_game
         ORDER BY game_id, date LIMIT 5)"""
