@@ -53,7 +53,7 @@ def portable(df: DataFrame) -> DataFrame:
         elif isinstance(field.dataType, (T.TimestampNTZType, T.TimestampType)):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         elif isinstance(field.dataType, T.DoubleType):
-            c = F.round(c, 6)
+            c = F.round(F.round(c, 12), 6)  # float noise first, so that ties are ties
         return c.alias(field.name)
 
     return df.select([column(f) for f in df.schema])

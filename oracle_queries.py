@@ -257,8 +257,13 @@ def _time(column: str = "processed_time") -> str:
     return f"strftime({column}, '%Y-%m-%d %H:%M:%S.%f') AS {column}"
 
 
-def _r(columns, prefix: str = "") -> str:
-    return ", ".join(f"round({prefix}{c}, 6) AS {c}" for c in columns)
+def _six(x: str) -> str:
+    """Six places in exact decimal arithmetic, so that ties round alike in both engines."""
+    return f"CAST(round(CAST({x} AS DECIMAL(38, 12)), 6) AS DOUBLE)"
+
+
+def _r(columns) -> str:
+    return ", ".join(f"{_six(c)} AS {c}" for c in columns)
 
 
 _RAW_DOUBLES = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _STATS)
@@ -401,15 +406,15 @@ def oracle_sql() -> dict[str, str]:
     q["game_log"] = f"""SELECT {_day('date')}, {', '.join(_COUNTED)}, {_r(_PCT)}
         FROM team_log WHERE {_OWN}"""
     q["points_trend"] = f"SELECT {_day('date')}, pts FROM team_log WHERE {_OWN}"
-    q["season_averages"] = "SELECT " + ", ".join(f"round(avg({c}), 6) AS {c}" for c in _LOG) + \
+    q["season_averages"] = "SELECT " + ", ".join(f"{_six(f'avg({c})')} AS {c}" for c in _LOG) + \
         f" FROM team_log WHERE {_OWN}"
     q["season_averages_all"] = "SELECT team_id, season, " + \
-        ", ".join(f"round(avg({c}), 6) AS {c}" for c in _LOG) + \
+        ", ".join(f"{_six(f'avg({c})')} AS {c}" for c in _LOG) + \
         " FROM team_log GROUP BY team_id, season"
     q["season_averages_display"] = "SELECT " + ", ".join(
         f"{(_pct if c in _PCT else _one)(f'avg({c})')} AS {c}" for c in _LOG
     ) + f" FROM team_log WHERE {_OWN}"
-    q["avg_fg_pct"] = f"""SELECT round(coalesce(avg(fg_pct), 0.0), 6) AS avg_fg_pct
+    q["avg_fg_pct"] = f"""SELECT {_six('coalesce(avg(fg_pct), 0.0)')} AS avg_fg_pct
         FROM team_log WHERE {_OWN}"""
     q["roster_stats"] = f"SELECT {_ROSTER} FROM rosters WHERE {_OWN}"
     q["roster_game_score"] = f"SELECT {_ROSTER}, game_score FROM rosters WHERE {_OWN}"
@@ -418,7 +423,7 @@ def oracle_sql() -> dict[str, str]:
         {_one('ppg')} AS "PPG", {_one('rpg')} AS "RPG", {_one('apg')} AS "APG",
         {_one('spg')} AS "SPG", {_one('bpg')} AS "BPG",
         coalesce({_pct('fg_pct')}, '—') AS "FG%", coalesce({_pct('fg3_pct')}, '—') AS "3P%",
-        coalesce({_pct('ft_pct')}, '—') AS "FT%""""
+        coalesce({_pct('ft_pct')}, '—') AS "FT%" """
     q["roster_table"] = f"{shown} FROM rosters WHERE {_OWN}"
     q["roster_display"] = f"""{shown}, {_one('game_score')} AS "Game Score"
         FROM rosters WHERE {_OWN}"""
@@ -491,9 +496,9 @@ def oracle_sql() -> dict[str, str]:
     q["live_team_lookup"] = "SELECT * FROM lookup"
     q["live_matchup"] = f"""SELECT l.game_id, l.side, l.code, l.team_id, l.name,
         coalesce(wins, 0) AS wins, coalesce(losses, 0) AS losses,
-        round(coalesce(avg_pts_for, 0.0), 6) AS avg_pts_for,
-        round(coalesce(avg_pts_against, 0.0), 6) AS avg_pts_against,
-        round(coalesce(f.avg_fg_pct, 0.0), 6) AS avg_fg_pct
+        {_six('coalesce(avg_pts_for, 0.0)')} AS avg_pts_for,
+        {_six('coalesce(avg_pts_against, 0.0)')} AS avg_pts_against,
+        {_six('coalesce(f.avg_fg_pct, 0.0)')} AS avg_fg_pct
         FROM lookup l
         LEFT JOIN (SELECT * FROM records WHERE season = '{SEASON}') r ON l.team_id = r.team_id
         LEFT JOIN (SELECT team_id, avg(fg_pct) AS avg_fg_pct FROM team_log
