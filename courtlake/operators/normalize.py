@@ -91,8 +91,9 @@ def ingest_box_scores(
     return normalize_dtypes(union_box_scores(repair(keep_older), repair(converted)))
 
 
-# What every landed file should hold: statistics as double, ids as bigint.
+# What every landed file should hold: statistics as double, ids as bigint, minutes as text.
 REPAIRED = {
+    "MIN": "string",
     "PLUS_MINUS": "double",
     **{c: "double" for c in V.STATS},
     **{c: "bigint" for c in ID_COLUMNS},
@@ -100,7 +101,7 @@ REPAIRED = {
 
 
 def repair(df: DataFrame) -> DataFrame:
-    """Bring drifting statistic and id columns to their one type."""
+    """Bring drifting columns to their one type."""
     return _cast_present(df, REPAIRED)
 
 

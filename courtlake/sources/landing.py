@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from courtlake import fixed_values as V
 from courtlake.functions.league import us_date
-from courtlake.operators.normalize import normalize_dtypes, repair, type_changes
+from courtlake.operators.normalize import repair, type_changes
 from courtlake.schemas import RAW, struct
 
 PARTITION = struct("date date")
@@ -184,7 +184,7 @@ def schema_groups(spark: SparkSession, path: str) -> list[SchemaGroup]:
 
 def _read_group(spark: SparkSession, path: str, group: SchemaGroup) -> DataFrame:
     reader = spark.read.schema(group.schema).option("basePath", path)
-    return normalize_dtypes(repair(reader.parquet(*group.paths)))
+    return repair(reader.parquet(*group.paths))
 
 
 def scan_repaired(spark: SparkSession, root: str, table: str) -> DataFrame:
