@@ -79,7 +79,7 @@ def append_batches(
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
     """What a live stream has written so far, with ``batch_id``."""
-    schema = T.StructType(LIVE_DATA.fields).add("batch_id", "long")
+    schema = T.StructType([*LIVE_DATA.fields]).add("batch_id", "long")
     return spark.read.schema(schema).parquet(path)
 
 

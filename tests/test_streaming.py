@@ -109,8 +109,9 @@ def test_changed_only(topic, rows):
     topic.send(event("a", 1), event("a", 2))
     topic.send(event("a", 1), minute=60 * 24)
     topic.send(event("a", 1), minute=60 * 24 + 1)
+    topic.send(event("a", 1), minute=60 * 24 + 2)
     out = topic.run(S.changed_only(topic.parsed()), stateful=True)
-    # A state that comes back after the watermark has passed it is a change again.
+    # A state that comes back after the watermark has dropped it is a change again.
     assert rows(out, "game_id", "h_points") == [("a", 1), ("a", 1), ("a", 2), ("b", 1)]
     assert out.where("game_id = 'a' AND h_points = 1").agg(F.max("batch_id")).first()[0] >= 3
 
