@@ -14,6 +14,7 @@ from pyspark.sql import Window
 
 from courtlake import fixed_values as V
 from courtlake.functions.league import ratio
+from courtlake.operators.live import to_messages
 from courtlake.schemas import RAW, TEAM_V3_TO_V2
 from courtlake.sources.landing import chunk_days, chunk_plan
 
@@ -243,14 +244,12 @@ def live(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def live_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON message per event; error events carry text that is no JSON."""
-    rows = _event_columns(spark, sf_dir)
-    fields = [c for c in rows.columns if c not in ("event_id", "processed_time")]
-    body = F.to_json(F.struct(*fields))
-    broken = F.col("game_status") == "Final"
-    return rows.select(
-        F.when(broken, "{not json").otherwise(body).alias("value"),
-        F.col("processed_time").alias("timestamp"),
+    rows = live(spark, sf_dir)
+    over = F.col("game_status") == "Final"
+    broken = rows.where(over).select(
+        F.lit("{not json").alias("value"), F.col("processed_time").alias("timestamp")
     )
+    return to_messages(rows.where(~over)).unionByName(broken)
 
 
 GAMES_PER_DOCUMENT = 8

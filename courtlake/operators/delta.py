@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from courtlake.operators.pruning import within_span
 from courtlake.session import shared_dir
 
 # Up to this many repeated keys are broadcast; some ten megabytes at the widest key.
@@ -66,7 +67,5 @@ def new_rows(
     """
     held = existing.select(*match_on)
     if lead_keys is not None:
-        lead, values = match_on[0], lead_keys.toDF("value")
-        low, high = (values.select(f("value")).scalar() for f in (F.min, F.max))
-        held = held.where(F.col(lead).between(low, high))
+        held = within_span(held, match_on[0], lead_keys)
     return df.join(held, list(match_on), "left_anti").select(df.columns)

@@ -18,6 +18,12 @@ def now() -> Column:
     return F.current_timestamp().cast("timestamp_ntz")
 
 
+def to_messages(rows: DataFrame) -> DataFrame:
+    """LIVE_DATA rows as messages: JSON text in ``value``, the time beside it."""
+    body = F.to_json(F.struct(*LIVE_EVENT.names)).alias("value")
+    return rows.select(body, F.col("processed_time").alias("timestamp"))
+
+
 # ── Messages to rows (batch and stream alike) ────────────────────────────────────
 
 

@@ -57,8 +57,8 @@ def live_head_to_head(
             "high": F.greatest("home_team_id", "away_team_id"),
         })
         .join(pairs, ["low", "high"], "left_semi")
-        .join(S.regular_dates(star, season), "date")
     )
+    past = S.in_season(star, past, season)
     order = S.Window.partitionBy("low", "high").orderBy(F.desc("date"), F.desc("game_id"))
     ranked = past.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= rows)
     named = S.with_team_names(star, ranked, "home_team", "away_team")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from courtlake import fixed_values as V
 from courtlake.functions import display
 from courtlake.functions.league import game_score_tenths
+from courtlake.operators.pruning import within_span
 
 Star = Mapping[str, DataFrame]
 
@@ -109,8 +110,9 @@ def team_record(star: Star, team_id: int, season: str) -> DataFrame:
     sides = own.select(
         "date", F.lit(team_id).alias("team_id"), *_own_side(F.col("home_team_id") == team_id)
     )
-    days = regular_dates(star, season)
-    return _with_losses(_daily(sides).join(days, "date").agg(*_record_columns()))
+    dates = regular_dates(star, season)
+    daily = _daily(within_span(sides, "date", dates.select("date")))
+    return _with_losses(daily.join(dates, "date").agg(*_record_columns()))
 
 
 def _own_side(is_home: Column) -> list[Column]:
@@ -135,13 +137,23 @@ def team_record_all(star: Star) -> DataFrame:
 
 def season_games(star: Star, season: str | None = None) -> DataFrame:
     """Regular-season games with date and season."""
-    games = star["fact_game"].select("game_id", "date")
-    return games.join(regular_dates(star, season), "date")
+    return in_season(star, star["fact_game"].select("game_id", "date"), season)
+
+
+def in_season(star: Star, games: DataFrame, season: str | None) -> DataFrame:
+    """Games on regular-season dates; of one season, only its span of dates is scanned."""
+    dates = regular_dates(star, season)
+    if season is not None:
+        games = within_span(games, "date", dates.select("date"))
+    return games.join(dates, "date")
 
 
 def _team_games(star: Star, team_id: int, season: str) -> DataFrame:
     own = star["fact_game_team_stats"].where(F.col("team_id") == team_id)
-    return own.select("game_id", *LOG_STATS).join(season_games(star, season), "game_id")
+    games = season_games(star, season)
+    # Stored by (team, game): within a team's pages, only those of the season are read.
+    own = within_span(own, "game_id", games.select("game_id"))
+    return own.select("game_id", *LOG_STATS).join(games, "game_id")
 
 
 def game_log(star: Star, team_id: int, season: str) -> DataFrame:
@@ -229,7 +241,7 @@ def _roster(star: Star, stats: DataFrame, games: DataFrame, by: list[str]) -> Da
 def _team_roster(star: Star, team_id: int, season: str) -> DataFrame:
     own = star["fact_game_player_stats"].where(F.col("team_id") == team_id)
     games = season_games(star, season).select("game_id")
-    return _roster(star, own, games, [])
+    return _roster(star, within_span(own, "game_id", games), games, [])
 
 
 ROSTER_COLUMNS = ["name", "position", "games", *ROSTER_MEANS]
@@ -308,7 +320,7 @@ def head_to_head(
     """The latest games between two teams, whichever was at home."""
     home, away = F.col("home_team_id"), F.col("away_team_id")
     pair = ((home == team_a) & (away == team_b)) | ((home == team_b) & (away == team_a))
-    games = star["fact_game"].where(pair).join(regular_dates(star, season), "date")
+    games = in_season(star, star["fact_game"].where(pair), season)
     named = with_team_names(star, games, "home_team", "away_team")
     return latest(named, rows).select(
         "game_id", "date", "home_team", "away_team", "home_score", "away_score"
