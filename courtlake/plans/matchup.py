@@ -15,7 +15,7 @@ def live_matchup(live_games: DataFrame, star: S.Star, season: str) -> DataFrame:
     Season figures are computed once per team, then joined, however many games are live.
     """
     sides = team_lookup(game_sides(live_games), star["dim_team"])
-    record = S.team_record_all(star).where(F.col("season") == season).drop("season")
+    record = S.team_record_all(star, season).drop("season")
     shooting = (
         star["fact_game_team_stats"].select("game_id", "team_id", "fg_pct")
         .join(S.season_games(star, season), "game_id")

@@ -125,10 +125,12 @@ def _own_side(is_home: Column) -> list[Column]:
     ]
 
 
-def team_record_all(star: Star) -> DataFrame:
-    """The record of every team in every regular season."""
-    daily = _daily(team_sides(star["fact_game"]))
-    joined = daily.join(regular_dates(star), "date")
+def team_record_all(star: Star, season: str | None = None) -> DataFrame:
+    """The record of every team in every regular season, or in one."""
+    dates, games = regular_dates(star, season), star["fact_game"]
+    if season is not None:
+        games = within_span(games, "date", dates.select("date"))
+    joined = _daily(team_sides(games)).join(dates, "date")
     return _with_losses(joined.groupBy("team_id", "season").agg(*_record_columns()))
 
 
