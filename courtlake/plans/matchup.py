@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from courtlake import fixed_values as V
 from courtlake.operators.live import game_sides, team_lookup
 from courtlake.plans import season as S
 
@@ -35,12 +36,12 @@ def live_matchup(live_games: DataFrame, star: S.Star, season: str) -> DataFrame:
 
 
 def live_head_to_head(
-    live_games: DataFrame, star: S.Star, season: str, rows: int = S.V.HEAD_TO_HEAD_GAMES
+    live_games: DataFrame, star: S.Star, season: str, rows: int = V.HEAD_TO_HEAD_GAMES
 ) -> DataFrame:
     """Past games of the season between the two teams of each live game, latest ten each.
 
-    Live games are joined once per pair of teams; the ranking keeps at most ``rows`` games
-    per pair in each task before the shuffle.
+    The season's games are ranked before they meet the live ones: each task passes on at most
+    ``rows`` games per pair, so a pair that plays very often is small when it is shuffled.
     """
     sides = team_lookup(game_sides(live_games), star["dim_team"]).where("team_id IS NOT NULL")
     team = {s: F.max(F.when(F.col("side") == s, F.col("team_id"))) for s in ("home", "away")}
@@ -49,20 +50,15 @@ def live_head_to_head(
         F.col("game_id").alias("live_game_id"),
         F.least("h", "a").alias("low"), F.greatest("h", "a").alias("high"),
     )
-    pairs = live_pairs.select("low", "high").distinct()
-    past = (
-        star["fact_game"]
-        .withColumns({
-            "low": F.least("home_team_id", "away_team_id"),
-            "high": F.greatest("home_team_id", "away_team_id"),
-        })
-        .join(pairs, ["low", "high"], "left_semi")
-    )
-    past = S.in_season(star, past, season)
-    order = S.Window.partitionBy("low", "high").orderBy(F.desc("date"), F.desc("game_id"))
+    pair = {
+        "low": F.least("home_team_id", "away_team_id"),
+        "high": F.greatest("home_team_id", "away_team_id"),
+    }
+    past = S.in_season(star, star["fact_game"], season).withColumns(pair)
+    order = Window.partitionBy("low", "high").orderBy(F.desc("date"), F.desc("game_id"))
     ranked = past.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= rows)
-    named = S.with_team_names(star, ranked, "home_team", "away_team")
-    return named.join(live_pairs, ["low", "high"]).select(
+    matched = ranked.join(live_pairs, ["low", "high"])
+    return S.with_team_names(star, matched, "home_team", "away_team").select(
         "live_game_id", "rank", "game_id", "date", "home_team", "away_team",
         "home_score", "away_score",
     )
