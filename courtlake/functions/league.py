@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from courtlake import fixed_values as V
 
+# Every Unicode white-space character, as Python's own strip() knows them.
+WHITE_SPACE = "".join(c for c in map(chr, range(0x10000)) if c.isspace())
+
 
 def game_date(text: Column) -> Column:
     """``yyyy-MM-dd`` text to a date; text of another form becomes NULL."""
@@ -41,10 +44,15 @@ def uses_new_feed(game_id: Column) -> Column:
     return F.coalesce(season_year(game_id) >= V.FIRST_V3_SEASON, F.lit(False))
 
 
+def strip(text: Column) -> Column:
+    """Text without outer white space of any kind."""
+    return F.btrim(text, F.lit(WHITE_SPACE))
+
+
 def full_name(first: Column, family: Column) -> Column:
     """``first family`` with missing parts empty and outer white space removed."""
     joined = F.concat(F.coalesce(first, F.lit("")), F.lit(" "), F.coalesce(family, F.lit("")))
-    return F.regexp_replace(joined, r"^\s+|\s+$", "")
+    return strip(joined)
 
 
 def ratio(made: Column, attempted: Column) -> Column:
@@ -63,6 +71,6 @@ def game_score_tenths() -> Column:
 
 def in_progress(status: Column) -> Column:
     """Live status: the numeric code, or text that starts with a quarter or overtime."""
-    text = F.trim(status)
+    text = strip(status)
     live = (text == V.IN_PROGRESS_CODE) | text.rlike(V.IN_PROGRESS_TEXT)
     return F.coalesce(live, F.lit(False))

@@ -73,15 +73,7 @@ def _find_games(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _repair_types(spark: SparkSession, sf: str) -> DataFrame:
-    """Land team statistics as DOUBLE up to 1997 and BIGINT after, then read them as one."""
-    space = Workspace.of(spark, sf)
-    root = space.new_path("drift")
-    rows = space.raw("team_stats")
-    whole = {c: F.col(c).cast("bigint") for c in (*normalize.V.STATS, "PLUS_MINUS")}
-    split = F.col("date") < F.lit(dt.date(1998, 1, 1))
-    landing.land(rows.where(split), root, "team_stats")
-    landing.land(rows.where(~split).withColumns(whole), root, "team_stats")
-    return landing.scan_repaired(spark, root, "team_stats")
+    return landing.scan_repaired(spark, Workspace.of(spark, sf).drifting_root(), "team_stats")
 
 
 def _normalize_player(spark: SparkSession, sf: str) -> DataFrame:

@@ -8,6 +8,7 @@ again when the files it comes from have changed.
 
 from __future__ import annotations
 
+import datetime as dt
 import posixpath
 import threading
 import uuid
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtlake import fixtures
+from courtlake.fixed_values import STATS
 from courtlake.operators.star_tables import BUILDERS
 from courtlake.plans.star import build_table
 from courtlake.schemas import STAR
@@ -95,6 +97,18 @@ class Workspace:
 
         return posixpath.join(self._once(self._RAW_FROM, f"raw/{name}", write), "raw")
 
+    def drifting_root(self) -> str:
+        """Team statistics landed as DOUBLE before 1998 and as BIGINT from then on."""
+
+        def write(root: str) -> None:
+            rows, path = self.raw("team_stats"), posixpath.join(root, "drift")
+            early = F.col("date") < F.lit(dt.date(1998, 1, 1))
+            whole = {c: F.col(c).cast("bigint") for c in (*STATS, "PLUS_MINUS")}
+            landing.land(rows.where(early), path, "team_stats")
+            landing.land(rows.where(~early).withColumns(whole), path, "team_stats")
+
+        return posixpath.join(self._once(self._RAW_FROM, "drift", write), "drift")
+
     def raw(self, name: str) -> DataFrame:
         return landing.scan(self.spark, self.landing_root(name), name)
 

@@ -46,11 +46,11 @@ def test_in_progress(spark):
 
 def test_full_name(spark):
     df = spark.createDataFrame(
-        [("A", "B"), (None, "B"), ("A", None), (None, None), ("\tA ", " B\n")],
+        [("A", "B"), (None, "B"), ("A", None), (None, None), ("\tA ", " B\n"), ("\u00a0A", "B\u3000")],
         "f string, l string",
     )
     got = [r[0] for r in df.select(league.full_name(F.col("f"), F.col("l"))).collect()]
-    assert got == ["A B", "B", "A", "", "A   B"]
+    assert got == ["A B", "B", "A", "", "A   B", "A B"]
 
 
 def test_ratio_without_attempts(spark):
