@@ -66,6 +66,8 @@ def day_delta(
     spark: SparkSession, landing_root: str, existing: DataFrame, table: str, day: dt.date
 ) -> DataFrame:
     """Rows the daily job would append to one table."""
-    raw = scan_raw(spark, landing_root, day)
+    source, _ = BUILDERS[table]
+    landed = landing.scan(spark, landing_root, source)
+    raw = {source: landed.where(F.col("date") == F.lit(day))}
     built = build_table(table, raw)
     return new_rows(built, existing, STAR[table].match_on, lead_keys(table, raw))

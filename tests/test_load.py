@@ -134,6 +134,18 @@ def test_bounds_reach_the_scan(spark, raw, tmp_path, plan):
     assert "game_id" in text.split("LeftAnti")[1] and "Subquery" in text.split("LeftAnti")[1]
 
 
+def test_day_delta_reads_only_the_table_it_needs(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    day = D(2019, 11, 1)
+    rows = [(*raw_row(RAW["games"], GAME_ID="g", GAME_DATE="2019-11-01", TEAM_ID=t, MATCHUP=m,
+                      PTS=1.0), day) for t, m in ((1, "A vs. B"), (2, "B @ A"))]
+    ddl = RAW["games"].simpleString()[7:-1] + ", date date"
+    landing.land(spark.createDataFrame(rows, ddl), root, "games")
+    empty = spark.createDataFrame([], STAR["fact_game"].schema)
+    assert star.day_delta(spark, root, empty, "fact_game", day).count() == 1
+    assert star.day_delta(spark, root, empty, "fact_game", D(2020, 1, 1)).count() == 0
+
+
 def test_catalog_tables_and_bound_parameters(spark, raw, tmp_path):
     store = Warehouse(spark, str(tmp_path / "star"))
     star.load_star(star.scan_raw(spark, raw), store)
