@@ -198,8 +198,12 @@ def _record_sql(spark: SparkSession, sf: str) -> DataFrame:
     return store.query(RECORD_SQL, {"team_id": TEAM, "season": SEASON})
 
 
-def _samples(spark: SparkSession, sf: str) -> DataFrame:
-    return report.sample(Workspace.of(spark, sf).star["fact_game"])
+def _sample(table: str) -> Query:
+    return _star(lambda star: report.sample(star[table]))
+
+
+def _sample_live(spark: SparkSession, sf: str) -> DataFrame:
+    return report.sample(fixtures.live(spark, sf))
 
 
 # ── Live scores ──────────────────────────────────────────────────────────────────
@@ -350,7 +354,9 @@ QUERIES: dict[str, Query] = {
     "home_away_counts": _star(report.home_away_counts, TEAM),
     "team_by_name": _star(S.team_by_name, "Supplier#000000003"),
     "team_by_abbr": _star(report.team_by_abbr, "T03"),
-    "table_samples": _samples,
+    "table_samples": _sample("fact_game"),
+    **{f"sample_{table}": _sample(table) for table in STAR},
+    "sample_live_data": _sample_live,
     "pk_violations": _star(quality.pk_violations),
     "fk_orphans": _star(quality.fk_orphans),
     "null_violations": _star(quality.null_violations),

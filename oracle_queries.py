@@ -458,6 +458,17 @@ def oracle_sql() -> dict[str, str]:
     q["team_by_abbr"] = "SELECT team_id, name, abbreviation FROM dim_team WHERE abbreviation = 'T03'"
     q["table_samples"] = f"""SELECT {game} FROM (SELECT * FROM fact_game
         ORDER BY game_id, date LIMIT 5)"""
+    first = "ORDER BY ALL ASC NULLS FIRST LIMIT 5"
+    q["sample_dim_team"] = f"SELECT * FROM dim_team {first}"
+    q["sample_dim_player"] = f"SELECT * FROM dim_player {first}"
+    q["sample_dim_date"] = f"""SELECT {_day('date')}, season, season_type
+        FROM (SELECT * FROM dim_date {first})"""
+    q["sample_fact_game"] = q["table_samples"]
+    q["sample_fact_game_team_stats"] = f"""SELECT game_id, team_id, {_BOX}, {_r(_PCT)}
+        FROM (SELECT * FROM team_stats {first})"""
+    q["sample_fact_game_player_stats"] = f"""SELECT game_id, player_id, team_id, min, {_BOX},
+        {_r(_PCT)} FROM (SELECT * FROM player_stats {first})"""
+    q["sample_live_data"] = f"SELECT {_LIVE} FROM (SELECT * FROM live {first})"
     q["pk_violations"] = " UNION ALL ".join(
         f"""SELECT '{n}' AS tbl, {" || '|' || ".join(_text(c) for c in keys)} AS key,
             count(*) AS rows FROM {_FROM[n]} GROUP BY {', '.join(keys)} HAVING count(*) > 1"""
