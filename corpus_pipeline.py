@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtlake.llm import toxicity
+from courtlake.llm import bagminhash, toxicity
 from courtlake.llm.common import shared_path, table
 
 
@@ -20,8 +20,14 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return toxicity.keep_clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return bagminhash.keep_one(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", without_toxic),
+    ("near_copies", without_near_copies),
 ]
 
 #: Trained models, signatures and tokenisers cannot be written in SQL.

@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtlake.llm import toxicity
+from courtlake.llm import bagminhash, toxicity
 from courtlake.llm.common import table
 
 
+def op3_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return toxicity.score(documents, toxicity.fit(documents, table(spark, sf_dir, "labels")))
 
 
 QUERIES = {
+    "op3_bagminhash": op3_bagminhash,
     "op8_toxicity": op8_toxicity,
 }
