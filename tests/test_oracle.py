@@ -6,9 +6,11 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import compare, connect
+from courtlake.plans.catalogue import registered
+from oracle_queries import oracle_sql
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registered(), oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
@@ -20,6 +22,7 @@ def duck():
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)
