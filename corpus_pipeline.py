@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtlake.llm import bagminhash, toxicity
+from courtlake.llm import bagminhash, personal_data, toxicity
 from courtlake.llm.common import shared_path, table
 
 
@@ -25,9 +25,15 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return bagminhash.keep_one(docs)
 
 
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, personal data replaced by the name of its kind."""
+    return personal_data.masked(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", without_toxic),
     ("near_copies", without_near_copies),
+    ("personal_data", without_personal_data),
 ]
 
 #: Trained models, signatures and tokenisers cannot be written in SQL.

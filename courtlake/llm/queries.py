@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtlake.llm import bagminhash, toxicity
+from courtlake.llm import bagminhash, personal_data, toxicity
 from courtlake.llm.common import table
 
 
@@ -17,7 +17,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, toxicity.fit(documents, table(spark, sf_dir, "labels")))
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.find(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_bagminhash": op3_bagminhash,
     "op8_toxicity": op8_toxicity,
+    "op10_personal_data": op10_personal_data,
 }
