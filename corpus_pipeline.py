@@ -11,9 +11,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtlake.llm import bagminhash, personal_data, toxicity
+from courtlake.llm import bagminhash, mixing, packing, personal_data, toxicity
 from courtlake.llm.common import shared_path, table
 
+#: A quarter of a small source's tokens may be shown a second time.
+MAX_REPEATS = 1.25
+
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not call toxic; a failing fit keeps all."""
@@ -30,10 +33,22 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return personal_data.masked(docs)
 
 
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document once; small sources again, as far as ``MAX_REPEATS`` lets them."""
+    return mixing.mix(docs, max_repeats=MAX_REPEATS, places=False)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, each with its sequence and its place there."""
+    return packing.pack(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", without_toxic),
     ("near_copies", without_near_copies),
     ("personal_data", without_personal_data),
+    ("mixing", mixed_sources),
+    ("packing", packed),
 ]
 
 #: Trained models, signatures and tokenisers cannot be written in SQL.

@@ -41,6 +41,14 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """An equi-join in which null keys match; the keys are those of the left side."""
+    other = {c: free_name(left, f"join_{c}") for c in on}
+    renamed = right.select(*[F.col(c).alias(other.get(c, c)) for c in right.columns])
+    same = [F.col(c).eqNullSafe(F.col(other[c])) for c in on]
+    return left.join(renamed, same, how).drop(*other.values())
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder among those that all executors share."""
     return posixpath.join(shared_dir(spark), f"llm-{name}-{uuid.uuid4().hex}")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from courtlake.llm import bagminhash, personal_data, toxicity
+from courtlake.llm import bagminhash, mixing, packing, personal_data, toxicity
 from courtlake.llm.common import table
 
 
@@ -12,6 +13,19 @@ def op3_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many tokens as there are; sources within 97 % of the highest entropy, twice at most."""
+    documents = table(spark, sf_dir, "documents")
+    tokens = documents.agg(F.sum(mixing.token_count(F.col("text")))).first()[0] or 0
+    mixed = mixing.mix(documents, target_entropy=0.97, max_repeats=2.0, budget_tokens=tokens)
+    return mixed.select(
+        "doc_id", "source", "n_tokens", "source_weight", "epoch", "block_order", "document_order")
+
+
+def op5_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return toxicity.score(documents, toxicity.fit(documents, table(spark, sf_dir, "labels")))
@@ -23,6 +37,8 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_bagminhash": op3_bagminhash,
+    "op4_temperature_mixing": op4_temperature_mixing,
+    "op5_best_two_fit": op5_best_two_fit,
     "op8_toxicity": op8_toxicity,
     "op10_personal_data": op10_personal_data,
 }
