@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtlake.llm import bagminhash, mixing, packing, personal_data, toxicity
+from courtlake.llm import (
+    bagminhash, hidden_markov, mixing, packing, personal_data, toxicity,
+)
 from courtlake.llm.common import table
 
 
+def op2_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hidden_markov.score(table(spark, sf_dir, "documents"))
+
+
 def op3_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -36,6 +42,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_hidden_markov": op2_hidden_markov,
     "op3_bagminhash": op3_bagminhash,
     "op4_temperature_mixing": op4_temperature_mixing,
     "op5_best_two_fit": op5_best_two_fit,
