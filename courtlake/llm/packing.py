@@ -17,6 +17,7 @@ empty texts are the end token alone. Repeated rows are packed as often as they o
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -29,7 +30,10 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 from courtlake.llm.common import offsets_of, pick, stored, text_slices, words_of
 
 MAX_TOKENS, END_ID = 4096, 1
-SLICE_BYTES, CACHED_WORDS = 8 << 20, 300_000
+SLICE_BYTES, CACHED_WORDS = 8 << 20, 800_000
+#: Letters, perhaps with signs after them: one word of the vocabulary's splitting, or two.
+PLAIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+([!-&(-/:-@\[-`{-~]*)")
+TOGETHER = 500
 #: Parts of a length's numbering: counts of parts are chained, rows inside one are ordered.
 PARTS = 256
 
@@ -50,6 +54,9 @@ class WordTokens:
 
             vocabulary = public_tokenizers.path("word_bpe_49k.json")
         self.tokenizer = Tokenizer.from_file(vocabulary)
+        known = self.tokenizer.get_vocab()
+        self.is_end = np.zeros(max(known.values()) + 1, bool)
+        self.is_end[[i for token, i in known.items() if token.endswith("</w>")]] = True
         self._clear()
 
     def _clear(self) -> None:
@@ -57,16 +64,33 @@ class WordTokens:
         self.ids, self.ends = np.empty(0, np.uint32), np.zeros(1, np.int64)
 
     def _learn(self, words: list[bytes]) -> None:
-        # Sorted by length, so that a batch holds few paddings and its ids sit together.
-        found = self.tokenizer.encode_batch_fast(
-            [w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        ids = [e.ids for e in found]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for each in ids for i in each), np.uint32, int(sizes.sum()))
+        """Ids of new words. Plain ones are tokenised many at a time, told apart by word ends."""
+        texts = [w.decode("utf-8", "replace") for w in words]
+        ends = [0 if (m := PLAIN.fullmatch(t)) is None else 1 + (m[1] != "") for t in texts]
+        plain = [i for i, n in enumerate(ends) if n]
+        others = [i for i, n in enumerate(ends) if not n]
+        order, sizes, ids = [], [], []
+        groups = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
+        joined = self.tokenizer.encode_batch_fast(
+            [" ".join([texts[i] for i in g]) for g in groups], add_special_tokens=False)
+        for group, found in zip(groups, joined):
+            flat = np.array(found.ids, np.uint32)
+            last = np.flatnonzero(self.is_end[flat]) + 1
+            closes = np.cumsum([ends[i] for i in group]) - 1
+            if len(last) != closes[-1] + 1:
+                others += group
+                continue
+            order += group
+            sizes.append(np.diff(last[closes], prepend=0))
+            ids.append(flat)
+        single = self.tokenizer.encode_batch_fast([texts[i] for i in others], add_special_tokens=False)
+        order += others
+        sizes.append(np.fromiter((len(e.ids) for e in single), np.int64, len(single)))
+        ids += [np.array(e.ids, np.uint32) for e in single]
         first = len(self.place)
-        self.place.update(zip(words, range(first, first + len(words))))
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
-        self.ids = np.concatenate([self.ids, flat])
+        self.place.update((words[i], first + at) for at, i in enumerate(order))
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(sizes))])
+        self.ids = np.concatenate([self.ids, *ids])
 
     def encode(self, texts: list[bytes | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each followed by ``end_id``, and where each text starts and ends)."""
@@ -85,6 +109,16 @@ class WordTokens:
         return np.append(self.ids, np.uint32(end_id))[take], ends[offsets_of(counts + 1)]
 
 
+_TOKENS: dict[str | None, WordTokens] = {}
+
+
+def _tokens(vocabulary: str | None) -> WordTokens:
+    """One for each worker process, which serves many tasks and remembers their words."""
+    if vocabulary not in _TOKENS:
+        _TOKENS[vocabulary] = WordTokens(vocabulary)
+    return _TOKENS[vocabulary]
+
+
 def pieces(
     documents: DataFrame, max_tokens: int = MAX_TOKENS, end_id: int = END_ID,
     vocabulary: str | None = None, with_ids: bool = False,
@@ -98,7 +132,7 @@ def pieces(
         fields.append(StructField("ids", ArrayType(IntegerType())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens(vocabulary)
+        tokens = _tokens(vocabulary)
         for part in text_slices(batches, "text", SLICE_BYTES):
             texts = part.column("text").cast(pa.binary()).to_pylist()
             ids, ends = tokens.encode(texts, end_id)
