@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtlake.llm import (
-    bagminhash, hidden_markov, mixing, packing, personal_data, toxicity,
+    bagminhash, cover_tree, hidden_markov, mixing, packing, personal_data, toxicity, vector_file,
 )
 from courtlake.llm.common import table
 
 
+def op1_vector_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_file.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op2_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hidden_markov.score(table(spark, sf_dir, "documents"))
 
@@ -37,15 +41,21 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, toxicity.fit(documents, table(spark, sf_dir, "labels")))
 
 
+def op9_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.similar_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.find(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_vector_file": op1_vector_file,
     "op2_hidden_markov": op2_hidden_markov,
     "op3_bagminhash": op3_bagminhash,
     "op4_temperature_mixing": op4_temperature_mixing,
     "op5_best_two_fit": op5_best_two_fit,
     "op8_toxicity": op8_toxicity,
+    "op9_cover_tree": op9_cover_tree,
     "op10_personal_data": op10_personal_data,
 }
