@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtlake.llm import (
-    bagminhash, cover_tree, hidden_markov, mixing, packing, personal_data, toxicity, vector_file,
+    bagminhash, cover_tree, hidden_markov, mixing, packing, personal_data, toxicity, vector_file, warc,
 )
 from courtlake.llm.common import table
 
@@ -36,6 +36,10 @@ def op5_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return toxicity.score(documents, toxicity.fit(documents, table(spark, sf_dir, "labels")))
@@ -55,6 +59,7 @@ QUERIES = {
     "op3_bagminhash": op3_bagminhash,
     "op4_temperature_mixing": op4_temperature_mixing,
     "op5_best_two_fit": op5_best_two_fit,
+    "op6_warc": op6_warc,
     "op8_toxicity": op8_toxicity,
     "op9_cover_tree": op9_cover_tree,
     "op10_personal_data": op10_personal_data,
