@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtlake.llm import (
-    bagminhash, cover_tree, hidden_markov, mixing, packing, personal_data, toxicity, vector_file, warc,
+    bagminhash, cover_tree, hidden_markov, kneser_ney, mixing, packing, personal_data, toxicity,
+    vector_file, warc,
 )
 from courtlake.llm.common import table
 
@@ -40,6 +41,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return toxicity.score(documents, toxicity.fit(documents, table(spark, sf_dir, "labels")))
@@ -60,6 +65,7 @@ QUERIES = {
     "op4_temperature_mixing": op4_temperature_mixing,
     "op5_best_two_fit": op5_best_two_fit,
     "op6_warc": op6_warc,
+    "op7_kneser_ney": op7_kneser_ney,
     "op8_toxicity": op8_toxicity,
     "op9_cover_tree": op9_cover_tree,
     "op10_personal_data": op10_personal_data,
