@@ -65,6 +65,15 @@ def fold_of(doc_id: Column, folds: int = 5) -> Column:
     return F.crc32(doc_id.cast("string")) % F.lit(folds)
 
 
+def hashed_sample(df: DataFrame, key: Column, size: int, *ties: str) -> DataFrame:
+    """At most ``size`` rows, those with the least hash; about that many are ordered, not all."""
+    total = df.count()
+    if total > size:
+        spare = min(1.0, 1.2 * size / total + 100 / total)
+        df = df.where(F.pmod(key, F.lit(1 << 40)) < F.lit(int(spare * (1 << 40))))
+    return df.orderBy(F.pmod(key, F.lit(1 << 40)), *ties).limit(size)
+
+
 def text_slices(
     batches: Iterator[pa.RecordBatch], column: str, limit: int
 ) -> Iterator[pa.RecordBatch]:

@@ -33,12 +33,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtlake.llm.common import fold_of, offsets_of, pick, stored, text_slices, words_of
+from courtlake.llm.common import (
+    fold_of, hashed_sample, offsets_of, pick, stored, text_slices, words_of,
+)
 
-STATES = 4
+STATES = 6
 SAMPLE, SAMPLE_BYTES, SAMPLE_WORDS = 3_000, 16_384, 50_000
-ROUNDS, BLEND, UNIT = 12, 0.05, 1024
-SLICE_BYTES, BLOCK_BYTES = 4 << 20, 32 << 20
+STARTS, ROUNDS, BLEND, UNIT = 5, 8, 0.05, 1024
+SLICE_BYTES, BLOCK_BYTES = 2 << 20, 16 << 20
+#: Tokens whose state probabilities are in memory at once; a longer text is alone.
+GROUP_TOKENS = 1 << 18
 END = b""
 
 
@@ -100,6 +104,21 @@ class Timeline:
         return out
 
 
+def _groups(codes: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(texts, their codes) for texts of similar length, up to about GROUP_TOKENS together."""
+    order = np.argsort(-lengths, kind="stable")
+    ends, begins = np.cumsum(lengths[order]), offsets_of(lengths)[:-1]
+    at = 0
+    while at < len(order):
+        before = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + GROUP_TOKENS, side="right")))
+        texts = order[at:to]
+        inner = offsets_of(lengths[texts])
+        take = np.arange(inner[-1]) + np.repeat(begins[texts] - inner[:-1], lengths[texts])
+        yield texts, codes[take]
+        at = to
+
+
 class Start:
     """The model of the sample: its frequent words, and one entry for all others."""
 
@@ -118,19 +137,23 @@ def _encoded(texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.ndarr
     return [*words, END], np.insert(codes, offsets_of(counts)[1:], len(words)), counts + 1
 
 
-def _clusters(codes: np.ndarray, lengths: np.ndarray, size: int, states: int) -> np.ndarray:
-    """A cluster for each text, by its frequent words."""
+def _frequent(codes: np.ndarray, lengths: np.ndarray, size: int) -> np.ndarray:
+    """A unit vector for each text: its frequent words, rare ones weighing more."""
     doc = np.repeat(np.arange(len(lengths)), lengths)
     top = np.flatnonzero(codes < size)
     tf = np.zeros((len(lengths), size), np.float32)
     np.add.at(tf, (doc[top], codes[top]), 1)
     tf = np.log1p(tf) * np.log(len(lengths) / np.maximum((tf > 0).sum(axis=0), 1) + 1)
-    tf /= np.maximum(np.linalg.norm(tf, axis=1, keepdims=True), 1e-9)
-    centre = [tf.mean(axis=0)]
-    for _ in range(states):
-        near = np.max(tf @ np.stack(centre).T / np.linalg.norm(np.stack(centre), axis=1).clip(1e-9), axis=1)
-        centre.append(tf[int(np.argmin(near))])
-    centre = np.stack(centre[1:])
+    return tf / np.maximum(np.linalg.norm(tf, axis=1, keepdims=True), 1e-9)
+
+
+def _clusters(tf: np.ndarray, states: int, seed: int) -> np.ndarray:
+    """A cluster for each text, from centres drawn far from one another."""
+    rng = np.random.default_rng(seed)
+    centre = tf[rng.integers(len(tf))][None]
+    while len(centre) < states:
+        far = np.maximum(1 - (tf @ centre.T).max(axis=1), 0) + 1e-9
+        centre = np.vstack([centre, tf[rng.choice(len(tf), p=far / far.sum())]])
     for _ in range(15):
         mine = np.argmax(tf @ centre.T, axis=1)
         centre = np.stack([tf[mine == k].mean(axis=0) if (mine == k).any() else centre[k] for k in range(states)])
@@ -140,9 +163,9 @@ def _clusters(codes: np.ndarray, lengths: np.ndarray, size: int, states: int) ->
 
 def fit_start(docs: DataFrame, states: int = STATES) -> Start:
     """The start model; the driver holds at most SAMPLE texts of SAMPLE_BYTES each."""
-    sample = docs.where("not held_out").where(
-        F.coalesce(F.octet_length("text"), F.lit(0)).between(1, SAMPLE_BYTES)
-    ).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(SAMPLE).select("text").collect()
+    able = docs.where("not held_out").where(
+        F.coalesce(F.octet_length("text"), F.lit(0)).between(1, SAMPLE_BYTES))
+    sample = hashed_sample(able, F.xxhash64("doc_id"), SAMPLE, "doc_id", "text").select("text").collect()
     words, codes, lengths = _encoded([r.text for r in sample])
     count = np.bincount(codes, minlength=len(words))
     order = np.argsort(-count, kind="stable")
@@ -154,20 +177,31 @@ def fit_start(docs: DataFrame, states: int = STATES) -> Start:
     np.fill_diagonal(move, 0.98 if states > 1 else 1.0)
     if not sample:
         return Start([], np.ones((1, states)), first, move)
-    mine = _clusters(codes, lengths, min(2_000, size), states)
     seen = np.bincount(codes, minlength=size + 1)
     base = (seen + 0.5) / (seen + 0.5).sum()
-    gamma = np.zeros((size + 1, states))
-    np.add.at(gamma, (codes, np.repeat(mine, lengths)), 1)
-    line = Timeline(codes, lengths)
-    for _ in range(ROUNDS):
-        emit = (1 - BLEND) * gamma / gamma.sum(axis=0).clip(1e-9) + BLEND * base[:, None]
-        alpha, moves, firsts, _ = line.expect(emit, first, move)
-        gamma = np.stack([np.bincount(line.codes, weights=alpha[:, k], minlength=size + 1)
-                          for k in range(states)], axis=1)
-        first = (firsts + 0.1) / (firsts + 0.1).sum()
-        move = (moves + 0.1) / (moves + 0.1).sum(axis=1, keepdims=True)
-    emit = (1 - BLEND) * gamma / gamma.sum(axis=0).clip(1e-9) + BLEND * base[:, None]
+    line, tf = Timeline(codes, lengths), _frequent(codes, lengths, min(2_000, size))
+
+    def emissions(gamma: np.ndarray) -> np.ndarray:
+        return (1 - BLEND) * gamma / gamma.sum(axis=0).clip(1e-9) + BLEND * base[:, None]
+
+    def train(model: tuple, rounds: int) -> tuple:
+        emit, first, move, _ = model
+        for _ in range(rounds):
+            alpha, moves, firsts, likelihood = line.expect(emit, first, move)
+            emit = emissions(np.stack([
+                np.bincount(line.codes, weights=alpha[:, k], minlength=size + 1)
+                for k in range(states)], axis=1))
+            first = (firsts + 0.1) / (firsts + 0.1).sum()
+            move = (moves + 0.1) / (moves + 0.1).sum(axis=1, keepdims=True)
+        return emit, first, move, likelihood
+
+    # Baum-Welch finds the optimum near its start: a few short runs, the likeliest goes on.
+    runs = []
+    for seed in range(STARTS):
+        gamma = np.zeros((size + 1, states))
+        np.add.at(gamma, (codes, np.repeat(_clusters(tf, states, seed), lengths)), 1)
+        runs.append(train((emissions(gamma), first, move, 0.0), 2))
+    emit, first, move, _ = train(max(runs, key=lambda r: r[3]), ROUNDS)
     return Start([words[i] for i in order[:size]], emit, first, move)
 
 
@@ -195,7 +229,8 @@ class _Block:
         own = np.fromiter((self.place.setdefault(w, len(self.place)) for w in words), np.int64, len(words))
         self.codes.append(own[codes].astype(np.int32))
         self.lengths.append(lengths)
-        self.ids.append(part.column("doc_id"))
+        # A copy: a view would keep the whole batch, texts included, in memory.
+        self.ids += part.column("doc_id").to_pylist()
         self.held.append(part.column("held_out").to_numpy(zero_copy_only=False))
         self.bytes += part.nbytes
 
@@ -210,18 +245,23 @@ class _Block:
         codes, words = rank[codes], [words[i] for i in order]
         states = len(start.first)
         train = codes[np.repeat(~held, lengths)]
-        line = Timeline(train, lengths[~held])
         seen = np.bincount(train, minlength=len(words))
         emit = start.rows(words).astype(np.float32)
-        alpha, moves, firsts, _ = line.expect(
-            emit, start.first.astype(np.float32), start.move.astype(np.float32))
-        gamma = [np.bincount(line.codes, weights=alpha[:, k], minlength=len(words))
-                 for k in range(states - 1)]
+        gamma = np.zeros((states - 1, len(words)))
+        moves, firsts = np.zeros((states, states)), np.zeros(states)
+        for texts, part in _groups(train, lengths[~held]):
+            line = Timeline(part, lengths[~held][texts])
+            alpha, own_moves, own_firsts, _ = line.expect(
+                emit, start.first.astype(np.float32), start.move.astype(np.float32))
+            moves += own_moves
+            firsts += own_firsts
+            for k in range(states - 1):
+                gamma[k] += np.bincount(line.codes, weights=alpha[:, k], minlength=len(words))
         payload = pa.array([_pack_codes(codes)], pa.large_binary()).cast(pa.binary())
         sums = np.concatenate([moves.ravel(), firsts])
         yield _row_batch({
             "block": pa.array([number], pa.int64()), "codes": payload,
-            "ids": pa.array([pa.concat_arrays(self.ids).to_pylist()], pa.list_(pa.int64())),
+            "ids": pa.array([self.ids], pa.list_(pa.int64())),
             "held": pa.array([held.tolist()], pa.list_(pa.bool_())),
             "lengths": pa.array([lengths.tolist()], pa.list_(pa.int32())),
             "sums": pa.array([sums.tolist()], pa.list_(pa.float64())),
@@ -300,7 +340,7 @@ def score(documents: DataFrame, states: int = STATES, held_out_fold: int = 1) ->
         found = []
         for at in range(block.num_rows):
             lengths = np.array(block.column("lengths")[at].as_py(), np.int64)
-            codes = _unpack_codes(block.column("codes")[at].as_py(), int(lengths.sum()))
+            codes = _unpack_codes(block.column("codes")[at].as_py(), int(lengths.sum())).astype(np.int32)
             seen = np.zeros(int(codes.max()) + 1)
             gamma = np.zeros((len(seen), states))
             place = words.column("place").to_numpy()
@@ -315,17 +355,20 @@ def score(documents: DataFrame, states: int = STATES, held_out_fold: int = 1) ->
                 mass > 0, (1 - BLEND) * gamma / np.where(mass > 0, mass, 1) + BLEND * known[:, None],
                 known[:, None]) * (1 - unknown)
             emit[seen == 0] = unknown
-            line = Timeline(codes, lengths)
-            _, scale = line.forward(emit, first, move)
-            held = block.column("held")[at].as_py()
+            known_words, score_of = np.zeros(len(lengths), np.int64), np.zeros(len(lengths))
+            base_of = np.zeros(len(lengths))
+            for texts, part in _groups(codes, lengths):
+                line = Timeline(part, lengths[texts])
+                _, scale = line.forward(emit, first, move)
+                known_words[texts] = np.rint(line.sum_by_text((seen > 0)[line.codes]))
+                base_of[texts] = line.sum_by_text(np.log10(base)[line.codes])
+                score_of[texts] = line.sum_by_text(np.log10(scale))
             found.append(pa.table({
                 "doc_id": pa.array(block.column("ids")[at].as_py(), pa.int64()),
-                "held_out": pa.array(held, pa.bool_()),
-                "n_tokens": pa.array(lengths),
-                "n_known": pa.array(np.rint(line.sum_by_text((seen > 0)[line.codes])).astype(np.int64)),
+                "held_out": pa.array(block.column("held")[at].as_py(), pa.bool_()),
+                "n_tokens": pa.array(lengths), "n_known": pa.array(known_words),
                 "train_tokens": pa.array(np.full(len(lengths), tokens)),
-                "base_score": pa.array(line.sum_by_text(np.log10(base)[line.codes])),
-                "score": pa.array(line.sum_by_text(np.log10(scale))),
+                "base_score": pa.array(base_of), "score": pa.array(score_of),
             }))
         return pa.concat_tables(found) if found else _EMPTY
 

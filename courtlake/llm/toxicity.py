@@ -226,28 +226,23 @@ def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 60) -> np
 def _fit_words(positive: dict[str, float], negative: dict[str, float]) -> Model:
     words = [w for w in (*positive, *negative) if features(w)]
     matrix = [features(w) for w in words]
-    used = sorted({k for f in matrix for k in f})
-    place = {k: i for i, k in enumerate(used)}
-    dense = np.zeros((len(words), len(used)), np.float32)
-    for row, f in enumerate(matrix):
-        dense[row, [place[k] for k in f]] = list(f.values())
     y = np.array([1.0 if w in positive else -1.0 for w in words])
     count = np.array([positive.get(w, negative.get(w, 0.0)) for w in words])
     # Landmarks: the most frequent words of each class, two thirds of them toxic.
     lead = [i for i in np.argsort(-count, kind="stable") if y[i] > 0][: 2 * LANDMARKS // 3]
     rest = [i for i in np.argsort(-count, kind="stable") if y[i] < 0][: LANDMARKS - len(lead)]
-    marks = dense[lead + rest].astype(float)
-    values, vectors = np.linalg.eigh(marks @ marks.T)
+    marks = np.zeros((KINDS**ORDER, len(lead + rest)))
+    for column, i in enumerate(lead + rest):
+        marks[list(matrix[i]), column] = list(matrix[i].values())
+    values, vectors = np.linalg.eigh(marks.T @ marks)
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
-    mapped = dense.astype(float) @ (marks.T @ root)
+    mapped = np.stack([np.array(list(f.values())) @ marks[list(f)] for f in matrix]) @ root
     cost = PENALTY * np.sqrt(count)
     for side in (1.0, -1.0):
         cost[y == side] /= cost[y == side].mean() / PENALTY
     w = _svm(mapped, y, cost)
-    weights = np.zeros(KINDS**ORDER)
-    weights[used] = marks.T @ (root @ w[:-1])
-    return Model(weights, float(w[-1]))
+    return Model(marks @ (root @ w[:-1]), float(w[-1]))
 
 
 def _calibrate(model: Model, margins: np.ndarray, toxic: np.ndarray) -> None:
