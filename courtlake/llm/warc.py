@@ -46,10 +46,9 @@ def write(pages: DataFrame, path: str) -> None:
     rows = rows.withColumn("digest", F.sha1("html"))
     large = F.octet_length("html") >= REVISIT_BYTES
     # Summed in each task first: a payload that a third of all pages share is one row per task.
-    owners = rows.where(large).groupBy("digest").agg(
-        F.max("page_id").alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1").select(
-        F.col("digest").alias("shared"), "owner")
-    placed = rows.join(owners, (F.col("digest") == F.col("shared")) & large, "left")
+    owners = stored(rows.where(large).groupBy(F.unhex("digest").alias("shared")).agg(
+        F.max("page_id").alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "warc-owners")
+    placed = rows.join(owners, (F.unhex("digest") == F.col("shared")) & large, "left")
     revisit = F.col("shared").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("owner"))
     placed.select(_record(revisit).alias("value")).write.option("lineSep", END).option(
         "maxRecordsPerFile", RECORDS_PER_FILE).text(path)
@@ -128,8 +127,7 @@ def records(spark: SparkSession, path: str) -> DataFrame:
 
     ``body`` is the record without its magic line and closing line breaks.
     """
-    found = stored(pieces(spark, path), "warc-pieces")
-    # Where each split's first piece starts in its file: sums of the splits before it.
+    found = stored(pieces(spark, path).drop("body"), "warc-pieces")
     lengths = found.groupBy("file", "split").agg(F.sum(F.col("size") + len(MAGIC)).alias("bytes"))
     lengths = lengths.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("split", "bytes"))).alias("all"))
     starts = lengths.select("file", F.posexplode("all").alias("nth", "one"), "all").select(
@@ -137,7 +135,7 @@ def records(spark: SparkSession, path: str) -> DataFrame:
             F.slice("all", F.lit(1), F.col("nth")), F.lit(0).cast("long"), lambda s, x: s + x["bytes"]).alias("base"),
         F.aggregate("all", F.lit(0).cast("long"), lambda s, x: s + x["bytes"]).alias("whole"))
     starts = stored(starts, "warc-splits")
-    known = found.drop("body").join(starts, ["file", "split"])
+    known = found.join(starts, ["file", "split"])
     candidates = known.where("next is not null").select(
         "file", "split", (F.col("base") + F.col("offset")).alias("at"),
         (F.col("base") + F.col("next")).alias("to"))
@@ -146,32 +144,31 @@ def records(spark: SparkSession, path: str) -> DataFrame:
         _jump, "file string, split long, at long, beyond long")
     ahead = stored(ahead, "warc-ahead")
     entries = _entries(ahead, starts)
-    kept = candidates.join(entries, ["file", "split"]).groupBy("file", "split").applyInArrow(
-        _walk, "file string, at long, to long")
-    kept = stored(kept, "warc-kept")
-    # A record is the pieces from its start to its successor: one, if no payload holds the magic.
-    whole = found.join(starts, ["file", "split"]).select(
-        "file", (F.col("base") + F.col("offset")).alias("at"), "size", "body")
-    exact = whole.join(kept, ["file", "at"]).where(
-        F.col("to") <= F.col("at") + F.col("size") + 2 * len(MAGIC))
-    exact = exact.select("file", F.col("at").alias("offset"), "to", "body")
-    # Records that go on beyond their first piece, put together from all pieces they cover.
-    longer = whole.select("file", "at", "size").join(kept, ["file", "at"]).where(
-        F.col("to") > F.col("at") + F.col("size") + 2 * len(MAGIC)).select(
-        "file", F.col("at").alias("offset"), "to")
-    # Pieces find the record that covers them among those that touch the same stretch of a file.
-    touched = longer.withColumn("stretch", F.explode(F.sequence(
+    # The files are read again, now knowing where the first record of every split starts: one row
+    # per split, stored so that Spark sees its size and need not deal out the payloads.
+    known_starts = stored(starts.drop("whole").join(entries, ["file", "split"], "left"), "warc-starts")
+    placed = pieces(spark, path).join(known_starts, ["file", "split"]).select(
+        "file", "split", "place", (F.col("base") + F.col("offset")).alias("at"),
+        (F.col("base") + F.col("next")).alias("to"), "entry", "body")
+    spans = placed.sortWithinPartitions("file", "split", "place").mapInArrow(
+        _walk, "kind string, file string, at long, to long, body binary")
+    # Records that end in a later split, and the pieces there: few, put together by stretches.
+    parts = stored(spans.where("kind <> 'whole'"), "warc-parts")
+    opened = parts.where("kind = 'open'").select("file", F.col("at").alias("offset"), "to", "body")
+    touched = opened.drop("body").withColumn("stretch", F.explode(F.sequence(
         F.floor(F.col("offset") / STRETCH), F.floor(F.col("to") / STRETCH))))
-    parts = whole.withColumn("stretch", F.floor(F.col("at") / STRETCH)).join(
-        touched, ["file", "stretch"]).where("at >= offset and at < to")
+    tails = parts.where("kind = 'tail'").drop("to").withColumn("stretch", F.floor(F.col("at") / STRETCH)).join(
+        touched, ["file", "stretch"]).where("at >= offset and at < to").select("file", "offset", "to", "at", "body")
     magic = F.lit(MAGIC.encode())
-    joined = parts.groupBy("file", "offset", "to").agg(
+    joined = opened.withColumn("at", F.col("offset")).select("file", "offset", "to", "at", "body").union(tails)
+    joined = joined.groupBy("file", "offset", "to").agg(
         F.sort_array(F.collect_list(F.struct("at", "body"))).alias("parts")).select(
-        "file", "offset", "to", F.aggregate("parts", F.lit(b""), lambda whole_body, p: F.when(
-            F.octet_length(whole_body) == 0, p["body"]).otherwise(F.concat(whole_body, magic, p["body"]))).alias("body"))
-    both = exact.unionByName(joined)
+        "file", "offset", "to", F.aggregate(
+            F.slice("parts", F.lit(2), F.size("parts")), F.get("parts", F.lit(0))["body"],
+            lambda body, p: F.concat(body, magic, p["body"])).alias("body"))
+    whole = spans.where("kind = 'whole'").select("file", F.col("at").alias("offset"), "to", "body")
     size = F.col("to") - F.col("offset") - len(MAGIC) - len(END)
-    return both.select("file", "offset", F.substr("body", F.lit(1), size.cast("int")).alias("body"))
+    return whole.unionByName(joined).select("file", "offset", F.substr("body", F.lit(1), size.cast("int")).alias("body"))
 
 
 def _jump(table: pa.Table) -> pa.Table:
@@ -213,19 +210,43 @@ def _entries(ahead: DataFrame, starts: DataFrame) -> DataFrame:
     return reached.join(jump, ["file", "at"]).groupBy("file", "split").agg(F.min("at").alias("entry"))
 
 
-def _walk(table: pa.Table) -> pa.Table:
-    """The records of a split: from its entry along the successors."""
-    at, to = table.column("at").to_numpy(), table.column("to").to_numpy()
-    order = np.argsort(at)
-    at, to = at[order], to[order]
-    kept, now = [], int(table.column("entry")[0].as_py())
-    i = int(np.searchsorted(at, now))
-    while i < len(at) and at[i] == now:
-        kept.append(i)
-        now = int(to[i])
-        i = int(np.searchsorted(at, now))
-    return pa.table({"file": table.column("file").take(pa.array(order[kept], pa.int64())),
-                     "at": pa.array(at[kept], pa.int64()), "to": pa.array(to[kept], pa.int64())})
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records that lie in one split, those that go on behind it, and pieces before its entry."""
+    split, record, now = None, None, None
+    out: list[tuple] = []
+
+    def close() -> None:
+        if record is not None:
+            name, at, to, bodies = record
+            body = MAGIC.encode().join(bodies)
+            out.append(("whole" if at + len(MAGIC) + len(body) == to or ended else "open", name, at, to, body))
+
+    def flush() -> pa.RecordBatch:
+        kind, name, at, to, body = zip(*out) if out else [()] * 5
+        out.clear()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(kind, pa.string()), pa.array(name, pa.string()), pa.array(at, pa.int64()),
+             pa.array(to, pa.int64()), pa.array(body, pa.binary())], ["kind", "file", "at", "to", "body"])
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            if (row["file"], row["split"]) != split:
+                ended = False
+                close()
+                split, record, now = (row["file"], row["split"]), None, row["entry"]
+            if now is not None and row["at"] == now:
+                ended = True
+                close()
+                now = row["to"]
+                record = None if now is None else (row["file"], row["at"], now, [row["body"]])
+            elif record is not None:
+                record[3].append(row["body"])
+            elif row["entry"] is None or row["at"] < row["entry"]:
+                out.append(("tail", row["file"], row["at"], None, row["body"]))
+        yield flush()
+    ended = False
+    close()
+    yield flush()
 
 
 def verify(spark: SparkSession, path: str) -> DataFrame:
