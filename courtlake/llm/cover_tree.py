@@ -28,10 +28,12 @@ from courtlake.llm.common import components, hashed_sample, pick, stored
 
 COSINE = 0.9
 #: Most pivots (a sample), classes per pivot, most classes in a block.
-PIVOTS, PER_PIVOT, BLOCK_ROWS = 256, 512, 1024
+PIVOTS, PER_PIVOT, BLOCK_ROWS = 256, 2048, 2560
 RADII = (1.0, 0.5, 0.25, 0.125)
 NO_ID = -(2**63)
 SLACK = 1e-9
+#: Nodes are compared in single precision, with this much more room.
+COARSE = 1e-4
 
 
 def units_of(flat: np.ndarray, dim: int) -> np.ndarray:
@@ -75,6 +77,26 @@ class Tree:
             reach[np.bincount(owner, minlength=len(centre)) == 1] = 0.0
             self.levels.append((centre, parent, reach))
         self.levels.append((np.arange(n), owner, np.zeros(n)))
+        self.coarse = units.astype(np.float32)
+
+    def columns(self) -> dict[str, pa.Array]:
+        """The tree as one row, see ``of_row``."""
+        packed = {"centres": np.int64, "parents": np.int64, "reaches": np.float64}
+        out = {name: pa.array([np.concatenate([level[i] for level in self.levels]).astype(kind).tobytes()], pa.binary())
+               for i, (name, kind) in enumerate(packed.items())}
+        sizes = pa.array([[len(level[0]) for level in self.levels]], pa.list_(pa.int32()))
+        return {"units": pa.array([self.units.tobytes()], pa.binary()), "sizes": sizes, **out}
+
+    @classmethod
+    def of_row(cls, row: dict, side: str) -> Tree:
+        tree = cls.__new__(cls)
+        tree.units = np.frombuffer(row[f"units{side}"]).reshape(-1, row["dim"])
+        tree.coarse = tree.units.astype(np.float32)
+        cuts = np.cumsum(row[f"sizes{side}"])[:-1]
+        parts = [np.split(np.frombuffer(row[f"{name}{side}"], kind), cuts) for name, kind in (
+            ("centres", np.int64), ("parents", np.int64), ("reaches", np.float64))]
+        tree.levels = list(zip(*parts))
+        return tree
 
 
 def links_between(a: Tree, b: Tree, cosine: float) -> tuple[np.ndarray, np.ndarray]:
@@ -94,12 +116,21 @@ def links_between(a: Tree, b: Tree, cosine: float) -> tuple[np.ndarray, np.ndarr
             open_ = allowed[place_a[pa_[rows]][:, None], place_b[pb[columns]][None, :]]
         else:
             rows, columns, open_ = np.arange(len(ca)), np.arange(len(cb)), None
-        dots = a.units[ca[rows]] @ b.units[cb[columns]].T
         if depth == last:
+            dots = a.units[ca[rows]] @ b.units[cb[columns]].T
             near = dots >= cosine - SLACK
         else:
-            reach = np.minimum(limit + ra[rows][:, None] + rb[columns][None, :] + SLACK, 2.0)
-            near = dots >= 1 - reach * reach / 2
+            dots = a.coarse[ca[rows]] @ b.coarse[cb[columns]].T
+            reach_a, reach_b = ra[rows].astype(np.float32), rb[columns].astype(np.float32)
+            # Nodes of one class have no radius; where a node has, its row or column gets its own.
+            near = dots >= 1 - (limit + COARSE) ** 2 / 2
+            for wide in np.flatnonzero(reach_a > 0):
+                reach = np.minimum(limit + reach_a[wide] + reach_b + COARSE, 2.0)
+                near[wide] = dots[wide] >= 1 - reach * reach / 2
+            plain = np.flatnonzero(reach_a <= 0)
+            for wide in np.flatnonzero(reach_b > 0):
+                reach = min(limit + reach_b[wide] + COARSE, 2.0)
+                near[plain, wide] = dots[plain, wide] >= 1 - reach * reach / 2
         if open_ is not None:
             near &= open_
         keep_a, keep_b = near.any(axis=1), near.any(axis=0)
@@ -186,14 +217,14 @@ def similar_vectors(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
             "ids": pa.array([table.column("id").to_numpy().tobytes()], pa.binary()),
             "highs": pa.array([table.column("high").to_numpy().tobytes()], pa.binary()),
             "copies": pa.array([table.column("copies").to_numpy().tobytes()], pa.binary()),
-            "units": pa.array([units.tobytes()], pa.binary()),
+            **Tree(units).columns(),
             "middle": pa.array([middle.tolist()], pa.list_(pa.float64())),
             "reach": pa.array([reach]),
         })
 
     blocks = stored(held.groupBy("dim", "cell", "part").applyInArrow(
         grow, "dim int, name string, ids binary, highs binary, copies binary, units binary, "
-              "middle array<double>, reach double"), "tree-blocks")
+              "sizes array<int>, centres binary, parents binary, reaches binary, middle array<double>, reach double"), "tree-blocks")
     # Node pairs at the top: blocks whose balls come close enough.
     top = blocks.select("dim", "name", "middle", "reach")
     other = top.select("dim", *[F.col(c).alias(f"{c}_b") for c in ("name", "middle", "reach")])
@@ -204,20 +235,12 @@ def similar_vectors(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
         F.sqrt(square) <= F.col("reach") + F.col("reach_b") + F.lit(limit)).select("dim", "name", "name_b")
 
     def compare(batches):
-        trees: dict[tuple, Tree] = {}
         for batch in batches:
             for row in batch.to_pylist():
-                for side in ("", "_b"):
-                    name = (row["dim"], row[f"name{side}"])
-                    if name not in trees:
-                        if len(trees) > 8:
-                            trees.clear()
-                        trees[name] = Tree(np.frombuffer(row[f"units{side}"]).reshape(-1, row["dim"]))
-                    row[f"tree{side}"] = trees[name]
+                row["tree"], row["tree_b"] = Tree.of_row(row, ""), Tree.of_row(row, "_b")
                 yield _pair_rows(row, cosine)
 
-    # A task takes all pairs of a few first blocks, so it grows few trees.
-    left = blocks.select("dim", "name", "ids", "highs", "copies", "units")
+    left = blocks.drop("middle", "reach")
     right = left.select("dim", *[F.col(c).alias(f"{c}_b") for c in left.columns[1:]])
     both = pairs.join(left, ["dim", "name"]).join(right, ["dim", "name_b"])
     node = "struct<id:long,high:long>"
