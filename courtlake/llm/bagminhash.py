@@ -38,7 +38,7 @@ from courtlake.llm.common import (
 SHINGLE, SIMILAR = 5, 0.8
 #: Slots in a band, bands: a pair at the threshold is missed with a chance of 2.6e-5.
 ROWS, BANDS = 4, 20
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Shingles compared in one group of a task; a family with more is cut into parts.
 GROUP_ITEMS = 100_000
 

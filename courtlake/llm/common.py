@@ -19,8 +19,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(posixpath.join(sf_dir, f"{name}.parquet"))
 
 
+#: Bytes of a batch that Spark hands to Python, texts and index blocks included.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Batches for Python of at most BATCH_BYTES, or what the session allows if that is less.
+
+    The default of 64 MB is held several times over, in the JVM and in the worker.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name).lower().removesuffix("b")
+    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
-    """Only these columns, by exact name first: extra columns may differ by case alone."""
+    """Only these columns, by exact name first: extra columns may differ by case alone.
+
+    Operators start here; their Python stages get bounded batches.
+    """
+    bounded_batches(df.sparkSession)
     columns = df.columns
     at = []
     for name in names:

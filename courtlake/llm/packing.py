@@ -30,7 +30,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 from courtlake.llm.common import offsets_of, pick, stored, text_slices, words_of
 
 MAX_TOKENS, END_ID = 4096, 1
-SLICE_BYTES, CACHED_WORDS = 8 << 20, 800_000
+SLICE_BYTES, CACHED_WORDS = 4 << 20, 600_000
 #: Letters, perhaps with signs after them: one word of the vocabulary's splitting, or two.
 PLAIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+([!-&(-/:-@\[-`{-~]*)")
 TOGETHER = 500

@@ -29,14 +29,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtlake.llm.common import fold_of, free_name, offsets_of, pick, text_slices, words_of
+from courtlake.llm.common import (
+    bounded_batches, fold_of, free_name, offsets_of, pick, text_slices, words_of,
+)
 
 ORDER = 3
 DECAY = 0.6
 #: Letters of a word are read in windows of this many, half overlapping.
 WINDOW = 24
 #: Bytes of text handled at once, words remembered at once.
-SLICE_BYTES, CACHED_WORDS = 8 << 20, 300_000
+SLICE_BYTES, CACHED_WORDS = 2 << 20, 200_000
 #: A single letter counts as part of a spelled-out word in runs of at least this many.
 SPELLED = 4
 
@@ -373,6 +375,7 @@ def keep_clean(documents: DataFrame, model: Model | None) -> DataFrame:
     """The rows whose text is not predicted toxic, all their columns; a pass without a shuffle."""
     if model is None:
         return documents
+    bounded_batches(documents.sparkSession)
     text = free_name(documents, "judged_text")
     wide = documents.withColumn(text, pick_text(documents))
     names = wide.columns

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtlake.llm.common import pick, shared_path, stored
+from courtlake.llm.common import bounded_batches, pick, shared_path, stored
 
 REVISIT_BYTES = 1000
 # Fixed values of the format.
@@ -81,6 +81,7 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
     ``offset`` is where the magic line before the piece starts, relative to the split's first
     magic line; ``next`` where the record after it would start, by its header (null without one).
     """
+    bounded_batches(spark)
     lines = spark.read.option("lineSep", MAGIC).text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
         F.col("value").cast("binary").alias("body"))
