@@ -1,3 +1,47 @@
 """SQL for the registered queries that SQL can express, over the same tables."""
 
-SQL: dict[str, str] = {}
+_ABLE = """
+    SELECT vec_id, embedding FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+SQL: dict[str, str] = {
+    "op1_vector_file": f"""
+        WITH able AS ({_ABLE}),
+        whole AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM able),
+        scored AS (
+            SELECT q.vec_id AS query_id, w.vec_id, CAST(list_inner_product(q.v, w.v) AS BIGINT) AS score
+            FROM whole q JOIN whole w ON q.vec_id <> w.vec_id AND len(q.v) = len(w.v)
+            WHERE q.vec_id % 20 = 0),
+        ranked AS (
+            SELECT *, CAST(row_number() OVER (
+                PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
+    "op6_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS bytes FROM pages),
+        o AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS owner FROM p)
+        SELECT page_id, CAST(bytes AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
+               CASE WHEN bytes >= 1000 AND owner <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN bytes >= 1000 AND owner <> page_id THEN owner END AS refers_to
+        FROM o""",
+    "op9_cover_tree": f"""
+        WITH RECURSIVE able AS ({_ABLE}),
+        unit AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM able),
+        link AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b ON a.vec_id <> b.vec_id
+            WHERE list_inner_product(a.v, b.v)
+                  >= 0.9 * sqrt(list_inner_product(a.v, a.v)) * sqrt(list_inner_product(b.v, b.v))
+              AND list_inner_product(a.v, a.v) > 0 AND list_inner_product(b.v, b.v) > 0),
+        reach AS (
+            SELECT vec_id, vec_id AS other FROM embeddings
+            UNION
+            SELECT reach.vec_id, link.b FROM reach JOIN link ON link.a = reach.other),
+        part AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+        degree AS (SELECT a AS vec_id, count(*) AS n FROM link GROUP BY a)
+        SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id,
+               vec_id = component_id AS kept
+        FROM part LEFT JOIN degree USING (vec_id)""",
+}
