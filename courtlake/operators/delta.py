@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from courtlake.operators.pruning import within_span
 from courtlake.session import shared_dir
 
-# Up to this many repeated keys are broadcast; some ten megabytes at the widest key.
-BROADCAST_KEYS = 100_000
-
 
 def least_per_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """One row per key: the least of the remaining columns stands.
@@ -35,22 +32,20 @@ def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def one_row_per_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Reduce a batch to one row per key, shuffling whole rows only where keys repeat.
+    """Reduce a batch to one row per key, aggregating whole rows only where keys repeat.
 
-    A first job counts keys. A clean batch is returned as it is; with few repeated keys
-    these are broadcast and only their rows are reduced; otherwise all rows are.
+    A first job counts keys; a batch without a repeated key is returned as it is. Otherwise
+    the rows of repeated keys are reduced and the others pass. The keys carry no hint: their
+    number grows with the data, and run-time re-planning sees it before it picks the join.
     """
     shared_dir(df.sparkSession)
     repeated = repeated_keys(df, key).checkpoint()
-    count = repeated.count()
-    if count == 0:
+    if repeated.isEmpty():
         return df
-    if count > BROADCAST_KEYS:
-        return least_per_key(df, key)
-    few = F.broadcast(repeated.toDF(*[f"_{c}" for c in key]))
+    named = repeated.toDF(*[f"_{c}" for c in key])
     same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key])
-    once = df.join(few, same, "left_anti")
-    return once.unionByName(least_per_key(df.join(few, same, "left_semi"), key))
+    once = df.join(named, same, "left_anti")
+    return once.unionByName(least_per_key(df.join(named, same, "left_semi"), key))
 
 
 def new_rows(

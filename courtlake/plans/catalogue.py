@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from courtlake import fixed_values as V
 from courtlake import fixtures
 from courtlake.operators import live, normalize, quality
 from courtlake.operators.delta import new_rows
@@ -68,7 +69,8 @@ def _scan(name: str) -> Query:
 
 def _find_games(spark: SparkSession, sf: str) -> DataFrame:
     games = Workspace.of(spark, sf).raw("games")
-    found = landing.find_games(games, dt.date(1997, 3, 1), dt.date(1997, 10, 31))
+    found = landing.find_games(
+        games, dt.date(1997, 3, 1), dt.date(1997, 10, 31), months=V.CHUNK_MONTHS)
     return found.select("GAME_ID", "GAME_DATE", "TEAM_ID", "MATCHUP")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import posixpath
+import uuid
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
@@ -49,17 +50,18 @@ def find_games(
     start: dt.date,
     end: dt.date,
     league: str = V.LEAGUE,
-    months: int = V.CHUNK_MONTHS,
+    months: int | None = None,
 ) -> DataFrame:
     """Landed games of a league played between two dates, both included.
 
-    A game lies in the partition whose chunk covers it, so only chunks that begin at most
-    ``months`` before ``start`` and no later than ``end`` are read.
+    A game lies in the partition whose chunk covers it, so only chunks that begin no later
+    than ``end`` are read. ``months``, the longest chunk that was landed, also leaves out those
+    that begin earlier than that before ``start``; without it chunks may be of any length.
     """
-    first_chunk = F.add_months(F.lit(start), -months)
+    if months is not None:
+        games = games.where(F.col("date") > F.add_months(F.lit(start), -months))
     return games.where(
-        (F.col("date") > first_chunk)
-        & (F.col("date") <= F.lit(end))
+        (F.col("date") <= F.lit(end))
         & F.col("GAME_DATE").between(start.isoformat(), end.isoformat())
         & F.col("GAME_ID").startswith(league)
     )
@@ -204,7 +206,8 @@ def scan_repaired(spark: SparkSession, root: str, table: str) -> DataFrame:
 def repair_in_place(spark: SparkSession, root: str, table: str, staging: str) -> int:
     """Rewrite only the folders that need repair; returns how many were rewritten.
 
-    Repaired rows go to ``staging`` first: a folder is never overwritten while it is read.
+    Repaired rows go to a new folder under ``staging`` first: a folder is never overwritten
+    while it is read, and what an earlier run left there is not landed again.
     """
     path = posixpath.join(root, table)
     groups = schema_groups(spark, path)
@@ -216,7 +219,8 @@ def repair_in_place(spark: SparkSession, root: str, table: str, staging: str) ->
         return 0
     dates = sorted(p.rsplit("date=", 1)[1] for p in touched)
     repaired = scan_repaired(spark, root, table)
+    fresh = posixpath.join(staging, uuid.uuid4().hex)
     land(repaired.where(F.col("date").isin([dt.date.fromisoformat(d) for d in dates])),
-         staging, table)
-    land(spark.read.parquet(posixpath.join(staging, table)), root, table)
+         fresh, table)
+    land(spark.read.parquet(posixpath.join(fresh, table)), root, table)
     return len(touched)

@@ -57,16 +57,22 @@ def append_batches(
     mode: str = "append",
     stateful: bool = False,
 ) -> StreamingQuery:
-    """Write each micro-batch to ``<path>/batch_id=<n>``.
+    """Write each micro-batch to ``<path>/stream=<id>/batch_id=<n>``.
 
-    After a failure Spark repeats the last batch under the same number; it then replaces its
-    own folder, so nothing is doubled. Empty batches write nothing; a ``stateful`` batch is
+    The id is that of the query, which Spark keeps with its checkpoint: a second stream, or one
+    with a new checkpoint, counts its batches from 0 again but in a folder of its own. After a
+    failure Spark repeats the last batch under the same number; it then replaces its own
+    folder, so nothing is doubled. Empty batches write nothing; a ``stateful`` batch is
     not probed for that, because the probe would run its state update a second time.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if stateful or not batch.isEmpty():
-            batch.write.mode("overwrite").parquet(posixpath.join(path, f"batch_id={batch_id}"))
+            owner = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+            if not owner:
+                raise RuntimeError("a batch without the id of its stream")
+            folder = posixpath.join(path, f"stream={owner}", f"batch_id={batch_id}")
+            batch.write.mode("overwrite").parquet(folder)
 
     return (
         df.writeStream.foreachBatch(write)
@@ -78,9 +84,9 @@ def append_batches(
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """What a live stream has written so far, with ``batch_id``."""
-    schema = T.StructType([*LIVE_DATA.fields]).add("batch_id", "long")
-    return spark.read.schema(schema).parquet(path)
+    """What the live streams of a table have written so far, with ``batch_id``."""
+    schema = T.StructType([*LIVE_DATA.fields]).add("stream", "string").add("batch_id", "long")
+    return spark.read.schema(schema).parquet(path).drop("stream")
 
 
 # ── Streams ──────────────────────────────────────────────────────────────────────

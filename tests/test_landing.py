@@ -54,7 +54,7 @@ def test_game_finder_prunes_partitions(spark, tmp_path, rows, plan):
     df = landing.scan(spark, root, "games")
     found = landing.find_games(df, D(2019, 12, 31), D(2020, 7, 1))
     assert rows(found, "GAME_ID") == [("001",), ("002",), ("003",), ("005",)]
-    text = plan(landing.find_games(df, D(2020, 1, 1), D(2020, 6, 30)))
+    text = plan(landing.find_games(df, D(2020, 1, 1), D(2020, 6, 30), months=6))
     assert "PartitionFilters: [isnotnull(date" in text and "2019-07-01" in text
     assert "PushedFilters: [IsNotNull(GAME_DATE)" in text
 
@@ -130,6 +130,33 @@ def test_schema_groups_and_repaired_scan(spark, drifting):
     assert df.where("date = '2020-07-01'").count() == 2
 
 
+def test_game_finder_reads_chunks_of_any_length(spark, tmp_path, rows):
+    root = str(tmp_path)
+    landing.land(games(spark, [
+        ("001", "2019-10-05", "2019-01-01"), ("002", "2019-10-06", "2019-10-06"),
+        ("003", "2019-11-01", "2019-10-01"),
+    ]), root, "games")
+    found = landing.find_games(landing.scan(spark, root, "games"), D(2019, 10, 1), D(2019, 10, 31))
+    assert rows(found, "GAME_ID") == [("001",), ("002",)]
+
+
+def test_a_second_repair_leaves_newer_data(spark, drifting, tmp_path):
+    staging = f"{tmp_path}/staging"
+    assert landing.repair_in_place(spark, drifting, "team_stats", staging) == 6
+    path = f"{drifting}/team_stats"
+    before = spark.read.parquet(path)
+    dates = sorted({r.date for r in before.select("date").collect()})
+    corrected = before.where(F.col("date") == dates[1]).withColumn("PTS", F.lit(99.0))
+    drifted = before.where(F.col("date") == dates[-1]).withColumn("PTS", F.lit(7).cast("bigint"))
+    batches = [spark.createDataFrame(x.collect(), x.schema) for x in (corrected, drifted)]
+    for batch in batches:
+        landing.land(batch, drifting, "team_stats")
+    landing.repair_in_place(spark, drifting, "team_stats", staging)
+    after = spark.read.option("mergeSchema", True).parquet(path)
+    assert {r.PTS for r in after.where(F.col("date") == dates[1]).collect()} == {99.0}
+    assert after.count() == 13
+
+
 def test_repair_in_place_touches_only_what_differs(spark, drifting, tmp_path):
     before = spark.read.schema("_ int").parquet(f"{drifting}/team_stats/date=2020-01-01").inputFiles()
     assert landing.repair_in_place(spark, drifting, "team_stats", f"{tmp_path}/staging") == 6

@@ -100,9 +100,7 @@ def test_anti_join_lets_null_keys_pass(spark, rows):
     assert delta.new_rows(none, held, ["k"], none.select("k")).isEmpty()
 
 
-@pytest.mark.parametrize("limit", [100_000, 0])
-def test_one_row_per_key(spark, rows, monkeypatch, limit):
-    monkeypatch.setattr(delta, "BROADCAST_KEYS", limit)
+def test_one_row_per_key(spark, rows):
     df = spark.createDataFrame(
         [(1, "a", 5), (1, "a", 4), (1, "b", 9), (None, "a", 2), (None, "a", 1), (3, "c", None),
          (3, "c", 0)], "k int, j string, v int",

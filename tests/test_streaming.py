@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import glob
 import os
 
 import pytest
@@ -48,6 +49,15 @@ def topic(spark, tmp_path):
     return Topic(spark, str(tmp_path))
 
 
+def test_a_second_stream_keeps_the_rows_of_the_first(spark, topic, rows):
+    topic.send(event("a", 1))
+    topic.run(topic.parsed())
+    topic.checkpoint += "-new"
+    topic.send(event("b", 2))
+    both = topic.run(topic.parsed())
+    assert rows(both, "game_id", "batch_id") == [("a", 0), ("a", 0), ("b", 1)]
+
+
 def test_append_equals_batch_and_restart_adds_nothing(spark, topic, rows):
     topic.send(event("a", 1), event("b", 2))
     topic.send(event("a", 3), "{oops")
@@ -93,7 +103,7 @@ def test_scoreboard_stream(spark, topic, rows):
     assert rows(got, "game_id", "h_points", "a_points", "game_status", "batch_id") == [
         ("g", 0, 4, "2", 0), ("h", 0, 4, "2", 0),
     ]
-    assert not os.path.exists(f"{topic.out}/batch_id=1")
+    assert not glob.glob(f"{topic.out}/*/batch_id=1")
 
 
 def test_latest_state_over_batches(topic, rows):
