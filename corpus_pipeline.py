@@ -16,6 +16,8 @@ from courtlake.llm.common import shared_path, table
 
 #: A quarter of a small source's tokens may be shown a second time.
 MAX_REPEATS = 1.25
+#: Workers that have served the other stages have less memory left than those of packing alone.
+PACKED_AT_ONCE = 4 << 20
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +42,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, each with its sequence and its place there."""
-    return packing.pack(docs)
+    return packing.pack(docs, slice_bytes=PACKED_AT_ONCE)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -30,7 +30,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 from courtlake.llm.common import offsets_of, pick, stored, text_slices, words_of
 
 MAX_TOKENS, END_ID = 4096, 1
-SLICE_BYTES, CACHED_WORDS = 4 << 20, 600_000
+SLICE_BYTES, CACHED_WORDS = 12 << 20, 800_000
 #: Letters, perhaps with signs after them: one word of the vocabulary's splitting, or two.
 PLAIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+([!-&(-/:-@\[-`{-~]*)")
 TOGETHER = 500
@@ -109,6 +109,19 @@ class WordTokens:
         return np.append(self.ids, np.uint32(end_id))[take], ends[offsets_of(counts + 1)]
 
 
+def _gathered(parts: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``limit`` bytes from smaller ones: a word is looked up once in each."""
+    held, size = [], 0
+    for part in parts:
+        held.append(part)
+        size += part.nbytes
+        if size >= limit:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if size:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 _TOKENS: dict[str | None, WordTokens] = {}
 
 
@@ -121,7 +134,7 @@ def _tokens(vocabulary: str | None) -> WordTokens:
 
 def pieces(
     documents: DataFrame, max_tokens: int = MAX_TOKENS, end_id: int = END_ID,
-    vocabulary: str | None = None, with_ids: bool = False,
+    vocabulary: str | None = None, with_ids: bool = False, slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids) of every document's pieces."""
     docs = pick(documents, "doc_id", "text")
@@ -133,7 +146,7 @@ def pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = _tokens(vocabulary)
-        for part in text_slices(batches, "text", SLICE_BYTES):
+        for part in _gathered(text_slices(batches, "text", slice_bytes), slice_bytes):
             texts = part.column("text").cast(pa.binary()).to_pylist()
             ids, ends = tokens.encode(texts, end_id)
             ids = ids.astype("<u4")
@@ -256,14 +269,15 @@ def _numbered(table: DataFrame) -> DataFrame:
 
 def pack(
     documents: DataFrame, max_tokens: int = MAX_TOKENS, end_id: int = END_ID,
-    vocabulary: str | None = None, with_ids: bool = False,
+    vocabulary: str | None = None, with_ids: bool = False, slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """Every piece with the sequence it went to and its place there.
 
     ``vocabulary`` is the path of a tokenizer file that every executor has; by default that of
     the public word vocabulary. ``with_ids`` adds the pieces' ids, see ``sequences``.
     """
-    table = stored(pieces(documents, max_tokens, end_id, vocabulary, with_ids), "pieces")
+    table = stored(
+        pieces(documents, max_tokens, end_id, vocabulary, with_ids, slice_bytes), "pieces")
     # One row per length: at most max_tokens rows.
     counted = table.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()
     counts = np.zeros(max_tokens + 1, np.int64)
