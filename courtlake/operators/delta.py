@@ -43,9 +43,8 @@ def one_row_per_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
     if repeated.isEmpty():
         return df
     named = repeated.toDF(*[f"_{c}" for c in key])
-    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key])
-    once = df.join(named, same, "left_anti")
-    return once.unionByName(least_per_key(df.join(named, same, "left_semi"), key))
+    once = df.join(named, _same(key), "left_anti")
+    return once.unionByName(least_per_key(df.join(named, _same(key), "left_semi"), key))
 
 
 def new_rows(
@@ -54,13 +53,19 @@ def new_rows(
     match_on: Sequence[str],
     lead_keys: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows whose ``match_on`` key is absent from ``existing``; NULL keys count as absent.
+    """Rows whose ``match_on`` key is absent from ``existing``; NULL equals NULL.
 
     ``lead_keys``, one column that covers the batch's values of the first key column, bounds
     what is read of ``existing``: its least and greatest value reach the Parquet scan, so a
-    daily batch does not shuffle the keys of all seasons.
+    daily batch does not shuffle the keys of all seasons. The first key column is then one
+    whose NULLs the builder has left out; a NULL there counts as absent.
     """
     held = existing.select(*match_on)
     if lead_keys is not None:
         held = within_span(held, match_on[0], lead_keys)
-    return df.join(held, list(match_on), "left_anti").select(df.columns)
+    return df.join(held.toDF(*[f"_{c}" for c in match_on]), _same(match_on), "left_anti")
+
+
+def _same(key: Sequence[str]) -> Column:
+    """Equal keys, the other side's columns named with a leading underscore."""
+    return reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key])

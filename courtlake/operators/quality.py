@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from courtlake.functions.league import game_date
 from courtlake.schemas import STAR
 
 Star = Mapping[str, DataFrame]
@@ -77,6 +78,21 @@ def null_violations(star: Star) -> DataFrame:
     return _per_column(star, checks, "null_rows")
 
 
+def unkeyed_rows(raw: Mapping[str, DataFrame]) -> DataFrame:
+    """Raw rows that the dimension builders leave out, having no key."""
+    games = raw["games"].agg(
+        F.count_if(F.col("TEAM_ID").isNull()).alias("TEAM_ID"),
+        F.count_if(game_date(F.col("GAME_DATE")).isNull()).alias("GAME_DATE"),
+    )
+    players = raw["player_stats"].agg(F.count_if(F.col("PLAYER_ID").isNull()).alias("PLAYER_ID"))
+
+    def entries(name: str, counted: DataFrame) -> DataFrame:
+        found = [F.struct(F.lit(c).alias("column"), F.col(c).alias("rows")) for c in counted.columns]
+        return counted.select(F.lit(name).alias("tbl"), F.inline(F.array(*found)))
+
+    return _stack([entries("games", games), entries("player_stats", players)])
+
+
 def length_violations(star: Star) -> DataFrame:
     """Rows whose text is longer than the column's declared length."""
     checks = {

@@ -21,8 +21,12 @@ def _conform(df: DataFrame, table: str, **columns: Column | str) -> DataFrame:
 
 
 def build_dim_team(games: DataFrame) -> DataFrame:
-    """One row per (id, abbreviation, name): a renamed team keeps both rows."""
-    teams = games.select("TEAM_ID", "TEAM_ABBREVIATION", "TEAM_NAME").distinct()
+    """One row per (id, abbreviation, name): a renamed team keeps both rows.
+
+    Rows without an id have no key and are left out; ``quality.unkeyed_rows`` counts them.
+    """
+    known = games.where(F.col("TEAM_ID").isNotNull())
+    teams = known.select("TEAM_ID", "TEAM_ABBREVIATION", "TEAM_NAME").distinct()
     return _conform(
         teams, "dim_team",
         team_id="TEAM_ID", abbreviation="TEAM_ABBREVIATION", name="TEAM_NAME",
@@ -40,14 +44,14 @@ def build_dim_player(player_stats: DataFrame) -> DataFrame:
 
 
 def build_dim_date(games: DataFrame) -> DataFrame:
-    """One row per (date, season, season type) seen."""
+    """One row per (date, season, season type) seen; what is no date has no key."""
     sid = F.col("SEASON_ID")
     # Distinct on the two raw columns first: the text work then runs once per pair.
     pairs = games.select("GAME_DATE", sid.cast("string").alias("SEASON_ID")).distinct()
     return _conform(
         pairs, "dim_date",
         date=game_date(F.col("GAME_DATE")), season=season_label(sid), season_type=season_type(sid),
-    ).distinct()
+    ).where("date IS NOT NULL").distinct()
 
 
 def build_fact_game(games: DataFrame) -> DataFrame:

@@ -39,7 +39,12 @@ def team_by_abbr(star: Star, abbreviation: str) -> DataFrame:
 
 
 def sample(df: DataFrame, rows: int = V.SAMPLE_ROWS) -> DataFrame:
-    """A few rows, the same ones every time: the first in order of all columns."""
+    """Any few rows, as a look at a table: no more files are read than hold them."""
+    return df.limit(rows)
+
+
+def first_rows(df: DataFrame, rows: int = V.SAMPLE_ROWS) -> DataFrame:
+    """The same few rows every time, the first in order of all columns: reads the whole table."""
     return df.orderBy(*df.columns).limit(rows)
 
 

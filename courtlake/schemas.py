@@ -112,7 +112,8 @@ STAR: dict[str, Table] = {
     "dim_date": Table(
         struct("date date, season string, season_type string"),
         key=("date",),
-        match_on=("date",),
+        # A date may belong to several kinds of season; a kind seen later is new.
+        match_on=("date", "season", "season_type"),
         max_length={"season": 10, "season_type": 20},
     ),
     "fact_game": Table(

@@ -94,4 +94,4 @@ def lower_names(df: DataFrame) -> DataFrame:
 
 
 def list_tables(spark: SparkSession, pattern: str = "*") -> DataFrame:
-    return spark.sql(f"SHOW TABLES LIKE '{pattern}'")
+    return spark.sql("SHOW TABLES LIKE :pattern", args={"pattern": pattern})

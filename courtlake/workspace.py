@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from courtlake import fixtures
 from courtlake.fixed_values import STATS
 from courtlake.operators.star_tables import BUILDERS
-from courtlake.plans.star import build_table
+from courtlake.plans.star import build_table, lead_keys
 from courtlake.schemas import STAR
 from courtlake.session import shared_dir
 from courtlake.sources import landing
@@ -115,14 +115,15 @@ class Workspace:
     # ── Star schema ──
 
     def warehouse(self, *names: str) -> Warehouse:
-        """A warehouse that holds at least the named tables, as a first load writes them."""
+        """A warehouse that holds at least the named tables, as ``load_star`` first writes them."""
         root = self._root_for(*self._RAW_FROM)
         store = Warehouse(self.spark, posixpath.join(root, "star"))
         for name in names or STAR:
             source, _ = BUILDERS[name]
 
             def write(_: str, name: str = name, source: str = source) -> None:
-                store.append(name, build_table(name, {source: self.raw(source)}))
+                raw = {source: self.raw(source)}
+                store.append_new(name, build_table(name, raw), lead_keys(name, raw))
 
             self._once(self._RAW_FROM, f"star/{name}", write)
         return store

@@ -46,11 +46,10 @@ CTES = {
         SELECT o_orderkey AS game_key, CAST(o_orderdate AS DATE) AS day,
                o_orderpriority[1] || year(o_orderdate) AS SEASON_ID
         FROM orders""",
-    "RECURSIVE chunk0": """
-        SELECT min(day) AS s, max(day) AS e FROM od
-        UNION ALL
-        SELECT CAST(s + INTERVAL 6 MONTH AS DATE), e FROM chunk0
-        WHERE CAST(s + INTERVAL 6 MONTH AS DATE) <= e""",
+    "chunk0": """
+        SELECT CAST(unnest(generate_series(CAST(min(day) AS TIMESTAMP), CAST(max(day) AS TIMESTAMP),
+                                           INTERVAL 6 MONTH)) AS DATE) AS s, max(day) AS e
+        FROM od""",
     "chunks": """
         SELECT s AS chunk_start,
                least(CAST(s + INTERVAL 6 MONTH AS DATE) - 1, e) AS chunk_end FROM chunk0""",
@@ -125,13 +124,18 @@ CTES = {
                FT_PCT AS ft_pct, OREB AS oreb, DREB AS dreb, REB AS reb, AST AS ast, STL AS stl,
                BLK AS blk, "TO" AS tov, PF AS pf, PTS AS pts, PLUS_MINUS AS plus_minus
         FROM team_raw""",
-    "player_stats": """
+    "player_rows": """
         SELECT GAME_ID AS game_id, PLAYER_ID AS player_id, TEAM_ID AS team_id, "MIN" AS min,
                PTS AS pts, FGM AS fgm, FGA AS fga, FG_PCT AS fg_pct, FG3M AS fg3m, FG3A AS fg3a,
                FG3_PCT AS fg3_pct, FTM AS ftm, FTA AS fta, FT_PCT AS ft_pct, OREB AS oreb,
                DREB AS dreb, REB AS reb, AST AS ast, STL AS stl, BLK AS blk, "TO" AS tov,
                PF AS pf, PLUS_MINUS AS plus_minus
         FROM player_raw""",
+    "player_stats": f"""
+        SELECT * FROM player_rows QUALIFY row_number() OVER (
+            PARTITION BY game_id, player_id
+            ORDER BY {", ".join(f"{c} NULLS FIRST" for c in ["team_id", "min", *_LOG, "plus_minus"])}
+        ) = 1""",
     "regular": """
         SELECT * FROM dim_date WHERE season_type = 'Regular Season'""",
     "names": """
@@ -230,7 +234,7 @@ CTES = {
 
 
 def _used(text: str) -> list[str]:
-    return [n for n in CTES if re.search(rf"\b{n.split()[-1]}\b", re.sub(r"'[^']*'", "", text))]
+    return [n for n in CTES if re.search(rf"\b{n}\b", re.sub(r"'[^']*'", "", text))]
 
 
 def _with(select: str) -> str:
@@ -244,9 +248,8 @@ def _with(select: str) -> str:
                 queue.append(CTES[name])
     if not needed:
         return select
-    parts = [f"{n.split()[-1]} AS ({CTES[n]})" for n in CTES if n in needed]
-    word = "WITH RECURSIVE" if any(n.startswith("RECURSIVE") for n in needed) else "WITH"
-    return f"{word} {', '.join(parts)} {select}"
+    parts = [f"{n} AS ({CTES[n]})" for n in CTES if n in needed]
+    return f"WITH {', '.join(parts)} {select}"
 
 
 def _day(column: str, name: str | None = None) -> str:
@@ -372,18 +375,19 @@ def oracle_sql() -> dict[str, str]:
     q["fact_game"] = f"SELECT {game} FROM fact_game"
     q["fact_game_team_stats"] = f"SELECT game_id, team_id, {_BOX}, {_r(_PCT)} FROM team_stats"
     q["fact_game_player_stats"] = f"""SELECT game_id, player_id, team_id, min, {_BOX}, {_r(_PCT)}
-        FROM player_stats"""
+        FROM player_rows"""
     q["append_new_rows"] = f"SELECT {game} FROM fact_game WHERE date >= DATE '1998-01-01'"
     q["incremental_day"] = f"""SELECT {game} FROM fact_game
-        WHERE date >= (SELECT max(chunk_start) FROM chunks)"""
+        WHERE date >= (SELECT max(chunk_start) FROM chunks)
+          AND CAST(right(game_id, 1) AS INTEGER) % 2 = 1"""
     counts = [
         f"SELECT '{n}' AS tbl, CAST(count(*) AS BIGINT) AS {{}} FROM "
         + (f"(SELECT DISTINCT {', '.join(_KEYS[n])} FROM {_FROM[n]})" if n.startswith("fact")
            else _FROM[n])
         for n in _KEYS
     ]
-    q["load_star"] = "SELECT tbl, first_load, CAST(0 AS BIGINT) AS second_load FROM (" + \
-        " UNION ALL ".join(c.format("first_load") for c in counts) + ")"
+    q["load_star"] = "SELECT tbl, first_load, CAST(0 AS BIGINT) AS second_load, " \
+        "first_load AS stored FROM (" + " UNION ALL ".join(c.format("first_load") for c in counts) + ")"
 
     # ── backfill plan ──
     q["chunk_plan"] = f"""SELECT {_day('chunk_start')}, {_day('chunk_end')},
@@ -485,6 +489,12 @@ def oracle_sql() -> dict[str, str]:
             count(*) FILTER (WHERE {c} IS NULL) AS null_rows FROM {_FROM[n]}"""
         for n, columns in _NOT_NULL.items() for c in columns
     )
+    q["unkeyed_rows"] = """
+        SELECT 'games' AS tbl, 'TEAM_ID' AS "column",
+               count(*) FILTER (WHERE TEAM_ID IS NULL) AS rows FROM games
+        UNION ALL SELECT 'games', 'GAME_DATE', count(*) FILTER (WHERE day IS NULL) FROM games
+        UNION ALL SELECT 'player_stats', 'PLAYER_ID', count(*) FILTER (WHERE PLAYER_ID IS NULL)
+        FROM player_raw"""
     q["length_violations"] = " UNION ALL ".join(
         f"""SELECT '{n}' AS tbl, '{c}' AS "column",
             count(*) FILTER (WHERE length({c}) > {size}) AS long_rows FROM {_FROM[n]}"""

@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from courtlake.operators import delta
+from courtlake.operators import delta, quality
 from courtlake.plans import star
 from courtlake.schemas import RAW, STAR
 from courtlake.sources import landing
@@ -72,6 +72,28 @@ def test_partly_loaded_game_is_completed(spark, raw, tmp_path):
     assert star.load_star(star.scan_raw(spark, raw), store)["fact_game_team_stats"] == 5
 
 
+def test_rows_without_a_key_are_left_out_and_reported(spark, rows, tmp_path):
+    store = Warehouse(spark, str(tmp_path / "star"))
+    g = [raw_row(RAW["games"], GAME_ID="g", SEASON_ID=s, GAME_DATE=d, TEAM_ID=t, TEAM_NAME="n",
+                 TEAM_ABBREVIATION="A") for s, d, t in
+         [("22019", "2019-11-01", None), ("22019", "oops", 1), ("92019", "2019-11-02", 1)]]
+    raw = {n: spark.createDataFrame(g if n == "games" else [], RAW[n]) for n in RAW}
+    first = star.load_star(raw, store)
+    assert first["dim_team"] == 1 and first["dim_date"] == 2  # season kind 9 has no name
+    for _ in range(2):
+        assert set(star.load_star(raw, store).values()) == {0}
+    assert rows(quality.unkeyed_rows(raw)) == [
+        ("games", "GAME_DATE", 1), ("games", "TEAM_ID", 1), ("player_stats", "PLAYER_ID", 0)]
+
+
+def test_late_season_type_of_a_known_date_is_added(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path / "star"))
+    ddl = "date date, season string, season_type string"
+    pre = spark.createDataFrame([(D(2019, 10, 5), "2019-20", "Pre-Season")], ddl)
+    both = pre.union(spark.createDataFrame([(D(2019, 10, 5), "2019-20", "Regular Season")], ddl))
+    assert [store.append_new("dim_date", df) for df in (pre, both, both)] == [1, 1, 0]
+
+
 def test_new_position_of_a_known_player_is_not_added(spark, tmp_path):
     store = Warehouse(spark, str(tmp_path / "star"))
     ddl = "player_id bigint, name string, position string, height string, weight int"
@@ -91,10 +113,10 @@ def test_unreadable_table_is_an_error_not_a_reload(spark, tmp_path):
         store.append_new("dim_team", spark.createDataFrame([(1, "A", "x", None, None, None)], ddl))
 
 
-def test_anti_join_lets_null_keys_pass(spark, rows):
+def test_anti_join_matches_null_with_null(spark, rows):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
     held = spark.createDataFrame([(2,), (None,)], "k int")
-    assert rows(delta.new_rows(df, held, ["k"])) == [(1, "a"), (None, "c")]
+    assert rows(delta.new_rows(df, held, ["k"])) == [(1, "a")]
     assert rows(delta.new_rows(df, held, ["k"], df.select("k"))) == [(1, "a"), (None, "c")]
     none = df.where("k > 5")
     assert delta.new_rows(none, held, ["k"], none.select("k")).isEmpty()

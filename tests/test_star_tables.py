@@ -53,7 +53,7 @@ def test_dim_date(games, rows):
         (D(2019, 11, 1), "2019-20", "Regular Season"), (D(2019, 11, 1), "2019-20", None),
         (D(2019, 11, 2), "2019-20", "Regular Season"),
         (D(2019, 11, 3), "2019-20", "Regular Season"),
-        (D(2020, 5, 1), "2019-20", "Playoffs"), (None, "2019-20", "Regular Season"),
+        (D(2020, 5, 1), "2019-20", "Playoffs"),
     ], key=repr)
 
 
