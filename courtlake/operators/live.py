@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtlake import fixed_values as V
 from courtlake.functions import display
 from courtlake.functions.league import in_progress
-from courtlake.schemas import LIVE_DATA, LIVE_EVENT, SCOREBOARD
+from courtlake.schemas import LIVE_DATA, LIVE_EVENT, LIVE_STORED, LIVE_TABLE, SCOREBOARD
 
 
 def now() -> Column:
@@ -18,10 +18,10 @@ def now() -> Column:
     return F.current_timestamp().cast("timestamp_ntz")
 
 
-def to_messages(rows: DataFrame) -> DataFrame:
-    """LIVE_DATA rows as messages: JSON text in ``value``, the time beside it."""
+def to_messages(rows: DataFrame, *keep: str) -> DataFrame:
+    """LIVE_DATA rows as messages: JSON text in ``value``, the time and ``keep`` beside it."""
     body = F.to_json(F.struct(*LIVE_EVENT.names)).alias("value")
-    return rows.select(body, F.col("processed_time").alias("timestamp"))
+    return rows.select(body, F.col("processed_time").alias("timestamp"), *keep)
 
 
 # ── Messages to rows (batch and stream alike) ────────────────────────────────────
@@ -76,6 +76,29 @@ def flatten_scoreboard(
     )
 
 
+# ── The stored table ─────────────────────────────────────────────────────────────
+
+
+def write_live(rows: DataFrame, path: str, stream: str, batch_id: int) -> None:
+    """Store LIVE_DATA rows as what ``stream`` wrote in ``batch_id``; a repeat replaces itself.
+
+    Only folders of this stream and batch are replaced, so writers into one table do not meet,
+    and no row leaves no folder. A batch replayed by Spark carries the time of its first run,
+    so it falls into the same days.
+    """
+    placed = rows.select(
+        *LIVE_DATA.names, F.to_date("processed_time").alias("day"),
+        F.lit(stream).alias("stream"), F.lit(batch_id).cast("long").alias("batch_id"),
+    )
+    folders = LIVE_TABLE.partition_by
+    placed.sortWithinPartitions(*folders, *LIVE_TABLE.sort_by).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(path)
+
+
+def read_live(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(LIVE_STORED).parquet(path)
+
+
 # ── Questions about LIVE_DATA ────────────────────────────────────────────────────
 
 STATE = [c for c in LIVE_DATA.names if c not in ("game_id", "processed_time")]
@@ -99,7 +122,8 @@ AsOf = dt.datetime | DataFrame | None
 def since(live: DataFrame, asof: AsOf = None, hours: int = V.LIVE_HOURS) -> DataFrame:
     """Snapshots of the last hours before ``asof``: a time, one row with a time, or now.
 
-    The bound is one value, constant or scalar subquery, so that it reaches the scan.
+    The bound is one value, constant or scalar subquery, so that it reaches the scan; of the
+    stored table only the folders of its days are read.
     """
 
     def floor(end: Column) -> Column:
@@ -109,6 +133,8 @@ def since(live: DataFrame, asof: AsOf = None, hours: int = V.LIVE_HOURS) -> Data
         bound = asof.toDF("asof").select(floor(F.col("asof"))).scalar()
     else:
         bound = floor(now() if asof is None else F.lit(asof))
+    if "day" in live.columns:
+        live = live.where(F.col("day") >= F.to_date(bound))
     return live.where(F.col("processed_time") >= bound)
 
 

@@ -7,6 +7,7 @@ builders and normalisers read the given tables directly.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,9 +21,9 @@ from courtlake.operators.delta import new_rows
 from courtlake.plans import matchup, report
 from courtlake.plans import season as S
 from courtlake.plans.star import build_table, day_delta, lead_keys, load_star
-from courtlake.schemas import LIVE_DATA, STAR
+from courtlake.schemas import LIVE_DATA, MESSAGE, STAR
 from courtlake.sources import landing
-from courtlake.sources.warehouse import Warehouse
+from courtlake.sources.warehouse import Warehouse, list_tables
 from courtlake.streaming import live_stream as streams
 from courtlake.workspace import Workspace
 
@@ -207,7 +208,7 @@ def _sample(table: str) -> Query:
 
 
 def _sample_live(spark: SparkSession, sf: str) -> DataFrame:
-    return report.first_rows(fixtures.live(spark, sf))
+    return report.first_rows(Workspace.of(spark, sf).live().select(LIVE_DATA.names))
 
 
 # ── Live scores ──────────────────────────────────────────────────────────────────
@@ -215,7 +216,7 @@ def _sample_live(spark: SparkSession, sf: str) -> DataFrame:
 
 def _live(question: Callable[..., DataFrame]) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        rows = fixtures.live(spark, sf)
+        rows = Workspace.of(spark, sf).live()
         return question(rows, rows.agg(F.max("processed_time")))
 
     return query
@@ -244,7 +245,7 @@ def _labels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _history(spark: SparkSession, sf: str) -> DataFrame:
-    return live.score_history(fixtures.live(spark, sf), LIVE_GAME)
+    return live.score_history(Workspace.of(spark, sf).live(), LIVE_GAME)
 
 
 def _lookup(spark: SparkSession, sf: str) -> DataFrame:
@@ -256,6 +257,10 @@ def _matchup(spark: SparkSession, sf: str) -> DataFrame:
     return matchup.live_matchup(_playing(spark, sf), Workspace.of(spark, sf).star, SEASON)
 
 
+def _side_by_side(question: Callable[..., DataFrame]) -> Query:
+    return lambda spark, sf: question(_playing(spark, sf), Workspace.of(spark, sf).star, SEASON)
+
+
 def _live_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return matchup.live_head_to_head(_playing(spark, sf), Workspace.of(spark, sf).star, SEASON)
 
@@ -285,7 +290,7 @@ def _board(source: DataFrame, out: str, checkpoint: str) -> streams.StreamingQue
 def _latest(source: DataFrame, out: str, checkpoint: str) -> streams.StreamingQuery:
     rows = live.parse_live_json(source, F.col("timestamp")).where("game_id IS NOT NULL")
     return streams.append_batches(
-        streams.latest_state(rows), out, checkpoint, streams.CATCH_UP, "update", stateful=True
+        streams.latest_state(rows), out, checkpoint, streams.CATCH_UP, "update"
     )
 
 
@@ -293,7 +298,7 @@ def _changed(source: DataFrame, out: str, checkpoint: str) -> streams.StreamingQ
     # The delay spans all messages, so each state of a game is kept once.
     rows = live.parse_live_json(source, F.col("timestamp"))
     kept = streams.changed_only(rows, "3650 days")
-    return streams.append_batches(kept, out, checkpoint, streams.CATCH_UP, stateful=True)
+    return streams.append_batches(kept, out, checkpoint, streams.CATCH_UP)
 
 
 def _stream_append(spark: SparkSession, sf: str) -> DataFrame:
@@ -304,6 +309,43 @@ def _stream_scoreboard(spark: SparkSession, sf: str) -> DataFrame:
     return _stream("board", _board)(spark, sf).select(LIVE_DATA.names)
 
 
+def _two_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Both kinds of stream into one table: messages in two halves, the second by a resumed
+    stream, a resumed stream without news, documents, and messages again by a new stream."""
+    space = Workspace.of(spark, sf)
+    topic, out = space.new_path("topic"), space.new_path("stream")
+    first, again, board = (space.new_path("checkpoint") for _ in range(3))
+    messages = spark.read.schema(MESSAGE).parquet(space.messages_path("live"))
+    for half in (0, 1):
+        part = messages.where(F.pmod(F.hash("value", "timestamp"), F.lit(2)) == half)
+        part.write.mode("append").parquet(topic)
+        source = streams.file_messages(spark, topic, files_per_batch=1)
+        _append(source, out, first).awaitTermination()
+    _append(streams.file_messages(spark, topic), out, first).awaitTermination()
+    documents = streams.file_messages(spark, space.messages_path("board"), FILES_PER_BATCH)
+    _board(documents, out, board).awaitTermination()
+    _append(streams.file_messages(spark, topic), out, again).awaitTermination()
+    return streams.read_batches(spark, out).select(LIVE_DATA.names)
+
+
+def _catalog_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of every table as declared in the catalog, live rows of two appends included."""
+    space = Workspace.of(spark, sf)
+    database = f"courtlake_{uuid.uuid4().hex}"
+    store = space.warehouse()
+    rows = fixtures.live(spark, sf)
+    early = F.col("quarter") <= 2
+    if not store.exists("live_data"):
+        store.append("live_data", rows.where(early))
+        store.append("live_data", rows.where(~F.coalesce(early, F.lit(False))))
+    store.create_tables(database)
+    names = [r.tableName for r in list_tables(spark, database=database).collect()]
+    return normalize.union_box_scores(*[
+        store.query(f"SELECT '{n}' AS tbl, count(*) AS row_count FROM `{database}`.`{n}`")
+        for n in names
+    ])
+
+
 def _stream_latest(spark: SparkSession, sf: str) -> DataFrame:
     return streams.latest_written(_stream("live", _latest)(spark, sf))
 
@@ -354,6 +396,7 @@ QUERIES: dict[str, Query] = {
     "teams": _star(S.teams),
     "seasons": _star(S.seasons),
     "table_counts": _star(report.table_counts),
+    "catalog_counts": _catalog_counts,
     "season_type_counts": _star(report.season_type_counts),
     "home_away_counts": _star(report.home_away_counts, TEAM),
     "team_by_name": _star(S.team_by_name, "Supplier#000000003"),
@@ -376,9 +419,13 @@ QUERIES: dict[str, Query] = {
     "score_history": _history,
     "live_team_lookup": _lookup,
     "live_matchup": _matchup,
+    "live_trend": _side_by_side(matchup.live_trend),
+    "live_season_averages": _side_by_side(matchup.live_season_averages),
+    "live_roster": _side_by_side(matchup.live_roster),
     "live_head_to_head": _live_pairs,
     "stream_append": _stream_append,
     "stream_scoreboard": _stream_scoreboard,
+    "stream_two_sources": _two_sources,
     "stream_latest_state": _stream_latest,
     "stream_changed_only": _stream_changed,
 }

@@ -35,6 +35,37 @@ def live_matchup(live_games: DataFrame, star: S.Star, season: str) -> DataFrame:
     )
 
 
+def _playing(live_games: DataFrame, star: S.Star) -> DataFrame:
+    """(team_id) of the teams in live games, each once."""
+    sides = team_lookup(game_sides(live_games), star["dim_team"])
+    return sides.where("team_id IS NOT NULL").select("team_id").distinct()
+
+
+def live_trend(live_games: DataFrame, star: S.Star, season: str) -> DataFrame:
+    """Points by date of every team in a live game: a team's rows once, however many it plays."""
+    own = star["fact_game_team_stats"].select("game_id", "team_id", "pts").join(
+        _playing(live_games, star), "team_id", "left_semi"
+    )
+    return own.join(S.season_games(star, season), "game_id").select(
+        "team_id", "date", "game_id", "pts"
+    )
+
+
+def live_season_averages(live_games: DataFrame, star: S.Star, season: str) -> DataFrame:
+    """Each side of each live game with its team's season averages."""
+    sides = team_lookup(game_sides(live_games), star["dim_team"])
+    means = S.season_averages_all(star, season).drop("season")
+    return sides.select("game_id", "side", "team_id").join(means, "team_id", "left").select(
+        "game_id", "side", "team_id", *S.LOG_STATS
+    )
+
+
+def live_roster(live_games: DataFrame, star: S.Star, season: str) -> DataFrame:
+    """The season's roster, with game score, of every team in a live game."""
+    rosters = S.roster_all(star, season).drop("season")
+    return rosters.join(_playing(live_games, star), "team_id", "left_semi")
+
+
 def live_head_to_head(
     live_games: DataFrame, star: S.Star, season: str, rows: int = V.HEAD_TO_HEAD_GAMES
 ) -> DataFrame:

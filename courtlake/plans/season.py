@@ -174,10 +174,10 @@ def season_averages(star: Star, team_id: int, season: str) -> DataFrame:
     return _team_games(star, team_id, season).agg(*means)
 
 
-def season_averages_all(star: Star) -> DataFrame:
-    """Season averages of every team in every regular season."""
+def season_averages_all(star: Star, season: str | None = None) -> DataFrame:
+    """Season averages of every team in every regular season, or in one."""
     joined = star["fact_game_team_stats"].select("game_id", "team_id", *LOG_STATS).join(
-        season_games(star), "game_id"
+        season_games(star, season), "game_id"
     )
     return joined.groupBy("team_id", "season").agg(*[F.avg(c).alias(c) for c in LOG_STATS])
 
@@ -262,9 +262,9 @@ def roster_game_score(star: Star, team_id: int, season: str) -> DataFrame:
     return ranked.select(*ROSTER_COLUMNS, "game_score")
 
 
-def roster_all(star: Star) -> DataFrame:
-    """Roster means and game score of every team in every regular season."""
-    games = season_games(star).select("game_id", "season")
+def roster_all(star: Star, season: str | None = None) -> DataFrame:
+    """Roster means and game score of every team in every regular season, or in one."""
+    games = season_games(star, season).select("game_id", "season")
     roster = _roster(star, star["fact_game_player_stats"], games, ["team_id", "season"])
     return roster.select("team_id", "season", "player_id", *ROSTER_COLUMNS, "game_score")
 

@@ -62,6 +62,10 @@ LIVE_EVENT = struct(
     "quarter integer, clock string, game_status string"
 )
 LIVE_DATA = T.StructType(LIVE_EVENT.fields + struct("processed_time timestamp_ntz").fields)
+# As stored: a folder per day, then one per stream and micro-batch, which that batch alone owns.
+LIVE_STORED = T.StructType(
+    LIVE_DATA.fields + struct("day date, stream string, batch_id long").fields
+)
 MESSAGE = struct("value string, timestamp timestamp_ntz")
 
 # Counted statistics are BIGINT: the warehouse's INTEGER has no 32-bit limit.
@@ -84,6 +88,7 @@ class Table:
     match_on: tuple[str, ...]
     unique_on: tuple[str, ...] = ()
     sort_by: tuple[str, ...] = ()
+    partition_by: tuple[str, ...] = ()
     not_null: tuple[str, ...] = ()
     max_length: dict[str, int] = field(default_factory=dict)
     references: dict[str, tuple[str, str]] = field(default_factory=dict)
@@ -158,6 +163,7 @@ STAR: dict[str, Table] = {
     ),
 }
 LIVE_TABLE = Table(
-    LIVE_DATA, key=(), match_on=(), sort_by=("game_id", "processed_time"),
+    LIVE_STORED, key=(), match_on=(), sort_by=("game_id", "processed_time"),
+    partition_by=("day", "stream", "batch_id"),
     max_length={"game_id": 20, "h_team": 5, "a_team": 5, "clock": 10, "game_status": 50},
 )

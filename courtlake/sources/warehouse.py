@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import posixpath
+import uuid
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from courtlake.operators.delta import new_rows, one_row_per_key
+from courtlake.operators.live import write_live
 from courtlake.schemas import LIVE_TABLE, STAR, Table
 
 TABLES: dict[str, Table] = {**STAR, "live_data": LIVE_TABLE}
@@ -40,18 +42,24 @@ class Warehouse:
         return True
 
     def create_tables(self, database: str | None = None) -> None:
-        """Declare every table in the catalog, if absent, over its folder."""
+        """Declare every table in the catalog, if absent, over its folder.
+
+        Called again, it also makes folders known that streams have written since.
+        """
         prefix = f"`{database}`." if database else ""
         if database:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.root}'")
         for name, table in TABLES.items():
             columns = ", ".join(
                 f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema
             )
+            folders = f"PARTITIONED BY ({', '.join(table.partition_by)})" if table.partition_by else ""
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {prefix}`{name}` ({columns}) "
-                f"USING parquet LOCATION '{self.path(name)}'"
+                f"USING parquet {folders} LOCATION '{self.path(name)}'"
             )
+            if folders and self.exists(name):
+                self.spark.catalog.recoverPartitions(f"{prefix}`{name}`")
 
     def read(self, table: str) -> DataFrame:
         return self.spark.read.schema(TABLES[table].schema).parquet(self.path(table))
@@ -59,11 +67,16 @@ class Warehouse:
     def append(self, table: str, df: DataFrame) -> int:
         """Append rows, columns matched by name; returns the number written.
 
-        The count is observed during the write, so the plan runs once.
+        The count is observed during the write, so the plan runs once. Live rows go where the
+        streams write theirs, under a stream name of this append alone.
         """
         spec = TABLES[table]
         seen = Observation()
-        rows = df.select(spec.schema.names).observe(seen, F.count(F.lit(1)).alias("rows"))
+        names = [c for c in spec.schema.names if c not in spec.partition_by]
+        rows = df.select(names).observe(seen, F.count(F.lit(1)).alias("rows"))
+        if spec is LIVE_TABLE:
+            write_live(rows, self.path(table), f"append-{uuid.uuid4().hex}", 0)
+            return seen.get["rows"]
         if spec.sort_by:
             rows = rows.sortWithinPartitions(*spec.sort_by)
         rows.write.mode("append").parquet(self.path(table))
@@ -93,5 +106,8 @@ def lower_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
 
-def list_tables(spark: SparkSession, pattern: str = "*") -> DataFrame:
-    return spark.sql("SHOW TABLES LIKE :pattern", args={"pattern": pattern})
+def list_tables(
+    spark: SparkSession, pattern: str = "*", database: str | None = None
+) -> DataFrame:
+    where = f"IN `{database}` " if database else ""
+    return spark.sql(f"SHOW TABLES {where}LIKE :pattern", args={"pattern": pattern})

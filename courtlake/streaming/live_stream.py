@@ -6,20 +6,21 @@ message body in ``value``. Every query has a checkpoint folder of its own.
 
 from __future__ import annotations
 
-import posixpath
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from courtlake import fixed_values as V
-from courtlake.operators.live import STATE, flatten_scoreboard, latest_per_game, parse_live_json
-from courtlake.schemas import LIVE_DATA, MESSAGE
+from courtlake.operators.live import (
+    STATE, flatten_scoreboard, latest_per_game, parse_live_json, read_live, write_live,
+)
+from courtlake.schemas import MESSAGE
 
 EVERY = {"processingTime": f"{V.TRIGGER_SECONDS} seconds"}
 CATCH_UP = {"availableNow": True}
+FILES_PER_DAY_AND_BATCH = 4
 
 
 # ── Sources ──────────────────────────────────────────────────────────────────────
@@ -55,24 +56,23 @@ def append_batches(
     checkpoint: str,
     trigger: dict[str, Any] | None = None,
     mode: str = "append",
-    stateful: bool = False,
+    files: int = FILES_PER_DAY_AND_BATCH,
 ) -> StreamingQuery:
-    """Write each micro-batch to ``<path>/stream=<id>/batch_id=<n>``.
+    """Write each micro-batch to ``<path>/day=<d>/stream=<id>/batch_id=<n>``: LIVE_DATA's layout.
 
     The id is that of the query, which Spark keeps with its checkpoint: a second stream, or one
     with a new checkpoint, counts its batches from 0 again but in a folder of its own. After a
     failure Spark repeats the last batch under the same number; it then replaces its own
-    folder, so nothing is doubled. Empty batches write nothing; a ``stateful`` batch is
-    not probed for that, because the probe would run its state update a second time.
+    folders, so nothing is doubled. A batch runs once and leaves at most ``files`` files for
+    each day, however many tasks made its rows; without rows it leaves none. Raise ``files``
+    for a feed whose batches are more than that many tasks can write.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if stateful or not batch.isEmpty():
-            owner = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-            if not owner:
-                raise RuntimeError("a batch without the id of its stream")
-            folder = posixpath.join(path, f"stream={owner}", f"batch_id={batch_id}")
-            batch.write.mode("overwrite").parquet(folder)
+        owner = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not owner:
+            raise RuntimeError("a batch without the id of its stream")
+        write_live(batch.repartition(files), path, owner, batch_id)
 
     return (
         df.writeStream.foreachBatch(write)
@@ -85,8 +85,7 @@ def append_batches(
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
     """What the live streams of a table have written so far, with ``batch_id``."""
-    schema = T.StructType([*LIVE_DATA.fields]).add("stream", "string").add("batch_id", "long")
-    return spark.read.schema(schema).parquet(path).drop("stream")
+    return read_live(spark, path).drop("day", "stream")
 
 
 # ── Streams ──────────────────────────────────────────────────────────────────────

@@ -128,6 +128,19 @@ class Workspace:
             self._once(self._RAW_FROM, f"star/{name}", write)
         return store
 
+    def live(self) -> DataFrame:
+        """The stored LIVE_DATA table."""
+        return self._live_store().read("live_data")
+
+    def _live_store(self) -> Warehouse:
+        store = Warehouse(self.spark, posixpath.join(self._root_for("events"), "published"))
+
+        def write(_: str) -> None:
+            store.append("live_data", fixtures.live(self.spark, self.sf_dir))
+
+        self._once(("events",), "published", write)
+        return store
+
     @property
     def star(self) -> Mapping[str, DataFrame]:
         return _LazyStar(self)

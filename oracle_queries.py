@@ -207,16 +207,16 @@ CTES = {
                 row_number() OVER (PARTITION BY upper(abbreviation) ORDER BY name, team_id) AS rn
             FROM dim_team) WHERE rn = 1) t ON upper(c.code) = t.key""",
     "parsed": """
-        SELECT CASE WHEN game_status = 'Final' THEN NULL ELSE game_id END AS game_id,
-               CASE WHEN game_status = 'Final' THEN NULL ELSE h_team END AS h_team,
-               CASE WHEN game_status = 'Final' THEN NULL ELSE a_team END AS a_team,
-               CASE WHEN game_status = 'Final' THEN NULL ELSE h_points END AS h_points,
-               CASE WHEN game_status = 'Final' THEN NULL ELSE a_points END AS a_points,
-               CASE WHEN game_status = 'Final' THEN NULL ELSE quarter END AS quarter,
-               CASE WHEN game_status = 'Final' THEN NULL ELSE clock END AS clock,
-               CASE WHEN game_status = 'Final' THEN NULL ELSE game_status END AS game_status,
+        SELECT CASE WHEN event_id % 5 = 0 THEN NULL ELSE game_id END AS game_id,
+               CASE WHEN event_id % 5 = 0 THEN NULL ELSE h_team END AS h_team,
+               CASE WHEN event_id % 5 = 0 THEN NULL ELSE a_team END AS a_team,
+               CASE WHEN event_id % 5 = 0 THEN NULL ELSE h_points END AS h_points,
+               CASE WHEN event_id % 5 = 0 THEN NULL ELSE a_points END AS a_points,
+               CASE WHEN event_id % 5 = 0 THEN NULL ELSE quarter END AS quarter,
+               CASE WHEN event_id % 5 = 0 THEN NULL ELSE clock END AS clock,
+               CASE WHEN event_id % 5 = 0 THEN NULL ELSE game_status END AS game_status,
                processed_time
-        FROM live""",
+        FROM live0""",
     "board": """
         SELECT game_id, h_team, a_team, CASE WHEN h_points > 0 THEN h_points END AS h_points,
                a_points, CASE WHEN quarter > 1 THEN quarter END AS quarter,
@@ -453,6 +453,8 @@ def oracle_sql() -> dict[str, str]:
     q["table_counts"] = " UNION ALL ".join(
         f"SELECT '{n}' AS tbl, count(*) AS row_count FROM {_FROM[n]}" for n in _KEYS
     )
+    q["catalog_counts"] = q["table_counts"] + \
+        " UNION ALL SELECT 'live_data', count(*) FROM live"
     q["season_type_counts"] = """SELECT season_type, count(*) AS dates FROM dim_date
         GROUP BY season_type"""
     q["home_away_counts"] = f"""SELECT CAST(count_if(home_team_id = {TEAM}) AS BIGINT) AS home_games,
@@ -524,6 +526,13 @@ def oracle_sql() -> dict[str, str]:
         LEFT JOIN (SELECT * FROM records WHERE season = '{SEASON}') r ON l.team_id = r.team_id
         LEFT JOIN (SELECT team_id, avg(fg_pct) AS avg_fg_pct FROM team_log
                    WHERE season = '{SEASON}' GROUP BY team_id) f ON l.team_id = f.team_id"""
+    live_teams = f"season = '{SEASON}' AND team_id IN (SELECT team_id FROM lookup)"
+    q["live_trend"] = f"SELECT team_id, {_day('date')}, game_id, pts FROM team_log WHERE {live_teams}"
+    q["live_season_averages"] = f"""SELECT l.game_id, l.side, l.team_id, {_r(_LOG)} FROM lookup l
+        LEFT JOIN (SELECT team_id, {', '.join(f'avg({c}) AS {c}' for c in _LOG)} FROM team_log
+                   WHERE season = '{SEASON}' GROUP BY team_id) a ON l.team_id = a.team_id"""
+    q["live_roster"] = f"""SELECT team_id, player_id, {_ROSTER}, game_score FROM rosters
+        WHERE {live_teams}"""
     q["live_head_to_head"] = f"""SELECT live_game_id, CAST(rank AS INTEGER) AS rank, game_id,
         {_day('date')}, home_team, away_team, home_score, away_score FROM (
         SELECT p.game_id AS live_game_id, g.game_id, g.date, hn.abbreviation AS home_team,
@@ -540,6 +549,8 @@ def oracle_sql() -> dict[str, str]:
     # ── streams ──
     q["stream_append"] = f"SELECT {_LIVE} FROM parsed"
     q["stream_scoreboard"] = f"SELECT {_LIVE} FROM board_defaults"
+    q["stream_two_sources"] = f"""SELECT {_LIVE} FROM (SELECT * FROM parsed UNION ALL
+        SELECT * FROM parsed UNION ALL SELECT * FROM board_defaults)"""
     whole = CTES["latest"].replace("FROM recent", "FROM parsed WHERE game_id IS NOT NULL")
     q["stream_latest_state"] = f"SELECT {_LIVE} FROM ({whole})"
     q["stream_changed_only"] = """SELECT DISTINCT game_id, h_team, a_team, h_points, a_points,

@@ -8,7 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from courtlake.operators import live as L
-from courtlake.schemas import MESSAGE
+from courtlake.schemas import LIVE_STORED, MESSAGE, STAR
+from courtlake.sources.warehouse import Warehouse
 from courtlake.streaming import live_stream as S
 
 T0 = dt.datetime(2024, 1, 1, 12)
@@ -58,6 +59,33 @@ def test_a_second_stream_keeps_the_rows_of_the_first(spark, topic, rows):
     assert rows(both, "game_id", "batch_id") == [("a", 0), ("a", 0), ("b", 1)]
 
 
+def test_append_beside_a_stream_keeps_both(spark, topic, rows, plan):
+    store = Warehouse(spark, topic.root)
+    topic.out = store.path("live_data")
+    topic.send(event("a", 1), event("b", 2))
+    topic.run(topic.parsed())
+    more = L.parse_live_json(spark.createDataFrame([(event("c", 3), T0)], MESSAGE), F.col("timestamp"))
+    assert store.append("live_data", more) == 1 and store.append("live_data", more) == 1
+    both = store.read("live_data")
+    assert both.columns == LIVE_STORED.names
+    assert rows(both, "game_id", "day") == [(g, T0.date()) for g in "abcc"]
+    try:
+        store.create_tables()
+        assert rows(spark.table("live_data"), "game_id") == [("a",), ("b",), ("c",), ("c",)]
+    finally:
+        for t in (*STAR, "live_data"):
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
+    recent = L.since(both, T0 + dt.timedelta(days=2))
+    assert "day" in plan(recent).split("PartitionFilters: [")[1].split("]")[0]
+    assert recent.isEmpty()
+
+
+def test_files_of_a_batch_are_bounded(spark, topic):
+    topic.send(*[event(f"g{i}", i) for i in range(100)])
+    topic.run(topic.parsed().repartition(40))
+    assert 1 <= len(glob.glob(f"{topic.out}/*/*/*/*.parquet")) <= S.FILES_PER_DAY_AND_BATCH
+
+
 def test_append_equals_batch_and_restart_adds_nothing(spark, topic, rows):
     topic.send(event("a", 1), event("b", 2))
     topic.send(event("a", 3), "{oops")
@@ -103,14 +131,14 @@ def test_scoreboard_stream(spark, topic, rows):
     assert rows(got, "game_id", "h_points", "a_points", "game_status", "batch_id") == [
         ("g", 0, 4, "2", 0), ("h", 0, 4, "2", 0),
     ]
-    assert not glob.glob(f"{topic.out}/*/batch_id=1")
+    assert not glob.glob(f"{topic.out}/*/*/batch_id=1")
 
 
 def test_latest_state_over_batches(topic, rows):
     topic.send(event("a", 1), event("b", 1), minute=0)
     topic.send(event("a", 2), minute=1)
     topic.send(event("b", 7), minute=-5)  # late: does not replace
-    out = topic.run(S.latest_state(topic.parsed()), mode="update", stateful=True)
+    out = topic.run(S.latest_state(topic.parsed()), mode="update")
     assert rows(S.latest_written(out), "game_id", "h_points") == [("a", 2), ("b", 1)]
 
 
@@ -120,7 +148,7 @@ def test_changed_only(topic, rows):
     topic.send(event("a", 1), minute=60 * 24)
     topic.send(event("a", 1), minute=60 * 24 + 1)
     topic.send(event("a", 1), minute=60 * 24 + 2)
-    out = topic.run(S.changed_only(topic.parsed()), stateful=True)
+    out = topic.run(S.changed_only(topic.parsed()))
     # A state that comes back after the watermark has dropped it is a change again.
     assert rows(out, "game_id", "h_points") == [("a", 1), ("a", 1), ("a", 2), ("b", 1)]
     assert out.where("game_id = 'a' AND h_points = 1").agg(F.max("batch_id")).first()[0] >= 3
