@@ -339,7 +339,8 @@ def _catalog_counts(spark: SparkSession, sf: str) -> DataFrame:
         store.append("live_data", rows.where(early))
         store.append("live_data", rows.where(~F.coalesce(early, F.lit(False))))
     store.create_tables(database)
-    names = [r.tableName for r in list_tables(spark, database=database).collect()]
+    declared = list_tables(spark, database=database).where("NOT isTemporary")
+    names = [r.tableName for r in declared.collect()]
     return normalize.union_box_scores(*[
         store.query(f"SELECT '{n}' AS tbl, count(*) AS row_count FROM `{database}`.`{n}`")
         for n in names
