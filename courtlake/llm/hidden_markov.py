@@ -1,18 +1,23 @@
 """A hidden Markov language model over words, and the exact likelihood of every text under it.
 
 Tokens are runs of characters other than ASCII white space, A-Z in lower case, and one end per
-text. Training has two steps. A start is fitted on a bounded sample (``SAMPLE`` documents of at
-most ``SAMPLE_BYTES``, whole, those with the least hash of their id): documents are clustered by
-their frequent words, a state per cluster, and some rounds of Baum-Welch follow. Then one round
-covers every training text: each task runs the forward-backward recursion over its texts and
-emits expected counts per word, transition and first state, which are summed over all tasks. So
-vocabulary, counts and probabilities come from the whole corpus and grow with it.
+text. Baum-Welch runs over every training text, ``CORPUS_ROUNDS`` times: each task runs the
+forward-backward recursion over its texts and emits expected counts per word, transition and
+first state, which are summed over all tasks and give the next round's probabilities. So
+vocabulary, counts, states and probabilities come from the whole corpus and grow with it.
+
+Only the first round's probabilities, the start, are seeded by a bounded sample: the ``SAMPLE``
+documents with the least hash of their id, of whatever length; of a text over ``SAMPLE_BYTES``
+about that many bytes, from a place that the hash gives. They are clustered by their frequent
+words, a state per cluster, and some rounds of Baum-Welch follow. Words that the sample lacks
+share one probability per state in the first round, and have their own from the second on.
 
 Texts are read once into blocks: one row of encoded texts, and one row for each distinct word of
-a block. Counts are joined with these rows and not with the words of every text, go back to
-their blocks, and the scaled forward recursion gives each text's exact probability. A frequent
-word makes a row per block, partly summed before the shuffle; no text or vocabulary is ever in
-one place. Expected counts travel as whole numbers of 1/``UNIT``, so sums do not depend on order.
+a block. Counts are joined with these rows and not with the words of every text, and go back to
+their blocks for the next round; at the end the scaled forward recursion gives each text's exact
+probability. A frequent word makes a row per block, partly summed before the shuffle; no text or
+vocabulary is ever in one place. Expected counts travel as whole numbers of 1/``UNIT``, so sums
+do not depend on order.
 
 The smoothed word frequencies (the base) leave a share for the unknown word, and every state
 gives it the same. The rest of a state's distribution is, over the known words, ``1 - BLEND`` of
@@ -26,6 +31,7 @@ formula, and the model equals it.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +46,8 @@ from courtlake.llm.common import (
 STATES = 6
 SAMPLE, SAMPLE_BYTES, SAMPLE_WORDS = 3_000, 16_384, 50_000
 STARTS, ROUNDS, BLEND, UNIT = 5, 8, 0.05, 1024
+#: Rounds of Baum-Welch over all training texts; ROUNDS is on the sample.
+CORPUS_ROUNDS = 3
 SLICE_BYTES, BLOCK_BYTES = 2 << 20, 16 << 20
 #: Tokens whose state probabilities are in memory at once; a longer text is alone.
 GROUP_TOKENS = 1 << 18
@@ -162,10 +170,14 @@ def _clusters(tf: np.ndarray, states: int, seed: int) -> np.ndarray:
 
 
 def fit_start(docs: DataFrame, states: int = STATES) -> Start:
-    """The start model; the driver holds at most SAMPLE texts of SAMPLE_BYTES each."""
-    able = docs.where("not held_out").where(
-        F.coalesce(F.octet_length("text"), F.lit(0)).between(1, SAMPLE_BYTES))
-    sample = hashed_sample(able, F.xxhash64("doc_id"), SAMPLE, "doc_id", "text").select("text").collect()
+    """The start model; the driver holds at most SAMPLE texts of about SAMPLE_BYTES each."""
+    able = docs.where("not held_out").where(F.octet_length("text") > 0)
+    chosen = hashed_sample(able, F.xxhash64("doc_id"), SAMPLE, "doc_id", "text")
+    chars = F.char_length("text")
+    piece = F.floor(chars * F.lit(SAMPLE_BYTES) / F.octet_length("text")).cast("int")
+    begin = (F.pmod(F.xxhash64("doc_id", F.lit(1)), chars - piece + 1) + 1).cast("int")
+    sample = chosen.select(F.when(F.octet_length("text") <= SAMPLE_BYTES, F.col("text")).otherwise(
+        F.substring("text", begin, piece)).alias("text")).collect()
     words, codes, lengths = _encoded([r.text for r in sample])
     count = np.bincount(codes, minlength=len(words))
     order = np.argsort(-count, kind="stable")
@@ -217,6 +229,27 @@ def _unpack_codes(data: bytes, size: int) -> np.ndarray:
         np.frombuffer(raw, np.uint8).reshape(4, size).T).view("<u4").ravel().astype(np.int64)
 
 
+def _expected(
+    codes: np.ndarray, lengths: np.ndarray, held: np.ndarray, emit: np.ndarray,
+    first: np.ndarray, move: np.ndarray,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(occurrences, expected counts of all states but the last) of a block's words in its
+    training texts, transitions, first states."""
+    train, states = codes[np.repeat(~held, lengths)], len(first)
+    seen = np.bincount(train, minlength=len(emit))
+    gamma = np.zeros((states - 1, len(emit)))
+    moves, firsts = np.zeros((states, states)), np.zeros(states)
+    first, move = first.astype(np.float32), move.astype(np.float32)
+    for texts, part in _groups(train, lengths[~held]):
+        line = Timeline(part, lengths[~held][texts])
+        alpha, own_moves, own_firsts, _ = line.expect(emit, first, move)
+        moves += own_moves
+        firsts += own_firsts
+        for k in range(states - 1):
+            gamma[k] += np.bincount(line.codes, weights=alpha[:, k], minlength=len(emit))
+    return seen, gamma, moves, firsts
+
+
 class _Block:
     """Texts of one task up to about BLOCK_BYTES, with one numbering of their words."""
 
@@ -243,20 +276,8 @@ class _Block:
         rank = np.empty(len(words), np.int32)
         rank[order] = np.arange(len(words), dtype=np.int32)
         codes, words = rank[codes], [words[i] for i in order]
-        states = len(start.first)
-        train = codes[np.repeat(~held, lengths)]
-        seen = np.bincount(train, minlength=len(words))
         emit = start.rows(words).astype(np.float32)
-        gamma = np.zeros((states - 1, len(words)))
-        moves, firsts = np.zeros((states, states)), np.zeros(states)
-        for texts, part in _groups(train, lengths[~held]):
-            line = Timeline(part, lengths[~held][texts])
-            alpha, own_moves, own_firsts, _ = line.expect(
-                emit, start.first.astype(np.float32), start.move.astype(np.float32))
-            moves += own_moves
-            firsts += own_firsts
-            for k in range(states - 1):
-                gamma[k] += np.bincount(line.codes, weights=alpha[:, k], minlength=len(words))
+        seen, gamma, moves, firsts = _expected(codes, lengths, held, emit, start.first, start.move)
         payload = pa.array([_pack_codes(codes)], pa.large_binary()).cast(pa.binary())
         sums = np.concatenate([moves.ravel(), firsts])
         yield _row_batch({
@@ -309,7 +330,89 @@ def _blocks(docs: DataFrame, start: Start) -> DataFrame:
     return docs.mapInArrow(run, _WORD_SCHEMA)
 
 
-def score(documents: DataFrame, states: int = STATES, held_out_fold: int = 1) -> DataFrame:
+@dataclass
+class _Model:
+    """What a round over all training texts found, but for the counts of words."""
+
+    tokens: int
+    distinct: int
+    mass: np.ndarray
+    first: np.ndarray
+    move: np.ndarray
+
+    @staticmethod
+    def of(tokens: int, distinct: int, shares: list, sums: np.ndarray) -> _Model:
+        mass = np.array([float(x or 0) / UNIT for x in shares])
+        mass = np.append(mass, max(tokens - mass.sum(), 0.0))
+        states = len(mass)
+        move = sums[: states * states].reshape(states, states) + 0.1
+        first = sums[states * states :] + 0.1
+        return _Model(tokens, distinct, mass, first / first.sum(), move / move.sum(axis=1, keepdims=True))
+
+    def emissions(self, words: pa.Table, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(occurrences, base, probability in every state) of a block's words."""
+        states = len(self.mass)
+        below = self.tokens + 0.5 * (self.distinct + 1)
+        seen, gamma = np.zeros(size), np.zeros((size, states))
+        place = words.column("place").to_numpy()
+        seen[place] = words.column("seen").to_numpy()
+        for k in range(states - 1):
+            gamma[place, k] = words.column(f"g{k}").to_numpy() / UNIT
+        gamma[:, -1] = np.maximum(seen - gamma[:, :-1].sum(axis=1), 0)
+        base = (seen + 0.5) / below
+        unknown = 0.5 / below
+        known = base / max(1 - unknown, unknown)
+        emit = np.where(
+            self.mass > 0,
+            (1 - BLEND) * gamma / np.where(self.mass > 0, self.mass, 1) + BLEND * known[:, None],
+            known[:, None]) * (1 - unknown)
+        emit[seen == 0] = unknown
+        return seen, base, emit
+
+
+def _block_codes(block: pa.Table, at: int) -> tuple[np.ndarray, np.ndarray]:
+    lengths = np.array(block.column("lengths")[at].as_py(), np.int64)
+    return _unpack_codes(block.column("codes")[at].as_py(), int(lengths.sum())).astype(np.int32), lengths
+
+
+def _next_round(places: DataFrame, counts: DataFrame, blocks: DataFrame, model: _Model, shares: list[str]) -> DataFrame:
+    """(id, shares): expected counts of all training texts under the model, in 1/UNIT.
+
+    Transitions and first states are in the first share of the ids -1, -2, ...
+    """
+    def run(words: pa.Table, block: pa.Table) -> pa.Table:
+        found = [_no_counts(shares)]
+        for at in range(block.num_rows):
+            codes, lengths = _block_codes(block, at)
+            held = np.array(block.column("held")[at].as_py(), bool)
+            _, _, emit = model.emissions(words, int(codes.max()) + 1)
+            seen, gamma, moves, firsts = _expected(
+                codes, lengths, held, emit.astype(np.float32), model.first, model.move)
+            place = words.column("place").to_numpy()
+            own = np.flatnonzero(seen[place] > 0)
+            sums = np.concatenate([moves.ravel(), firsts])
+            ids = np.concatenate([words.column("id").to_numpy()[own], -1 - np.arange(len(sums))])
+            columns = {"id": pa.array(ids)}
+            for k, g in enumerate(shares):
+                extra = sums if k == 0 else np.zeros(len(sums))
+                columns[g] = pa.array(np.rint(
+                    np.concatenate([gamma[k][place[own]], extra]) * UNIT).astype(np.int64))
+            found.append(pa.table(columns))
+        return pa.concat_tables(found)
+
+    known = places.join(counts, "id").select("block", "place", "id", "seen", *shares)
+    return known.groupBy("block").cogroup(blocks.groupBy("of")).applyInArrow(
+        run, ", ".join(f"{c} long" for c in ("id", *shares))
+    ).groupBy("id").agg(*[F.sum(g).alias(g) for g in shares])
+
+
+def _no_counts(shares: list[str]) -> pa.Table:
+    return pa.schema([(c, pa.int64()) for c in ("id", *shares)]).empty_table()
+
+
+def score(
+    documents: DataFrame, states: int = STATES, held_out_fold: int = 1, rounds: int = CORPUS_ROUNDS,
+) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row."""
     docs = pick(documents, "doc_id", "text")
     held = F.coalesce(fold_of(F.col("doc_id")) == held_out_fold, F.lit(False))
@@ -320,46 +423,40 @@ def score(documents: DataFrame, states: int = STATES, held_out_fold: int = 1) ->
     shares = [f"g{k}" for k in range(states - 1)]
     vocabulary = stored(words.where("seen > 0").groupBy("word").agg(
         F.sum("seen").alias("seen"),
-        *[F.sum(F.get("share", F.lit(k))).alias(g) for k, g in enumerate(shares)]), "hmm-words")
+        *[F.sum(F.get("share", F.lit(k))).alias(g) for k, g in enumerate(shares)]
+    ).withColumn("id", F.monotonically_increasing_id()), "hmm-words")
     totals = vocabulary.agg(F.sum("seen"), F.count(F.lit(1)), *[F.sum(g) for g in shares]).first()
     tokens, distinct = int(totals[0] or 0), int(totals[1])
-    mass = np.array([float(x or 0) / UNIT for x in totals[2:]])
-    mass = np.append(mass, max(tokens - mass.sum(), 0.0))
     blocks = table.where("codes is not null").select(
         F.col("block").alias("of"), "codes", "ids", "held", "lengths")
     size = states * states + states
     sums = table.where("sums is not null").agg(
         *[F.sum(F.get("sums", F.lit(i))) for i in range(size)]).first()
-    sums = np.array([float(x or 0) for x in sums])
-    move = sums[: states * states].reshape(states, states) + 0.1
-    first = sums[states * states :] + 0.1
-    move, first = move / move.sum(axis=1, keepdims=True), first / first.sum()
-    below = tokens + 0.5 * (distinct + 1)
+    model = _Model.of(tokens, distinct, totals[2:], np.array([float(x or 0) for x in sums]))
+
+    # The words of a block by number: later rounds neither move nor compare strings.
+    places = stored(words.select("word", "block", "place").join(
+        vocabulary.select("word", "id", "seen"), "word").select("block", "place", "id", "seen"), "hmm-places")
+    counts = vocabulary.select("id", *shares)
+    for _ in range(rounds - 1 if states > 1 and tokens else 0):
+        found = stored(_next_round(places, counts, blocks, model, shares), "hmm-counts")
+        sums = np.zeros(size)
+        for row in found.where("id < 0").collect():
+            sums[-1 - row.id] = row[shares[0]] / UNIT
+        counts = found.where("id >= 0")
+        masses = counts.agg(*[F.sum(g) for g in shares]).first()
+        model = _Model.of(tokens, distinct, masses, sums)
 
     def judge(words: pa.Table, block: pa.Table) -> pa.Table:
         found = []
         for at in range(block.num_rows):
-            lengths = np.array(block.column("lengths")[at].as_py(), np.int64)
-            codes = _unpack_codes(block.column("codes")[at].as_py(), int(lengths.sum())).astype(np.int32)
-            seen = np.zeros(int(codes.max()) + 1)
-            gamma = np.zeros((len(seen), states))
-            place = words.column("place").to_numpy()
-            seen[place] = words.column("seen").to_numpy()
-            for k, g in enumerate(shares):
-                gamma[place, k] = words.column(g).to_numpy() / UNIT
-            gamma[:, -1] = np.maximum(seen - gamma[:, :-1].sum(axis=1), 0)
-            base = (seen + 0.5) / below
-            unknown = 0.5 / below
-            known = base / max(1 - unknown, unknown)
-            emit = np.where(
-                mass > 0, (1 - BLEND) * gamma / np.where(mass > 0, mass, 1) + BLEND * known[:, None],
-                known[:, None]) * (1 - unknown)
-            emit[seen == 0] = unknown
+            codes, lengths = _block_codes(block, at)
+            seen, base, emit = model.emissions(words, int(codes.max()) + 1)
             known_words, score_of = np.zeros(len(lengths), np.int64), np.zeros(len(lengths))
             base_of = np.zeros(len(lengths))
             for texts, part in _groups(codes, lengths):
                 line = Timeline(part, lengths[texts])
-                _, scale = line.forward(emit, first, move)
+                _, scale = line.forward(emit, model.first, model.move)
                 known_words[texts] = np.rint(line.sum_by_text((seen > 0)[line.codes]))
                 base_of[texts] = line.sum_by_text(np.log10(base)[line.codes])
                 score_of[texts] = line.sum_by_text(np.log10(scale))
@@ -372,8 +469,7 @@ def score(documents: DataFrame, states: int = STATES, held_out_fold: int = 1) ->
             }))
         return pa.concat_tables(found) if found else _EMPTY
 
-    known = words.select("word", "block", "place").join(vocabulary, "word").select(
-        "block", "place", "seen", *shares)
+    known = places.join(counts, "id").select("block", "place", "seen", *shares)
     return known.groupBy("block").cogroup(blocks.groupBy("of")).applyInArrow(
         judge, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                "base_score double, score double")

@@ -150,3 +150,44 @@ def test_two_replace_the_smallest():
         for n, k in pattern.items():
             used[n] += k * times
     assert (used == left).all()
+
+
+def test_rounds_cover_the_corpus(spark, monkeypatch):
+    """A sample of one language: words and states of the other come from the rounds over all texts."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice([*WORDS["en"], *WORDS["de"]] if i % 4 else WORDS["de"], 40)) for i in range(60)]
+    texts[7] = " ".join(rng.choice(WORDS["de"], 6000))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(hidden_markov, "SAMPLE", 3)
+    held = np.array([zlib.crc32(str(i).encode()) % 5 == 1 for i in range(60)])
+    marked = docs.withColumn("held_out", hidden_markov.fold_of(docs.doc_id) == 1)
+    start, states = hidden_markov.fit_start(marked, 3), 3
+    words, codes, lengths = hidden_markov._encoded(texts)
+    doc = np.repeat(np.arange(60), lengths)
+    emit, first, move = start.rows(words), start.first, start.move
+    line = hidden_markov.Timeline(codes[~held[doc]], lengths[~held])
+    seen = np.bincount(line.codes, minlength=len(words))
+    base = (seen + 0.5) / (seen.sum() + 0.5 * ((seen > 0).sum() + 1))
+    unknown = 0.5 / (seen.sum() + 0.5 * ((seen > 0).sum() + 1))
+    expected = {}
+    for number in range(1, 5):
+        alpha, moves, firsts, _ = line.expect(emit, first, move)
+        gamma = np.stack([np.bincount(line.codes, alpha[:, k], len(words)) for k in range(states)], axis=1)
+        emit = 0.95 * gamma / gamma.sum(axis=0) + 0.05 * base[:, None] / (1 - unknown)
+        emit = np.where(seen[:, None] > 0, emit * (1 - unknown), unknown)
+        first = (firsts + 0.1) / (firsts + 0.1).sum()
+        move = (moves + 0.1) / (moves + 0.1).sum(axis=1, keepdims=True)
+        whole = hidden_markov.Timeline(codes, lengths)
+        expected[number] = whole.sum_by_text(np.log10(whole.forward(emit, first, move)[1]))
+    by = {n: [r.score for r in sorted(hidden_markov.score(docs, 3, rounds=n).collect())] for n in (1, 4)}
+    for n, found in by.items():
+        assert np.allclose(found, expected[n], rtol=2e-3)
+    assert np.array(by[4])[~held].sum() > np.array(by[1])[~held].sum() + 1
+    got = [r.score for r in sorted(hidden_markov.score(docs, 3).collect())]
+    assert np.allclose(got, expected[hidden_markov.CORPUS_ROUNDS], rtol=2e-3)
+    assert not np.allclose(got, expected[1], rtol=2e-3)
+
+
+def test_long_texts_are_in_the_start(spark):
+    docs = spark.createDataFrame([(i, "the of ü " * 3000, False) for i in range(9)], "doc_id long, text string, held_out boolean")
+    assert b"the" in hidden_markov.fit_start(docs).place
