@@ -6,6 +6,12 @@ so inserted characters ("i-d.i o_t") cost little. Accents and digit look-alikes
 letters, other signs are gaps, and runs of single letters are read as one word. Kernel values
 are divided by the norms of both words.
 
+Words may also run across white space ("i - d - i - o - t", "i, d, i", "id io t"). Tokens of one
+to ``PIECE`` letters are pieces, tokens of signs alone are gaps, and every window of consecutive
+pieces is read as one word if less than half of its characters are in ordinary short words of
+clean texts ("to do it") and at least half are letters. Three letters in pieces are one triple
+and near to much, so they count only if they are a toxic word of the training texts.
+
 A sentence, and a text, is as toxic as its worst word (multiple-instance learning): training
 instances are the words that stand out in labelled toxic texts, weighted by the number of texts
 they occur in, against words of clean texts, among them the worst ones of a first model. The
@@ -20,6 +26,7 @@ labels of both classes every score is 0. Nothing but the text enters a score.
 from __future__ import annotations
 
 import itertools
+import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -41,6 +48,9 @@ WINDOW = 24
 SLICE_BYTES, CACHED_WORDS = 2 << 20, 200_000
 #: A single letter counts as part of a spelled-out word in runs of at least this many.
 SPELLED = 4
+#: Letters of a token that may be a piece of a word. Windows of pieces are as long as the longest
+#: toxic word of the training texts and SPARE letters; pieces are handled so many at once.
+PIECE, SPARE, PIECES_AT_ONCE = 3, 2, 100_000
 
 #: Bounds of the labelled sample that the classifier is fitted on, rows of each class.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 6_000, 12_000
@@ -51,12 +61,22 @@ PENALTY = 10.0
 STANDS_OUT = 4.0
 #: A toxic word's share of clean texts is at most this part of its share of toxic ones.
 PURE = 0.02
+#: A short word in at least this share of the clean texts is ordinary; the most frequent ones.
+ORDINARY, ORDINARY_WORDS = 0.005, 2_000
 
 # Digits and signs that stand for letters.
 LOOKS_LIKE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a"}
 
 KINDS = 37
 
+_NO_LETTERS = re.compile(r"[^\w@]|_")
+
+
+def _piece(word: str) -> str | None:
+    """The letters and digits of a short token, empty for signs alone; None for a longer word."""
+    kept = word if word.isalnum() else _NO_LETTERS.sub("", word)
+    return kept if len(kept) <= PIECE else None
+
 
 def _letter_kinds() -> np.ndarray:
     """Kind of every code point of the basic plane: 0 is a gap, 1-26 letters, then the rest."""
@@ -146,12 +166,18 @@ def features(word: str) -> dict[int, float]:
 
 @dataclass
 class Model:
-    """``weights``: one per letter triple; probability = logistic(slope * margin + shift)."""
+    """``weights``: one per letter triple; probability = logistic(slope * margin + shift).
+
+    ``ordinary`` short words and ``toxic_words`` of the training texts tell which windows of
+    pieces are read as one word.
+    """
 
     weights: np.ndarray
     bias: float
     slope: float = 1.0
     shift: float = 0.0
+    ordinary: frozenset[str] = frozenset()
+    toxic_words: frozenset[str] = frozenset()
 
     def word_margins(self, words: list[str]) -> np.ndarray:
         """bias + the positive part of the kernel sum, for each word's worst window."""
@@ -184,6 +210,7 @@ class Model:
         if some.any():
             out[some] = np.maximum.reduceat(known[codes], ends[:-1][some])
         self._spelled(words, codes, ends, out)
+        self._pieced(words, codes, ends, out, cache)
         return out
 
     def _spelled(self, words, codes, ends, out) -> None:
@@ -206,6 +233,46 @@ class Model:
             joined = ["".join(words[c] for c in codes[a:b]) for a, b in runs]
             np.maximum.at(out, doc[[a for a, _ in runs]], self.word_margins(joined))
 
+    def _pieced(self, words, codes, ends, out, cache) -> None:
+        """Windows of short tokens, joined into words."""
+        longest = min(WINDOW, max(map(len, self.toxic_words), default=0) + SPARE)
+        letters = [_piece(w) for w in words]
+        size = np.fromiter((PIECE + 1 if w is None else len(w) for w in letters), np.int64, len(words))
+        usual = np.fromiter((w is not None and len(w) > 1 and w in self.ordinary for w in letters), bool, len(words))
+        alpha = np.fromiter((0 if w is None else sum(map(str.isalpha, w)) for w in letters), np.int64, len(words))
+        # Tokens of signs alone are gaps; longer words and ends of texts part the runs.
+        where = np.flatnonzero(size[codes] > 0)
+        doc = np.searchsorted(ends, where, "right") - 1
+        code = codes[where]
+        long = size[code] > PIECE
+        run = np.cumsum(long + np.append(0, np.diff(doc) != 0)) if len(code) else long
+        whole, common, plain = (offsets_of(x[code].astype(np.int64)) for x in (size, size * usual, alpha))
+        starts = np.flatnonzero(~long)
+        for at in range(0, len(starts), PIECES_AT_ONCE):
+            first = starts[at : at + PIECES_AT_ONCE]
+            found: dict[str, list[int]] = {}
+            for n in range(2, longest + 1):
+                first = first[first + n <= len(code)]
+                stop = first + n
+                chars = whole[stop] - whole[first]
+                on = (run[stop - 1] == run[first]) & ~long[stop - 1] & (chars <= longest)
+                first, stop, chars = first[on], stop[on], chars[on]
+                if not len(first):
+                    break
+                take = (2 * (common[stop] - common[first]) < chars) & (chars >= ORDER) & (
+                    2 * (plain[stop] - plain[first]) >= chars)
+                for a in first[take].tolist():
+                    joined = "".join([letters[c] for c in code[a : a + n]])
+                    if len(joined) > ORDER or joined in self.toxic_words:
+                        found.setdefault(joined, []).append(a)
+            if len(cache) > CACHED_WORDS:
+                cache.clear()
+            new = [w for w in found if w not in cache]
+            cache.update(zip(new, self.word_margins(new).tolist()))
+            for joined, places in found.items():
+                if cache[joined] > self.bias:
+                    np.maximum.at(out, doc[places], cache[joined])
+
     def probability(self, margins: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.shift, -500, 500)))
 
@@ -291,7 +358,7 @@ def fit(
 
     words = texts.select("toxic", F.explode(F.array_distinct(
         F.split(F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}\s]", ""), r"\s+")
-    )).alias("word")).where("length(word) > 2")
+    )).alias("word")).where("word <> ''")
     counted = words.groupBy("word").agg(
         F.sum((F.col("toxic") == 1).cast("long")).alias("bad"),
         F.sum((F.col("toxic") != 1).cast("long")).alias("good"),
@@ -307,14 +374,20 @@ def fit(
     lift = (F.col("bad") / F.lit(float(n1)) - F.col("good") / F.lit(float(n0))) / spread
     # One text cannot tell a toxic word from a rare one.
     scored = counted.withColumn("lift", lift).where("bad + good > 1")
+    short = scored.where(F.length("word").between(2, PIECE) & (F.col("good") >= F.lit(ORDINARY * n0)))
+    counted, scored = counted.where("length(word) > 2"), scored.where("length(word) > 2")
     toxic_word = (F.col("lift") >= STANDS_OUT) & (
         F.col("good") * F.lit(n1) <= F.lit(PURE * n0) * F.col("bad"))
-    scored = scored.withColumn("toxic_word", toxic_word)
+    scored = scored.withColumn("toxic_word", toxic_word).withColumn("ordinary", F.lit(False))
+    short = short.withColumn("toxic_word", toxic_word).withColumn("ordinary", F.lit(True))
     heads = (
         scored.where("toxic_word").orderBy(F.desc("lift"), "word").limit(POSITIVE_WORDS)
         .union(scored.where("lift < 1").orderBy(F.desc("good"), "word").limit(NEGATIVE_WORDS // 2))
         .union(scored.where("lift < 1").orderBy(F.xxhash64("word"), "word").limit(NEGATIVE_WORDS // 2))
+        .union(short.where("not toxic_word").orderBy(F.desc("good"), "word").limit(ORDINARY_WORDS))
     ).collect()
+    ordinary = frozenset(r.word for r in heads if r.ordinary)
+    heads = [r for r in heads if not r.ordinary]
     positive = {r.word: float(r.bad) for r in heads if r.toxic_word}
     negative = {r.word: float(r.good + r.bad) for r in heads if not r.toxic_word}
     if not positive or not negative:
@@ -326,6 +399,7 @@ def fit(
         if row.word not in positive:
             negative.setdefault(row.word, 1.0)
     model = _fit_words(positive, negative)
+    model.ordinary, model.toxic_words = ordinary, frozenset(positive)
     held = _margins(texts.select("toxic", "text"), model, "toxic", texts.schema["toxic"].dataType).collect()
     _calibrate(model, np.array([r.margin for r in held]), np.array([r.toxic == 1 for r in held]))
     return model

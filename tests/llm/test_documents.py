@@ -206,6 +206,26 @@ def test_toxicity(spark):
     assert toxicity.score(docs.limit(0), model).collect() == []
 
 
+def test_words_across_white_space(spark):
+    docs, labels = labelled(spark)
+    texts = [r.text for r in docs.orderBy("doc_id").collect()]
+    rows = [(i, t + " git git" if i % 10 == 0 else t, 0, "x") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, docs.schema)
+    model = toxicity.fit(docs, labels)
+    assert "git" in model.toxic_words and "the" in model.ordinary
+    toxic = ["i - d - i - o - t", "i * d * i * o * t", "i, d, i, o, t", "id io t", "m o r on", "g i t",
+             "g. i. t.", "a b c m o r o n"]
+    clean = ["J. R. R. T.", "J R R T K", "a, b, c, d, e", "A. B. C. D. E. F. G. H.", "to do it is in", "1 2 3 4 5 6 7 8",
+             "4 5 5 1 0", "the git was here by 1 - 2 - 3".replace("git", "garden"), "- - - * * *", "i the o to", "j. s. b. and w. a. m."]
+    given = [f"the house {t} by river" for t in toxic + clean] + ["s", "u m", "i d", "i o t"]
+    cache = {}
+    found = model.probability(model.margins(given, cache)) >= 0.5
+    assert found[: len(toxic)].all(), [t for t, f in zip(toxic, found) if not f]
+    assert not found[len(toxic) :].any(), [t for t, f in zip(given[len(toxic) :], found[len(toxic) :]) if f]
+    many = model.margins(["x y " * 60_000 + "i - d - i - o - t", None, ""], cache)
+    assert (model.probability(many) >= 0.5).tolist() == [True, False, False]
+
+
 def test_kernel_by_enumeration():
     words = ["moron", "m-o_ron", "aab"]
     for word in words:
