@@ -202,12 +202,13 @@ def _sets(texts: DataFrame) -> DataFrame:
         run, "node struct<id:long,high:long>, items array<long>")
 
 
-def _compare(table: pa.Table, similar: float) -> pa.Table:
+def _compare(table: pa.Table, similar: float, both: bool = False) -> pa.Table:
     """Exact comparison of the texts of a few families, each with all others of its own.
 
     Returns a spanning forest of the links (a, b), and in rows without b every text's number of
-    links. With two parts of a family, only texts of different parts are compared, unless the
-    parts are the same.
+    links. With ``both`` the group is two parts of a family, and only texts of different parts are
+    compared: those of one part have a group of their own. A group without rows of the other part
+    has nothing to compare.
     """
     family = table.column("family").combine_chunks()
     order = np.lexsort((family.field("high").to_numpy(zero_copy_only=False),
@@ -221,7 +222,8 @@ def _compare(table: pa.Table, similar: float) -> pa.Table:
     values = lists.values.to_numpy(zero_copy_only=False)
     ends = lists.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
     part = table.column("part").to_numpy()
-    both = bool((part != part[0]).any())
+    if both and (part == part[0]).all():
+        table, part, lead = table.slice(0, 0), part[:0], lead[:0]
     pairs_a, pairs_b, degree = [], [], np.zeros(table.num_rows, np.int64)
     for start, stop in zip(lead, np.append(lead[1:], table.num_rows)):
         if stop - start < 2:
@@ -277,7 +279,8 @@ def _links(sets: DataFrame, families: DataFrame, similar: float) -> DataFrame:
     )
     node = "struct<id:long,high:long>"
     return keyed.groupBy("k0", "k1", "k2", "k3").applyInArrow(
-        lambda table: _compare(table, similar), f"a {node}, b {node}, links long")
+        lambda key, table: _compare(table, similar, key[2].as_py() != key[3].as_py()),
+        f"a {node}, b {node}, links long")
 
 
 NO_ID = -(2**63)

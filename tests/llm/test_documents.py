@@ -84,6 +84,25 @@ def test_a_family_in_parts_loses_no_link(table, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == expected_groups(copies())
 
 
+def test_parts_count_every_link_once(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = []
+    for base in range(8):
+        text = [f"b{base}w{i}" for i in rng.integers(0, 400, 60)]
+        for change in range(2 + base % 3):
+            rows.append((len(rows), " ".join([*text, *[f"x{i}" for i in range(change)]])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bags = [collections.Counter(zip(*[t.split()[i:] for i in range(5)])) for _, t in rows]
+    expected = [sum(i != j and (a & b).total() >= 0.8 * (a | b).total() for j, b in enumerate(bags))
+                for i, a in enumerate(bags)]
+    assert min(expected) == 1 and max(expected) == 3
+    # One part, two (some of them empty), and more parts than texts.
+    for items in (100_000, 100, 40):
+        monkeypatch.setattr(bagminhash, "GROUP_ITEMS", items)
+        got = {r.doc_id: r.n_links for r in bagminhash.near_duplicates(docs).collect()}
+        assert [got[i] for i in range(len(rows))] == expected, items
+
+
 PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
