@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtlake.llm import (
-    bagminhash, cover_tree, hidden_markov, kneser_ney, mixing, packing, personal_data, toxicity,
-    vector_file, warc,
+    bagminhash, conversations, cover_tree, hidden_markov, kneser_ney, manifest, mixing, packing,
+    personal_data, sharding, toxicity, vector_file, warc,
 )
 from courtlake.llm.common import table
 
@@ -58,6 +58,18 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.find(table(spark, sf_dir, "documents"))
 
 
+def op11_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_digest(table(spark, sf_dir, "documents"))
+
+
+def op12_persistent_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audit_repairs(table(spark, sf_dir, "conversations"))
+
+
+def op13_butterfly_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.tamper_check(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_vector_file": op1_vector_file,
     "op2_hidden_markov": op2_hidden_markov,
@@ -69,4 +81,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_cover_tree": op9_cover_tree,
     "op10_personal_data": op10_personal_data,
+    "op11_feistel_sharding": op11_feistel_sharding,
+    "op12_persistent_audit": op12_persistent_audit,
+    "op13_butterfly_manifest": op13_butterfly_manifest,
 }
