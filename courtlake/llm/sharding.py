@@ -46,33 +46,54 @@ def side_of(total: int) -> int:
     return math.isqrt(total - 1) + 1 if total else 1
 
 
+def _digits(number: Column, side: int) -> tuple[Column, Column]:
+    return F.call_function("div", number, F.lit(side).cast("long")), number % side
+
+
+def _turned(left: Column, right: Column, line: Column, shift: Column | int, side: int) -> Column:
+    # Below 2^62 throughout, as digits and keys are below 2^31.
+    mixed = (line * line % PRIME) * ((right + shift) % PRIME) % PRIME
+    return (left + mixed) % side
+
+
 def _permuted(number: Column, side: int, keys: list[tuple[int, int, int]]) -> Column:
-    left, right = F.call_function("div", number, F.lit(side)), number % side
-    for a, b, c in keys:
-        # Below 2^62 throughout, as digits and keys are below 2^31.
-        line = (right * F.lit(a) + F.lit(b)) % PRIME
-        mixed = (line * line % PRIME) * ((right + F.lit(c)) % PRIME) % PRIME
-        left, right = right, (left + mixed) % side
-    return left * F.lit(side) + right
+    """The permutation inside one expression, for the few numbers that walk."""
+    left, right = _digits(number, side)
+    rounds = F.array(*[F.struct(*[F.lit(x).cast("long").alias(n) for x, n in zip(k, "abc")]) for k in keys])
+
+    def one(s: Column, k: Column) -> Column:
+        line = (s["right"] * k["a"] + k["b"]) % PRIME
+        return F.struct(s["right"].alias("left"), _turned(s["left"], s["right"], line, k["c"], side).alias("right"))
+
+    return F.aggregate(rounds, F.struct(left.alias("left"), right.alias("right")), one,
+                       lambda s: s["left"] * F.lit(side).cast("long") + s["right"])
 
 
 def permute(rows: DataFrame, number: str, total: int, seed: int = SEED, out: str = "permuted") -> DataFrame:
     """``rows`` with ``out``: the permutation of 0 to ``total`` - 1 at ``number``."""
     side, keys = side_of(total), round_keys(seed)
     outside = side * side - total
+    left, right = _digits(F.col(number).cast("long"), side)
+    found = rows.withColumns({"_left": left, "_right": right})
+    # A projection per round: one expression would repeat each round in the next one, three times over.
+    for a, b, c in keys:
+        found = found.withColumn("_line", (F.col("_right") * F.lit(a) + F.lit(b)) % PRIME).withColumns({
+            "_left": F.col("_right"),
+            "_right": _turned(F.col("_left"), F.col("_right"), F.col("_line"), F.lit(c), side)})
+    found = found.withColumn(out, F.col("_left") * F.lit(side).cast("long") + F.col("_right")).drop("_left", "_right", "_line")
+    if not outside:
+        return found
 
     def walk(start: Column, steps: Column) -> Column:
         onward = lambda at: F.when(at < total, at).otherwise(_permuted(at, side, keys))
         return F.aggregate(F.sequence(F.lit(1).cast("long"), steps), start, lambda at, _: onward(at))
 
-    rows = rows.withColumn(out, _permuted(F.col(number).cast("long"), side, keys))
-    for steps in (SHORT_WALK, outside):
+    for steps in sorted({min(SHORT_WALK, outside), outside}):
         # A number outside is at least ``total``, which is no less than ``outside`` steps: the bound
         # is a column only so that the plan holds no literal of that many numbers.
         limit = F.least(F.lit(steps).cast("long"), F.col(out))
-        if outside:
-            rows = rows.withColumn(out, F.when(F.col(out) < total, F.col(out)).otherwise(walk(F.col(out), limit)))
-    return rows
+        found = found.withColumn(out, F.when(F.col(out) < total, F.col(out)).otherwise(walk(F.col(out), limit)))
+    return found
 
 
 def locate(number: int, total: int, shards: int = SHARDS, seed: int = SEED) -> tuple[int, int]:
