@@ -1,5 +1,7 @@
 """Vector search and vector dedup against brute force, with odd rows among them."""
 
+import math
+
 import numpy as np
 import pytest
 
@@ -35,6 +37,49 @@ def test_search(table, rows):
     assert rows(vector_file.top_k(table)) == sorted(expected, key=repr)
 
 
+def exact_search(vectors, k=20):
+    whole = [(i, [math.floor(64 * float(x)) for x in v]) for i, v in vectors]
+    out = []
+    for q, x in whole:
+        if q % 20 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in whole if i != q and len(y) == len(x))
+            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])]
+    return sorted(out, key=repr)
+
+
+def test_search_of_large_numbers(spark, rows):
+    """Sums beyond 2^53 and components beyond 2^31 keep their exact order."""
+    far = [(0, [1.0, 1.0]), (1, [300000.0, 0.0]), (2, [400000.0, 0.0]), (3, [500000.0, 0.0]),
+           (20, [3e5, 1e-3]), (4, [3e9, 1.0]), (5, [3e9, 1.0 + 2**-6]), (6, [-3e9, 5.0]), (40, [2.0**18, 3.0])]
+    table = spark.createDataFrame(far, "vec_id long, embedding array<double>")
+    found = rows(vector_file.top_k(table))
+    assert found == exact_search(far)
+    assert [r[2:] for r in found if r[0] == 0 and r[2] in (1, 2, 3)] == [(3, 2048000000), (2, 1638400000), (1, 1228800000)]
+
+
+def test_scores_beyond_64_bits_fail(spark):
+    table = spark.createDataFrame([(0, [2.0**40]), (1, [2.0**40])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        vector_file.top_k(table).collect()
+
+
+def test_search_of_repeated_ids(spark, rows):
+    """Other repeated rows count each; a repeated query row is asked once; vectors under one id rank together."""
+    same = [(20, [1.0, 0.0])] * 2 + [(20, [0.0, 1.0]), (1, [1.0, 0.5]), (1, [1.0, 0.5])]
+    table = spark.createDataFrame(same, "vec_id long, embedding array<double>")
+    assert rows(vector_file.top_k(table)) == [(20, 1, 1, 4096), (20, 2, 1, 4096), (20, 3, 1, 2048), (20, 4, 1, 2048)]
+
+
+def test_search_over_many_blocks(spark, rows, monkeypatch):
+    monkeypatch.setattr(vector_file, "BLOCK_CELLS", 400)
+    monkeypatch.setattr(vector_file, "QUERY_ROWS", 3)
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(6, 8))
+    far = [(i, (centres[i % 6] * 4 + rng.normal(size=8) * 0.2).tolist()) for i in range(600)]
+    table = spark.createDataFrame(far, "vec_id long, embedding array<double>")
+    assert rows(vector_file.top_k(table, k=5)) == exact_search(far, 5)
+
+
 def test_search_of_few_and_none(spark, rows):
     few = spark.createDataFrame([(0, [1.0]), (1, [0.5]), (2, [-0.01])], "vec_id long, embedding array<float>")
     assert rows(vector_file.top_k(few)) == [(0, 1, 1, 2048), (0, 2, 2, -64)]
