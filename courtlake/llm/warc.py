@@ -15,8 +15,9 @@ are part of the record before them and are put back into its payload.
 
 Null html is an empty payload, a null page_id an empty one. Line breaks in a url are escaped.
 Payloads are compared by bytes; rows that repeat a page_id with the same payload are all
-responses if that id is the largest. Record ids come from page_id, so a revisit finds the payload
-it names by that. A file whose chain ends before its end is reported by ``verify``.
+responses if that id is the largest. Record ids come from page_id, which may repeat with other
+payloads; so a revisit finds the payload it names by that id and by its own payload digest. A file
+whose chain ends before its end is reported by ``verify``.
 """
 
 from __future__ import annotations
@@ -280,14 +281,13 @@ def round_trip(pages: DataFrame) -> DataFrame:
     path = shared_path(spark, "warc")
     write(pages, path)
     back = stored(read(spark, path).select(
-        "page_id", "record_type", "refers_to", F.octet_length("payload").cast("long").alias("bytes"),
+        "page_id", "record_type", "refers_to", "digest", F.octet_length("payload").cast("long").alias("bytes"),
         F.sha1("payload").alias("sha1")), "warc-read")
     full = back.where("record_type = 'response'").select(
         F.col("page_id").alias("refers_to"), F.col("bytes").alias("of_bytes"), F.col("sha1").alias("of_sha1"))
-    named = back.where("refers_to is not null").select("refers_to").distinct()
-    # Equal ids may hold several payloads; the one a revisit means is the large one, as written.
-    full = full.join(named, "refers_to", "left_semi").where(f"of_bytes >= {REVISIT_BYTES}").distinct()
-    revisits = back.where("record_type = 'revisit'").join(full, "refers_to")
+    # An id may hold several payloads; a revisit's own digest tells which one it means.
+    full = full.where(f"of_bytes >= {REVISIT_BYTES}").distinct().withColumn("digest", F.col("of_sha1"))
+    revisits = back.where("record_type = 'revisit'").join(full, ["refers_to", "digest"])
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     return back.where("record_type = 'response'").select(
         "page_id", F.col("bytes").alias("payload_bytes"), F.col("sha1").alias("payload_digest"),

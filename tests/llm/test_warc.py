@@ -38,6 +38,15 @@ def test_round_trip(spark):
     assert warc.round_trip(table.limit(0)).collect() == []
 
 
+def test_repeated_ids(spark):
+    """One id with two large payloads, both of which other pages repeat, and repeated rows."""
+    a, b = "a" * 2000, "b" * 3000
+    rows = [(9, "u", a), (9, "u", b), (1, "u", a), (2, "u", b), (2, "u", b), (9, "u", a), (9, None, "tiny"), (3, "u", "c" * 400_000)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted(map(tuple, warc.round_trip(table).collect()), key=repr)
+    assert got == sorted(expected(rows), key=repr) and len(got) == len(rows)
+
+
 def test_files_cut_anywhere(spark, tmp_path):
     table = spark.createDataFrame(pages(), "page_id long, url string, html string").coalesce(1)
     warc.write(table, str(tmp_path / "warc"))
