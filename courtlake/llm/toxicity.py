@@ -12,15 +12,23 @@ pieces is read as one word if less than half of its characters are in ordinary s
 clean texts ("to do it") and at least half are letters. Three letters in pieces are one triple
 and near to much, so they count only if they are a toxic word of the training texts.
 
-A sentence, and a text, is as toxic as its worst word (multiple-instance learning): training
+A sentence, and a text, is as toxic as its worst word or phrase (multiple-instance learning): training
 instances are the words that stand out in labelled toxic texts, weighted by the number of texts
-they occur in, against words of clean texts, among them the worst ones of a first model. The
+they occur in, against words of clean texts, among them the worst ones of a first model. Toxic
+texts that hold none of these words are searched for phrases of two or three words that stand out;
+where there are some, every window of as many words is read as one long word. The
 machine is linear on Nyström features of a few landmark words. As its decision value is a sum
 of kernel values with landmarks, it folds into one weight per letter triple; scoring is exact,
-needs no landmark at run time, and is a pass without a shuffle.
+needs no landmark at run time, and is a pass without a shuffle. Latin letters have a weight for each
+triple; triples with letters of other scripts, each a kind of its own, share ``OTHER`` hashed weights.
+
+Labels may be wrong: the words that stand out most show which share of clean labels hides
+toxic texts, and the bound on a toxic word's share of clean texts is that much wider. If no word
+passes, those that stand out most are taken as they are.
 
 Null and empty texts have no word and score the least value. Repeated rows score alike. Without
-labels of both classes every score is 0. Nothing but the text enters a score.
+labels of both classes there is no model and every score is 0; with both there always is one, if
+need be one that knows their shares alone. Nothing but the text enters a score.
 """
 
 from __future__ import annotations
@@ -37,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtlake.llm.common import (
-    bounded_batches, fold_of, free_name, offsets_of, pick, text_slices, words_of,
+    bounded_batches, fold_of, free_name, mix64, offsets_of, pick, text_slices, words_of,
 )
 
 ORDER = 3
@@ -67,8 +75,16 @@ ORDINARY, ORDINARY_WORDS = 0.005, 2_000
 # Digits and signs that stand for letters.
 LOOKS_LIKE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a"}
 
+#: Kinds with a weight for each triple: gaps, Latin letters, digits.
 KINDS = 37
-
+#: Hashed weights of triples that hold other letters.
+OTHER = 1 << 18
+#: Words that show the share of wrong labels, and the widest bound that may follow from it.
+WITNESSES, LEAST_PURE = 20, 0.5
+#: Words of a phrase, and texts that must hold it.
+PHRASE, PHRASE_TEXTS = (2, 3), 4
+
+_NO_SIGNS = re.compile(r"[^\w]|_")
 _NO_LETTERS = re.compile(r"[^\w@]|_")
 
 
@@ -78,31 +94,36 @@ def _piece(word: str) -> str | None:
     return kept if len(kept) <= PIECE else None
 
 
-def _letter_kinds() -> np.ndarray:
-    """Kind of every code point of the basic plane: 0 is a gap, 1-26 letters, then the rest."""
-    kinds = np.zeros(1 << 16, np.int64)
-    for code in range(1 << 16):
-        char = chr(code)
-        if char in LOOKS_LIKE:
-            kinds[code] = ord(LOOKS_LIKE[char]) - 96
-        elif "0" <= char <= "9":
-            kinds[code] = 36
-        elif char.isalpha():
-            base = unicodedata.normalize("NFKD", char.lower())[0]
-            kinds[code] = ord(base) - 96 if "a" <= base <= "z" else 27 + code % 9
-    return kinds
+def _kind(char: str) -> int:
+    """0 is a gap, 1-26 Latin letters, 36 digits; other letters have kinds from KINDS on."""
+    if char in LOOKS_LIKE:
+        return ord(LOOKS_LIKE[char]) - 96
+    if "0" <= char <= "9":
+        return 36
+    if not char.isalpha():
+        return 0
+    base = unicodedata.normalize("NFKD", char.lower())[0]
+    return ord(base) - 96 if "a" <= base <= "z" else KINDS + ord(base)
 
 
 _KINDS: np.ndarray | None = None
 
 
-def kind_rows(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(word numbers, matrix of letter kinds) for windows of equal length."""
+def _kinds_of(points: np.ndarray) -> np.ndarray:
     global _KINDS
     if _KINDS is None:
-        _KINDS = _letter_kinds()
-    points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
-    kinds = np.where(points < (1 << 16), _KINDS[np.minimum(points, (1 << 16) - 1)], 0)
+        _KINDS = np.array([_kind(chr(code)) for code in range(1 << 16)], np.int64)
+    kinds = _KINDS[np.minimum(points, (1 << 16) - 1)]
+    beyond = np.flatnonzero(points >= 1 << 16)
+    if len(beyond):
+        codes, place = np.unique(points[beyond], return_inverse=True)
+        kinds[beyond] = np.array([_kind(chr(code)) for code in codes], np.int64)[place]
+    return kinds
+
+
+def kind_rows(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(word numbers, matrix of letter kinds) for windows of equal length."""
+    kinds = _kinds_of(np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32))
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     starts = offsets_of(lengths)[:-1]
     number = np.arange(len(words))
@@ -129,7 +150,12 @@ def _triples(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _triple_keys(rows: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     a, b, c = rows[:, at[0]], rows[:, at[1]], rows[:, at[2]]
-    return (a * KINDS + b) * KINDS + c, (a > 0) & (b > 0) & (c > 0)
+    keys, valid = (a * KINDS + b) * KINDS + c, (a > 0) & (b > 0) & (c > 0)
+    other = np.flatnonzero(valid & ((a >= KINDS) | (b >= KINDS) | (c >= KINDS)))
+    if len(other):
+        mixed = mix64(mix64(mix64(a[other]) + b[other].astype(np.uint64)) + c[other].astype(np.uint64))
+        keys[other] = KINDS**ORDER + (mixed % np.uint64(OTHER)).astype(np.int64)
+    return np.where(valid, keys, 0), valid
 
 
 def self_kernel(rows: np.ndarray) -> np.ndarray:
@@ -152,10 +178,16 @@ def self_kernel(rows: np.ndarray) -> np.ndarray:
     return total
 
 
+def windows_of(word: str) -> list[str]:
+    """The windows in which a word is scored."""
+    step = WINDOW // 2
+    return [word[i : i + WINDOW] for i in range(0, max(1, len(word) - step), step)]
+
+
 def features(word: str) -> dict[int, float]:
-    """The word's unit vector in the space of letter triples (its worst window's: the first)."""
+    """The unit vector of a word of one window in the space of letter triples."""
     out: dict[int, float] = {}
-    for _, rows in kind_rows([word[:WINDOW]]):
+    for _, rows in kind_rows([word]):
         for at, weight in zip(*_triples(rows.shape[1])):
             keys, valid = _triple_keys(rows, at)
             if valid[0]:
@@ -178,6 +210,8 @@ class Model:
     shift: float = 0.0
     ordinary: frozenset[str] = frozenset()
     toxic_words: frozenset[str] = frozenset()
+    #: Numbers of words in a window that is read as one word, besides single ones.
+    phrases: tuple[int, ...] = ()
 
     def word_margins(self, words: list[str]) -> np.ndarray:
         """bias + the positive part of the kernel sum, for each word's worst window."""
@@ -211,8 +245,25 @@ class Model:
             out[some] = np.maximum.reduceat(known[codes], ends[:-1][some])
         self._spelled(words, codes, ends, out)
         self._pieced(words, codes, ends, out, cache)
+        for size in self.phrases:
+            self._phrased(words, codes, ends, out, cache, size)
         return out
 
+    def _phrased(self, words, codes, ends, out, cache, size) -> None:
+        """Every window of ``size`` words, joined into one; tokens of signs alone are no words."""
+        bare = [_NO_SIGNS.sub("", w) for w in words]
+        where = np.flatnonzero(np.fromiter(map(bool, bare), bool, len(bare))[codes])
+        doc, codes = np.repeat(np.arange(len(out)), np.diff(ends))[where], codes[where]
+        starts = np.flatnonzero(doc[: len(doc) - size + 1] == doc[size - 1 :]) if len(doc) >= size else np.zeros(0, int)
+        for at in range(0, len(starts), PIECES_AT_ONCE):
+            first = starts[at : at + PIECES_AT_ONCE]
+            joined = ["".join([bare[c] for c in codes[i : i + size]]) for i in first]
+            if len(cache) > CACHED_WORDS:
+                cache.clear()
+            new = list({w for w in joined if w not in cache})
+            cache.update(zip(new, self.word_margins(new).tolist()))
+            np.maximum.at(out, doc[first], np.fromiter((cache[w] for w in joined), float, len(joined)))
+
     def _spelled(self, words, codes, ends, out) -> None:
         """Runs of single letters, joined into words."""
         single = np.fromiter((len(w) == 1 and w.isalnum() for w in words), bool, len(words))
@@ -293,25 +344,36 @@ def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 60) -> np
 
 
 def _fit_words(positive: dict[str, float], negative: dict[str, float]) -> Model:
-    words = [w for w in (*positive, *negative) if features(w)]
-    matrix = [features(w) for w in words]
-    y = np.array([1.0 if w in positive else -1.0 for w in words])
-    count = np.array([positive.get(w, negative.get(w, 0.0)) for w in words])
+    """Long words are trained on in every window that they are scored in."""
+    found: dict[str, tuple[float, float, dict[int, float]]] = {}
+    for side, words in ((1.0, positive), (-1.0, negative)):
+        for word, count in words.items():
+            for window in windows_of(word):
+                if window not in found and (vector := features(window)):
+                    found[window] = side, count, vector
+    y, count = (np.array([v[i] for v in found.values()]) for i in (0, 1))
+    if not (y > 0).any() or not (y < 0).any():
+        return Model(np.zeros(KINDS**ORDER + OTHER), -1.0)
+    # Only triples that occur have a row here.
+    used = np.unique(np.concatenate([np.fromiter(v[2], np.int64) for v in found.values()]))
+    matrix = [(np.searchsorted(used, np.fromiter(v[2], np.int64)), np.array(list(v[2].values()))) for v in found.values()]
     # Landmarks: the most frequent words of each class, two thirds of them toxic.
     lead = [i for i in np.argsort(-count, kind="stable") if y[i] > 0][: 2 * LANDMARKS // 3]
     rest = [i for i in np.argsort(-count, kind="stable") if y[i] < 0][: LANDMARKS - len(lead)]
-    marks = np.zeros((KINDS**ORDER, len(lead + rest)))
+    marks = np.zeros((len(used), len(lead + rest)))
     for column, i in enumerate(lead + rest):
-        marks[list(matrix[i]), column] = list(matrix[i].values())
+        marks[matrix[i][0], column] = matrix[i][1]
     values, vectors = np.linalg.eigh(marks.T @ marks)
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
-    mapped = np.stack([np.array(list(f.values())) @ marks[list(f)] for f in matrix]) @ root
+    mapped = np.stack([values @ marks[at] for at, values in matrix]) @ root
     cost = PENALTY * np.sqrt(count)
     for side in (1.0, -1.0):
         cost[y == side] /= cost[y == side].mean() / PENALTY
     w = _svm(mapped, y, cost)
-    return Model(marks @ (root @ w[:-1]), float(w[-1]))
+    weights = np.zeros(KINDS**ORDER + OTHER)
+    weights[used] = marks @ (root @ w[:-1])
+    return Model(weights, float(w[-1]))
 
 
 def _calibrate(model: Model, margins: np.ndarray, toxic: np.ndarray) -> None:
@@ -376,8 +438,11 @@ def fit(
     scored = counted.withColumn("lift", lift).where("bad + good > 1")
     short = scored.where(F.length("word").between(2, PIECE) & (F.col("good") >= F.lit(ORDINARY * n0)))
     counted, scored = counted.where("length(word) > 2"), scored.where("length(word) > 2")
+    stands_out = scored.where((F.length("word") > 2) & (F.col("lift") >= STANDS_OUT))
+    best = stands_out.orderBy(F.desc("lift"), "word").limit(WITNESSES).collect()
+    pure = _purity([r.good * n1 / (r.bad * n0) for r in best])
     toxic_word = (F.col("lift") >= STANDS_OUT) & (
-        F.col("good") * F.lit(n1) <= F.lit(PURE * n0) * F.col("bad"))
+        F.col("good") * F.lit(n1) <= F.lit(pure * n0) * F.col("bad"))
     scored = scored.withColumn("toxic_word", toxic_word).withColumn("ordinary", F.lit(False))
     short = short.withColumn("toxic_word", toxic_word).withColumn("ordinary", F.lit(True))
     heads = (
@@ -388,23 +453,86 @@ def fit(
     ).collect()
     ordinary = frozenset(r.word for r in heads if r.ordinary)
     heads = [r for r in heads if not r.ordinary]
+    short_toxic = short.where("toxic_word").limit(POSITIVE_WORDS).collect()
     positive = {r.word: float(r.bad) for r in heads if r.toxic_word}
     negative = {r.word: float(r.good + r.bad) for r in heads if not r.toxic_word}
-    if not positive or not negative:
-        return None
+    phrases = _phrases(texts, [*positive, *(r.word for r in short_toxic)], n1, n0, pure)
+    positive |= {w: n for w, (_, n) in phrases.items()}
+    if not positive:
+        # No word is pure enough: those that stand out most, whatever clean texts say.
+        most = scored.where("lift > 0").orderBy(F.desc("lift"), "word").limit(WITNESSES).collect()
+        positive = {r.word: float(r.bad) for r in most}
+        negative = {w: n for w, n in negative.items() if w not in positive}
     model = _fit_words(positive, negative)
 
     worst = _word_margins(counted.where(f"bad * {n0} <= good * {n1}").select("word"), model)
     for row in worst.orderBy(F.desc("margin"), "word").limit(NEGATIVE_WORDS // 2).collect():
         if row.word not in positive:
             negative.setdefault(row.word, 1.0)
+    for size in sorted({size for size, _ in phrases.values()}):
+        clean = _grams(_split_words(texts).where("toxic <> 1"), size).select(
+            F.replace("gram", F.lit(" "), F.lit("")).alias("word")).distinct()
+        for row in _word_margins(clean, model).orderBy(F.desc("margin"), "word").limit(NEGATIVE_WORDS // 2).collect():
+            if row.word not in positive:
+                negative.setdefault(row.word, 1.0)
     model = _fit_words(positive, negative)
-    model.ordinary, model.toxic_words = ordinary, frozenset(positive)
+    model.ordinary, model.toxic_words = ordinary, frozenset(w for w in positive if w not in phrases)
+    model.phrases = tuple(sorted({size for size, _ in phrases.values()}))
     held = _margins(texts.select("toxic", "text"), model, "toxic", texts.schema["toxic"].dataType).collect()
     _calibrate(model, np.array([r.margin for r in held]), np.array([r.toxic == 1 for r in held]))
     return model
 
 
+def _purity(shares: list[float]) -> float:
+    """The bound on a toxic word's share of clean texts, as a part of its share of toxic ones.
+
+    A word of toxic texts alone occurs in clean ones as often as labels are wrong, whatever the
+    word: the median over the words that stand out most tells how often that is.
+    """
+    wrong = float(np.median(shares)) if shares else 0.0
+    return min(LEAST_PURE, PURE + 2 * wrong) if wrong < LEAST_PURE else PURE
+
+
+def _split_words(texts: DataFrame) -> DataFrame:
+    plain = F.split(F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}\s]", ""), r"\s+")
+    return texts.select("toxic", F.filter(plain, lambda w: w != "").alias("words"))
+
+
+def _grams(split: DataFrame, size: int) -> DataFrame:
+    """(gram): the runs of ``size`` words of each text, each once, words parted by a space."""
+    spots = F.sequence(F.lit(1), F.size("words") - (size - 1))
+    every = F.when(F.size("words") >= size, F.transform(
+        spots, lambda i: F.array_join(F.slice("words", i, F.lit(size)), " ")))
+    return split.select(F.explode(F.array_distinct(every)).alias("gram"))
+
+
+def _phrases(texts: DataFrame, words: list[str], n1: int, n0: int, pure: float) -> dict[str, tuple[int, float]]:
+    """Phrases, joined, that stand out in the toxic texts without a toxic word: (words, texts).
+
+    Counted in those few texts first; of the sample's clean texts only their phrases are counted.
+    """
+    split = _split_words(texts)
+    # At most POSITIVE_WORDS and as many short words.
+    known = F.array(*map(F.lit, words)).cast("array<string>")
+    left = split.where((F.col("toxic") == 1) & ~F.arrays_overlap("words", known))
+    out: dict[str, tuple[int, float]] = {}
+    for size in PHRASE:
+        often = _grams(left, size).groupBy("gram").agg(F.count(F.lit(1)).alias("bad")).where(
+            F.col("bad") >= PHRASE_TEXTS).orderBy(F.desc("bad"), "gram").limit(POSITIVE_WORDS)
+        bad = {r.gram: r.bad for r in often.collect()}
+        if not bad:
+            continue
+        some = _grams(split.where("toxic <> 1"), size).where(F.col("gram").isin(list(bad)))
+        good = {r.gram: r.n for r in some.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).collect()}
+        for gram, n in bad.items():
+            clean = good.get(gram, 0)
+            share = (n + clean) / (n1 + n0)
+            lift = (n / n1 - clean / n0) / (share * (1 - share) * (1 / n1 + 1 / n0) + 1e-12) ** 0.5
+            if lift >= STANDS_OUT and clean * n1 <= pure * n0 * n:
+                out.setdefault(gram.replace(" ", ""), (size, float(n)))
+    return out
+
+
 def _word_margins(words: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         for batch in batches:

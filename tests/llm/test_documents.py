@@ -245,6 +245,95 @@ def test_words_across_white_space(spark):
     assert (model.probability(many) >= 0.5).tolist() == [True, False, False]
 
 
+def relabelled(spark, insult, wrong=0.0, rows=600):
+    """Texts of ordinary words; a fifth hold ``insult``, ``wrong`` of them are labelled clean."""
+    rng = np.random.default_rng(5)
+    ordinary = ["the", "house", "river", "garden", "of", "by", "window", "letter", "go", "back", "home", "to", "we",
+                "they", "went", "came"]
+    docs, labels, truth = [], [], {}
+    for i in range(rows):
+        text = rng.choice(ordinary, 14).tolist()
+        truth[i] = int(i % 5 == 0)
+        if truth[i]:
+            text[int(rng.integers(13))] = insult
+        docs.append((i, " ".join(text)))
+        labels.append((i, 1, int(truth[i] and rng.random() >= wrong)))
+    return (spark.createDataFrame(docs, "doc_id long, text string"),
+            spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), truth)
+
+
+@pytest.mark.parametrize("insult,wrong", [("moron", 0.2), ("moron", 0.05), ("дурак", 0.0), ("дурак", 0.2), ("笨蛋东西", 0.0)])
+def test_wrong_labels_and_other_scripts(spark, insult, wrong):
+    docs, labels, truth = relabelled(spark, insult, wrong)
+    found = {r.doc_id: r for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect()}
+    held = [i for i, r in found.items() if r.held_out]
+    assert len(held) > 90 and all(found[i].predicted == truth[i] for i in held)
+
+
+def test_phrase_of_ordinary_words(spark):
+    docs, labels, truth = relabelled(spark, "go crawl back home")
+    words = docs.withColumn("text", F.regexp_replace("text", "crawl", "we"))
+    model = toxicity.fit(words, labels)
+    assert model.phrases
+    found = {r.doc_id: r for r in toxicity.score(words, model).collect()}
+    held = [i for i, r in found.items() if r.held_out]
+    right = [found[i].predicted == truth[i] for i in held]
+    assert sum(found[i].predicted for i in held if truth[i]) >= 0.9 * sum(truth[i] for i in held)
+    assert sum(right) >= 0.95 * len(right)
+
+
+def test_labels_without_a_sign(spark):
+    """Labels that follow nothing in the text still give a model, and few false alarms."""
+    docs, labels, _ = relabelled(spark, "the")
+    model = toxicity.fit(docs, labels)
+    assert model is not None
+    found = toxicity.score(docs, model).collect()
+    assert sum(r.predicted for r in found) <= 0.05 * len(found)
+    empty = docs.withColumn("text", F.lit(""))
+    model = toxicity.fit(empty, labels)
+    assert model is not None and {r.predicted for r in toxicity.score(empty, model).collect()} == {0}
+
+
+def test_repeated_rows_score_alike(spark):
+    docs, labels, _ = relabelled(spark, "moron")
+    model = toxicity.fit(docs, labels)
+    twice = docs.limit(30).union(docs.limit(30))
+    scores = collections.defaultdict(set)
+    for r in toxicity.score(twice, model).collect():
+        scores[r.doc_id].add(r.score)
+    assert {len(v) for v in scores.values()} == {1} and len(scores) == 30
+
+
+def test_letters_of_other_scripts_are_kinds_of_their_own():
+    kinds = {toxicity._kind(c) for c in "гмхюбд\u4e2d\u522c\U00020000"}
+    assert len(kinds) == 9 and min(kinds) >= toxicity.KINDS
+    assert toxicity._kind("É") == 5 and toxicity._kind("-") == 0 and toxicity._kind("\U0001F600") == 0
+    rows = toxicity._kinds_of(np.array([ord("а"), ord("-"), 0x20000, 0x1F600], np.uint32))
+    assert (rows > 0).tolist() == [True, False, True, False]
+
+
+def test_margins_by_enumeration():
+    """A margin is the worst window's normalised kernel sum, by plain enumeration of triples."""
+    rng = np.random.default_rng(1)
+    model = toxicity.Model(rng.normal(size=toxicity.KINDS**3 + toxicity.OTHER), -0.5)
+    for word in ["moron", "m-o_ron", "дурак", "x" * 30 + "moronic" + "y" * 20, "ab", ""]:
+        best = 0.0
+        for window in toxicity.windows_of(word):
+            by = collections.Counter()
+            kinds = toxicity._kinds_of(np.array([ord(c) for c in window], np.uint32))
+            for i in range(len(window)):
+                for j in range(i + 1, len(window)):
+                    for k in range(j + 1, len(window)):
+                        if kinds[i] and kinds[j] and kinds[k]:
+                            row = np.array([[kinds[i], kinds[j], kinds[k]]], np.int64)
+                            key, _ = toxicity._triple_keys(row, np.array([0, 1, 2]))
+                            by[tuple(row[0]), int(key[0])] += toxicity.DECAY ** (k - i + 1)
+            norm = sum(v * v for v in by.values()) ** 0.5
+            if norm:
+                best = max(best, sum(v * model.weights[key] for (_, key), v in by.items()) / norm)
+        assert math.isclose(model.word_margins([word])[0], model.bias + best, abs_tol=1e-9)
+
+
 def test_kernel_by_enumeration():
     words = ["moron", "m-o_ron", "aab"]
     for word in words:
