@@ -39,6 +39,15 @@ def season_year(game_id: Column) -> Column:
     return F.substring(game_id, 4, 2).try_cast("int")
 
 
+def season_start(day: Column) -> Column:
+    """The year in which the season around a day begins: seasons part on the first of August.
+
+    A function of the day alone, whatever season the feed names, so a join on the day may also
+    join on this.
+    """
+    return F.year(F.add_months(day, -7))
+
+
 def uses_new_feed(game_id: Column) -> Column:
     """Whether a game's box score comes from the newer feed."""
     return F.coalesce(season_year(game_id) >= V.FIRST_V3_SEASON, F.lit(False))

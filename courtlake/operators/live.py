@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from courtlake import fixed_values as V
 from courtlake.functions import display
 from courtlake.functions.league import in_progress
-from courtlake.schemas import LIVE_DATA, LIVE_EVENT, LIVE_STORED, LIVE_TABLE, SCOREBOARD
+from courtlake.schemas import LIVE_DATA, LIVE_EVENT, LIVE_TABLE, SCOREBOARD
 
 
 def now() -> Column:
@@ -37,6 +38,14 @@ def parse_live_json(messages: DataFrame, processed_time: Column | None = None) -
     return messages.select(event, stamp).select("data.*", "processed_time")
 
 
+def readable(messages: DataFrame) -> DataFrame:
+    """``messages`` with ``readable``: whether the text is a JSON object of the expected types with a game id."""
+    schema = T.StructType(LIVE_EVENT.fields + [T.StructField("_corrupt", T.StringType())])
+    event = F.from_json(F.col("value").cast("string"), schema, {"columnNameOfCorruptRecord": "_corrupt"})
+    return messages.withColumn("_event", event).withColumn("readable", F.coalesce(
+        F.col("_event._corrupt").isNull() & F.col("_event.game_id").isNotNull(), F.lit(False))).drop("_event")
+
+
 def flatten_scoreboard(
     documents: DataFrame,
     processed_time: Column | None = None,
@@ -95,10 +104,6 @@ def write_live(rows: DataFrame, path: str, stream: str, batch_id: int) -> None:
         "partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(path)
 
 
-def read_live(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LIVE_STORED).parquet(path)
-
-
 # ── Questions about LIVE_DATA ────────────────────────────────────────────────────
 
 STATE = [c for c in LIVE_DATA.names if c not in ("game_id", "processed_time")]
@@ -116,6 +121,29 @@ def latest_per_game(live: DataFrame) -> DataFrame:
     )
 
 
+def state_changes(live: DataFrame, bucket: str = "hour") -> DataFrame:
+    """Snapshots whose state differs from the game's snapshot before: a state that comes back counts.
+
+    Snapshots are ordered by time, those of one instant by content. Each is compared inside its
+    game and ``bucket`` of time; only the first one of a bucket needs the last state of the
+    game's bucket before, and those are one row per game and bucket. So a game with very many
+    snapshots is spread over tasks.
+    """
+    state = F.struct(*STATE)
+    rows = live.withColumns({"_bucket": F.date_trunc(bucket, "processed_time"), "_state": state})
+    inside = Window.partitionBy("game_id", "_bucket").orderBy("processed_time", "_state")
+    placed = rows.withColumns({"_before": F.lag("_state").over(inside), "_place": F.row_number().over(inside)})
+    last = rows.groupBy("game_id", "_bucket").agg(F.max(F.struct("processed_time", "_state")).alias("last"))
+    across = Window.partitionBy("game_id").orderBy("_bucket")
+    entry = last.select("game_id", "_bucket", F.lag("last").over(across)["_state"].alias("_entry"))
+    same = ["game_id", "_bucket"]
+    joined = placed.alias("p").join(entry.alias("e"), [F.col(f"p.{c}").eqNullSafe(F.col(f"e.{c}")) for c in same])
+    before = F.when(F.col("p._place") == 1, F.col("e._entry")).otherwise(F.col("p._before"))
+    first = (F.col("p._place") == 1) & F.col("e._entry").isNull()
+    changed = joined.where(first | ~F.col("p._state").eqNullSafe(before))
+    return changed.select(*[F.col(f"p.{c}") for c in live.columns])
+
+
 AsOf = dt.datetime | DataFrame | None
 
 

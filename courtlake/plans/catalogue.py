@@ -18,11 +18,11 @@ from courtlake import fixed_values as V
 from courtlake import fixtures
 from courtlake.operators import live, normalize, quality
 from courtlake.operators.delta import new_rows
-from courtlake.plans import matchup, report
+from courtlake.plans import matchup, report, rollup
 from courtlake.plans import season as S
-from courtlake.plans.star import build_table, day_delta, lead_keys, load_star
-from courtlake.schemas import LIVE_DATA, MESSAGE, STAR
-from courtlake.sources import landing
+from courtlake.plans.star import build_table, day_delta, lead_keys, load_day, load_star
+from courtlake.schemas import APPEND_STREAM, LIVE_DATA, MESSAGE, STAR
+from courtlake.sources import landing, live_store
 from courtlake.sources.warehouse import Warehouse, list_tables
 from courtlake.streaming import live_stream as streams
 from courtlake.workspace import Workspace
@@ -75,6 +75,35 @@ def _find_games(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("GAME_ID", "GAME_DATE", "TEAM_ID", "MATCHUP")
 
 
+def _find_games_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same games, landed in chunks of a year with one day in a folder of its own."""
+    root = Workspace.of(spark, sf).yearly_root()
+    found = landing.find_games(
+        landing.scan(spark, root, "games"), dt.date(1997, 3, 1), dt.date(1997, 10, 31),
+        index=landing.chunk_index(spark, root, "games"))
+    return found.select("GAME_ID", "GAME_DATE", "TEAM_ID", "MATCHUP")
+
+
+def _repair_in_place(spark: SparkSession, sf: str) -> DataFrame:
+    """Two repairs around a chunk that lands again, with whole numbers as at first and points
+    raised by one; every tenth game has no chunk date. Read as plain files afterwards."""
+    space = Workspace.of(spark, sf)
+    root, staging = space.new_path("repair"), space.new_path("staging")
+    whole = {c: F.col(c).cast("bigint") for c in (*V.STATS, "PLUS_MINUS")}
+    rows = space.raw("team_stats").withColumn(
+        "date", F.when(~F.col("GAME_ID").endswith("7"), F.col("date")))
+    early = F.coalesce(F.col("date") < F.lit(dt.date(1998, 1, 1)), F.lit(False))
+    landing.land(rows.where(early), root, "team_stats")
+    landing.land(rows.where(~early).withColumns(whole), root, "team_stats")
+    landing.repair_in_place(spark, root, "team_stats", staging)
+    chunk = landing.chunk_plan(fixtures.span(spark, sf)).where(
+        F.col("chunk_start") <= F.lit(dt.date(1997, 3, 1))).agg(F.max("chunk_start")).first()[0]
+    again = rows.where(F.col("date") == F.lit(chunk)).withColumns(whole)
+    landing.land(again.withColumn("PTS", F.col("PTS") + 1), root, "team_stats")
+    landing.repair_in_place(spark, root, "team_stats", staging)
+    return landing.scan(spark, root, "team_stats").select("GAME_ID", "TEAM_ID", "PTS", "FG_PCT", "date")
+
+
 def _repair_types(spark: SparkSession, sf: str) -> DataFrame:
     return landing.scan_repaired(spark, Workspace.of(spark, sf).drifting_root(), "team_stats")
 
@@ -156,6 +185,29 @@ def _incremental_day(spark: SparkSession, sf: str) -> DataFrame:
     return day_delta(spark, space.landing_root("games"), held, "fact_game", day)
 
 
+def _rollup_after_relanding(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily team sums kept while half of the last chunk's games come late, by the daily job."""
+    space = Workspace.of(spark, sf)
+    store = Warehouse(spark, space.new_path("rollup"))
+    day = landing.chunk_plan(fixtures.span(spark, sf)).agg(F.max("chunk_start")).first()[0]
+    early = (F.col("date") < F.lit(day)) | (F.substring("GAME_ID", -1, 1).cast("int") % 2 == 0)
+    facts = ("fact_game", "fact_game_team_stats")
+    load_star({n: space.raw(n).where(early) for n in ("games", "team_stats")}, store, facts)
+    rollup.build_rollups(store)
+    for name in ("games", "team_stats", "player_stats"):
+        space.raw(name)
+    load_day(spark, space.landing_root("games"), store, day, facts)
+    kept = rollup.held(store.read("team_days"), "team_days")
+    return kept.select("team_id", "date", "games", "sum_pts", "n_pts",
+                       F.col("sum_fg_pct").cast("double").alias("sum_fg_pct"), "n_fg_pct")
+
+
+def _player_days(star: S.Star) -> DataFrame:
+    kept = rollup.held(star["player_days"], "player_days")
+    return kept.select("team_id", "player_id", "date", "games", "sum_reb", "sum_tenths", "n_tenths",
+                       F.col("sum_ft_pct").cast("double").alias("sum_ft_pct"), "n_ft_pct")
+
+
 def _load_star(spark: SparkSession, sf: str) -> DataFrame:
     """Load an empty warehouse twice: rows added per table, then none."""
     space = Workspace.of(spark, sf)
@@ -204,7 +256,15 @@ def _record_sql(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _sample(table: str) -> Query:
-    return _star(lambda star: report.first_rows(star[table]))
+    return _star(lambda star: report.first_rows(star[table].select(STAR[table].schema.names)))
+
+
+def _sample_found(star: S.Star) -> DataFrame:
+    """Rows of a look at a table, without an order, that the table does hold."""
+    name = "fact_game_player_stats"
+    games = star[name].select(STAR[name].schema.names)
+    some = report.sample(games).select("game_id", "player_id").distinct()
+    return games.join(some, ["game_id", "player_id"], "left_semi").agg(F.count(F.lit(1)).alias("found"))
 
 
 def _sample_live(spark: SparkSession, sf: str) -> DataFrame:
@@ -226,6 +286,18 @@ def _parse(spark: SparkSession, sf: str) -> DataFrame:
     return live.parse_live_json(fixtures.live_messages(spark, sf), F.col("timestamp"))
 
 
+def _stamped(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages stamped by the clock: one time for all of a query's rows, that of the run."""
+    rows = live.parse_live_json(fixtures.live_messages(spark, sf))
+    fresh = F.abs(F.unix_timestamp(F.col("processed_time").cast("timestamp")) - F.unix_timestamp()) < 600
+    return rows.groupBy("game_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.min(fresh).alias("fresh"))
+
+
+def _state_changes(spark: SparkSession, sf: str) -> DataFrame:
+    return live.state_changes(Workspace.of(spark, sf).live()).select(LIVE_DATA.names)
+
+
 def _flatten(defaults: bool) -> Query:
     return lambda spark, sf: live.flatten_scoreboard(
         fixtures.scoreboards(spark, sf), F.col("timestamp"), defaults=defaults
@@ -328,10 +400,42 @@ def _two_sources(spark: SparkSession, sf: str) -> DataFrame:
     return streams.read_batches(spark, out).select(LIVE_DATA.names)
 
 
+def _compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """LIVE_DATA after two compactions around a replayed batch, an append and a clean-up."""
+    space = Workspace.of(spark, sf)
+    topic, out, checkpoint = (space.new_path(n) for n in ("topic", "stream", "checkpoint"))
+    messages = spark.read.schema(MESSAGE).parquet(space.messages_path("live"))
+    for part in range(3):
+        some = messages.where(F.pmod(F.hash("value", "timestamp"), F.lit(3)) == part)
+        some.coalesce(1).write.mode("append").parquet(topic)
+        _append(streams.file_messages(spark, topic, files_per_batch=1), out, checkpoint).awaitTermination()
+    live_store.compact(spark, out)
+    first = live_store.batches(spark, out).where("batch_id = 0")
+    owner = first.select("stream").first()[0]
+    live.write_live(first.select(LIVE_DATA.names).checkpoint(), out, owner, 0)
+    live.write_live(fixtures.live(spark, sf), out, f"{APPEND_STREAM}{uuid.uuid4().hex}", 0)
+    live_store.compact(spark, out)
+    live_store.vacuum(spark, out)
+    return live_store.read(spark, out).select(LIVE_DATA.names)
+
+
+def _quarantined(spark: SparkSession, sf: str) -> DataFrame:
+    """Readable and unreadable messages of a stream, by where it put them."""
+    space = Workspace.of(spark, sf)
+    out, bad, checkpoint = (space.new_path(n) for n in ("stream", "quarantine", "checkpoint"))
+    source = streams.file_messages(spark, space.messages_path("live"), FILES_PER_BATCH)
+    streams.quarantining_stream(
+        source, out, bad, checkpoint, streams.CATCH_UP, F.col("timestamp")).awaitTermination()
+    good = streams.read_batches(spark, out).groupBy("game_id").agg(F.count(F.lit(1)).alias("rows"))
+    kept = streams.read_quarantine(spark, bad).groupBy(F.col("value").alias("game_id")).agg(
+        F.count(F.lit(1)).alias("rows"))
+    return good.withColumn("kept_in", F.lit("live_data")).unionByName(kept.withColumn("kept_in", F.lit("quarantine")))
+
+
 def _catalog_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of every table as declared in the catalog, live rows of two appends included."""
     space = Workspace.of(spark, sf)
-    database = f"courtlake_{uuid.uuid4().hex}"
+    database = space.database
     store = space.warehouse()
     rows = fixtures.live(spark, sf)
     early = F.col("quarter") <= 2
@@ -340,7 +444,7 @@ def _catalog_counts(spark: SparkSession, sf: str) -> DataFrame:
         store.append("live_data", rows.where(~F.coalesce(early, F.lit(False))))
     store.create_tables(database)
     declared = list_tables(spark, database=database).where("NOT isTemporary")
-    names = [r.tableName for r in declared.collect()]
+    names = [r.tableName for r in declared.collect() if r.tableName not in rollup.ROLLUPS]
     return normalize.union_box_scores(*[
         store.query(f"SELECT '{n}' AS tbl, count(*) AS row_count FROM `{database}`.`{n}`")
         for n in names
@@ -360,7 +464,9 @@ QUERIES: dict[str, Query] = {
     "scan_player_stats": _scan("player_stats"),
     "scan_team_stats": _scan("team_stats"),
     "find_games": _find_games,
+    "find_games_indexed": _find_games_indexed,
     "repair_types": _repair_types,
+    "repair_in_place": _repair_in_place,
     "normalize_player_v3": _normalize_player,
     "normalize_team_v3": _normalize_team,
     "lineup_rollup": _lineup_rollup,
@@ -372,6 +478,8 @@ QUERIES: dict[str, Query] = {
     "append_new_rows": _append_new,
     "incremental_day": _incremental_day,
     "load_star": _load_star,
+    "rollup_after_relanding": _rollup_after_relanding,
+    "rollup_player_days": _star(_player_days),
     "chunk_plan": _chunk_plan,
     "chunk_plan_pending": _pending,
     "chunk_game_counts": _chunk_games,
@@ -405,12 +513,15 @@ QUERIES: dict[str, Query] = {
     "table_samples": _sample("fact_game"),
     **{f"sample_{table}": _sample(table) for table in STAR},
     "sample_live_data": _sample_live,
+    "sample_found": _star(_sample_found),
     "pk_violations": _star(quality.pk_violations),
     "fk_orphans": _star(quality.fk_orphans),
     "unkeyed_rows": lambda spark, sf: quality.unkeyed_rows(_LazyRaw(Workspace.of(spark, sf))),
     "null_violations": _star(quality.null_violations),
     "length_violations": _star(quality.length_violations),
     "parse_live_json": _parse,
+    "live_stamped": _stamped,
+    "state_changes": _state_changes,
     "flatten_scoreboard": _flatten(defaults=False),
     "flatten_scoreboard_defaults": _flatten(defaults=True),
     "live_latest": _live(live.live_latest),
@@ -429,6 +540,8 @@ QUERIES: dict[str, Query] = {
     "stream_two_sources": _two_sources,
     "stream_latest_state": _stream_latest,
     "stream_changed_only": _stream_changed,
+    "stream_quarantine": _quarantined,
+    "live_compacted": _compacted,
 }
 
 

@@ -17,12 +17,8 @@ def live_matchup(live_games: DataFrame, star: S.Star, season: str) -> DataFrame:
     """
     sides = team_lookup(game_sides(live_games), star["dim_team"])
     record = S.team_record_all(star, season).drop("season")
-    shooting = (
-        star["fact_game_team_stats"].select("game_id", "team_id", "fg_pct")
-        .join(S.season_games(star, season), "game_id")
-        .groupBy("team_id")
-        .agg(F.avg("fg_pct").alias("avg_fg_pct"))
-    )
+    shooting = S.season_averages_all(star, season, _playing(live_games, star)).select(
+        "team_id", F.col("fg_pct").alias("avg_fg_pct"))
     joined = sides.join(record, "team_id", "left").join(shooting, "team_id", "left")
     zero, none = F.lit(0), F.lit(0.0)
     return joined.select(
@@ -43,9 +39,8 @@ def _playing(live_games: DataFrame, star: S.Star) -> DataFrame:
 
 def live_trend(live_games: DataFrame, star: S.Star, season: str) -> DataFrame:
     """Points by date of every team in a live game: a team's rows once, however many it plays."""
-    own = star["fact_game_team_stats"].select("game_id", "team_id", "pts").join(
-        _playing(live_games, star), "team_id", "left_semi"
-    )
+    own = S.season_rows(star, star["fact_game_team_stats"], season).select(
+        "game_id", "team_id", "pts").join(_playing(live_games, star), "team_id", "left_semi")
     return own.join(S.season_games(star, season), "game_id").select(
         "team_id", "date", "game_id", "pts"
     )
@@ -54,7 +49,7 @@ def live_trend(live_games: DataFrame, star: S.Star, season: str) -> DataFrame:
 def live_season_averages(live_games: DataFrame, star: S.Star, season: str) -> DataFrame:
     """Each side of each live game with its team's season averages."""
     sides = team_lookup(game_sides(live_games), star["dim_team"])
-    means = S.season_averages_all(star, season).drop("season")
+    means = S.season_averages_all(star, season, _playing(live_games, star)).drop("season")
     return sides.select("game_id", "side", "team_id").join(means, "team_id", "left").select(
         "game_id", "side", "team_id", *S.LOG_STATS
     )
@@ -62,8 +57,7 @@ def live_season_averages(live_games: DataFrame, star: S.Star, season: str) -> Da
 
 def live_roster(live_games: DataFrame, star: S.Star, season: str) -> DataFrame:
     """The season's roster, with game score, of every team in a live game."""
-    rosters = S.roster_all(star, season).drop("season")
-    return rosters.join(_playing(live_games, star), "team_id", "left_semi")
+    return S.roster_all(star, season, _playing(live_games, star)).drop("season")
 
 
 def live_head_to_head(

@@ -52,7 +52,7 @@ def warehouse_report(star: Star, team_id: int, abbreviation: str) -> dict[str, D
     """Every part of the report, each a DataFrame of its own shape."""
     return {
         "table_counts": table_counts(star),
-        **{f"sample_{name}": sample(star[name]) for name in STAR},
+        **{f"sample_{name}": sample(star[name].select(STAR[name].schema.names)) for name in STAR},
         "team_by_abbr": team_by_abbr(star, abbreviation),
         "home_away_counts": home_away_counts(star, team_id),
         "recent_games": recent_games(star, team_id),

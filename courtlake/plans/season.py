@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from courtlake import fixed_values as V
 from courtlake.functions import display
-from courtlake.functions.league import game_score_tenths
+from courtlake.functions.league import game_score_tenths, season_start
 from courtlake.operators.pruning import within_span
+from courtlake.schemas import NO_SEASON, SEASON_FOLDER
 
 Star = Mapping[str, DataFrame]
 
@@ -23,6 +24,8 @@ LOG_STATS = [
     "pts", "fgm", "fga", "fg_pct", "fg3m", "fg3a", "fg3_pct", "ftm", "fta", "ft_pct",
     "oreb", "dreb", "reb", "ast", "stl", "blk", "tov", "pf",
 ]
+# Daily sums, if a warehouse keeps them (plans/rollup.py).
+TEAM_DAYS, PLAYER_DAYS = "team_days", "player_days"
 PCT_STATS = ["fg_pct", "fg3_pct", "ft_pct"]
 ROSTER_MEANS = {
     "ppg": "pts", "rpg": "reb", "apg": "ast", "spg": "stl", "bpg": "blk",
@@ -50,6 +53,17 @@ def regular_dates(star: Star, season: str | None = None) -> DataFrame:
     return dates.select("date", "season")
 
 
+def _with_folder(df: DataFrame) -> DataFrame:
+    return df.withColumn(SEASON_FOLDER, season_start(F.col("date")))
+
+
+def season_folders(dates: DataFrame) -> DataFrame:
+    """The folders that may hold rows of games on these dates, that of no season included."""
+    return dates.select(
+        F.explode(F.array(season_start(F.col("date")), F.lit(NO_SEASON))).alias(SEASON_FOLDER)
+    )
+
+
 def seasons(star: Star) -> DataFrame:
     known = regular_dates(star).where(F.col("season").isNotNull())
     return known.select("season").distinct().orderBy(F.desc("season"))
@@ -108,11 +122,15 @@ def team_record(star: Star, team_id: int, season: str) -> DataFrame:
     )
     # Home wins over away for a team listed on both sides, so a game counts once.
     sides = own.select(
-        "date", F.lit(team_id).alias("team_id"), *_own_side(F.col("home_team_id") == team_id)
+        "date", *_folder_of(own), F.lit(team_id).alias("team_id"),
+        *_own_side(F.col("home_team_id") == team_id)
     )
-    dates = regular_dates(star, season)
-    daily = _daily(within_span(sides, "date", dates.select("date")))
-    return _with_losses(daily.join(dates, "date").agg(*_record_columns()))
+    return _with_losses(_daily(in_season(star, sides, season)).agg(*_record_columns()))
+
+
+def _folder_of(df: DataFrame) -> list[str]:
+    """The folder column, where a table is stored by season."""
+    return [c for c in df.columns if c == SEASON_FOLDER]
 
 
 def _own_side(is_home: Column) -> list[Column]:
@@ -129,7 +147,7 @@ def team_record_all(star: Star, season: str | None = None) -> DataFrame:
     """The record of every team in every regular season, or in one."""
     dates, games = regular_dates(star, season), star["fact_game"]
     if season is not None:
-        games = within_span(games, "date", dates.select("date"))
+        games = in_season(star, games, season, keep=True)
     joined = _daily(team_sides(games)).join(dates, "date")
     return _with_losses(joined.groupBy("team_id", "season").agg(*_record_columns()))
 
@@ -139,23 +157,41 @@ def team_record_all(star: Star, season: str | None = None) -> DataFrame:
 
 def season_games(star: Star, season: str | None = None) -> DataFrame:
     """Regular-season games with date and season."""
-    return in_season(star, star["fact_game"].select("game_id", "date"), season)
+    games = star["fact_game"]
+    return in_season(star, games.select("game_id", "date", *_folder_of(games)), season)
+
 
+def in_season(star: Star, games: DataFrame, season: str | None, keep: bool = False) -> DataFrame:
+    """Games on regular-season dates, with their season; ``keep`` adds and repeats nothing.
 
-def in_season(star: Star, games: DataFrame, season: str | None) -> DataFrame:
-    """Games on regular-season dates; of one season, only its span of dates is scanned."""
+    Where games are stored by season, the join itself prunes folders: a date's folder
+    follows from the date, so the few folders of the wanted dates are known before the scan. Other
+    tables are bounded by the dates' span.
+    """
     dates = regular_dates(star, season)
+    on = ["date"]
     if season is not None:
-        games = within_span(games, "date", dates.select("date"))
-    return games.join(dates, "date")
+        if SEASON_FOLDER in games.columns:
+            dates, on = _with_folder(dates), ["date", SEASON_FOLDER]
+        else:
+            games = within_span(games, "date", dates.select("date"))
+    return games.join(dates, on, "left_semi" if keep else "inner")
+
+
+def season_rows(star: Star, stats: DataFrame, season: str | None) -> DataFrame:
+    """Box scores that may belong to games of a season: a superset that spares other folders."""
+    if season is None:
+        return stats
+    if SEASON_FOLDER in stats.columns:
+        return stats.join(season_folders(regular_dates(star, season)), SEASON_FOLDER, "left_semi")
+    # Stored by (team, game): within a team's pages, only those of the season are read.
+    return within_span(stats, "game_id", season_games(star, season).select("game_id"))
 
 
 def _team_games(star: Star, team_id: int, season: str) -> DataFrame:
     own = star["fact_game_team_stats"].where(F.col("team_id") == team_id)
-    games = season_games(star, season)
-    # Stored by (team, game): within a team's pages, only those of the season are read.
-    own = within_span(own, "game_id", games.select("game_id"))
-    return own.select("game_id", *LOG_STATS).join(games, "game_id")
+    own = season_rows(star, own, season).select("game_id", *LOG_STATS)
+    return own.join(season_games(star, season), "game_id")
 
 
 def game_log(star: Star, team_id: int, season: str) -> DataFrame:
@@ -174,14 +210,35 @@ def season_averages(star: Star, team_id: int, season: str) -> DataFrame:
     return _team_games(star, team_id, season).agg(*means)
 
 
-def season_averages_all(star: Star, season: str | None = None) -> DataFrame:
-    """Season averages of every team in every regular season, or in one."""
-    joined = star["fact_game_team_stats"].select("game_id", "team_id", *LOG_STATS).join(
-        season_games(star, season), "game_id"
-    )
+def season_averages_all(
+    star: Star, season: str | None = None, teams: DataFrame | None = None
+) -> DataFrame:
+    """Season averages of every team (or of ``teams``) in every regular season, or in one.
+
+    Read from the team's daily sums where they are kept, otherwise from the box scores.
+    """
+    if TEAM_DAYS in star:
+        days = _kept(star[TEAM_DAYS], teams)
+        return rolled_means(in_season(star, days, season), ["team_id", "season"], {c: c for c in LOG_STATS})
+    own = season_rows(star, _kept(star["fact_game_team_stats"], teams), season)
+    joined = own.select("game_id", "team_id", *LOG_STATS).join(season_games(star, season), "game_id")
     return joined.groupBy("team_id", "season").agg(*[F.avg(c).alias(c) for c in LOG_STATS])
 
 
+def _kept(df: DataFrame, teams: DataFrame | None) -> DataFrame:
+    return df if teams is None else df.join(teams, "team_id", "left_semi")
+
+
+def rolled_means(days: DataFrame, by: list[str], means: Mapping[str, str]) -> DataFrame:
+    """Means per group from daily sums and counts, groups without a game left out."""
+    out = days.groupBy(*by).agg(
+        F.sum("games").alias("_games"),
+        *[F.try_divide(F.sum(f"sum_{c}").cast("double"), F.sum(f"n_{c}")).alias(name)
+          for name, c in means.items()],
+    )
+    return out.where("_games > 0").drop("_games")
+
+
 def season_averages_display(star: Star, team_id: int, season: str) -> DataFrame:
     """Season averages as shown: one decimal, percentages as percent."""
     shown = [
@@ -231,19 +288,24 @@ def _roster(star: Star, stats: DataFrame, games: DataFrame, by: list[str]) -> Da
         .agg(
             F.count("game_id").alias("games"),
             *[F.avg(stat).alias(name) for name, stat in ROSTER_MEANS.items()],
-            F.round(
-                F.try_divide(F.sum(tenths).cast("double"), F.count(tenths) * 10), 2
-            ).alias("game_score"),
+            _game_score(F.sum(tenths), F.count(tenths)).alias("game_score"),
         )
-        .where(F.col("games") >= V.MIN_GAMES)
     )
-    return means.join(player_collapse(star), "player_id")
+    return _named_roster(star, means)
+
+
+def _game_score(tenths: Column, games: Column) -> Column:
+    return F.round(F.try_divide(tenths.cast("double"), games * 10), 2)
+
+
+def _named_roster(star: Star, means: DataFrame) -> DataFrame:
+    return means.where(F.col("games") >= V.MIN_GAMES).join(player_collapse(star), "player_id")
 
 
 def _team_roster(star: Star, team_id: int, season: str) -> DataFrame:
     own = star["fact_game_player_stats"].where(F.col("team_id") == team_id)
     games = season_games(star, season).select("game_id")
-    return _roster(star, within_span(own, "game_id", games), games, [])
+    return _roster(star, season_rows(star, own, season), games, [])
 
 
 ROSTER_COLUMNS = ["name", "position", "games", *ROSTER_MEANS]
@@ -262,10 +324,27 @@ def roster_game_score(star: Star, team_id: int, season: str) -> DataFrame:
     return ranked.select(*ROSTER_COLUMNS, "game_score")
 
 
-def roster_all(star: Star, season: str | None = None) -> DataFrame:
-    """Roster means and game score of every team in every regular season, or in one."""
-    games = season_games(star, season).select("game_id", "season")
-    roster = _roster(star, star["fact_game_player_stats"], games, ["team_id", "season"])
+def roster_all(
+    star: Star, season: str | None = None, teams: DataFrame | None = None
+) -> DataFrame:
+    """Roster means and game score of every team (or of ``teams``) in every regular season, or in one.
+
+    Read from the players' daily sums where they are kept, otherwise from the box scores.
+    """
+    by = ["team_id", "season"]
+    if PLAYER_DAYS in star:
+        days = in_season(star, _kept(star[PLAYER_DAYS], teams), season)
+        means = days.groupBy("player_id", *by).agg(
+            F.sum("games").alias("games"),
+            *[F.try_divide(F.sum(f"sum_{c}").cast("double"), F.sum(f"n_{c}")).alias(name)
+              for name, c in ROSTER_MEANS.items()],
+            _game_score(F.sum("sum_tenths"), F.sum("n_tenths")).alias("game_score"),
+        )
+        roster = _named_roster(star, means)
+    else:
+        own = season_rows(star, _kept(star["fact_game_player_stats"], teams), season)
+        games = season_games(star, season).select("game_id", "season")
+        roster = _roster(star, own, games, by)
     return roster.select("team_id", "season", "player_id", *ROSTER_COLUMNS, "game_score")
 
 

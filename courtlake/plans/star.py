@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from courtlake.operators.delta import new_rows
 from courtlake.operators.star_tables import BUILDERS
+from courtlake.plans import rollup
 from courtlake.schemas import RAW, STAR
 from courtlake.sources import landing
 from courtlake.sources.warehouse import Warehouse
@@ -37,11 +39,14 @@ def scan_raw(spark: SparkSession, root: str, day: dt.date | None = None) -> dict
     return {name: df.where(F.col("date") == F.lit(day)) for name, df in tables.items()}
 
 
-def load_star(raw: dict[str, DataFrame], warehouse: Warehouse) -> dict[str, int]:
+def load_star(
+    raw: dict[str, DataFrame], warehouse: Warehouse, tables: Sequence[str] = tuple(BUILDERS)
+) -> dict[str, int]:
     """Append what is new to each table, dimensions first; returns rows added per table.
 
-    Tables of one kind do not depend on each other: their jobs are submitted together, so
-    that one table's last tasks do not leave the cluster idle.
+    Box scores follow the games, whose seasons they take their folders from. Tables of one
+    wave do not depend on each other: their jobs are submitted together, so that one table's
+    last tasks do not leave the cluster idle.
     """
 
     def append(table: str) -> int:
@@ -49,17 +54,27 @@ def load_star(raw: dict[str, DataFrame], warehouse: Warehouse) -> dict[str, int]
 
     added: dict[str, int] = {}
     with ThreadPoolExecutor(len(BUILDERS)) as pool:
-        for kind in ("dim_", "fact_"):
-            tables = [t for t in BUILDERS if t.startswith(kind)]
-            added |= zip(tables, pool.map(append, tables))
+        for wave in (("dim_team", "dim_player", "dim_date", "fact_game"),
+                     ("fact_game_team_stats", "fact_game_player_stats")):
+            some = [t for t in wave if t in tables]
+            added |= zip(some, pool.map(append, some))
     return added
 
 
 def load_day(
-    spark: SparkSession, landing_root: str, warehouse: Warehouse, day: dt.date
+    spark: SparkSession, landing_root: str, warehouse: Warehouse, day: dt.date,
+    tables: Sequence[str] = tuple(BUILDERS),
 ) -> dict[str, int]:
-    """The daily job: one landed partition, not a rescan of all of them."""
-    return load_star(scan_raw(spark, landing_root, day), warehouse)
+    """The daily job: one landed partition, not a rescan of all of them.
+
+    Where daily sums are kept, those of the dates in the batch are brought up to date. Rows
+    landed without a date lie in a folder of their own, which no day reads.
+    """
+    raw = scan_raw(spark, landing_root, day)
+    added = load_star(raw, warehouse, tables)
+    if any(warehouse.exists(t) for t in rollup.ROLLUPS):
+        rollup.refresh(warehouse, rollup.touched_dates(raw, warehouse))
+    return added
 
 
 def day_delta(

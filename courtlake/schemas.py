@@ -66,7 +66,10 @@ LIVE_DATA = T.StructType(LIVE_EVENT.fields + struct("processed_time timestamp_nt
 LIVE_STORED = T.StructType(
     LIVE_DATA.fields + struct("day date, stream string, batch_id long").fields
 )
+# Streams of a single append are named so, with an id.
+APPEND_STREAM = "append-"
 MESSAGE = struct("value string, timestamp timestamp_ntz")
+QUARANTINE = T.StructType(MESSAGE.fields + struct("stream string, batch_id long").fields)
 
 # Counted statistics are BIGINT: the warehouse's INTEGER has no 32-bit limit.
 _COUNTS = "fgm long, fga long, fg_pct double, fg3m long, fg3a long, fg3_pct double, " \
@@ -93,6 +96,17 @@ class Table:
     max_length: dict[str, int] = field(default_factory=dict)
     references: dict[str, tuple[str, str]] = field(default_factory=dict)
 
+    @property
+    def stored(self) -> T.StructType:
+        """The schema with the folder columns, which questions may use and nothing publishes."""
+        return T.StructType(self.schema.fields + [
+            f for f in FOLDERS.fields if f.name in self.partition_by and f.name not in self.schema.names
+        ])
+
+
+# Facts lie in a folder per season; rows whose game is not known yet in the folder of none.
+SEASON_FOLDER, NO_SEASON = "season_start", -1
+FOLDERS = struct(f"{SEASON_FOLDER} integer")
 
 STAR: dict[str, Table] = {
     "dim_team": Table(
@@ -129,6 +143,7 @@ STAR: dict[str, Table] = {
         key=("game_id",),
         match_on=("game_id",),
         sort_by=("date", "game_id"),
+        partition_by=(SEASON_FOLDER,),
         max_length={"game_id": 20},
         references={
             "date": ("dim_date", "date"),
@@ -142,6 +157,7 @@ STAR: dict[str, Table] = {
         match_on=("game_id", "team_id"),
         unique_on=("game_id", "team_id"),
         sort_by=("team_id", "game_id"),
+        partition_by=(SEASON_FOLDER,),
         max_length={"game_id": 20},
         references={"game_id": ("fact_game", "game_id"), "team_id": ("dim_team", "team_id")},
     ),
@@ -154,6 +170,7 @@ STAR: dict[str, Table] = {
         match_on=("game_id", "player_id"),
         unique_on=("game_id", "player_id"),
         sort_by=("team_id", "game_id"),
+        partition_by=(SEASON_FOLDER,),
         max_length={"game_id": 20, "min": 10},
         references={
             "game_id": ("fact_game", "game_id"),

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 import posixpath
-import uuid
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,32 +16,86 @@ from courtlake import fixed_values as V
 from courtlake.functions.league import us_date
 from courtlake.operators.normalize import repair, type_changes
 from courtlake.schemas import RAW, struct
+from courtlake.sources import publish
 
 PARTITION = struct("date date")
 
 
+#: Of each landed chunk: the least and greatest day of play in it, as the feed writes them.
+CHUNKS = struct("first_day string, last_day string, rows long")
+_DAY = "GAME_DATE"
+
+
 def scan(spark: SparkSession, root: str, table: str) -> DataFrame:
     """A landed table with its fixed schema and its ``date`` partition column.
 
-    Reading the root, not a file glob, is what lets filters on ``date`` prune folders.
+    Reading the root, not a file glob, is what lets filters on ``date`` prune folders. Dates
+    that are being replaced are read from where they are complete.
     """
     schema = T.StructType(RAW[table].fields + PARTITION.fields)
-    return spark.read.schema(schema).parquet(posixpath.join(root, table))
+    return publish.resolved(spark, root, table, spark.read.schema(schema).parquet)
 
 
 def land(df: DataFrame, root: str, table: str) -> None:
     """Write or replace the date partitions present in ``df``; the others stay.
 
-    The rebalance hint gathers each date into few files and splits a date that holds much
-    of the data over many writers.
+    A replacement that was stopped is finished first, so that it cannot undo this one. The
+    chunks' days of play are noted beside the table.
     """
-    (
-        df.hint("rebalance", "date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date")
-        .parquet(posixpath.join(root, table))
-    )
+    spark = df.sparkSession
+    publish.settle(spark, root, table)
+    if _DAY not in df.columns:
+        publish.write_dates(df, posixpath.join(root, table))
+        return
+    # As many values as there are chunks in the batch.
+    seen = Observation()
+    publish.write_dates(df.observe(seen, F.collect_set(F.coalesce(F.col("date").cast("string"), F.lit(""))).alias("dates")),
+                        posixpath.join(root, table))
+    index_chunks(spark, root, table, seen.get["dates"])
+
+
+def _chunks_path(root: str, table: str) -> str:
+    return posixpath.join(root, f"{table}.chunks")
+
+
+def index_chunks(spark: SparkSession, root: str, table: str, dates: list[str] | None = None) -> None:
+    """Note the days of play of landed chunks: of all, or of some ("" is the one without a date).
+
+    A row per chunk, in a folder per chunk like the chunk itself, so landing a chunk again
+    replaces its row. Reads one column.
+    """
+    landed = spark.read.schema(T.StructType(RAW[table].fields + PARTITION.fields)).parquet(
+        posixpath.join(root, table))
+    if dates is not None:
+        known = [dt.date.fromisoformat(d) for d in dates if d]
+        wanted = F.col("date").isin(known) if known else F.lit(False)
+        landed = landed.where(wanted | F.col("date").isNull() if "" in dates else wanted)
+    days = landed.groupBy("date").agg(
+        F.min(_DAY).alias("first_day"), F.max(_DAY).alias("last_day"), F.count(F.lit(1)).alias("rows"))
+    days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(
+        _chunks_path(root, table))
+
+
+def chunk_index(spark: SparkSession, root: str, table: str) -> DataFrame | None:
+    """(date, first_day, last_day, rows) of the landed chunks; None where none were noted."""
+    path = _chunks_path(root, table)
+    if not publish.exists(spark, path):
+        return None
+    return spark.read.schema(T.StructType(CHUNKS.fields + PARTITION.fields)).parquet(path)
+
+
+def without_chunks(games: DataFrame, index: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+    """``games`` without the chunks that are known to hold no day between two, both included.
+
+    A chunk that the index does not know is read. The list is at most one date per chunk.
+    """
+    apart = index.where(~F.coalesce(
+        (F.col("first_day") <= end.isoformat()) & (F.col("last_day") >= start.isoformat()), F.lit(False)))
+    known = [r.date for r in apart.select("date").collect()]
+    dated = [d for d in known if d is not None]
+    if dated:
+        games = games.where(F.col("date").isNull() | ~F.col("date").isin(dated))
+    return games.where("date IS NOT NULL") if None in known else games
 
 
 def find_games(
@@ -51,18 +104,24 @@ def find_games(
     end: dt.date,
     league: str = V.LEAGUE,
     months: int | None = None,
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """Landed games of a league played between two dates, both included.
 
-    A game lies in the partition whose chunk covers it, so only chunks that begin no later
-    than ``end`` are read. ``months``, the longest chunk that was landed, also leaves out those
-    that begin earlier than that before ``start``; without it chunks may be of any length.
+    With ``index`` (:func:`chunk_index`) only chunks that hold such days are read, however long
+    they are, and the one without a date too. Otherwise a game is taken to lie in the partition
+    whose chunk covers it, so only chunks that begin no later than ``end`` are read, and with
+    ``months``, the longest chunk that was landed, none that begin earlier than that before ``start``;
+    games landed without a chunk's date are then not found.
     """
-    if months is not None:
-        games = games.where(F.col("date") > F.add_months(F.lit(start), -months))
+    if index is not None:
+        games = without_chunks(games, index, start, end)
+    else:
+        games = games.where(F.col("date") <= F.lit(end))
+        if months is not None:
+            games = games.where(F.col("date") > F.add_months(F.lit(start), -months))
     return games.where(
-        (F.col("date") <= F.lit(end))
-        & F.col("GAME_DATE").between(start.isoformat(), end.isoformat())
+        F.col(_DAY).between(start.isoformat(), end.isoformat())
         & F.col("GAME_ID").startswith(league)
     )
 
@@ -195,32 +254,36 @@ def scan_repaired(spark: SparkSession, root: str, table: str) -> DataFrame:
     One scan per distinct schema (not per folder), cast, stacked by name. The vectorised
     reader stays on.
     """
-    path = posixpath.join(root, table)
-    groups = [_read_group(spark, path, g) for g in schema_groups(spark, path)]
-    out = groups[0]
+    return publish.resolved(spark, root, table, lambda path: _stacked(spark, path, schema_groups(spark, path)))
+
+
+def _stacked(spark: SparkSession, path: str, groups: list[SchemaGroup]) -> DataFrame:
+    out = _read_group(spark, path, groups[0])
     for group in groups[1:]:
-        out = out.unionByName(group, allowMissingColumns=True)
+        out = out.unionByName(_read_group(spark, path, group), allowMissingColumns=True)
     return out
 
 
+def _date_of(path: str) -> dt.date | None:
+    """The date of a partition folder, or of a file in it; None for that of rows without one."""
+    value = path.rsplit("date=", 1)[1].split("/", 1)[0]
+    return None if value == "__HIVE_DEFAULT_PARTITION__" else dt.date.fromisoformat(value)
+
+
 def repair_in_place(spark: SparkSession, root: str, table: str, staging: str) -> int:
     """Rewrite only the folders that need repair; returns how many were rewritten.
 
-    Repaired rows go to a new folder under ``staging`` first: a folder is never overwritten
-    while it is read, and what an earlier run left there is not landed again.
+    The repaired folders are published as one generation (:mod:`~courtlake.sources.publish`): a folder is
+    never overwritten while it is read, a stop between the two writes loses nothing, and a second
+    run, or the next landing, finishes what the first began. The folder of rows without a
+    date is repaired like any other.
     """
+    publish.settle(spark, root, table)
     path = posixpath.join(root, table)
     groups = schema_groups(spark, path)
-    touched = {
-        p if "date=" in posixpath.basename(p) else posixpath.dirname(p)
-        for g in groups if g.changes for p in g.paths
-    }
-    if not touched:
+    dates = {_date_of(p) for g in groups if g.changes for p in g.paths}
+    if not dates:
         return 0
-    dates = sorted(p.rsplit("date=", 1)[1] for p in touched)
-    repaired = scan_repaired(spark, root, table)
-    fresh = posixpath.join(staging, uuid.uuid4().hex)
-    land(repaired.where(F.col("date").isin([dt.date.fromisoformat(d) for d in dates])),
-         fresh, table)
-    land(spark.read.parquet(posixpath.join(fresh, table)), root, table)
-    return len(touched)
+    touched = publish.Pending("", tuple(dates)).covers(F.col("date"))
+    publish.replace(_stacked(spark, path, groups).where(touched), root, table, staging)
+    return len(dates)

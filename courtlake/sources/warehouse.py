@@ -10,9 +10,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from courtlake.functions.league import season_start
 from courtlake.operators.delta import new_rows, one_row_per_key
 from courtlake.operators.live import write_live
-from courtlake.schemas import LIVE_TABLE, STAR, Table
+from courtlake.operators.pruning import within_span
+from courtlake.sources import live_store
+from courtlake.schemas import APPEND_STREAM, LIVE_TABLE, NO_SEASON, SEASON_FOLDER, STAR, Table
 
 TABLES: dict[str, Table] = {**STAR, "live_data": LIVE_TABLE}
 
@@ -44,14 +47,19 @@ class Warehouse:
     def create_tables(self, database: str | None = None) -> None:
         """Declare every table in the catalog, if absent, over its folder.
 
-        Called again, it also makes folders known that streams have written since.
+        Seasons are the catalog's partitions of facts; called again, it makes new ones known. The
+        live table is a view of the folder: the days are found when it is read, and no micro-batch
+        leaves a partition in the catalog.
         """
         prefix = f"`{database}`." if database else ""
         if database:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.root}'")
         for name, table in TABLES.items():
+            if table is LIVE_TABLE:
+                self._declare_live(prefix + f"`{name}`")
+                continue
             columns = ", ".join(
-                f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema
+                f"`{f.name}` {f.dataType.simpleString()}" for f in table.stored
             )
             folders = f"PARTITIONED BY ({', '.join(table.partition_by)})" if table.partition_by else ""
             self.spark.sql(
@@ -61,27 +69,73 @@ class Warehouse:
             if folders and self.exists(name):
                 self.spark.catalog.recoverPartitions(f"{prefix}`{name}`")
 
+    def _declare_live(self, name: str) -> None:
+        """A view that reads packed files and the batches since, as ``live_store.read`` does."""
+        path, names = self.path("live_data"), ", ".join(f"`{c}`" for c in LIVE_TABLE.schema.names)
+        if not self.exists("live_data"):
+            return
+        rows = f"SELECT {names} FROM parquet.`{path}`"
+        if live_store.log(self.spark, path) is not None:
+            last = f"SELECT * FROM parquet.`{path}.log` WHERE made = (SELECT max(made) FROM parquet.`{path}.log`)"
+            rows = (
+                f"WITH known AS ({last}) "
+                f"SELECT {names} FROM parquet.`{path}` b WHERE NOT EXISTS (SELECT 1 FROM known k "
+                f"WHERE k.day = b.day AND k.stream = b.stream AND b.batch_id <= k.upto) "
+                f"UNION ALL SELECT {names} FROM parquet.`{path}.packed` p WHERE EXISTS (SELECT 1 FROM known k "
+                f"WHERE k.day = p.day AND k.generation = p.generation)")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {rows}")
+
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.schema(TABLES[table].schema).parquet(self.path(table))
+        """The published columns."""
+        return self.stored(table).select(TABLES[table].schema.names)
+
+    def stored(self, table: str) -> DataFrame:
+        """The table with its folder columns, which joins and filters prune folders by."""
+        if TABLES[table] is LIVE_TABLE:
+            return live_store.read(self.spark, self.path(table))
+        return self.spark.read.schema(TABLES[table].stored).parquet(self.path(table))
 
-    def append(self, table: str, df: DataFrame) -> int:
+    def append(self, table: str, df: DataFrame, lead_keys: DataFrame | None = None) -> int:
         """Append rows, columns matched by name; returns the number written.
 
         The count is observed during the write, so the plan runs once. Live rows go where the
-        streams write theirs, under a stream name of this append alone.
+        streams write theirs, under a stream name of this append alone. Facts go to the folder of
+        their season: the rebalance hint gathers each into few files and splits a heavy one.
         """
         spec = TABLES[table]
         seen = Observation()
         names = [c for c in spec.schema.names if c not in spec.partition_by]
-        rows = df.select(names).observe(seen, F.count(F.lit(1)).alias("rows"))
+        count = F.count(F.lit(1)).alias("rows")
         if spec is LIVE_TABLE:
-            write_live(rows, self.path(table), f"append-{uuid.uuid4().hex}", 0)
+            rows = df.select(names).observe(seen, count)
+            write_live(rows, self.path(table), f"{APPEND_STREAM}{uuid.uuid4().hex}", 0)
             return seen.get["rows"]
+        folders = list(spec.partition_by)
+        rows = df.select(names)
+        if folders:
+            rows = self._in_season(table, rows, lead_keys).hint("rebalance", *folders)
+        rows = rows.observe(seen, count)
         if spec.sort_by:
-            rows = rows.sortWithinPartitions(*spec.sort_by)
-        rows.write.mode("append").parquet(self.path(table))
+            rows = rows.sortWithinPartitions(*folders, *spec.sort_by)
+        rows.write.mode("append").partitionBy(*folders).parquet(self.path(table))
         return seen.get["rows"]
 
+    def _in_season(self, table: str, rows: DataFrame, lead_keys: DataFrame | None) -> DataFrame:
+        """Rows with the folder of their season: by the game's date, or by the stored game's folder.
+
+        A row that comes before its game goes to the folder of no season, which every
+        season's question reads too.
+        """
+        if "date" in rows.columns:
+            return rows.withColumn(SEASON_FOLDER, F.coalesce(season_start(F.col("date")), F.lit(NO_SEASON)))
+        if not self.exists("fact_game"):
+            return rows.withColumn(SEASON_FOLDER, F.lit(NO_SEASON))
+        games = self.stored("fact_game").select(F.col("game_id").alias("_game"), SEASON_FOLDER)
+        if lead_keys is not None:
+            games = within_span(games, "_game", lead_keys)
+        found = rows.join(games, rows["game_id"] == games["_game"], "left").drop("_game")
+        return found.withColumn(SEASON_FOLDER, F.coalesce(SEASON_FOLDER, F.lit(NO_SEASON)))
+
     def append_new(self, table: str, df: DataFrame, lead_keys: DataFrame | None = None) -> int:
         """Append only rows whose key the table does not hold; loading twice adds nothing.
 
@@ -91,7 +145,7 @@ class Warehouse:
         rows = one_row_per_key(df, spec.unique_on) if spec.unique_on else df
         if self.exists(table):
             rows = new_rows(rows, self.read(table), spec.match_on, lead_keys)
-        return self.append(table, rows)
+        return self.append(table, rows, lead_keys)
 
     def register_views(self, *tables: str) -> None:
         for table in tables or TABLES:

@@ -14,13 +14,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from courtlake import fixed_values as V
 from courtlake.operators.live import (
-    STATE, flatten_scoreboard, latest_per_game, parse_live_json, read_live, write_live,
+    STATE, flatten_scoreboard, latest_per_game, parse_live_json, readable, write_live,
 )
-from courtlake.schemas import MESSAGE
+from courtlake.schemas import MESSAGE, QUARANTINE
+from courtlake.sources import live_store
 
 EVERY = {"processingTime": f"{V.TRIGGER_SECONDS} seconds"}
 CATCH_UP = {"availableNow": True}
-FILES_PER_DAY_AND_BATCH = 4
+_ADAPTIVE = "spark.sql.adaptive.enabled"
 
 
 # ── Sources ──────────────────────────────────────────────────────────────────────
@@ -56,23 +57,27 @@ def append_batches(
     checkpoint: str,
     trigger: dict[str, Any] | None = None,
     mode: str = "append",
-    files: int = FILES_PER_DAY_AND_BATCH,
 ) -> StreamingQuery:
     """Write each micro-batch to ``<path>/day=<d>/stream=<id>/batch_id=<n>``: LIVE_DATA's layout.
 
     The id is that of the query, which Spark keeps with its checkpoint: a second stream, or one
     with a new checkpoint, counts its batches from 0 again but in a folder of its own. After a
     failure Spark repeats the last batch under the same number; it then replaces its own
-    folders, so nothing is doubled. A batch runs once and leaves at most ``files`` files for
-    each day, however many tasks made its rows; without rows it leaves none. Raise ``files``
-    for a feed whose batches are more than that many tasks can write.
+    folders, so nothing is doubled. A batch runs once. Its files follow its size, not the number of
+    tasks that made its rows: a small batch is one file a day, a large one is written by as many
+    tasks as it has parts of the advisory size; without rows it leaves none.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        owner = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        if not owner:
-            raise RuntimeError("a batch without the id of its stream")
-        write_live(batch.repartition(files), path, owner, batch_id)
+        owner = _owner(batch)
+        # Run-time planning, which a stream has off, counts the bytes before the files are cut.
+        conf = batch.sparkSession.conf
+        before = conf.get(_ADAPTIVE)
+        conf.set(_ADAPTIVE, "true")
+        try:
+            write_live(batch.hint("rebalance"), path, owner, batch_id)
+        finally:
+            conf.set(_ADAPTIVE, before)
 
     return (
         df.writeStream.foreachBatch(write)
@@ -83,9 +88,16 @@ def append_batches(
     )
 
 
+def _owner(batch: DataFrame) -> str:
+    owner = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not owner:
+        raise RuntimeError("a batch without the id of its stream")
+    return owner
+
+
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
     """What the live streams of a table have written so far, with ``batch_id``."""
-    return read_live(spark, path).drop("day", "stream")
+    return live_store.read(spark, path).drop("day", "stream")
 
 
 # ── Streams ──────────────────────────────────────────────────────────────────────
@@ -103,6 +115,45 @@ def live_stream(
     return append_batches(rows, path, checkpoint, trigger)
 
 
+def quarantining_stream(
+    messages: DataFrame,
+    path: str,
+    quarantine: str,
+    checkpoint: str,
+    trigger: dict[str, Any] | None = None,
+    processed_time: Column | None = None,
+) -> StreamingQuery:
+    """``live_stream`` for messages that may be unreadable: those are kept as they came.
+
+    Each batch has two sinks, both replaced by a replay: rows of readable messages in LIVE_DATA, the
+    text and time of the others under ``quarantine``, in a folder of the stream and batch.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        owner, judged = _owner(batch), readable(batch).persist()
+        try:
+            rows = parse_live_json(judged.where("readable"), processed_time)
+            write_live(rows, path, owner, batch_id)
+            judged.where("NOT readable").select(
+                "value", "timestamp", F.lit(owner).alias("stream"), F.lit(batch_id).cast("long").alias("batch_id"),
+            ).coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                "stream", "batch_id").parquet(quarantine)
+        finally:
+            judged.unpersist()
+
+    return (
+        messages.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or EVERY))
+        .start()
+    )
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Messages that no row could be made of."""
+    return spark.read.schema(QUARANTINE).parquet(path)
+
+
 def scoreboard_stream(
     documents: DataFrame,
     path: str,

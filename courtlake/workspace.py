@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from courtlake import fixtures
 from courtlake.fixed_values import STATS
 from courtlake.operators.star_tables import BUILDERS
+from courtlake.plans import rollup
 from courtlake.plans.star import build_table, lead_keys
 from courtlake.schemas import STAR
 from courtlake.session import shared_dir
@@ -49,6 +50,12 @@ class Workspace:
             found._marks.clear()
             return found
 
+    @property
+    def database(self) -> str:
+        """The catalog's name for this workspace's tables, one for each state of their sources."""
+        roots = self._root_for(*self._RAW_FROM)
+        return f"courtlake_{posixpath.basename(roots)}"
+
     def new_path(self, name: str) -> str:
         return posixpath.join(self.root, name, uuid.uuid4().hex)
 
@@ -109,6 +116,19 @@ class Workspace:
 
         return posixpath.join(self._once(self._RAW_FROM, "drift", write), "drift")
 
+    def yearly_root(self) -> str:
+        """Games landed in chunks of twelve months, those of one day in a daily folder."""
+
+        def write(root: str) -> None:
+            days = landing.chunk_days(landing.chunk_plan(fixtures.span(self.spark, self.sf_dir), 12))
+            games = self.raw("games").drop("date").withColumn("day", F.col("GAME_DATE").cast("date"))
+            own = F.lit(dt.date(1997, 5, 20))
+            placed = games.join(days, "day").withColumn(
+                "date", F.when(F.col("day") == own, own).otherwise(F.col("date"))).drop("day")
+            landing.land(placed, posixpath.join(root, "yearly"), "games")
+
+        return posixpath.join(self._once(self._RAW_FROM, "yearly", write), "yearly")
+
     def raw(self, name: str) -> DataFrame:
         return landing.scan(self.spark, self.landing_root(name), name)
 
@@ -119,6 +139,12 @@ class Workspace:
         root = self._root_for(*self._RAW_FROM)
         store = Warehouse(self.spark, posixpath.join(root, "star"))
         for name in names or STAR:
+            if name in rollup.ROLLUPS:
+                self.warehouse("fact_game", "fact_game_team_stats", "fact_game_player_stats")
+                self._once(self._RAW_FROM, "star/rollups", lambda _: rollup.build_rollups(store))
+                continue
+            if name.startswith("fact_game_"):
+                self.warehouse("fact_game")
             source, _ = BUILDERS[name]
 
             def write(_: str, name: str = name, source: str = source) -> None:
@@ -165,12 +191,15 @@ class _LazyStar(Mapping[str, DataFrame]):
         self._workspace = workspace
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in STAR:
+        if name not in self:
             raise KeyError(name)
-        return self._workspace.warehouse(name).read(name)
+        return self._workspace.warehouse(name).stored(name)
+
+    def __contains__(self, name: object) -> bool:
+        return name in STAR or name in rollup.ROLLUPS
 
     def __iter__(self) -> Iterator[str]:
-        return iter(STAR)
+        return iter((*STAR, *rollup.ROLLUPS))
 
     def __len__(self) -> int:
-        return len(STAR)
+        return len(STAR) + len(rollup.ROLLUPS)

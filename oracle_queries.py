@@ -341,6 +341,12 @@ def oracle_sql() -> dict[str, str]:
     q["repair_types"] = q["scan_team_stats"]
     q["find_games"] = """SELECT GAME_ID, GAME_DATE, TEAM_ID, MATCHUP FROM games
         WHERE day BETWEEN DATE '1997-03-01' AND DATE '1997-10-31' AND GAME_ID LIKE '00%'"""
+    q["find_games_indexed"] = q["find_games"]
+    q["repair_in_place"] = f"""SELECT GAME_ID, TEAM_ID, CAST(PTS + CASE WHEN GAME_ID NOT LIKE '%7'
+            AND date = (SELECT max(chunk_start) FROM chunks WHERE chunk_start <= DATE '1997-03-01')
+            THEN 1 ELSE 0 END AS DOUBLE) AS PTS, {_r(["FG_PCT"])},
+        CASE WHEN GAME_ID NOT LIKE '%7' THEN strftime(date, '%Y-%m-%d') END AS date
+        FROM team_raw"""
     q["normalize_player_v3"] = f"SELECT {_V3_PLAYER} FROM feed"
     q["lineup_rollup"] = """SELECT GAME_ID AS "gameId", TEAM_ID AS "teamId",
         TEAM_ABBREVIATION AS "teamTricode", TEAM_NAME AS "teamName",
@@ -412,6 +418,16 @@ def oracle_sql() -> dict[str, str]:
     q["points_trend"] = f"SELECT {_day('date')}, pts FROM team_log WHERE {_OWN}"
     q["season_averages"] = "SELECT " + ", ".join(f"{_six(f'avg({c})')} AS {c}" for c in _LOG) + \
         f" FROM team_log WHERE {_OWN}"
+    q["rollup_after_relanding"] = f"""SELECT team_id, {_day('date')}, count(*) AS games,
+        CAST(sum(pts) AS BIGINT) AS sum_pts, count(pts) AS n_pts,
+        {_six('coalesce(sum(fg_pct), 0)')} AS sum_fg_pct, count(fg_pct) AS n_fg_pct
+        FROM team_stats JOIN fact_game USING (game_id) GROUP BY team_id, date"""
+    q["rollup_player_days"] = f"""SELECT team_id, player_id, {_day('date')}, count(*) AS games,
+        CAST(sum(reb) AS BIGINT) AS sum_reb,
+        CAST(sum(10*pts + 4*fgm - 7*fga - 4*(fta - ftm) + 7*oreb + 3*dreb + 10*stl + 7*ast + 7*blk
+            - 4*pf - 10*tov) AS BIGINT) AS sum_tenths, count(*) AS n_tenths,
+        {_six('coalesce(sum(ft_pct), 0)')} AS sum_ft_pct, count(ft_pct) AS n_ft_pct
+        FROM player_stats JOIN fact_game USING (game_id) GROUP BY team_id, player_id, date"""
     q["season_averages_all"] = "SELECT team_id, season, " + \
         ", ".join(f"{_six(f'avg({c})')} AS {c}" for c in _LOG) + \
         " FROM team_log GROUP BY team_id, season"
@@ -464,6 +480,7 @@ def oracle_sql() -> dict[str, str]:
     q["team_by_abbr"] = "SELECT team_id, name, abbreviation FROM dim_team WHERE abbreviation = 'T03'"
     q["table_samples"] = f"""SELECT {game} FROM (SELECT * FROM fact_game
         ORDER BY game_id, date LIMIT 5)"""
+    q["sample_found"] = "SELECT least(5, count(*)) AS found FROM player_stats"
     first = "ORDER BY ALL ASC NULLS FIRST LIMIT 5"
     q["sample_dim_team"] = f"SELECT * FROM dim_team {first}"
     q["sample_dim_player"] = f"SELECT * FROM dim_player {first}"
@@ -505,6 +522,13 @@ def oracle_sql() -> dict[str, str]:
 
     # ── live scores ──
     q["parse_live_json"] = f"SELECT {_LIVE} FROM parsed"
+    q["live_stamped"] = "SELECT game_id, count(*) AS rows, TRUE AS fresh FROM parsed GROUP BY game_id"
+    states = "h_team, a_team, h_points, a_points, quarter, clock, game_status"
+    q["state_changes"] = f"""SELECT {_LIVE} FROM (
+        SELECT *, row_number() OVER w AS rn, lag(ROW({states})) OVER w AS before FROM live
+        WINDOW w AS (PARTITION BY game_id ORDER BY processed_time,
+            {", ".join(f"{c} NULLS FIRST" for c in states.split(", "))}))
+        WHERE rn = 1 OR ROW({states}) IS DISTINCT FROM before"""
     q["flatten_scoreboard"] = f"SELECT {_LIVE} FROM board"
     q["flatten_scoreboard_defaults"] = f"SELECT {_LIVE} FROM board_defaults"
     q["live_latest"] = f"SELECT {_LIVE} FROM latest"
@@ -551,6 +575,11 @@ def oracle_sql() -> dict[str, str]:
     q["stream_scoreboard"] = f"SELECT {_LIVE} FROM board_defaults"
     q["stream_two_sources"] = f"""SELECT {_LIVE} FROM (SELECT * FROM parsed UNION ALL
         SELECT * FROM parsed UNION ALL SELECT * FROM board_defaults)"""
+    q["live_compacted"] = f"SELECT {_LIVE} FROM (SELECT * FROM parsed UNION ALL SELECT * FROM live)"
+    q["stream_quarantine"] = """SELECT game_id, count(*) AS rows, 'live_data' AS kept_in FROM parsed
+        WHERE game_id IS NOT NULL GROUP BY game_id
+        UNION ALL SELECT '{not json', count(*), 'quarantine' FROM parsed WHERE game_id IS NULL
+        HAVING count(*) > 0"""
     whole = CTES["latest"].replace("FROM recent", "FROM parsed WHERE game_id IS NOT NULL")
     q["stream_latest_state"] = f"SELECT {_LIVE} FROM ({whole})"
     q["stream_changed_only"] = """SELECT DISTINCT game_id, h_team, a_team, h_points, a_points,
