@@ -27,6 +27,29 @@ def test_signatures_estimate_weighted_jaccard():
         assert abs((signs[0] == signs[1]).mean() - exact) < 0.05
 
 
+@pytest.mark.parametrize("similar,least", [(0.8, 0.999), (0.85, 1.0), (0.9, 1.0)])
+def test_bands_find_pairs_at_the_threshold(similar, least):
+    """The share of pairs of exactly that weighted Jaccard similarity that meet in a bucket."""
+    rng = np.random.default_rng(int(similar * 100))
+    pairs, rows, bands = 1500, bagminhash.ROWS, bagminhash.BANDS
+    keys = rng.integers(0, 2**63, (pairs, 60)).astype(np.uint64)
+    a = rng.integers(1, 4, (pairs, 60))
+    b = a.copy()
+    for x, y in zip(a, b):
+        # Weights are taken off one by one until the next would fall below the threshold.
+        for at in rng.permutation(np.repeat(np.arange(60), x)):
+            y[at] -= 1
+            if np.minimum(x, y).sum() / np.maximum(x, y).sum() < similar:
+                y[at] += 1
+                break
+    signs = []
+    for w in (a, b):
+        on = w > 0
+        signs.append(bagminhash.signatures(keys[on], w[on], on.sum(axis=1)))
+    same = (signs[0] == signs[1]).reshape(pairs, bands, rows).all(axis=2).any(axis=1)
+    assert same.mean() >= least
+
+
 def copies():
     rng = np.random.default_rng(4)
     words = [f"w{i}" for i in range(400)]

@@ -71,12 +71,62 @@ def test_recursion_is_exact():
 
 def test_kneser_ney_probabilities_add_up(spark, documents):
     model = kneser_ney.fit(documents.where("lang = 'en'").select("lang", "text").na.fill(""))
-    context = kneser_ney.grams(*kneser_ney.symbols(["the"]))[1] & ((1 << 36) - 1)
-    asked = spark.createDataFrame([("en", (int(context) << 12) | i) for i in range(1 << 12)], "lang string, gram long")
+    bits = kneser_ney.BITS
+    context = int(kneser_ney.grams(*kneser_ney.symbols(["the"]))[1]) & ((1 << 3 * bits) - 1)
+    every = [np.array((context << bits) | i, np.uint64).astype(np.int64).item() for i in range(1 << bits)]
+    asked = spark.createDataFrame([("en", g) for g in every], "lang string, gram long")
     total = sum(10**r.logp for r in kneser_ney.probabilities(asked, model).collect())
     assert abs(total - 1) < 1e-9
 
 
+def plain_kneser_ney(texts):
+    """p(symbol | context) of interpolated modified Kneser-Ney over tuples, straight from its definition."""
+    order, counts = kneser_ney.ORDER, {}
+    top = collections.Counter()
+    for t in texts:
+        code = kneser_ney.symbols([t])[0].tolist()
+        top.update(tuple(code[i : i + order]) for i in range(len(code) - order + 1))
+    counts[order] = top
+    for n in range(order - 1, 0, -1):
+        counts[n] = collections.Counter(g[1:] for g in counts[n + 1])
+    discounts = {}
+    for n, table in counts.items():
+        n1, n2, n3, n4 = (sum(v == i for v in table.values()) for i in (1, 2, 3, 4))
+        y = n1 / max(n1 + 2 * n2, 1)
+        raw = [i - (i + 1) * y * b / max(a, 1) for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
+        discounts[n] = [min(max(d, 0.05), i + 0.95) for i, d in enumerate(raw)]
+
+    def p(gram):
+        n = len(gram)
+        if n == 0:
+            return 1 / (1 << kneser_ney.BITS)
+        same = {g: c for g, c in counts[n].items() if g[:-1] == gram[:-1]}
+        if not same:
+            return p(gram[1:])
+        cut = lambda c: discounts[n][min(c, 3) - 1]
+        total, left = sum(same.values()), sum(map(cut, same.values()))
+        own = max(same[gram] - cut(same[gram]), 0) if gram in same else 0.0
+        return own / total + left / total * p(gram[1:])
+
+    return p
+
+
+def test_against_plain_kneser_ney(spark):
+    texts = ["the cat and the hat", "that cat", "а кот и код", "猫と犬、猫", "กขก กข", "the the the", "", "한국어 한국"]
+    model = kneser_ney.fit(spark.createDataFrame([("x", t) for t in texts], "lang string, text string"))
+    p = plain_kneser_ney(texts)
+    asked = {}
+    for t in [*texts, "the dog", "кот cat", "犬猫", "zzz", "\U0001F600\U0001F601", "국한"]:
+        code, sizes = kneser_ney.symbols([t])
+        for i, gram in enumerate(kneser_ney.grams(code, sizes).tolist()):
+            asked[gram] = tuple(code[i : i + kneser_ney.ORDER].tolist())
+    found = kneser_ney.probabilities(
+        spark.createDataFrame([("x", g) for g in asked], "lang string, gram long"), model).collect()
+    assert len(found) == len(asked)
+    for r in found:
+        assert abs(r.logp - np.log10(p(asked[r.gram]))) < 1e-9
+
+
 def test_quality(spark, documents):
     labels = spark.createDataFrame([(i, 1, 0) for i in range(70)] + [(3, 0, 0), (None, 1, 0)],
                                    "doc_id long, quality int, toxic int")
@@ -93,6 +143,8 @@ def test_symbols():
     code, sizes = kneser_ney.symbols(["a \n b", None, ""])
     assert code.tolist() == [0, 0, 0, 97, 32, 98, 1, 0, 0, 0, 1, 0, 0, 0, 1] and sizes.tolist() == [7, 4, 4]
     assert len(kneser_ney.grams(code, sizes)) == 6
+    code, _ = kneser_ney.symbols(["中刬กข"])
+    assert len(set(code.tolist()[3:7])) == 4
 
 
 def test_packing(documents):
