@@ -77,3 +77,14 @@ TRIGGER_SECONDS = 5
 
 # Backfill window in months per landing partition.
 CHUNK_MONTHS = 6
+
+# Columns of the published game log, its shares, and the means of the roster.
+LOG_STATS = [
+    "pts", "fgm", "fga", "fg_pct", "fg3m", "fg3a", "fg3_pct", "ftm", "fta", "ft_pct",
+    "oreb", "dreb", "reb", "ast", "stl", "blk", "tov", "pf",
+]
+PCT_STATS = ["fg_pct", "fg3_pct", "ft_pct"]
+ROSTER_MEANS = {
+    "ppg": "pts", "rpg": "reb", "apg": "ast", "spg": "stl", "bpg": "blk",
+    "fg_pct": "fg_pct", "fg3_pct": "fg3_pct", "ft_pct": "ft_pct",
+}

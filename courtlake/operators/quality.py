@@ -35,25 +35,29 @@ def pk_violations(star: Star) -> DataFrame:
 def fk_orphans(star: Star) -> DataFrame:
     """Referenced keys that do not exist, with the number of rows that use them.
 
-    Rows are counted per key before the anti-join, so a key used by very many rows is one
-    row when it is shuffled.
+    Each table is scanned once for all its references, and each referenced key once for all that
+    refer to it. Rows are counted per key before the anti-join, so a key used by very many
+    rows is one row when it is shuffled.
     """
 
-    def check(name: str, column: str, parent: str, parent_key: str) -> DataFrame:
-        used = (
-            star[name].where(F.col(column).isNotNull())
-            .groupBy(F.col(column).alias("key")).agg(F.count(F.lit(1)).alias("rows"))
-        )
-        known = star[parent].select(F.col(parent_key).alias("key")).distinct()
-        return used.join(known, "key", "left_anti").select(
-            F.lit(name).alias("tbl"), F.lit(column).alias("column"),
-            F.col("key").cast("string").alias("key"), "rows",
-        )
-
-    return _stack([
-        check(name, column, *parent)
-        for name, table in STAR.items() for column, parent in table.references.items()
+    def used(name: str) -> DataFrame:
+        keys = [
+            F.struct(F.lit(column).alias("column"), F.lit(".".join(parent)).alias("parent"),
+                     F.col(column).cast("string").alias("key"))
+            for column, parent in STAR[name].references.items()
+        ]
+        rows = star[name].select(F.inline(F.array(*keys))).where("key IS NOT NULL")
+        return rows.groupBy("column", "parent", "key").agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("tbl"), "column", "parent", "key", "rows")
+
+    referring = [name for name, table in STAR.items() if table.references]
+    parents = dict.fromkeys(parent for name in referring for parent in STAR[name].references.values())
+    known = _stack([
+        star[table].select(F.lit(f"{table}.{key}").alias("parent"), F.col(key).cast("string").alias("key")).distinct()
+        for table, key in parents
     ])
+    return _stack([used(name) for name in referring]).join(
+        known, ["parent", "key"], "left_anti").select("tbl", "column", "key", "rows")
 
 
 def _per_column(star: Star, checks: dict[str, dict[str, Column]], value: str) -> DataFrame:

@@ -400,6 +400,20 @@ def _two_sources(spark: SparkSession, sf: str) -> DataFrame:
     return streams.read_batches(spark, out).select(LIVE_DATA.names)
 
 
+def _stream_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes of state from messages that come in two batches, the earlier half first."""
+    space = Workspace.of(spark, sf)
+    topic, out, checkpoint = (space.new_path(n) for n in ("topic", "stream", "checkpoint"))
+    messages = spark.read.schema(MESSAGE).parquet(space.messages_path("live"))
+    middle = messages.agg(F.expr("percentile_approx(timestamp, 0.5)")).first()[0]
+    for early in (True, False):
+        messages.where((F.col("timestamp") < F.lit(middle)) == early).write.mode("append").parquet(topic)
+        streams.changes_stream(
+            streams.file_messages(spark, topic, FILES_PER_BATCH), out, checkpoint, streams.CATCH_UP,
+            F.col("timestamp")).awaitTermination()
+    return streams.read_batches(spark, out).select(LIVE_DATA.names)
+
+
 def _compacted(spark: SparkSession, sf: str) -> DataFrame:
     """LIVE_DATA after two compactions around a replayed batch, an append and a clean-up."""
     space = Workspace.of(spark, sf)
@@ -540,6 +554,7 @@ QUERIES: dict[str, Query] = {
     "stream_two_sources": _two_sources,
     "stream_latest_state": _stream_latest,
     "stream_changed_only": _stream_changed,
+    "stream_state_changes": _stream_changes,
     "stream_quarantine": _quarantined,
     "live_compacted": _compacted,
 }

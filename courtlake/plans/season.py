@@ -20,17 +20,9 @@ from courtlake.schemas import NO_SEASON, SEASON_FOLDER
 
 Star = Mapping[str, DataFrame]
 
-LOG_STATS = [
-    "pts", "fgm", "fga", "fg_pct", "fg3m", "fg3a", "fg3_pct", "ftm", "fta", "ft_pct",
-    "oreb", "dreb", "reb", "ast", "stl", "blk", "tov", "pf",
-]
 # Daily sums, if a warehouse keeps them (plans/rollup.py).
 TEAM_DAYS, PLAYER_DAYS = "team_days", "player_days"
-PCT_STATS = ["fg_pct", "fg3_pct", "ft_pct"]
-ROSTER_MEANS = {
-    "ppg": "pts", "rpg": "reb", "apg": "ast", "spg": "stl", "bpg": "blk",
-    "fg_pct": "fg_pct", "fg3_pct": "fg3_pct", "ft_pct": "ft_pct",
-}
+LOG_STATS, PCT_STATS, ROSTER_MEANS = V.LOG_STATS, V.PCT_STATS, V.ROSTER_MEANS
 
 
 # ── Lists ────────────────────────────────────────────────────────────────────────

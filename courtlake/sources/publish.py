@@ -14,7 +14,6 @@ import posixpath
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,13 +62,9 @@ def _point(spark: SparkSession, root: str, table: str, generation: str, closed:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.schema("_ INT").parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    """Whether there is a folder, in whatever file system the path names."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
 
 def pending(spark: SparkSession, root: str, table: str) -> Pending | None:

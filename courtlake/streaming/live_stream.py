@@ -14,7 +14,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from courtlake import fixed_values as V
 from courtlake.operators.live import (
-    STATE, flatten_scoreboard, latest_per_game, parse_live_json, readable, write_live,
+    STATE, flatten_scoreboard, latest_per_game, parse_live_json, readable, state_changes,
+    write_live,
 )
 from courtlake.schemas import MESSAGE, QUARANTINE
 from courtlake.sources import live_store
@@ -175,17 +176,58 @@ def changed_only(live: DataFrame, delay: str = f"{V.LIVE_HOURS} hours") -> DataF
     return kept.dropDuplicatesWithinWatermark(["game_id", *STATE]).drop("_seen")
 
 
-def latest_state(live: DataFrame) -> DataFrame:
-    """The last snapshot of each game on a stream; use output mode ``update``.
+def latest_state(live: DataFrame, delay: str = f"{V.LIVE_HOURS} hours") -> DataFrame:
+    """The last snapshot of each game and day on a stream; use output mode ``update``.
 
-    State is one row per game; only games of a micro-batch are emitted.
+    State is one row per game and day; only games of a micro-batch are emitted. A day leaves the
+    state once the latest snapshot is ``delay`` past its end, so games that are over do not
+    stay; snapshots that come later than that, and those without a time, are left out.
     """
-    return latest_per_game(live)
+    stamped = live.withColumn("_seen", F.col("processed_time").cast("timestamp")).withWatermark("_seen", delay)
+    last = F.max(F.struct("processed_time", *STATE)).alias("last")
+    by_day = stamped.groupBy(F.window("_seen", "1 day"), "game_id").agg(last)
+    return by_day.select("game_id", *[f"last.{c}" for c in STATE], "last.processed_time")
 
 
 def latest_written(batches: DataFrame) -> DataFrame:
-    """The current state per game from the batches an ``update`` stream has written."""
-    last = F.max(F.struct("batch_id", "processed_time", *STATE)).alias("last")
-    return batches.groupBy("game_id").agg(last).select(
-        "game_id", *[f"last.{c}" for c in STATE], "last.processed_time"
+    """The current state per game from the batches an ``update`` stream has written.
+
+    What is emitted for a game and day only moves forward, so the last snapshot is the state.
+    """
+    return latest_per_game(batches)
+
+
+def changes_stream(
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict[str, Any] | None = None,
+    processed_time: Column | None = None,
+) -> StreamingQuery:
+    """Messages of which only changes of a game's state are kept; a state that comes back is one.
+
+    Each batch is compared with the last stored state of its games, as other batches left it: a
+    replay does not see what it wrote itself. Nothing is held in memory between batches.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        owner = _owner(batch)
+        rows = parse_live_json(batch, processed_time).where("game_id IS NOT NULL").persist()
+        try:
+            new = rows.withColumn("_new", F.lit(True))
+            if live_store.exists(batch.sparkSession, path):
+                others = live_store.read(batch.sparkSession, path).where(
+                    (F.col("stream") != owner) | (F.col("batch_id") < batch_id))
+                games = rows.select("game_id").distinct()
+                stored = latest_per_game(others.join(games, "game_id", "left_semi"))
+                new = new.unionByName(stored.withColumn("_new", F.lit(False)))
+            write_live(state_changes(new).where("_new"), path, owner, batch_id)
+        finally:
+            rows.unpersist()
+
+    return (
+        messages.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or EVERY))
+        .start()
     )

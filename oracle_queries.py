@@ -529,6 +529,7 @@ def oracle_sql() -> dict[str, str]:
         WINDOW w AS (PARTITION BY game_id ORDER BY processed_time,
             {", ".join(f"{c} NULLS FIRST" for c in states.split(", "))}))
         WHERE rn = 1 OR ROW({states}) IS DISTINCT FROM before"""
+    q["stream_state_changes"] = q["state_changes"].replace("FROM live", "FROM parsed WHERE game_id IS NOT NULL")
     q["flatten_scoreboard"] = f"SELECT {_LIVE} FROM board"
     q["flatten_scoreboard_defaults"] = f"SELECT {_LIVE} FROM board_defaults"
     q["live_latest"] = f"SELECT {_LIVE} FROM latest"

@@ -125,3 +125,32 @@ def test_state_that_comes_back_is_a_change(spark):
     found = L.state_changes(spark.createDataFrame(given, LIVE_DATA)).collect()
     by = {g: sorted((r.processed_time, r.h_points) for r in found if r.game_id == g) for g in ("a", "b", None)}
     assert [p for _, p in by["a"]] == [1, 2, 1, 3] and [p for _, p in by["b"]] == [1, 2] and len(by[None]) == 1
+
+
+def test_changes_against_the_stored_state(spark, topic, rows):  # noqa: F811
+    def run(checkpoint):
+        S.changes_stream(topic.source(), topic.out, f"{topic.root}/{checkpoint}", S.CATCH_UP,
+                         F.col("timestamp")).awaitTermination()
+
+    for minute, points in ((0, 1), (1, 1), (2, 2), (3, 2), (4, 1)):
+        topic.send(event("a", points), "{not json", minute=minute)
+        run("one")
+    kept = live_store.read(spark, topic.out)
+    assert sorted((r.processed_time.minute, r.h_points) for r in kept.collect()) == [(0, 1), (2, 2), (4, 1)]
+    # A batch that runs again finds the states before it, not its own.
+    live_store.compact(spark, topic.out)
+    assert sorted(r.h_points for r in live_store.read(spark, topic.out).collect()) == [1, 1, 2]
+
+
+def test_finished_games_leave_the_state(spark, topic):  # noqa: F811
+    sizes = []
+    for day in range(4):
+        topic.send(*[event(f"g{day}-{i}", i) for i in range(5)], minute=60 * 24 * 2 * day)
+        rows = S.latest_state(topic.parsed().where("game_id IS NOT NULL"))
+        query = S.append_batches(rows, topic.out, topic.checkpoint, S.CATCH_UP, mode="update")
+        query.awaitTermination()
+        sizes.append(max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]))
+        last = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]][-1]
+    assert last <= 5 and max(sizes) <= 10
+    states = S.latest_written(S.read_batches(spark, topic.out))
+    assert states.count() == 20

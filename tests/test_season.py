@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 from collections import defaultdict
 
 import pytest
@@ -189,6 +190,17 @@ def test_quality_checks(spark, rows):
     assert rows(long) == [("dim_team", "abbreviation", 1)]
 
 
+def test_one_scan_per_table_for_all_references(spark, tmp_path, plan):
+    star = {}
+    for name in STAR:
+        frame(spark, name, []).write.parquet(f"{tmp_path}/{name}")
+        star[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    text = plan(quality.fk_orphans(star)).split("== Initial Plan ==")[0]
+    for name, table in STAR.items():
+        referred = len({p for t in STAR.values() for p in t.references.values() if p[0] == name})
+        assert len(re.findall(rf"FileScan parquet [^\n]*/{name}[,\]]", text)) == bool(table.references) + referred
+
+
 def test_plans_without_broadcast_hints(spark, league, plan):
     """Beyond the broadcast threshold, joins fall back to sort-merge by themselves."""
     _, star = league
