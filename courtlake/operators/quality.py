@@ -36,8 +36,9 @@ def fk_orphans(star: Star) -> DataFrame:
     """Referenced keys that do not exist, with the number of rows that use them.
 
     Each table is scanned once for all its references, and each referenced key once for all that
-    refer to it. Rows are counted per key before the anti-join, so a key used by very many
-    rows is one row when it is shuffled.
+    refer to it: used and known keys are stacked and meet in one aggregation. Rows are counted
+    per key and task first, so a key used by very many rows is one row when it is shuffled, and
+    a key gathers at most one entry per reference.
     """
 
     def used(name: str) -> DataFrame:
@@ -48,16 +49,19 @@ def fk_orphans(star: Star) -> DataFrame:
         ]
         rows = star[name].select(F.inline(F.array(*keys))).where("key IS NOT NULL")
         return rows.groupBy("column", "parent", "key").agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(name).alias("tbl"), "column", "parent", "key", "rows")
+            "parent", "key", F.struct(F.lit(name).alias("tbl"), "column", "rows").alias("use"))
 
     referring = [name for name, table in STAR.items() if table.references]
     parents = dict.fromkeys(parent for name in referring for parent in STAR[name].references.values())
-    known = _stack([
+    use = "struct<tbl:string,column:string,rows:bigint>"
+    known = [
         star[table].select(F.lit(f"{table}.{key}").alias("parent"), F.col(key).cast("string").alias("key")).distinct()
+        .withColumn("use", F.lit(None).cast(use))
         for table, key in parents
-    ])
-    return _stack([used(name) for name in referring]).join(
-        known, ["parent", "key"], "left_anti").select("tbl", "column", "key", "rows")
+    ]
+    met = _stack([used(name) for name in referring] + known).groupBy("parent", "key").agg(
+        F.max(F.col("use").isNull()).alias("known"), F.collect_list("use").alias("uses"))
+    return met.where("NOT known").select("key", F.inline("uses")).select("tbl", "column", "key", "rows")
 
 
 def _per_column(star: Star, checks: dict[str, dict[str, Column]], value: str) -> DataFrame:

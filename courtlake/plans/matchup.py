@@ -17,7 +17,7 @@ def live_matchup(live_games: DataFrame, star: S.Star, season: str) -> DataFrame:
     """
     sides = team_lookup(game_sides(live_games), star["dim_team"])
     record = S.team_record_all(star, season).drop("season")
-    shooting = S.season_averages_all(star, season, _playing(live_games, star)).select(
+    shooting = S.season_averages_all(star, season, _playing(live_games, star), ["fg_pct"]).select(
         "team_id", F.col("fg_pct").alias("avg_fg_pct"))
     joined = sides.join(record, "team_id", "left").join(shooting, "team_id", "left")
     zero, none = F.lit(0), F.lit(0.0)

@@ -7,7 +7,7 @@ and otherwise sorts and merges, splitting hot partitions.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -203,7 +203,8 @@ def season_averages(star: Star, team_id: int, season: str) -> DataFrame:
 
 
 def season_averages_all(
-    star: Star, season: str | None = None, teams: DataFrame | None = None
+    star: Star, season: str | None = None, teams: DataFrame | None = None,
+    stats: Sequence[str] = tuple(LOG_STATS),
 ) -> DataFrame:
     """Season averages of every team (or of ``teams``) in every regular season, or in one.
 
@@ -211,10 +212,10 @@ def season_averages_all(
     """
     if TEAM_DAYS in star:
         days = _kept(star[TEAM_DAYS], teams)
-        return rolled_means(in_season(star, days, season), ["team_id", "season"], {c: c for c in LOG_STATS})
+        return rolled_means(in_season(star, days, season), ["team_id", "season"], {c: c for c in stats})
     own = season_rows(star, _kept(star["fact_game_team_stats"], teams), season)
-    joined = own.select("game_id", "team_id", *LOG_STATS).join(season_games(star, season), "game_id")
-    return joined.groupBy("team_id", "season").agg(*[F.avg(c).alias(c) for c in LOG_STATS])
+    joined = own.select("game_id", "team_id", *stats).join(season_games(star, season), "game_id")
+    return joined.groupBy("team_id", "season").agg(*[F.avg(c).alias(c) for c in stats])
 
 
 def _kept(df: DataFrame, teams: DataFrame | None) -> DataFrame:

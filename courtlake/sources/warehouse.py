@@ -70,12 +70,16 @@ class Warehouse:
                 self.spark.catalog.recoverPartitions(f"{prefix}`{name}`")
 
     def _declare_live(self, name: str) -> None:
-        """A view that reads packed files and the batches since, as ``live_store.read`` does."""
+        """A view that reads packed files and the batches since, as ``live_store.read`` does.
+
+        Declared again after the first rows, or the first compaction, it reads those too.
+        """
         path, names = self.path("live_data"), ", ".join(f"`{c}`" for c in LIVE_TABLE.schema.names)
-        if not self.exists("live_data"):
-            return
         rows = f"SELECT {names} FROM parquet.`{path}`"
-        if live_store.log(self.spark, path) is not None:
+        if not self.exists("live_data"):
+            empty = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in LIVE_TABLE.schema)
+            rows = f"SELECT {empty} WHERE FALSE"
+        elif live_store.log(self.spark, path) is not None:
             last = f"SELECT * FROM parquet.`{path}.log` WHERE made = (SELECT max(made) FROM parquet.`{path}.log`)"
             rows = (
                 f"WITH known AS ({last}) "

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from courtlake.operators import delta, quality
 from courtlake.plans import star
+from courtlake.plans.rollup import ROLLUPS
 from courtlake.schemas import RAW, STAR
 from courtlake.sources import landing
 from courtlake.sources.warehouse import Warehouse, list_tables
@@ -180,7 +181,8 @@ def test_catalog_tables_and_bound_parameters(spark, raw, tmp_path):
         )
         assert found.columns == ["game_id", "score"] and found.count() == 0
     finally:
-        for t in (*STAR, "live_data"):
+        spark.sql("DROP VIEW IF EXISTS live_data")
+        for t in (*STAR, *ROLLUPS):
             spark.sql(f"DROP TABLE IF EXISTS {t}")
 
 
