@@ -1,7 +1,8 @@
 """The corpus pipeline over ``documents``: filter, dedup, mask, mix, pack.
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and is written
-as Parquet before the next one reads it. All but the last return the columns of ``documents``.
+as Parquet before the next one reads it. All but the last return the columns of ``documents``, extra
+ones included, whatever their names. An empty table stays empty through all of them.
 """
 
 from __future__ import annotations
@@ -21,27 +22,41 @@ PACKED_AT_ONCE = 4 << 20
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not call toxic; a failing fit keeps all."""
+    """Documents that the classifier does not call toxic, repeated rows alike.
+
+    Null, empty and very long texts are scored like others. Labels of one class alone, or none, give
+    no classifier, and all documents stay.
+    """
     return toxicity.keep_clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates: the one with the least doc_id, of equal ids one.
+
+    Null, empty and blank texts are no copies of each other and stay.
+    """
     return bagminhash.keep_one(docs)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, personal data replaced by the name of its kind."""
+    """Every document, personal data replaced by the name of its kind; null texts stay null."""
     return personal_data.masked(docs)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document once; small sources again, as far as ``MAX_REPEATS`` lets them."""
+    """Every document once; small sources again, as far as ``MAX_REPEATS`` lets them.
+
+    A null source is a source. Documents without a token are shown once an epoch; equal rows share
+    their place, so a last part of an epoch shows all or none of them.
+    """
     return mixing.mix(docs, max_repeats=MAX_REPEATS, places=False)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, each with its sequence and its place there."""
+    """The pieces of all documents, each with its sequence and its place there.
+
+    A null or empty text is one piece of its end token; texts beyond a sequence are cut.
+    """
     return packing.pack(docs, slice_bytes=PACKED_AT_ONCE)
 
 

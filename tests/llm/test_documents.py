@@ -391,3 +391,30 @@ def test_pipeline(spark, tmp_path):
     assert set(texts) & set(range(110)) == set(expected_groups(copies()).values())
     packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in packed} == set(texts)
+
+
+def test_pipeline_edges(spark, tmp_path):
+    """Nulls, repeats, a very long text, clashing extra columns, an empty table."""
+    texts, labels = labelled(spark)
+    long = " ".join(np.random.default_rng(2).choice("the house by the river was small and old".split(), 40_000))
+    odd = [(5000, None, None, None, None), (5001, "", "en", "", 0), (5002, long, "en", "s9", len(long)),
+           (5003, "same row here", "en", "s9", 13), (5003, "same row here", "en", "s9", 13), (None, "no id at all", "en", "s8", 12)]
+    docs = spark.createDataFrame(odd, "doc_id long, text string, lang string, source string, n_chars long").union(
+        texts.limit(40).select("doc_id", "text", F.lit("en"), F.lit("s2"), F.length("text").cast("long")))
+    names = ["length", "piece", "spans", "score", "tokens", "block", "found", "epoch", "c0", "_c0"]
+    docs = docs.select("*", *[F.lit(i).alias(n) for i, n in enumerate(names)])
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    given = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    kept, empty = given, given.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        kept, empty = stage(spark, kept, str(tmp_path)), stage(spark, empty, str(tmp_path))
+        if name != "packing":
+            assert kept.columns == given.columns and kept.schema.simpleString() == given.schema.simpleString(), name
+        path = str(tmp_path / f"stage-{name}")
+        kept.write.parquet(path)
+        kept = spark.read.parquet(path)
+    assert empty.collect() == []
+    found = collections.Counter(r.doc_id for r in kept.where("piece = 0").collect())
+    assert {5000, 5001, 5002, 5003, None} <= set(found)
+    assert kept.where("doc_id = 5002").count() > 1
