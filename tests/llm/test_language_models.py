@@ -96,17 +96,18 @@ def plain_kneser_ney(texts):
         raw = [i - (i + 1) * y * b / max(a, 1) for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
         discounts[n] = [min(max(d, 0.05), i + 0.95) for i, d in enumerate(raw)]
 
-    def p(gram):
-        n = len(gram)
+    def p(gram, symbol=None):
+        n, symbol = len(gram), gram[-1] if symbol is None else symbol
         if n == 0:
-            return 1 / (1 << kneser_ney.BITS)
+            common, alphabet = kneser_ney.COMMON, kneser_ney.ALPHABET
+            return 1 / alphabet if symbol < common else (1 - common / alphabet) / (65536 - common)
         same = {g: c for g, c in counts[n].items() if g[:-1] == gram[:-1]}
         if not same:
-            return p(gram[1:])
+            return p(gram[1:], symbol)
         cut = lambda c: discounts[n][min(c, 3) - 1]
         total, left = sum(same.values()), sum(map(cut, same.values()))
         own = max(same[gram] - cut(same[gram]), 0) if gram in same else 0.0
-        return own / total + left / total * p(gram[1:])
+        return own / total + left / total * p(gram[1:], symbol)
 
     return p
 
