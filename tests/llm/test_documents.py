@@ -181,6 +181,69 @@ def sources(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, source string, epoch int"), rows
 
 
+def test_mixture_document_by_document(spark, monkeypatch):
+    """Which rows are shown how often, against plain sums over sorted lists; equal rows and nulls included."""
+    monkeypatch.setattr(mixing, "BLOCK_TOKENS", 40)
+    rng = np.random.default_rng(11)
+    rows = [(i, " ".join(["w"] * int(rng.integers(1, 25))), rng.choice(["a"] * 8 + ["b", "c"])) for i in range(400)]
+    rows += [(900 + i % 3, "same row " * 3, "b") for i in range(9)] + [(950, None, "c"), (951, "x y", None), (952, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    tokens = collections.Counter()
+    for _, text, source in rows:
+        tokens[source] += len((text or "").split())
+    total = sum(tokens.values())
+    mixed = mixing.mix(docs, target_entropy=0.9, budget_tokens=total).collect()
+
+    # The exponent by halves, straight from the definition.
+    def weights(e):
+        power = {s: (n / total) ** e for s, n in tokens.items() if n}
+        return {s: v / sum(power.values()) for s, v in power.items()}
+
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        w = weights(middle)
+        entropy = -sum(v * math.log(v) for v in w.values())
+        low, high = (middle, high) if entropy >= 0.9 * math.log(len(w)) else (low, middle)
+    weight = {r.source: r.source_weight for r in mixed}
+    assert all(abs(weight[s] - v) < 1e-6 for s, v in weights(low).items())
+
+    plan = {}
+    for s, n in tokens.items():
+        full, rest = divmod(math.floor(weight[s] * total), n)
+        plan[s] = full, rest, max(1, -(-n // 40))
+    keyed = spark.createDataFrame(
+        [(i, d, t, s, *plan[s]) for i, (d, t, s) in enumerate(rows)],
+        "n long, doc_id long, text string, source string, full int, rest long, blocks long")
+    row = F.xxhash64(F.lit(1), "doc_id", "text")
+    hashed = keyed.select(
+        "n", mixing._block_place(F.col("source"), F.pmod(row, "blocks"), F.col("full"), 1).alias("place"),
+        mixing._inner_place(row, F.col("full"), 1).alias("inner")).collect()
+    unsigned = lambda x: x % 2**64
+    expected = collections.Counter()
+    for source, (full, rest, _) in plan.items():
+        blocks = collections.defaultdict(lambda: collections.defaultdict(list))
+        for h in hashed:
+            if rows[h.n][2] == source:
+                blocks[unsigned(h.place)][unsigned(h.inner)].append(h.n)
+                expected[rows[h.n]] += full
+        size = lambda ns: sum(len((rows[n][1] or "").split()) for n in ns)
+        for place in sorted(blocks):
+            members = [n for ns in blocks[place].values() for n in ns]
+            if size(members) <= rest:
+                rest -= size(members)
+                expected.update(rows[n] for n in members)
+                continue
+            for inner in sorted(blocks[place]):
+                if size(blocks[place][inner]) > rest:
+                    break
+                rest -= size(blocks[place][inner])
+                expected.update(rows[n] for n in blocks[place][inner])
+            break
+    found = collections.Counter((r.doc_id, r.text, r.source) for r in mixed)
+    assert found == +expected
+
+
 def test_mixture_meets_its_weights(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BLOCK_TOKENS", 40)
     docs, rows = sources(spark)
