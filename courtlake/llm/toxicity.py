@@ -14,8 +14,8 @@ and near to much, so they count only if they are a toxic word of the training te
 
 A sentence, and a text, is as toxic as its worst word or phrase (multiple-instance learning): training
 instances are the words that stand out in labelled toxic texts, weighted by the number of texts
-they occur in, against words of clean texts, among them the worst ones of a first model. Toxic
-texts that hold none of these words are searched for phrases of two or three words that stand out;
+they occur in, against words of clean texts, among them the worst ones of a first model. If at
+least ``MISSED`` of the toxic texts hold none of these words, they are searched for phrases of two or three words that stand out;
 where there are some, every window of as many words is read as one long word. The
 machine is linear on Nyström features of a few landmark words. As its decision value is a sum
 of kernel values with landmarks, it folds into one weight per letter triple; scoring is exact,
@@ -45,7 +45,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtlake.llm.common import (
-    bounded_batches, fold_of, free_name, mix64, offsets_of, pick, text_slices, words_of,
+    bounded_batches, fold_of, free_name, mix64, offsets_of, pick, stored, text_slices,
+    words_of,
 )
 
 ORDER = 3
@@ -81,8 +82,9 @@ KINDS = 37
 OTHER = 1 << 18
 #: Words that show the share of wrong labels, and the widest bound that may follow from it.
 WITNESSES, LEAST_PURE = 20, 0.5
-#: Words of a phrase, and texts that must hold it.
-PHRASE, PHRASE_TEXTS = (2, 3), 4
+#: Words of a phrase, texts that must hold it, and the share of toxic texts without a toxic word
+#: from which phrases are looked for.
+PHRASE, PHRASE_TEXTS, MISSED = (2, 3), 4, 0.05
 
 _NO_SIGNS = re.compile(r"[^\w]|_")
 _NO_LETTERS = re.compile(r"[^\w@]|_")
@@ -148,9 +150,12 @@ def _triples(n: int) -> tuple[np.ndarray, np.ndarray]:
     return where, DECAY ** (where[:, 2] - where[:, 0] + 1)
 
 
-def _triple_keys(rows: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _triple_keys(rows: np.ndarray, at: np.ndarray, latin: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the triples at three places, and which hold no gap; ``latin``: no other letters."""
     a, b, c = rows[:, at[0]], rows[:, at[1]], rows[:, at[2]]
     keys, valid = (a * KINDS + b) * KINDS + c, (a > 0) & (b > 0) & (c > 0)
+    if latin:
+        return keys, valid
     other = np.flatnonzero(valid & ((a >= KINDS) | (b >= KINDS) | (c >= KINDS)))
     if len(other):
         mixed = mix64(mix64(mix64(a[other]) + b[other].astype(np.uint64)) + c[other].astype(np.uint64))
@@ -218,11 +223,14 @@ class Model:
         out = np.zeros(len(words))
         for numbers, every in kind_rows(words):
             where, decay = _triples(every.shape[1])
-            for start in range(0, len(every), 20_000):
-                rows, number = every[start : start + 20_000], numbers[start : start + 20_000]
+            other = (every >= KINDS).any(axis=1)
+            slices = [(part, side) for side in (True, False) for part in np.array_split(
+                np.flatnonzero(other != side), max(1, int((other != side).sum()) // 20_000)) if len(part)]
+            for part, latin in slices:
+                rows, number = every[part], numbers[part]
                 linear = np.zeros(len(rows))
                 for at, weight in zip(where, decay):
-                    keys, valid = _triple_keys(rows, at)
+                    keys, valid = _triple_keys(rows, at, latin)
                     linear += weight * self.weights[keys] * valid
                 hot = np.flatnonzero(linear > 0)
                 for part in np.array_split(hot, max(1, len(hot) // 2_000)):
@@ -416,15 +424,16 @@ def fit(
         marked.where("toxic <> 1").orderBy(order, "doc_id").limit(sample_clean)
     )
     # At most sample_toxic + sample_clean ids: safe to send to every task.
-    texts = pick(documents, "doc_id", "text").join(F.broadcast(sample), "doc_id")
+    # Their texts are stored: fitting reads them several times, and the documents once.
+    texts = stored(pick(documents, "doc_id", "text").join(F.broadcast(sample), "doc_id"), "toxicity-sample")
 
     words = texts.select("toxic", F.explode(F.array_distinct(
         F.split(F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}\s]", ""), r"\s+")
     )).alias("word")).where("word <> ''")
-    counted = words.groupBy("word").agg(
+    counted = stored(words.groupBy("word").agg(
         F.sum((F.col("toxic") == 1).cast("long")).alias("bad"),
         F.sum((F.col("toxic") != 1).cast("long")).alias("good"),
-    )
+    ), "toxicity-words")
     totals = texts.agg(
         F.sum((F.col("toxic") == 1).cast("long")), F.sum((F.col("toxic") != 1).cast("long"))
     ).first()
@@ -516,6 +525,8 @@ def _phrases(texts: DataFrame, words: list[str], n1: int, n0: int, pure: float)
     known = F.array(*map(F.lit, words)).cast("array<string>")
     left = split.where((F.col("toxic") == 1) & ~F.arrays_overlap("words", known))
     out: dict[str, tuple[int, float]] = {}
+    if left.count() < MISSED * n1:
+        return out
     for size in PHRASE:
         often = _grams(left, size).groupBy("gram").agg(F.count(F.lit(1)).alias("bad")).where(
             F.col("bad") >= PHRASE_TEXTS).orderBy(F.desc("bad"), "gram").limit(POSITIVE_WORDS)
