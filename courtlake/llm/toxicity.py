@@ -20,7 +20,8 @@ where there are some, every window of as many words is read as one long word. Th
 machine is linear on Nyström features of a few landmark words. As its decision value is a sum
 of kernel values with landmarks, it folds into one weight per letter triple; scoring is exact,
 needs no landmark at run time, and is a pass without a shuffle. Latin letters have a weight for each
-triple; triples with letters of other scripts, each a kind of its own, share ``OTHER`` hashed weights.
+triple (the few without a base, such as sharp s, are nine kinds); triples with letters of other
+scripts, each a kind of its own, share ``OTHER`` hashed weights.
 
 Labels may be wrong: the words that stand out most show which share of clean labels hides
 toxic texts, and the bound on a toxic word's share of clean texts is that much wider. If no word
@@ -78,6 +79,8 @@ LOOKS_LIKE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "
 
 #: Kinds with a weight for each triple: gaps, Latin letters, digits.
 KINDS = 37
+#: Latin letters lie below this.
+LATIN = 0x250
 #: Hashed weights of triples that hold other letters.
 OTHER = 1 << 18
 #: Words that show the share of wrong labels, and the widest bound that may follow from it.
@@ -97,7 +100,7 @@ def _piece(word: str) -> str | None:
 
 
 def _kind(char: str) -> int:
-    """0 is a gap, 1-26 Latin letters, 36 digits; other letters have kinds from KINDS on."""
+    """0 is a gap, 1-26 Latin letters, 27-35 those without a base, 36 digits; others from KINDS on."""
     if char in LOOKS_LIKE:
         return ord(LOOKS_LIKE[char]) - 96
     if "0" <= char <= "9":
@@ -105,7 +108,9 @@ def _kind(char: str) -> int:
     if not char.isalpha():
         return 0
     base = unicodedata.normalize("NFKD", char.lower())[0]
-    return ord(base) - 96 if "a" <= base <= "z" else KINDS + ord(base)
+    if "a" <= base <= "z":
+        return ord(base) - 96
+    return 27 + ord(base) % 9 if ord(base) < LATIN else KINDS + ord(base)
 
 
 _KINDS: np.ndarray | None = None
@@ -150,12 +155,10 @@ def _triples(n: int) -> tuple[np.ndarray, np.ndarray]:
     return where, DECAY ** (where[:, 2] - where[:, 0] + 1)
 
 
-def _triple_keys(rows: np.ndarray, at: np.ndarray, latin: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the triples at three places, and which hold no gap; ``latin``: no other letters."""
+def _triple_keys(rows: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the triples at three places, and which hold no gap."""
     a, b, c = rows[:, at[0]], rows[:, at[1]], rows[:, at[2]]
     keys, valid = (a * KINDS + b) * KINDS + c, (a > 0) & (b > 0) & (c > 0)
-    if latin:
-        return keys, valid
     other = np.flatnonzero(valid & ((a >= KINDS) | (b >= KINDS) | (c >= KINDS)))
     if len(other):
         mixed = mix64(mix64(mix64(a[other]) + b[other].astype(np.uint64)) + c[other].astype(np.uint64))
@@ -218,6 +221,11 @@ class Model:
     #: Numbers of words in a window that is read as one word, besides single ones.
     phrases: tuple[int, ...] = ()
 
+    def __post_init__(self) -> None:
+        gaps = np.arange(KINDS**ORDER)
+        gap = (gaps % KINDS == 0) | (gaps // KINDS % KINDS == 0) | (gaps // KINDS**2 == 0)
+        self.weights[: KINDS**ORDER][gap] = 0.0
+
     def word_margins(self, words: list[str]) -> np.ndarray:
         """bias + the positive part of the kernel sum, for each word's worst window."""
         out = np.zeros(len(words))
@@ -229,9 +237,16 @@ class Model:
             for part, latin in slices:
                 rows, number = every[part], numbers[part]
                 linear = np.zeros(len(rows))
-                for at, weight in zip(where, decay):
-                    keys, valid = _triple_keys(rows, at, latin)
-                    linear += weight * self.weights[keys] * valid
+                if latin:
+                    # Triples with a gap have weight 0: their numbers need no look at the gaps.
+                    last = np.ascontiguousarray(rows.T, np.int32)
+                    first, middle = last * (KINDS * KINDS), last * KINDS
+                    for (i, j, k), weight in zip(where.tolist(), decay):
+                        linear += weight * self.weights.take(first[i] + middle[j] + last[k])
+                else:
+                    for at, weight in zip(where, decay):
+                        keys, valid = _triple_keys(rows, at)
+                        linear += weight * self.weights[keys] * valid
                 hot = np.flatnonzero(linear > 0)
                 for part in np.array_split(hot, max(1, len(hot) // 2_000)):
                     if len(part):
