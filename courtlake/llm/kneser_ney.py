@@ -1,9 +1,8 @@
 """Text quality by the perplexity of a modified Kneser-Ney model of trusted text.
 
 The model is over characters: n-grams of ``ORDER`` symbols, interpolated over all lower orders with
-three discounts per order, a model for each language. It is fitted on labelled good documents, at
-most ``SAMPLE`` rows (those with the least hash of their id; the held-out fold is not used), whole
-texts. Counts, continuation counts, contexts and probabilities are tables keyed by (language,
+three discounts per order, a model for each language. It is fitted on every labelled good document
+(the held-out fold is not used), whole texts. Counts, continuation counts, contexts and probabilities are tables keyed by (language,
 n-gram) and are joined with one another; no table is collected.
 
 Scoring joins the n-grams that occur with these tables. Tasks emit each n-gram once for a block of
@@ -34,12 +33,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtlake.llm.common import (
-    fold_of, hashed_sample, offsets_of, pick, stored, text_slices,
+    fold_of, offsets_of, pick, stored, text_slices,
 )
 
 ORDER, BITS = 4, 16
-#: Labelled good rows that the model is fitted on, at most.
-SAMPLE = 40_000
+#: Ids of labelled good rows that are sent to every task, at most; more meet the texts in a join.
+SENT_IDS = 1_000_000
 LOW, HIGH = 0.004, 0.996
 START, END, SPACE = 0, 1, 32
 #: Code points beyond 16 bits share the symbols of the private-use area, which texts do not use.
@@ -264,14 +263,15 @@ def _judge(known: pa.Table, sent: pa.Table) -> pa.Table:
     return pa.concat_tables(out) if out else schema.empty_table()
 
 
-def perplexities(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, held_out_fold: int = 0) -> DataFrame:
+def perplexities(documents: DataFrame, labels: DataFrame, held_out_fold: int = 0) -> DataFrame:
     """(doc_id, lang, n_symbols, log10_prob) of every row, by a model of trusted text."""
     docs = pick(documents, "doc_id", "text", "lang").select(
         F.col("doc_id").cast("long"), "text", F.coalesce("lang", F.lit(NO_LANG)).alias("lang"))
-    good = _trusted(labels).where(fold_of(F.col("doc_id")) != held_out_fold)
-    chosen = hashed_sample(good, F.xxhash64("doc_id"), sample, "doc_id")
-    # At most SAMPLE ids: safe to send to every task, and the texts need not be shuffled.
-    model = fit(docs.join(F.broadcast(chosen), "doc_id", "left_semi"))
+    good = stored(_trusted(labels).where(fold_of(F.col("doc_id")) != held_out_fold), "kn-trusted")
+    if good.count() <= SENT_IDS:
+        # Safe to send to every task, and the texts need not be shuffled.
+        good = F.broadcast(good)
+    model = fit(docs.join(good, "doc_id", "left_semi"))
     asked = stored(_asked(docs), "kn-asked")
     answers = stored(probabilities(asked.select("lang", "gram").distinct(), model), "kn-answers")
     known = asked.join(answers, ["lang", "gram"])
@@ -286,10 +286,10 @@ def _trusted(labels: DataFrame) -> DataFrame:
 
 
 def classify(
-    documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, low: float = LOW, high: float = HIGH,
+    documents: DataFrame, labels: DataFrame, low: float = LOW, high: float = HIGH,
 ) -> DataFrame:
     """doc_id, lang, held_out, n_symbols, perplexity, lowest, highest, kept for every row."""
-    scored = stored(perplexities(documents, labels, sample).withColumn(
+    scored = stored(perplexities(documents, labels).withColumn(
         "perplexity", F.pow(F.lit(10.0), -F.col("log10_prob") / F.col("n_symbols"))), "kn-scored")
     trusted = scored.join(_trusted(labels), "doc_id", "left_semi")
     # A row per language, stored so that the join knows its size before it deals out the texts.

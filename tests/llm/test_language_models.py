@@ -140,6 +140,28 @@ def test_quality(spark, documents):
     assert kneser_ney.classify(documents.limit(0), labels).collect() == []
 
 
+@pytest.mark.parametrize("sent", [0, 1_000_000])
+def test_every_trusted_text_is_learned(spark, monkeypatch, sent):
+    """More labelled good rows than the 40,000 that the model was once fitted on."""
+    docs = spark.range(50_200).selectExpr("id AS doc_id", "'a' AS text", "'en' AS lang")
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 1000 > 0 AS int) AS quality")
+    expected = sum(i % 1000 > 0 and zlib.crc32(str(i).encode()) % 5 != 0 for i in range(50_200))
+    learned = []
+
+    class Fitted(Exception):
+        pass
+
+    def fit(trusted):
+        learned.append(trusted.count())
+        raise Fitted
+
+    monkeypatch.setattr(kneser_ney, "fit", fit)
+    monkeypatch.setattr(kneser_ney, "SENT_IDS", sent, raising=False)
+    with pytest.raises(Fitted):
+        kneser_ney.perplexities(docs, labels)
+    assert learned == [expected] and expected > 40_000
+
+
 def test_symbols():
     code, sizes = kneser_ney.symbols(["a \n b", None, ""])
     assert code.tolist() == [0, 0, 0, 97, 32, 98, 1, 0, 0, 0, 1, 0, 0, 0, 1] and sizes.tolist() == [7, 4, 4]
