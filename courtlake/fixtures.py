@@ -38,9 +38,9 @@ def _team_code(team: Column) -> Column:
 # ── Box scores ───────────────────────────────────────────────────────────────────
 
 
-def player_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One performance per line item, statistics as whole numbers."""
-    base = table(spark, sf_dir, "lineitem").select(
+def _line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the performances are made of: few columns, to be shuffled instead of theirs."""
+    return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("game_key"),
         (F.col("l_suppkey") % TEAMS).alias("TEAM_ID"),
         (F.col("l_partkey") % PLAYERS).alias("PLAYER_ID"),
@@ -51,17 +51,21 @@ def player_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.col("l_discount") * 100).cast("bigint").alias("d"),
         F.round(F.col("l_tax") * 100).cast("bigint").alias("x"),
     )
+
+
+def _performances(items: DataFrame, *keep: str) -> DataFrame:
+    """Line items as performances, statistics as whole numbers; columns of ``keep`` stay."""
     q, d, x, n = (F.col(c) for c in "qdxn")
     made, threes, free = F.greatest(q - d, F.lit(0)), F.least(d, x), x - x % 3
-    return base.select(
-        "game_key",
+    return items.select(
+        "game_key", *keep,
         _ten_digits("game_key").alias("GAME_ID"),
         "TEAM_ID",
         "PLAYER_ID",
         F.concat(F.lit("Player "), F.col("PLAYER_ID").cast("string")).alias("PLAYER_NAME"),
         F.when(F.col("flag") == "A", "G").when(F.col("flag") == "N", "F").otherwise("")
         .alias("START_POSITION"),
-        F.when(F.col("status") == "F", "Starters").otherwise("Bench").alias("LINEUP"),
+        *([F.when(F.col("status") == "F", "Starters").otherwise("Bench").alias("LINEUP")] if "status" in items.columns else []),
         F.concat(q.cast("string"), F.lit(":00")).alias("MIN"),
         made.alias("FGM"), q.alias("FGA"),
         threes.alias("FG3M"), d.alias("FG3A"),
@@ -74,6 +78,11 @@ def player_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def player_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One performance per line item, statistics as whole numbers."""
+    return _performances(_line_items(spark, sf_dir))
+
+
 def _with_ratios(df: DataFrame) -> DataFrame:
     return df.withColumns({p: ratio(F.col(m), F.col(a)) for p, (m, a) in V.SHOOTING.items()})
 
@@ -123,11 +132,10 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The two lowest team ids of each order play; the lower one is at home.
 
     Points are summed per team and game first, so a window sees at most ten rows per game.
-    The window's partitioning by game then serves the join with the orders.
+    The partitioning by game serves the sums, the window and the join with the orders.
     """
-    points = player_lines(spark, sf_dir).groupBy("game_key", "TEAM_ID").agg(
-        F.sum("PTS").alias("PTS")
-    )
+    scored = player_lines(spark, sf_dir).select("game_key", "TEAM_ID", "PTS").repartition("game_key")
+    points = scored.groupBy("game_key", "TEAM_ID").agg(F.sum("PTS").alias("PTS"))
     by_game = Window.partitionBy("game_key").orderBy("TEAM_ID")
     ranked = points.select(
         "*",
@@ -148,15 +156,20 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def team_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = _totals(player_lines(spark, sf_dir), "game_key", "TEAM_ID")
-    dated = _named(spark, sf_dir, _dated(spark, sf_dir, totals))
-    with_id = dated.withColumn("GAME_ID", _ten_digits("game_key"))
+    """Sums per team and game. Line items are gathered by game as they are: a game has about as
+    many teams as lines, so sums of each task would be as many rows, and wider ones."""
+    lines = _performances(_line_items(spark, sf_dir).repartition("game_key"))
+    totals = _totals(lines, "game_key", "TEAM_ID")
+    dated = _dated(spark, sf_dir, totals).drop("day", "SEASON_ID").hint("rebalance", "date")
+    # Gathered by date (GATHERED) before the columns that follow from others.
+    with_id = _named(spark, sf_dir, dated).withColumn("GAME_ID", _ten_digits("game_key"))
     return _raw(_with_ratios(with_id), "team_stats")
 
 
 def player_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dated = _dated(spark, sf_dir, player_lines(spark, sf_dir))
-    return _raw(_with_ratios(dated), "player_stats")
+    """Performances, gathered by their landing partition (:data:`GATHERED`) while they are narrow."""
+    dated = _dated(spark, sf_dir, _line_items(spark, sf_dir)).drop("day", "SEASON_ID", "status").hint("rebalance", "date")
+    return _raw(_with_ratios(_performances(dated, "date")), "player_stats")
 
 
 def _raw(df: DataFrame, name: str) -> DataFrame:
@@ -164,6 +177,8 @@ def _raw(df: DataFrame, name: str) -> DataFrame:
 
 
 RAW_SOURCES = {"games": games, "player_stats": player_stats, "team_stats": team_stats}
+#: Sources whose rows come gathered by date, so that landing need not shuffle them again.
+GATHERED = {"player_stats", "team_stats"}
 
 
 # ── Both feed versions ───────────────────────────────────────────────────────────
@@ -173,7 +188,8 @@ RAW_SOURCES = {"games": games, "player_stats": player_stats, "team_stats": team_
 
 
 def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = player_lines(spark, sf_dir).join(order_days(spark, sf_dir), "game_key")
+    items = _line_items(spark, sf_dir).join(order_days(spark, sf_dir).select("game_key", "day"), "game_key")
+    lines = _performances(items, "day")
     year = F.lpad((F.year("day") % 100).cast("string"), 2, "0")
     coded = F.concat(F.lit(V.LEAGUE + "2"), year, _ten_digits("game_key"))
     return _with_ratios(lines.withColumn("GAME_ID", coded))

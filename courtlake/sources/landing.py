@@ -36,21 +36,22 @@ def scan(spark: SparkSession, root: str, table: str) -> DataFrame:
     return publish.resolved(spark, root, table, spark.read.schema(schema).parquet)
 
 
-def land(df: DataFrame, root: str, table: str) -> None:
+def land(df: DataFrame, root: str, table: str, gathered: bool = False) -> None:
     """Write or replace the date partitions present in ``df``; the others stay.
 
     A replacement that was stopped is finished first, so that it cannot undo this one. The
-    chunks' days of play are noted beside the table.
+    chunks' days of play are noted beside the table. ``gathered`` as in
+    :func:`~courtlake.sources.publish.write_dates`.
     """
     spark = df.sparkSession
     publish.settle(spark, root, table)
     if _DAY not in df.columns:
-        publish.write_dates(df, posixpath.join(root, table))
+        publish.write_dates(df, posixpath.join(root, table), gathered)
         return
     # As many values as there are chunks in the batch.
     seen = Observation()
     publish.write_dates(df.observe(seen, F.collect_set(F.coalesce(F.col("date").cast("string"), F.lit(""))).alias("dates")),
-                        posixpath.join(root, table))
+                        posixpath.join(root, table), gathered)
     index_chunks(spark, root, table, seen.get["dates"])
 
 

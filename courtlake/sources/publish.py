@@ -36,14 +36,14 @@ class Pending:
         return inside | date.isNull() if None in self.dates else inside
 
 
-def write_dates(df: DataFrame, path: str) -> None:
+def write_dates(df: DataFrame, path: str, gathered: bool = False) -> None:
     """Write or replace the date partitions present in ``df``; the others stay.
 
     The rebalance hint gathers each date into few files and splits a date that holds much
-    of the data over many writers.
+    of the data over many writers. Rows that a source has ``gathered`` so are written as they come.
     """
     (
-        df.hint("rebalance", "date")
+        (df if gathered else df.hint("rebalance", "date"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date")

@@ -99,7 +99,7 @@ class Workspace:
         def write(root: str) -> None:
             landing.land(
                 fixtures.RAW_SOURCES[name](self.spark, self.sf_dir),
-                posixpath.join(root, "raw"), name,
+                posixpath.join(root, "raw"), name, name in fixtures.GATHERED,
             )
 
         return posixpath.join(self._once(self._RAW_FROM, f"raw/{name}", write), "raw")
@@ -140,8 +140,10 @@ class Workspace:
         store = Warehouse(self.spark, posixpath.join(root, "star"))
         for name in names or STAR:
             if name in rollup.ROLLUPS:
-                self.warehouse("fact_game", "fact_game_team_stats", "fact_game_player_stats")
-                self._once(self._RAW_FROM, "star/rollups", lambda _: rollup.build_rollups(store))
+                # Sums of the box scores of teams need none of the players', and the other way round.
+                self.warehouse("fact_game", rollup.SOURCE[name])
+                self._once(self._RAW_FROM, f"star/{name}",
+                           lambda _, name=name: rollup.build_rollups(store, (name,)))
                 continue
             if name.startswith("fact_game_"):
                 self.warehouse("fact_game")
