@@ -12,7 +12,7 @@ Games without a date belong to no season and are left out.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -48,7 +48,7 @@ ROLLUPS: dict[str, Table] = {
 }
 TABLES.update(ROLLUPS)
 
-_SOURCE = {TEAM_DAYS: "fact_game_team_stats", PLAYER_DAYS: "fact_game_player_stats"}
+SOURCE = {TEAM_DAYS: "fact_game_team_stats", PLAYER_DAYS: "fact_game_player_stats"}
 
 
 def _sums(table: str) -> list[Column]:
@@ -63,7 +63,7 @@ def _sums(table: str) -> list[Column]:
 
 def computed(star: Star, table: str, dates: DataFrame | None = None) -> DataFrame:
     """The sums of every day, or of ``dates`` (one column), from the box scores."""
-    games, stats = star["fact_game"].where("date IS NOT NULL"), star[_SOURCE[table]]
+    games, stats = star["fact_game"].where("date IS NOT NULL"), star[SOURCE[table]]
     if dates is not None:
         wanted = dates.select("date").withColumn(SEASON_FOLDER, season_start(F.col("date")))
         games = games.join(wanted, ["date", SEASON_FOLDER], "left_semi")
@@ -72,11 +72,11 @@ def computed(star: Star, table: str, dates: DataFrame | None = None) -> DataFram
     return played.groupBy(*ROLLUPS[table].key).agg(*_sums(table))
 
 
-def build_rollups(warehouse: Warehouse) -> None:
-    """Write the daily sums of a warehouse that has none yet."""
-    star = {t: warehouse.stored(t) for t in ("fact_game", *_SOURCE.values()) if warehouse.exists(t)}
-    for table, source in _SOURCE.items():
-        if source in star and not warehouse.exists(table):
+def build_rollups(warehouse: Warehouse, tables: Sequence[str] = tuple(ROLLUPS)) -> None:
+    """Write the daily sums, or some of them, of a warehouse that does not have them yet."""
+    star = {t: warehouse.stored(t) for t in ("fact_game", *SOURCE.values()) if warehouse.exists(t)}
+    for table, source in SOURCE.items():
+        if table in tables and source in star and not warehouse.exists(table):
             warehouse.append(table, computed(star, table))
 
 
@@ -100,9 +100,9 @@ def refresh(warehouse: Warehouse, dates: DataFrame) -> dict[str, int]:
     """
     shared_dir(warehouse.spark)
     dates = dates.select("date").where("date IS NOT NULL").distinct().checkpoint()
-    star = {t: warehouse.stored(t) for t in ("fact_game", *_SOURCE.values()) if warehouse.exists(t)}
+    star = {t: warehouse.stored(t) for t in ("fact_game", *SOURCE.values()) if warehouse.exists(t)}
     added = {}
-    for table, source in _SOURCE.items():
+    for table, source in SOURCE.items():
         if source not in star or not warehouse.exists(table):
             continue
         key = list(ROLLUPS[table].key)
