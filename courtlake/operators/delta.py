@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from courtlake.operators.pruning import within_span
 from courtlake.session import shared_dir
 
+#: Repeated keys that are sent to every task, at most, so that the other rows need not be shuffled.
+SENT_KEYS = 1_000_000
+
 
 def least_per_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """One row per key: the least of the remaining columns stands.
@@ -35,14 +38,17 @@ def one_row_per_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Reduce a batch to one row per key, aggregating whole rows only where keys repeat.
 
     A first job counts keys; a batch without a repeated key is returned as it is. Otherwise
-    the rows of repeated keys are reduced and the others pass. The keys carry no hint: their
-    number grows with the data, and run-time re-planning sees it before it picks the join.
+    the rows of repeated keys are reduced and the others pass. Up to ``SENT_KEYS`` of the keys are
+    broadcast. More carry no hint: run-time re-planning sees their number before it picks the join.
     """
     shared_dir(df.sparkSession)
     repeated = repeated_keys(df, key).checkpoint()
-    if repeated.isEmpty():
+    number = repeated.count()
+    if not number:
         return df
     named = repeated.toDF(*[f"_{c}" for c in key])
+    if number <= SENT_KEYS:
+        named = F.broadcast(named)
     once = df.join(named, _same(key), "left_anti")
     return once.unionByName(least_per_key(df.join(named, _same(key), "left_semi"), key))
 
