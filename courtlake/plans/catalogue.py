@@ -421,8 +421,9 @@ def _compacted(spark: SparkSession, sf: str) -> DataFrame:
     messages = spark.read.schema(MESSAGE).parquet(space.messages_path("live"))
     for part in range(3):
         some = messages.where(F.pmod(F.hash("value", "timestamp"), F.lit(3)) == part)
-        some.coalesce(1).write.mode("append").parquet(topic)
-        _append(streams.file_messages(spark, topic, files_per_batch=1), out, checkpoint).awaitTermination()
+        some.write.mode("append").parquet(topic)
+        # A part is one micro-batch, of whatever number of files its tasks wrote.
+        _append(streams.file_messages(spark, topic, FILES_PER_BATCH), out, checkpoint).awaitTermination()
     live_store.compact(spark, out)
     first = live_store.batches(spark, out).where("batch_id = 0")
     owner = first.select("stream").first()[0]
