@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import posixpath
 import uuid
 from collections.abc import Iterator, Sequence
@@ -80,6 +82,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def trim_memory() -> None:
+    """Give back what a worker process keeps of tasks it has done, of this operator or others.
+
+    Workers serve one operator after the other; freed memory stays theirs unless they are told.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
+
+
 def fold_of(doc_id: Column, folds: int = 5) -> Column:
     return F.crc32(doc_id.cast("string")) % F.lit(folds)
 

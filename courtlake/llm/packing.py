@@ -27,10 +27,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from courtlake.llm.common import offsets_of, pick, stored, text_slices, words_of
+from courtlake.llm.common import offsets_of, pick, stored, text_slices, trim_memory, words_of
 
 MAX_TOKENS, END_ID = 4096, 1
-SLICE_BYTES, CACHED_WORDS = 12 << 20, 800_000
+SLICE_BYTES, CACHED_WORDS = 12 << 20, 400_000
 #: Letters, perhaps with signs after them: one word of the vocabulary's splitting, or two.
 PLAIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+([!-&(-/:-@\[-`{-~]*)")
 TOGETHER = 500
@@ -145,6 +145,7 @@ def pieces(
         fields.append(StructField("ids", ArrayType(IntegerType())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim_memory()
         tokens = _tokens(vocabulary)
         for part in _gathered(text_slices(batches, "text", slice_bytes), slice_bytes):
             texts = part.column("text").cast(pa.binary()).to_pylist()

@@ -7,6 +7,7 @@ import pytest
 from courtlake import fixtures
 from courtlake.operators import delta
 from courtlake.sources import landing
+from courtlake.streaming import live_stream
 from courtlake.workspace import Workspace
 
 
@@ -71,3 +72,21 @@ def test_repeated_keys_leave_the_other_rows_in_place(spark, plan, monkeypatch):
     few = sorted(delta.one_row_per_key(df, ["k"]).collect())
     monkeypatch.setattr(delta, "SENT_KEYS", 3)
     assert few == sorted(delta.one_row_per_key(df, ["k"]).collect()) == [(i, i) for i in range(90)]
+
+
+def test_unreadable_messages_are_written_by_several_tasks(spark, tmp_path):
+    bad = spark.range(40_000).selectExpr(
+        "concat('{not json ', sha2(string(id), 512)) AS value", "TIMESTAMP_NTZ'2024-01-01 10:00:00' AS timestamp")
+    bad.write.parquet(f"{tmp_path}/topic")
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "256k")
+    try:
+        live_stream.quarantining_stream(
+            live_stream.file_messages(spark, f"{tmp_path}/topic"), f"{tmp_path}/out", f"{tmp_path}/bad",
+            f"{tmp_path}/checkpoint", live_stream.CATCH_UP).awaitTermination()
+    finally:
+        spark.conf.set(size, before)
+    kept = live_stream.read_quarantine(spark, f"{tmp_path}/bad")
+    assert kept.count() == 40_000 and len(kept.inputFiles()) > 1
+    assert kept.select("value").exceptAll(bad.select("value")).isEmpty()
