@@ -159,8 +159,11 @@ def team_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sums per team and game. Line items are gathered by game as they are: a game has about as
     many teams as lines, so sums of each task would be as many rows, and wider ones."""
     lines = _performances(_line_items(spark, sf_dir).repartition("game_key"))
-    totals = _totals(lines, "game_key", "TEAM_ID")
+    totals = _totals(lines, "game_key", "TEAM_ID").drop("REB", "AST", "BLK")
     dated = _dated(spark, sf_dir, totals).drop("day", "SEASON_ID").hint("rebalance", "date")
+    # Sums that follow from others, as the statistics themselves do, are not gathered.
+    dated = dated.withColumns({
+        "REB": F.col("OREB") + F.col("DREB"), "AST": F.col("FTA"), "BLK": F.col("FTA") - F.col("FTM")})
     # Gathered by date (GATHERED) before the columns that follow from others.
     with_id = _named(spark, sf_dir, dated).withColumn("GAME_ID", _ten_digits("game_key"))
     return _raw(_with_ratios(with_id), "team_stats")

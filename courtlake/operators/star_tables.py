@@ -10,14 +10,14 @@ from courtlake.functions.league import game_date, season_label, season_type
 from courtlake.schemas import STAR
 
 
-def _conform(df: DataFrame, table: str, **columns: Column | str) -> DataFrame:
-    """Select a table's columns in order, by name; columns not given are typed NULLs."""
+def _conform(df: DataFrame, table: str, keep: tuple[Column, ...] = (), **columns: Column | str) -> DataFrame:
+    """Select a table's columns in order, by name; columns not given are typed NULLs. Those of ``keep`` follow."""
     wanted = []
     for f in STAR[table].schema:
         source = columns.get(f.name, F.lit(None))
         column = F.col(source) if isinstance(source, str) else source
         wanted.append(column.try_cast(f.dataType).alias(f.name))
-    return df.select(wanted)
+    return df.select(*wanted, *keep)
 
 
 def build_dim_team(games: DataFrame) -> DataFrame:
@@ -97,18 +97,18 @@ def _box_columns(df: DataFrame, table: str) -> dict[str, str]:
     return {star: raw for star, raw in names.items() if raw in df.columns}
 
 
-def build_fact_game_team_stats(team_stats: DataFrame) -> DataFrame:
+def build_fact_game_team_stats(team_stats: DataFrame, *keep: Column) -> DataFrame:
     table = "fact_game_team_stats"
     known = team_stats.where("GAME_ID IS NOT NULL AND TEAM_ID IS NOT NULL")
-    return _conform(known, table, **_box_columns(team_stats, table))
+    return _conform(known, table, keep, **_box_columns(team_stats, table))
 
 
-def build_fact_game_player_stats(player_stats: DataFrame) -> DataFrame:
+def build_fact_game_player_stats(player_stats: DataFrame, *keep: Column) -> DataFrame:
     table = "fact_game_player_stats"
     known = player_stats.where(
         "PLAYER_ID IS NOT NULL AND GAME_ID IS NOT NULL AND TEAM_ID IS NOT NULL"
     )
-    return _conform(known, table, **_box_columns(player_stats, table))
+    return _conform(known, table, keep, **_box_columns(player_stats, table))
 
 
 # Star table -> (raw table it comes from, builder), in load order: dimensions first.

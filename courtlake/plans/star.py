@@ -6,13 +6,13 @@ import datetime as dt
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtlake.operators.delta import new_rows
 from courtlake.operators.star_tables import BUILDERS
 from courtlake.plans import rollup
-from courtlake.schemas import RAW, STAR
+from courtlake.schemas import CHUNK, RAW, STAR
 from courtlake.sources import landing
 from courtlake.sources.warehouse import Warehouse
 
@@ -22,13 +22,30 @@ def build_table(table: str, raw: dict[str, DataFrame]) -> DataFrame:
     return build(raw[source])
 
 
+def _chunk(table: str, raw: dict[str, DataFrame]) -> list[Column]:
+    """The landing partition of box scores, where the raw table has it."""
+    source, _ = BUILDERS[table]
+    box = STAR[table].match_on[0] == "game_id" and "date" not in STAR[table].schema.names
+    return [F.col("date").alias(CHUNK)] if box and "date" in raw[source].columns else []
+
+
+def batch(table: str, raw: dict[str, DataFrame]) -> DataFrame:
+    """The built table, box scores with the landing partition they come from.
+
+    :meth:`~courtlake.sources.warehouse.Warehouse.append` learns seasons from it and drops it.
+    """
+    source, build = BUILDERS[table]
+    return build(raw[source], *_chunk(table, raw))
+
+
 def lead_keys(table: str, raw: dict[str, DataFrame]) -> DataFrame | None:
-    """The game ids a fact table's batch can hold, read from the raw column alone.
+    """The game ids a fact table's batch can hold, read from the raw column alone; those of box
+    scores with their landing partition.
 
     Dimensions are small; all their keys are compared.
     """
     source, _ = BUILDERS[table]
-    return raw[source].select("GAME_ID") if STAR[table].match_on[0] == "game_id" else None
+    return raw[source].select("GAME_ID", *_chunk(table, raw)) if STAR[table].match_on[0] == "game_id" else None
 
 
 def scan_raw(spark: SparkSession, root: str, day: dt.date | None = None) -> dict[str, DataFrame]:
@@ -50,7 +67,7 @@ def load_star(
     """
 
     def append(table: str) -> int:
-        return warehouse.append_new(table, build_table(table, raw), lead_keys(table, raw))
+        return warehouse.append_new(table, batch(table, raw), lead_keys(table, raw))
 
     added: dict[str, int] = {}
     with ThreadPoolExecutor(len(BUILDERS)) as pool:

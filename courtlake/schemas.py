@@ -107,6 +107,8 @@ class Table:
 # Facts lie in a folder per season; rows whose game is not known yet in the folder of none.
 SEASON_FOLDER, NO_SEASON = "season_start", -1
 FOLDERS = struct(f"{SEASON_FOLDER} integer")
+# Of a batch's rows, beside the published columns: the landing partition they were read from.
+CHUNK = "_chunk"
 
 STAR: dict[str, Table] = {
     "dim_team": Table(

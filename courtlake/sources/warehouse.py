@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from courtlake.functions.league import season_start
-from courtlake.operators.delta import new_rows, one_row_per_key
+from courtlake.operators.delta import absent_keys, marked, new_rows, one_row_per_key, rows_of
 from courtlake.operators.live import write_live
 from courtlake.operators.pruning import within_span
+from courtlake.session import shared_dir
 from courtlake.sources import live_store
-from courtlake.schemas import APPEND_STREAM, LIVE_TABLE, NO_SEASON, SEASON_FOLDER, STAR, Table
+from courtlake.schemas import APPEND_STREAM, CHUNK, LIVE_TABLE, NO_SEASON, SEASON_FOLDER, STAR, Table
 
 TABLES: dict[str, Table] = {**STAR, "live_data": LIVE_TABLE}
 
@@ -104,7 +105,8 @@ class Warehouse:
 
         The count is observed during the write, so the plan runs once. Live rows go where the
         streams write theirs, under a stream name of this append alone. Facts go to the folder of
-        their season: the rebalance hint gathers each into few files and splits a heavy one.
+        their season: the rebalance hint gathers each into few files and splits a heavy one. Box
+        scores that carry their landing partition (``CHUNK``) are gathered already, see ``_in_season``.
         """
         spec = TABLES[table]
         seen = Observation()
@@ -115,9 +117,11 @@ class Warehouse:
             write_live(rows, self.path(table), f"{APPEND_STREAM}{uuid.uuid4().hex}", 0)
             return seen.get["rows"]
         folders = list(spec.partition_by)
-        rows = df.select(names)
-        if folders:
-            rows = self._in_season(table, rows, lead_keys).hint("rebalance", *folders)
+        rows = df.select(names + [CHUNK] if CHUNK in df.columns else names)
+        if folders and CHUNK in rows.columns and lead_keys is not None and CHUNK in lead_keys.columns:
+            rows = self._by_chunk(rows, lead_keys)
+        elif folders:
+            rows = self._in_season(table, rows.drop(CHUNK), lead_keys).hint("rebalance", *folders)
         rows = rows.observe(seen, count)
         if spec.sort_by:
             rows = rows.sortWithinPartitions(*folders, *spec.sort_by)
@@ -140,12 +144,50 @@ class Warehouse:
         found = rows.join(games, rows["game_id"] == games["_game"], "left").drop("_game")
         return found.withColumn(SEASON_FOLDER, F.coalesce(SEASON_FOLDER, F.lit(NO_SEASON)))
 
+    def _by_chunk(self, rows: DataFrame, lead_keys: DataFrame) -> DataFrame:
+        """Box scores with the folder of their season, most of them where they were read.
+
+        A first job learns from the two key columns alone which season most games of a landing
+        partition have, and which games have another, or are not stored. Rows of the others'
+        games, told by a bitmap, meet their game; the rest takes the partition's season unshuffled.
+        """
+        if not self.exists("fact_game"):
+            return rows.withColumn(SEASON_FOLDER, F.lit(NO_SEASON)).drop(CHUNK)
+        shared_dir(self.spark)
+        games = self.stored("fact_game").select(F.col("game_id").alias("_game"), SEASON_FOLDER)
+        games = within_span(games, "_game", lead_keys)
+        season = F.coalesce(SEASON_FOLDER, F.lit(NO_SEASON))
+        listed = lead_keys.toDF("game_id", "_of").distinct().join(
+            games, F.col("game_id") == F.col("_game"), "left").select("game_id", "_of", season.alias("_season"))
+        # As many rows as there are landing partitions.
+        most = F.broadcast(listed.groupBy("_of", "_season").agg(F.count(F.lit(1)).alias("_games")).groupBy("_of").agg(
+            F.max(F.struct("_games", "_season")).alias("_most")).select(
+            F.col("_of").alias("_chunk_of"), F.col("_most._season").alias("_usual")).checkpoint())
+        others = listed.join(most, F.col("_of").eqNullSafe(F.col("_chunk_of"))).where(
+            "_season <> _usual").select("game_id").distinct().checkpoint()
+        placed = rows.join(most, F.col(CHUNK).eqNullSafe(F.col("_chunk_of"))).drop("_chunk_of", CHUNK)
+        number = others.count()
+        if not number:
+            return placed.withColumnRenamed("_usual", SEASON_FOLDER)
+        known = marked(placed, others, ["game_id"], number)
+        usual = known.where("NOT _hit").withColumnRenamed("_usual", SEASON_FOLDER).drop("_hit")
+        met = known.where("_hit").drop("_hit", "_usual").join(games, F.col("game_id") == F.col("_game"), "left")
+        return usual.unionByName(met.drop("_game").withColumn(SEASON_FOLDER, season))
+
     def append_new(self, table: str, df: DataFrame, lead_keys: DataFrame | None = None) -> int:
         """Append only rows whose key the table does not hold; loading twice adds nothing.
 
-        ``lead_keys`` as in :func:`~courtlake.operators.delta.new_rows`.
+        ``lead_keys`` as in :func:`~courtlake.operators.delta.new_rows`. Of facts the keys alone
+        are compared first, so that rows that are held are not shuffled.
         """
         spec = TABLES[table]
+        if SEASON_FOLDER in spec.partition_by and self.exists(table) and spec.unique_on in ((), spec.match_on):
+            absent = absent_keys(df, self.read(table), spec.match_on, lead_keys)
+            number = absent.count()
+            if not number:
+                return 0
+            rows = rows_of(df, absent, spec.match_on, number)
+            return self.append(table, one_row_per_key(rows, spec.unique_on) if spec.unique_on else rows, lead_keys)
         rows = one_row_per_key(df, spec.unique_on) if spec.unique_on else df
         if self.exists(table):
             rows = new_rows(rows, self.read(table), spec.match_on, lead_keys)

@@ -21,7 +21,7 @@ from courtlake import fixtures
 from courtlake.fixed_values import STATS
 from courtlake.operators.star_tables import BUILDERS
 from courtlake.plans import rollup
-from courtlake.plans.star import build_table, lead_keys
+from courtlake.plans.star import batch, lead_keys
 from courtlake.schemas import STAR
 from courtlake.session import shared_dir
 from courtlake.sources import landing
@@ -151,7 +151,7 @@ class Workspace:
 
             def write(_: str, name: str = name, source: str = source) -> None:
                 raw = {source: self.raw(source)}
-                store.append_new(name, build_table(name, raw), lead_keys(name, raw))
+                store.append_new(name, batch(name, raw), lead_keys(name, raw))
 
             self._once(self._RAW_FROM, f"star/{name}", write)
         return store
