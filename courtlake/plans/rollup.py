@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from courtlake.functions.league import game_date, game_score_tenths, season_start
+from courtlake.operators import delta
 from courtlake.plans.season import (
     LOG_STATS, PCT_STATS, PLAYER_DAYS, ROSTER_MEANS, TEAM_DAYS, Star, season_folders,
 )
@@ -62,12 +63,23 @@ def _sums(table: str) -> list[Column]:
 
 
 def computed(star: Star, table: str, dates: DataFrame | None = None) -> DataFrame:
-    """The sums of every day, or of ``dates`` (one column), from the box scores."""
+    """The sums of every day, or of ``dates`` (one column), from the box scores.
+
+    With dates, their games are listed first, and box scores of other games are left out where
+    they are read: by the list itself, or by a bitmap of it if it is long.
+    """
     games, stats = star["fact_game"].where("date IS NOT NULL"), star[SOURCE[table]]
     if dates is not None:
         wanted = dates.select("date").withColumn(SEASON_FOLDER, season_start(F.col("date")))
-        games = games.join(wanted, ["date", SEASON_FOLDER], "left_semi")
-        stats = stats.join(season_folders(dates), SEASON_FOLDER, "left_semi")
+        # Days and their seasons are few. Facts dealt out by season would be one task's.
+        games = games.join(F.broadcast(wanted), ["date", SEASON_FOLDER], "left_semi")
+        stats = stats.join(F.broadcast(season_folders(dates)), SEASON_FOLDER, "left_semi")
+        shared_dir(stats.sparkSession)
+        games = games.select("game_id", "date").checkpoint()
+        if (number := games.count()) <= delta.SENT_KEYS:
+            games = F.broadcast(games)
+        else:
+            stats = delta.marked(stats, games, ["game_id"], number).where("_hit").drop("_hit")
     played = stats.drop(SEASON_FOLDER).join(games.select("game_id", "date"), "game_id")
     return played.groupBy(*ROLLUPS[table].key).agg(*_sums(table))
 

@@ -4,9 +4,12 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from courtlake import fixtures
 from courtlake.operators import delta
-from courtlake.sources import landing
+from courtlake.plans import rollup, star
+from courtlake.sources import landing, warehouse
 from courtlake.streaming import live_stream
 from courtlake.workspace import Workspace
 
@@ -74,6 +77,54 @@ def test_repeated_keys_leave_the_other_rows_in_place(spark, plan, monkeypatch):
     assert few == sorted(delta.one_row_per_key(df, ["k"]).collect()) == [(i, i) for i in range(90)]
 
 
+@pytest.mark.parametrize("number", [1, 40, 3000])
+def test_a_bitmap_of_keys_misses_none(spark, number):
+    df = spark.sql("SELECT IF(id % 50 = 0, NULL, concat('g', id)) AS k, id AS v FROM range(20000)").checkpoint()
+    keys = df.where(f"v < {number}").select("k").distinct()
+    hit = delta.marked(df, keys, ["k"], number).where("_hit").drop("_hit")
+    held = df.join(keys.toDF("_k"), F.col("k").eqNullSafe(F.col("_k")), "left_semi")
+    assert held.exceptAll(hit).isEmpty() and hit.count() <= held.count() + 20_000 / 8
+
+
+def test_only_games_of_another_season_meet_their_game(spark, league, monkeypatch):
+    """Of box scores, those whose game has another season than most of the landing partition's,
+    or is not stored, are joined with the games; every row is in its game's folder."""
+    passed = []
+    monkeypatch.setattr(warehouse, "marked", lambda df, keys, on, n: passed.append((df, keys)) or delta.marked(df, keys, on, n))
+    space = Workspace(spark, league)
+    boxes = space.star["fact_game_team_stats"]
+    games = space.star["fact_game"].select("game_id", F.col("season_start").alias("_of"))
+    placed = boxes.join(games, "game_id", "left").groupBy(F.coalesce("_of", F.lit(-1)).alias("of"), "season_start").count()
+    assert all(r.of == r.season_start for r in placed.collect()) and placed.count() > 2
+    (df, others), = passed
+    assert 0 < others.count() < boxes.select("game_id").distinct().count() / 2
+    assert boxes.count() == space.raw("team_stats").count() == df.count()
+
+
+def test_loading_again_compares_keys_alone(spark, league, monkeypatch):
+    space = Workspace(spark, league)
+    store = space.warehouse("fact_game", "fact_game_player_stats")
+    monkeypatch.setattr(delta, "least_per_key", None)
+    raw = {"player_stats": space.raw("player_stats")}
+    before = store.read("fact_game_player_stats").count()
+    monkeypatch.setattr(store, "append", None)
+    assert store.append_new("fact_game_player_stats", star.batch("fact_game_player_stats", raw), star.lead_keys("fact_game_player_stats", raw)) == 0
+    assert store.read("fact_game_player_stats").count() == before > 100
+
+
+def test_sums_of_few_dates_leave_other_box_scores_in_place(spark, league, plan, monkeypatch):
+    space = Workspace(spark, league)
+    tables = {t: space.star[t] for t in ("fact_game", "fact_game_team_stats")}
+    dates = tables["fact_game"].select("date").distinct().orderBy("date").limit(5).checkpoint()
+    few = rollup.computed(tables, "team_days", dates)
+    monkeypatch.setattr(delta, "SENT_KEYS", 2)
+    many = rollup.computed(tables, "team_days", dates)
+    whole = rollup.computed(tables, "team_days").join(dates, "date", "left_semi").select(few.columns)
+    assert sorted(few.collect()) == sorted(many.collect()) == sorted(whole.collect()) != []
+    assert "_bits" in many._jdf.queryExecution().toString()
+    assert "SortMergeJoin" not in plan(few)
+
+
 def test_unreadable_messages_are_written_by_several_tasks(spark, tmp_path):
     bad = spark.range(40_000).selectExpr(
         "concat('{not json ', sha2(string(id), 512)) AS value", "TIMESTAMP_NTZ'2024-01-01 10:00:00' AS timestamp")
