@@ -8,7 +8,11 @@ blocks, and inside them two nodes, are dropped together if their centres are far
 the limit and both covering radii; what is left goes down a level, and the classes at the bottom
 are compared exactly, in double precision (near the limit in extended precision).
 
-A pair of blocks returns every class's number of links and a spanning forest of the links, in
+Pairs of blocks are compared in tiles: the blocks of a dimension are cut into groups, and the task
+of a tile holds one group's blocks while the other group's pass by. A block is thus sent once per
+group in which some block is near enough, not once per pair.
+
+A tile returns every class's number of links and a spanning forest of the links, in
 proportion to the classes, however many links a group has. Components are those of the forest.
 
 The pivots are a bounded sample and only decide who is compared early; the pairs are all pairs.
@@ -19,10 +23,13 @@ and rows that share a vec_id but not the vector stay apart. Ties go to the small
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from courtlake.llm.common import components, hashed_sample, pick, stored
 
@@ -30,6 +37,10 @@ COSINE = 0.9
 #: Most pivots (a sample), classes per pivot, most classes in a block.
 PIVOTS, PER_PIVOT, BLOCK_ROWS = 256, 2048, 2560
 RADII = (1.0, 0.5, 0.25, 0.125)
+#: Vectors that a task holds, and most partitions of tiles; smaller tables have two tiles or so per core.
+HELD_BYTES, TILE_PARTS = 32 << 20, 4096
+#: Links of a tile that are kept before they become a forest, rows of a batch of results.
+KEPT_LINKS, FOUND_ROWS = 1 << 20, 1 << 16
 NO_ID = -(2**63)
 SLACK = 1e-9
 #: Nodes are compared in single precision, with this much more room.
@@ -38,7 +49,7 @@ COARSE = 1e-4
 
 def units_of(flat: np.ndarray, dim: int) -> np.ndarray:
     rows = flat.reshape(-1, dim)
-    rows = rows / np.abs(rows).max(axis=1, keepdims=True)
+    rows = rows / np.abs(rows).max(axis=1, keepdims=True).astype(np.float64)
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
@@ -80,26 +91,42 @@ class Tree:
         self.coarse = units.astype(np.float32)
 
     def columns(self) -> dict[str, pa.Array]:
-        """The tree as one row, see ``of_row``."""
-        packed = {"centres": np.int64, "parents": np.int64, "reaches": np.float64}
-        out = {name: pa.array([np.concatenate([level[i] for level in self.levels]).astype(kind).tobytes()], pa.binary())
-               for i, (name, kind) in enumerate(packed.items())}
+        """The tree as one row, see ``Block``; places and radii in 32 bits, radii rounded up."""
+        reach = np.concatenate([level[2] for level in self.levels[:-1]])
+        parts = {
+            "centres": np.concatenate([level[0] for level in self.levels[:-1]]).astype(np.int32),
+            "parents": np.concatenate([level[1] for level in self.levels]).astype(np.int32),
+            "reaches": np.where(reach > 0, np.nextafter(reach.astype(np.float32), np.float32(np.inf)), np.float32(0)),
+        }
         sizes = pa.array([[len(level[0]) for level in self.levels]], pa.list_(pa.int32()))
-        return {"units": pa.array([self.units.tobytes()], pa.binary()), "sizes": sizes, **out}
+        return {"sizes": sizes, **{name: pa.array([x.tobytes()], pa.binary()) for name, x in parts.items()}}
+
+
+class Block:
+    """A stored block: a tree with only single-precision units, exact ones are made when asked for."""
+
+    def __init__(self, row: dict):
+        n = row["sizes"][-1]
+        self.ids, self.highs, self.copies = (np.frombuffer(row[name], np.int64) for name in ("ids", "highs", "copies"))
+        self.raw = np.frombuffer(row["raw"], f"f{len(row['raw']) // (n * row['dim'])}").reshape(n, -1)
+        self.coarse = units_of(self.raw, row["dim"]).astype(np.float32)
+        cuts = np.cumsum(row["sizes"])[:-1]
+        centres = [*np.split(np.frombuffer(row["centres"], np.int32), cuts[:-1]), np.arange(n)]
+        reaches = [*np.split(np.frombuffer(row["reaches"], np.float32), cuts[:-1]), np.zeros(n, np.float32)]
+        parents = np.split(np.frombuffer(row["parents"], np.int32), cuts)
+        self.levels = list(zip(centres, parents, reaches))
+        self.middle, self.reach = np.array(row["middle"]), row["reach"]
+        self.links = np.zeros(n, np.int64)
+
+    def exact(self, rows: np.ndarray) -> np.ndarray:
+        return units_of(self.raw[rows], self.raw.shape[1])
 
-    @classmethod
-    def of_row(cls, row: dict, side: str) -> Tree:
-        tree = cls.__new__(cls)
-        tree.units = np.frombuffer(row[f"units{side}"]).reshape(-1, row["dim"])
-        tree.coarse = tree.units.astype(np.float32)
-        cuts = np.cumsum(row[f"sizes{side}"])[:-1]
-        parts = [np.split(np.frombuffer(row[f"{name}{side}"], kind), cuts) for name, kind in (
-            ("centres", np.int64), ("parents", np.int64), ("reaches", np.float64))]
-        tree.levels = list(zip(*parts))
-        return tree
+    def done(self) -> None:
+        """Compared with all blocks that come: only ids and links are still needed."""
+        self.raw = self.coarse = self.levels = None
 
 
-def links_between(a: Tree, b: Tree, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+def links_between(a: Block, b: Block, cosine: float) -> tuple[np.ndarray, np.ndarray]:
     """All (i, j) with a cosine of at least ``cosine`` between classes of two blocks."""
     limit = np.sqrt(2 - 2 * cosine)
     rows = columns = allowed = None
@@ -117,11 +144,12 @@ def links_between(a: Tree, b: Tree, cosine: float) -> tuple[np.ndarray, np.ndarr
         else:
             rows, columns, open_ = np.arange(len(ca)), np.arange(len(cb)), None
         if depth == last:
-            dots = a.units[ca[rows]] @ b.units[cb[columns]].T
+            exact_a, exact_b = a.exact(ca[rows]), b.exact(cb[columns])
+            dots = exact_a @ exact_b.T
             near = dots >= cosine - SLACK
         else:
             dots = a.coarse[ca[rows]] @ b.coarse[cb[columns]].T
-            reach_a, reach_b = ra[rows].astype(np.float32), rb[columns].astype(np.float32)
+            reach_a, reach_b = ra[rows], rb[columns]
             # Nodes of one class have no radius; where a node has, its row or column gets its own.
             near = dots >= 1 - (limit + COARSE) ** 2 / 2
             for wide in np.flatnonzero(reach_a > 0):
@@ -139,13 +167,12 @@ def links_between(a: Tree, b: Tree, cosine: float) -> tuple[np.ndarray, np.ndarr
         if depth == last:
             i, j = np.nonzero(near)
             value = dots[i, j]
-            i, j = rows[i], columns[j]
             close = np.abs(value - cosine) <= SLACK
             for at in np.flatnonzero(close):
-                x, y = a.units[i[at]].astype(np.longdouble), b.units[j[at]].astype(np.longdouble)
+                x, y = exact_a[i[at]].astype(np.longdouble), exact_b[j[at]].astype(np.longdouble)
                 value[at] = 1.0 if (x @ y) >= cosine * np.sqrt((x @ x) * (y @ y)) else 0.0
             good = value >= cosine
-            return i[good], j[good]
+            return rows[i[good]], columns[j[good]]
         rows, columns, allowed = rows[keep_a], columns[keep_b], near[keep_a][:, keep_b]
     raise AssertionError
 
@@ -167,9 +194,12 @@ def _forest(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _vectors(embeddings: DataFrame) -> DataFrame:
-    rows = pick(embeddings, "vec_id", "embedding").select(
+    """Single precision stays as it is, half as wide in every shuffle; other numbers become doubles."""
+    rows = pick(embeddings, "vec_id", "embedding")
+    kind = "array<float>" if rows.schema["embedding"].dataType == ArrayType(FloatType()) else "array<double>"
+    rows = rows.select(
         F.coalesce(F.col("vec_id").cast("long"), F.lit(NO_ID)).alias("id"),
-        F.col("embedding").cast("array<double>").alias("vector"))
+        F.col("embedding").cast(kind).alias("vector"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     able = F.col("vector").isNotNull() & finite & F.exists("vector", lambda x: x != 0.0)
     return rows.withColumn("able", F.coalesce(able, F.lit(False)))
@@ -189,22 +219,30 @@ def similar_vectors(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
     for dim in {r["dim"] for r in sample}:
         pivots[dim] = units_of(np.array([r["vector"] for r in sample if r["dim"] == dim]).ravel(), dim)
 
+    def cells_of(batch: pa.RecordBatch) -> pa.Array:
+        dims = batch.column("dim").to_numpy()
+        cell = np.zeros(batch.num_rows, np.int32)
+        for dim in np.unique(dims).tolist():
+            if dim in pivots:
+                mine = np.flatnonzero(dims == dim)
+                flat = batch.column("vector").take(pa.array(mine)).flatten().to_numpy(zero_copy_only=False)
+                cell[mine] = np.argmax(units_of(flat, dim) @ pivots[dim].T, axis=1)
+        return pa.array(cell)
+
+    def name_cells(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("dim"), cells_of(batch)], ["dim", "cell"])
+
     def place(batches):
         for batch in batches:
-            dims = batch.column("dim").to_numpy()
-            cell = np.zeros(batch.num_rows, np.int32)
-            for dim in np.unique(dims).tolist():
-                if dim in pivots:
-                    mine = np.flatnonzero(dims == dim)
-                    flat = batch.column("vector").take(pa.array(mine)).flatten().to_numpy(zero_copy_only=False)
-                    cell[mine] = np.argmax(units_of(flat, dim) @ pivots[dim].T, axis=1)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell)], [*batch.schema.names, "cell"])
-
-    placed = stored(classes.mapInArrow(
-        place, "id long, high long, dim int, vector array<double>, copies long, cell int"), "tree-cells")
-    # Numbers of blocks: a block is a part of a cell, consecutive over all cells.
-    cells = placed.groupBy("dim", "cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_ROWS * 0.8)).alias("parts"))
-    held = placed.join(cells, ["dim", "cell"]).withColumn("part", F.pmod(F.xxhash64("high", "id", F.lit(3)), "parts"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, cells_of(batch)], [*batch.schema.names, "cell"])
+
+    # A block is a part of a cell. Cells are found twice, as that stores no second copy of the vectors.
+    cells = classes.select("dim", "vector").mapInArrow(name_cells, "dim int, cell int").groupBy("dim", "cell").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_ROWS * 0.8)).alias("parts"))
+    held = classes.mapInArrow(place, f"{classes.schema.simpleString()[7:-1]}, cell int").join(
+        cells, ["dim", "cell"], "left").withColumn(
+        "part", F.pmod(F.xxhash64("high", "id", F.lit(3)), F.coalesce("parts", F.lit(1))))
 
     def grow(key: tuple, table: pa.Table) -> pa.Table:
         dim = key[0].as_py()
@@ -212,39 +250,45 @@ def similar_vectors(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
         units = units_of(flat, dim)
         middle = units.mean(axis=0)
         reach = float(np.sqrt(((units - middle) ** 2).sum(axis=1)).max())
+        with np.errstate(over="ignore"):
+            narrow = flat.astype(np.float32)
         return pa.table({
-            "dim": pa.array([dim], pa.int32()), "name": pa.array([f"{key[1]}/{key[2]}"]),
+            "dim": pa.array([dim], pa.int32()), "cell": pa.array([key[1].as_py()], pa.int32()),
+            "part": pa.array([key[2].as_py()], pa.int64()),
             "ids": pa.array([table.column("id").to_numpy().tobytes()], pa.binary()),
             "highs": pa.array([table.column("high").to_numpy().tobytes()], pa.binary()),
             "copies": pa.array([table.column("copies").to_numpy().tobytes()], pa.binary()),
+            "raw": pa.array([(narrow if (narrow == flat).all() else flat).tobytes()], pa.binary()),
             **Tree(units).columns(),
             "middle": pa.array([middle.tolist()], pa.list_(pa.float64())),
             "reach": pa.array([reach]),
         })
 
-    blocks = stored(held.groupBy("dim", "cell", "part").applyInArrow(
-        grow, "dim int, name string, ids binary, highs binary, copies binary, units binary, "
+    block = ["dim", "cell", "part"]
+    blocks = stored(held.groupBy(*block).applyInArrow(
+        grow, "dim int, cell int, part long, ids binary, highs binary, copies binary, raw binary, "
               "sizes array<int>, centres binary, parents binary, reaches binary, middle array<double>, reach double"), "tree-blocks")
-    # Node pairs at the top: blocks whose balls come close enough.
-    top = blocks.select("dim", "name", "middle", "reach")
-    other = top.select("dim", *[F.col(c).alias(f"{c}_b") for c in ("name", "middle", "reach")])
-    square = F.aggregate(
-        F.zip_with("middle", "middle_b", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
-    limit = float(np.sqrt(2 - 2 * cosine)) + SLACK
-    pairs = top.join(other, "dim").where("name <= name_b").where(
-        F.sqrt(square) <= F.col("reach") + F.col("reach_b") + F.lit(limit)).select("dim", "name", "name_b")
+    tiles = stored(_tiles(blocks, cosine), "tree-tiles")
+    parts = min(TILE_PARTS, max(1, tiles.select("dim", "a", "b").distinct().count()))
+    sent = blocks.join(tiles, block).repartitionById(
+        parts, F.pmod(F.pmod(F.xxhash64("dim"), F.lit(parts)) + F.col("tile"), F.lit(parts)).cast("int"))
 
     def compare(batches):
+        tile = None
         for batch in batches:
             for row in batch.to_pylist():
-                row["tree"], row["tree_b"] = Tree.of_row(row, ""), Tree.of_row(row, "_b")
-                yield _pair_rows(row, cosine)
+                key = (row["dim"], row["a"], row["b"])
+                if tile is None or tile.key != key:
+                    if tile is not None:
+                        yield from tile.found()
+                    tile = _Tile(key, cosine)
+                tile.add(Block(row), row["passing"])
+        if tile is not None:
+            yield from tile.found()
 
-    left = blocks.drop("middle", "reach")
-    right = left.select("dim", *[F.col(c).alias(f"{c}_b") for c in left.columns[1:]])
-    both = pairs.join(left, ["dim", "name"]).join(right, ["dim", "name_b"])
     node = "struct<id:long,high:long>"
-    found = stored(both.mapInArrow(compare, f"a {node}, b {node}, links long"), "tree-links")
+    found = stored(sent.sortWithinPartitions("dim", "a", "b", "passing").mapInArrow(
+        compare, f"a {node}, b {node}, links long"), "tree-links")
 
     edges = found.where("b is not null").select("a", "b")
     degree = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
@@ -260,29 +304,109 @@ def similar_vectors(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
                       (F.col("id") == F.col("component_id")).alias("kept"))
 
 
-def _pair_rows(row: dict, cosine: float) -> pa.RecordBatch:
-    a, b = row["tree"], row["tree_b"]
-    i, j = links_between(a, b, cosine)
-    same = row["name"] == row["name_b"]
-    if same:
-        i, j = i[i < j], j[i < j]
-    sides = [("", a)] if same else [("", a), ("_b", b)]
-    ids = np.concatenate([np.frombuffer(row[f"ids{s}"], np.int64) for s, _ in sides])
-    highs = np.concatenate([np.frombuffer(row[f"highs{s}"], np.int64) for s, _ in sides])
-    copies = np.concatenate([np.frombuffer(row[f"copies{s}"], np.int64) for s, _ in sides])
-    j = j if same else j + len(a.units)
-    n = len(ids)
-    links = np.zeros(n, np.int64)
-    np.add.at(links, i, copies[j])
-    np.add.at(links, j, copies[i])
-    member, least = _forest(n, i, j)
-    some = np.flatnonzero(links)
-    first = np.concatenate([member, some])
-    second = np.concatenate([least, np.zeros(len(some), np.int64)])
-    none = np.concatenate([np.zeros(len(member), bool), np.ones(len(some), bool)])
-    fields = ["id", "high"]
-    return pa.RecordBatch.from_arrays([
-        pa.StructArray.from_arrays([pa.array(ids[first]), pa.array(highs[first])], fields),
-        pa.StructArray.from_arrays([pa.array(ids[second]), pa.array(highs[second])], fields, mask=pa.array(none)),
-        pa.array(np.concatenate([np.zeros(len(member), np.int64), links[some]])),
-    ], ["a", "b", "links"])
+def _tiles(blocks: DataFrame, cosine: float) -> DataFrame:
+    """dim, a, b, tile, cell, part, passing: which blocks the tile of groups a and b has to see.
+
+    Groups have about the same number of bytes and consecutive cells. Blocks of group a are held,
+    those of b pass. Node pairs at the top: a block comes if its ball is near that of a block of the
+    other group; a group's own tile has all its blocks.
+    """
+    cores = blocks.sparkSession.sparkContext.defaultParallelism
+    own = Window.partitionBy("dim")
+    before = F.sum("bytes").over(own.orderBy("cell", "part").rowsBetween(Window.unboundedPreceding, -1))
+    groups = F.least(F.count(F.lit(1)).over(own), F.greatest(
+        F.lit(int(np.ceil(np.sqrt(8 * cores)))), F.ceil(F.sum("bytes").over(own) / F.lit(HELD_BYTES))))
+    top = blocks.select("dim", "cell", "part", "middle", "reach", F.length("raw").cast("long").alias("bytes")).select(
+        "*", groups.alias("groups"), F.coalesce(before, F.lit(0)).alias("before"), F.sum("bytes").over(own).alias("all"))
+    top = stored(top.select("dim", "cell", "part", "middle", "reach", "groups", F.least(
+        F.col("groups") - 1, F.floor(F.col("before") / F.col("all") * F.col("groups"))).alias("group")), "tree-groups")
+    others = top.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("other"))
+    first = others.where("group < other").withColumnsRenamed({"group": "a", "other": "b"})
+    second = others.where("other < group").withColumnsRenamed({"group": "b", "other": "a"})
+    limit = float(np.sqrt(2 - 2 * cosine)) + SLACK
+
+    def near(these: DataFrame, those: DataFrame) -> DataFrame:
+        those = those.select(*[F.col(c).alias(f"{c}_") for c in ("dim", "a", "b", "middle", "reach")])
+        square = F.aggregate(
+            F.zip_with("middle", "middle_", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
+        same = [F.col(c) == F.col(f"{c}_") for c in ("dim", "a", "b")]
+        return these.join(
+            those, [*same, F.sqrt(square) <= F.col("reach") + F.col("reach_") + F.lit(limit)], "left_semi")
+
+    alone = top.withColumnsRenamed({"group": "a"}).withColumn("b", F.col("a"))
+    columns = ["dim", "a", "b", "cell", "part", "groups"]
+    seen = alone.select(*columns, F.lit(False).alias("passing")).unionByName(
+        near(first, second).select(*columns, F.lit(False).alias("passing"))).unionByName(
+        near(second, first).select(*columns, F.lit(True).alias("passing")))
+    # Tiles are numbered row by row, so that those of a dimension fall on different partitions.
+    return seen.withColumn("tile", F.col("a") * F.col("groups") - F.expr("a * (a + 1) div 2") + F.col("b")).drop("groups")
+
+
+class _Tile:
+    """The blocks of one tile, and the links found between them so far."""
+
+    def __init__(self, key: tuple[int, int, int], cosine: float):
+        self.key, self.cosine = key, cosine
+        self.limit = np.sqrt(2 - 2 * cosine) + SLACK
+        self.held: list[tuple[int, Block]] = []
+        self.blocks: list[Block] = []
+        self.number = 0
+        self.first, self.second = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.more: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting = 0
+
+    def add(self, block: Block, passing: bool) -> None:
+        """Compare a block with those held; one of a group's own tile also with itself."""
+        at = self.number
+        self.blocks.append(block)
+        self.number += len(block.ids)
+        if not passing:
+            self.held.append((at, block))
+        if passing or self.key[1] == self.key[2]:
+            for place, other in self.held:
+                apart = np.sqrt(((other.middle - block.middle) ** 2).sum())
+                if apart <= other.reach + block.reach + self.limit:
+                    self._link(other, place, block, at)
+        if passing:
+            block.done()
+
+    def _link(self, a: Block, at_a: int, b: Block, at_b: int) -> None:
+        i, j = links_between(a, b, self.cosine)
+        if a is b:
+            i, j = i[i < j], j[i < j]
+        if not len(i):
+            return
+        np.add.at(a.links, i, b.copies[j])
+        np.add.at(b.links, j, a.copies[i])
+        if a is b:
+            first, second = _forest(len(a.ids), i, j)
+        else:
+            first, second = _forest(len(a.ids) + len(b.ids), i, j + len(a.ids))
+        place = lambda x: np.where(x < len(a.ids), x + at_a, x - len(a.ids) + at_b)
+        self.more.append((place(first), place(second)))
+        self.waiting += len(first)
+        if self.waiting >= KEPT_LINKS:
+            self._join()
+
+    def _join(self) -> None:
+        self.first, self.second = _forest(
+            self.number, *(np.concatenate([x, *y]) for x, y in zip((self.first, self.second), zip(*self.more))))
+        self.more, self.waiting = [], 0
+
+    def found(self) -> Iterator[pa.RecordBatch]:
+        """(a, b) of the forest without links, (a, null) with the links of every class that has some."""
+        if self.more:
+            self._join()
+        ids, highs, links = (np.concatenate([getattr(x, name) for x in self.blocks]) for name in ("ids", "highs", "links"))
+        some = np.flatnonzero(links)
+        first = np.concatenate([self.first, some])
+        second = np.concatenate([self.second, np.zeros(len(some), np.int64)])
+        none = np.concatenate([np.zeros(len(self.first), bool), np.ones(len(some), bool)])
+        fields = ["id", "high"]
+        whole = pa.RecordBatch.from_arrays([
+            pa.StructArray.from_arrays([pa.array(ids[first]), pa.array(highs[first])], fields),
+            pa.StructArray.from_arrays([pa.array(ids[second]), pa.array(highs[second])], fields, mask=pa.array(none)),
+            pa.array(np.concatenate([np.zeros(len(self.first), np.int64), links[some]])),
+        ], ["a", "b", "links"])
+        for at in range(0, whole.num_rows, FOUND_ROWS):
+            yield whole.slice(at, FOUND_ROWS)

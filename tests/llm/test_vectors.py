@@ -120,6 +120,56 @@ def test_dedup_of_repeated_rows_and_none(spark, rows):
     assert rows(cover_tree.similar_vectors(same.limit(0))) == []
 
 
+def exact_links(vectors, cosine=0.9):
+    units = np.array([np.array(v, float) / np.linalg.norm(np.array(v, float)) for _, v in vectors])
+    near = units @ units.T >= cosine
+    np.fill_diagonal(near, False)
+    part = np.arange(len(units))
+    while any((least := np.where(near[i], part, part[i]).min()) < part[i] and not part.__setitem__(i, least) for i in range(len(part))):
+        pass
+    ids = [i for i, _ in vectors]
+    return [(ids[n], int(near[n].sum()), ids[part[n]], part[n] == n) for n in range(len(ids))]
+
+
+@pytest.fixture
+def sent(spark, monkeypatch):
+    """The tables that Python functions get."""
+    kind, seen = type(spark.range(0)), []
+    run = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, *a, **b: seen.append(self) or run(self, *a, **b))
+    return seen
+
+
+def test_blocks_are_not_sent_once_a_pair(spark, rows, sent, monkeypatch):
+    """With four times the vectors, about four times as many bytes go to the tasks that compare blocks."""
+    monkeypatch.setattr(cover_tree, "BLOCK_ROWS", 20)
+    rng = np.random.default_rng(4)
+    far = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(960, 6)))]
+    sizes = []
+    for n in (240, 960):
+        found = rows(cover_tree.similar_vectors(spark.createDataFrame(far[:n], "vec_id long, embedding array<double>")))
+        assert found == sorted(exact_links(far[:n]), key=repr)
+        blocks = sent[-1]
+        binary = [f.name for f in blocks.schema if f.dataType.typeName() == "binary"]
+        sizes.append(sum(sum(len(r[c]) for c in binary) for r in blocks.select(*binary).collect()))
+    assert 0 < sizes[1] < 6 * sizes[0]
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_dedup_over_many_tiles(spark, rows, monkeypatch, kind):
+    """Several tiles a partition and groups of few blocks, of two dimensions; clusters, single vectors."""
+    for name, value in (("BLOCK_ROWS", 20), ("HELD_BYTES", 2000), ("TILE_PARTS", 5), ("KEPT_LINKS", 7), ("FOUND_ROWS", 3)):
+        monkeypatch.setattr(cover_tree, name, value)
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(6, 5))
+    large = np.vstack([rng.normal(size=(150, 5)), base.repeat(25, axis=0) + rng.normal(size=(150, 5)) * 0.1, base[:2]])
+    small = [v for i in range(20) for v in ([10.0, i], [9.0, i * 0.01 + 4.3])]
+    far = [(i, np.array(v, np.float32 if kind == "float" else float).tolist()) for i, v in enumerate(large)]
+    two = [(1000 + i, np.array(v, np.float32 if kind == "float" else float).tolist()) for i, v in enumerate(small)]
+    table = spark.createDataFrame(far + two, f"vec_id long, embedding array<{kind}>")
+    assert rows(cover_tree.similar_vectors(table)) == sorted(exact_links(far) + exact_links(two), key=repr)
+
+
 def test_tree_covers_and_nests():
     units = cover_tree.units_of(np.random.default_rng(2).normal(size=(400, 5)).ravel(), 5)
     tree = cover_tree.Tree(units)
