@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
@@ -37,8 +37,10 @@ COSINE = 0.9
 #: Most pivots (a sample), classes per pivot, most classes in a block.
 PIVOTS, PER_PIVOT, BLOCK_ROWS = 256, 2048, 2560
 RADII = (1.0, 0.5, 0.25, 0.125)
-#: Vectors that a task holds, and most partitions of tiles; smaller tables have two tiles or so per core.
+#: Vectors that a task holds, and most partitions of tiles; smaller tables have about three tiles per core.
 HELD_BYTES, TILE_PARTS = 32 << 20, 4096
+#: All pairs of classes are multiplied if at least one of so many is a candidate, else these alone, so many at once.
+DENSE, DENSE_ROWS = 32, 1 << 14
 #: Links of a tile that are kept before they become a forest, rows of a batch of results.
 KEPT_LINKS, FOUND_ROWS = 1 << 20, 1 << 16
 NO_ID = -(2**63)
@@ -128,53 +130,71 @@ class Block:
 
 def links_between(a: Block, b: Block, cosine: float) -> tuple[np.ndarray, np.ndarray]:
     """All (i, j) with a cosine of at least ``cosine`` between classes of two blocks."""
-    limit = np.sqrt(2 - 2 * cosine)
-    rows = columns = allowed = None
-    last = len(RADII)
-    for depth in range(last + 1):
-        ca, pa_, ra = a.levels[depth]
-        cb, pb, rb = b.levels[depth]
-        if allowed is not None:
-            place_a = np.full(len(a.levels[depth - 1][0]), -1)
-            place_a[rows] = np.arange(len(rows))
-            place_b = np.full(len(b.levels[depth - 1][0]), -1)
-            place_b[columns] = np.arange(len(columns))
-            rows, columns = np.flatnonzero(place_a[pa_] >= 0), np.flatnonzero(place_b[pb] >= 0)
-            open_ = allowed[place_a[pa_[rows]][:, None], place_b[pb[columns]][None, :]]
-        else:
-            rows, columns, open_ = np.arange(len(ca)), np.arange(len(cb)), None
-        if depth == last:
-            exact_a, exact_b = a.exact(ca[rows]), b.exact(cb[columns])
-            dots = exact_a @ exact_b.T
-            near = dots >= cosine - SLACK
-        else:
-            dots = a.coarse[ca[rows]] @ b.coarse[cb[columns]].T
-            reach_a, reach_b = ra[rows], rb[columns]
-            # Nodes of one class have no radius; where a node has, its row or column gets its own.
-            near = dots >= 1 - (limit + COARSE) ** 2 / 2
-            for wide in np.flatnonzero(reach_a > 0):
-                reach = np.minimum(limit + reach_a[wide] + reach_b + COARSE, 2.0)
-                near[wide] = dots[wide] >= 1 - reach * reach / 2
-            plain = np.flatnonzero(reach_a <= 0)
-            for wide in np.flatnonzero(reach_b > 0):
-                reach = min(limit + reach_b[wide] + COARSE, 2.0)
-                near[plain, wide] = dots[plain, wide] >= 1 - reach * reach / 2
-        if open_ is not None:
-            near &= open_
-        keep_a, keep_b = near.any(axis=1), near.any(axis=0)
-        if not keep_a.any():
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        if depth == last:
-            i, j = np.nonzero(near)
-            value = dots[i, j]
-            close = np.abs(value - cosine) <= SLACK
-            for at in np.flatnonzero(close):
-                x, y = exact_a[i[at]].astype(np.longdouble), exact_b[j[at]].astype(np.longdouble)
-                value[at] = 1.0 if (x @ y) >= cosine * np.sqrt((x @ x) * (y @ y)) else 0.0
-            good = value >= cosine
-            return rows[i[good]], columns[j[good]]
-        rows, columns, allowed = rows[keep_a], columns[keep_b], near[keep_a][:, keep_b]
-    raise AssertionError
+    hits: list[tuple[np.ndarray, np.ndarray]] = []
+    _descend(a, b, np.arange(len(a.levels[0][0])), np.arange(len(b.levels[0][0])), None, 0, np.sqrt(2 - 2 * cosine), hits)
+    i, j = (np.concatenate(x) for x in zip(*hits))
+    if not len(i):
+        return i, j
+    (some_a, at_a), (some_b, at_b) = _places(i, len(a.ids)), _places(j, len(b.ids))
+    exact_a, exact_b = a.exact(some_a), b.exact(some_b)
+    if len(some_a) * len(some_b) <= DENSE * len(i):
+        value = (exact_a @ exact_b.T)[at_a, at_b]
+    else:
+        value = np.concatenate([np.einsum("ij,ij->i", exact_a[at_a[k : k + DENSE_ROWS]], exact_b[at_b[k : k + DENSE_ROWS]])
+                                for k in range(0, len(i), DENSE_ROWS)])
+    for at in np.flatnonzero(np.abs(value - cosine) <= SLACK):
+        x, y = exact_a[at_a[at]].astype(np.longdouble), exact_b[at_b[at]].astype(np.longdouble)
+        value[at] = 1.0 if (x @ y) >= cosine * np.sqrt((x @ x) * (y @ y)) else 0.0
+    good = value >= cosine
+    return i[good], j[good]
+
+
+def _places(i: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers of ``i``, all below n, and where each of ``i`` stands among them."""
+    there = np.zeros(n, bool)
+    there[i] = True
+    return np.flatnonzero(there), (np.cumsum(there) - 1)[i]
+
+
+def _descend(a: Block, b: Block, rows: np.ndarray, columns: np.ndarray, open_: np.ndarray | None, depth: int,
+             limit: float, hits: list[tuple[np.ndarray, np.ndarray]]) -> None:
+    """Append classes (i, j) that may be near, below these nodes of a level.
+
+    Nodes of one class have no radius: two of them that are near are classes to compare exactly.
+    Pairs with a wider node go down a level, apart from the others: those nodes are few.
+    """
+    (ca, _, ra), (cb, _, rb) = a.levels[depth], b.levels[depth]
+    ca, ra, cb, rb = ca[rows], ra[rows], cb[columns], rb[columns]
+    dots = a.coarse[ca] @ b.coarse[cb].T
+    near = dots >= 1 - (limit + COARSE) ** 2 / 2
+    if open_ is not None:
+        near &= open_
+    i, j = np.divmod(np.flatnonzero(near), len(columns))
+    plain = (ra[i] <= 0) & (rb[j] <= 0)
+    hits.append((ca[i[plain]], cb[j[plain]]))
+    wide_a, wide_b = np.flatnonzero(ra > 0), np.flatnonzero(rb > 0)
+    for some_a, some_b in ((wide_a, np.arange(len(columns))), (np.flatnonzero(ra <= 0), wide_b)):
+        if len(some_a) and len(some_b):
+            reach = np.minimum(limit + ra[some_a][:, None] + rb[some_b][None, :] + np.float32(COARSE), np.float32(2))
+            cut = np.ix_(some_a, some_b)
+            near = dots[cut] >= 1 - reach * reach / 2
+            if open_ is not None:
+                near &= open_[cut]
+            keep_a, keep_b = near.any(axis=1), near.any(axis=0)
+            if keep_a.any():
+                below_a, up_a = _below(a, depth, rows[some_a[keep_a]])
+                below_b, up_b = _below(b, depth, columns[some_b[keep_b]])
+                allowed = near[keep_a][:, keep_b][up_a][:, up_b]
+                _descend(a, b, below_a, below_b, allowed, depth + 1, limit, hits)
+
+
+def _below(block: Block, depth: int, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes a level below these, and for each the place of its parent among these."""
+    place = np.full(len(block.levels[depth][0]), -1)
+    place[nodes] = np.arange(len(nodes))
+    parents = place[block.levels[depth + 1][1]]
+    below = np.flatnonzero(parents >= 0)
+    return below, parents[below]
 
 
 def _forest(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -205,14 +225,19 @@ def _vectors(embeddings: DataFrame) -> DataFrame:
     return rows.withColumn("able", F.coalesce(able, F.lit(False)))
 
 
+def _marks(vector: str) -> list[Column]:
+    """Two hashes and the dimension; zeros of either sign are alike."""
+    return [F.xxhash64(vector).alias("high"), F.xxhash64(F.lit(1), vector).alias("low"), F.size(vector).alias("dim")]
+
+
 def similar_vectors(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per row of ``embeddings``."""
     rows = _vectors(embeddings)
+    marks = ["high", "low", "dim"]
     classes = stored(rows.where("able").groupBy("vector").agg(
         F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")).select(
-        "id", F.xxhash64("vector").alias("high"), F.size("vector").alias("dim"), "vector", "copies"),
-        "tree-classes")
-    number = classes.count()
+        "id", *_marks("vector"), "vector", "copies"), "tree-classes")
+    number, apart = classes.agg(F.count(F.lit(1)), F.count_distinct(*marks)).first()
     wanted = min(PIVOTS, max(1, number // PER_PIVOT))
     sample = hashed_sample(classes, F.xxhash64("high", "id"), wanted, "id", "high").collect()
     pivots: dict[int, np.ndarray] = {}
@@ -292,11 +317,13 @@ def similar_vectors(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
 
     edges = found.where("b is not null").select("a", "b")
     degree = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
-    known = classes.select("vector", F.struct("id", "high").alias("node"), "copies").join(
+    # Rows find their class by its hashes if no two classes share them, so that vectors are not shuffled again.
+    keys = marks if apart == number else ["vector"]
+    known = classes.select(*keys, F.struct("id", "high").alias("node"), "copies").join(
         degree, "node", "left").join(components(edges), "node", "left").select(
-        "vector", F.coalesce("component", "node").alias("component"),
+        *keys, F.coalesce("component", "node").alias("component"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = rows.where("able").join(known, "vector").select(
+    out = rows.where("able").select("id", "vector", *_marks("vector")).join(known, keys).select(
         "id", "n_links", F.col("component.id").alias("component_id")).unionByName(
         rows.where("not able").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id")))
     named = lambda c: F.when(F.col(c) != F.lit(NO_ID), F.col(c))
@@ -315,7 +342,7 @@ def _tiles(blocks: DataFrame, cosine: float) -> DataFrame:
     own = Window.partitionBy("dim")
     before = F.sum("bytes").over(own.orderBy("cell", "part").rowsBetween(Window.unboundedPreceding, -1))
     groups = F.least(F.count(F.lit(1)).over(own), F.greatest(
-        F.lit(int(np.ceil(np.sqrt(8 * cores)))), F.ceil(F.sum("bytes").over(own) / F.lit(HELD_BYTES))))
+        F.lit(int(np.ceil(np.sqrt(6 * cores)))), F.ceil(F.sum("bytes").over(own) / F.lit(HELD_BYTES))))
     top = blocks.select("dim", "cell", "part", "middle", "reach", F.length("raw").cast("long").alias("bytes")).select(
         "*", groups.alias("groups"), F.coalesce(before, F.lit(0)).alias("before"), F.sum("bytes").over(own).alias("all"))
     top = stored(top.select("dim", "cell", "part", "middle", "reach", "groups", F.least(

@@ -5,6 +5,8 @@ import math
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from courtlake.llm import cover_tree, vector_file
 
 INF = float("inf")
@@ -170,6 +172,18 @@ def test_dedup_over_many_tiles(spark, rows, monkeypatch, kind):
     assert rows(cover_tree.similar_vectors(table)) == sorted(exact_links(far) + exact_links(two), key=repr)
 
 
+@pytest.mark.parametrize("alike", [False, True])
+def test_zeros_of_either_sign_and_equal_hashes(spark, rows, monkeypatch, alike):
+    """Rows find their class also where its hashes are those of another."""
+    if alike:
+        one = [F.lit(1).cast("long").alias("high"), F.lit(1).cast("long").alias("low"), F.lit(2).alias("dim")]
+        monkeypatch.setattr(cover_tree, "_marks", lambda vector: one)
+    for kind in ("float", "double"):
+        table = spark.createDataFrame(
+            [(1, [1.0, 0.0]), (2, [1.0, -0.0]), (3, [-0.0, 1.0]), (4, [0.0, -1.0])], f"vec_id long, embedding array<{kind}>")
+        assert rows(cover_tree.similar_vectors(table)) == [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True), (4, 0, 4, True)]
+
+
 def test_tree_covers_and_nests():
     units = cover_tree.units_of(np.random.default_rng(2).normal(size=(400, 5)).ravel(), 5)
     tree = cover_tree.Tree(units)
